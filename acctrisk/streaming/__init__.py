@@ -1,0 +1 @@
+"""Deliberately empty: the workload is batch only (no stream, watermark or state to rebuild)."""
