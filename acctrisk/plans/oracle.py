@@ -157,7 +157,8 @@ def _json_field(name: str, kind: str) -> tuple[str, str]:
     return f"({type_} is not null and not coalesce({ok}, false))", value
 
 
-def _analyses_sql() -> str:
+def _analyses_sql(plain: bool = False) -> str:
+    """Validated analyses, under their own or the note-signal column names."""
     kinds = {
         "sentiment": "text", "risk_score": "number", "competitor_mentions": "list",
         "champion_status": "text", "key_concerns": "list", "recommended_actions": "list",
@@ -167,8 +168,9 @@ def _analyses_sql() -> str:
     bad = " or ".join(b for b, _ in fields.values())
     names = {"sentiment": "csm_sentiment", "risk_score": "csm_risk_score",
              "recommended_actions": "csm_recommended_actions", "summary": "csm_summary"}
+    names = {} if plain else names
     columns = ", ".join(
-        v.replace("<SEP>", ", " if n == "competitor_mentions" else "; ")
+        v.replace("<SEP>", "|" if plain else ", " if n == "competitor_mentions" else "; ")
         + f" as {names.get(n, n)}" for n, (_, v) in fields.items())
     empty = braces("'{}'::json")
     return f"""
@@ -234,6 +236,349 @@ RISK = f"""
     from (select *, {rnd(weighted(CURRENT), 3)} as composite_risk_score, {_REAL} as real
           from {{in_window}}) as m"""
 
+# ---- data quality ----------------------------------------------------------------------------
+
+DEDUPED = """
+    select account_id, ingest_order, account_name, arr, contract_end_date, plan_tier
+    from (select *, row_number() over (partition by account_id order by ingest_order) as rn
+          from {registrations_v}) as r where rn = 1"""
+
+CLEAN_USAGE = "select account_id, month, " + ", ".join(
+    f"greatest({m}, 0) as {m}" for m in METRICS) + ", sdk_version from {raw_usage_v}"
+CLEAN_NPS = """
+    select account_id, seq, greatest(0, least(10, score)) as score, verbatim_comment
+    from {raw_nps_v}"""
+
+UNKNOWN_VALUES = f"""
+    select 'accounts' as source, 'plan_tier' as field, plan_tier as value, count(*) as n_rows
+    from {{accounts_v}} where coalesce(plan_tier not in ({listed(fixed.PLAN_TIERS)}), true)
+    group by plan_tier
+    union all
+    select 'tickets', 'priority', priority, count(*) from {{tickets_v}}
+    where coalesce(priority not in ({listed(fixed.PRIORITIES)}), true) group by priority
+    union all
+    select 'tickets', 'status', status, count(*) from {{tickets_v}}
+    where coalesce(status not in ({listed(fixed.STATUSES)}), true) group by status"""
+
+
+def _orphans(source: str, facts: str, accounts: str) -> str:
+    return f"""
+        select '{source}' as source, count(*) as n_orphans,
+               coalesce((select string_agg(account_id::varchar, ', ' order by account_id)
+                from (select distinct account_id from {{{facts}}}
+                      where account_id not in (select account_id from {{{accounts}}})
+                      order by account_id limit 5) as five), '') as smallest_ids
+        from (select distinct account_id from {{{facts}}}
+              where account_id not in (select account_id from {{{accounts}}})) as o"""
+
+
+LATE_ACCOUNTS = f"""
+    select account_id from {{accounts_v}}
+    where datediff('day', {SNAPSHOT}, contract_end_date) > 90"""
+ORPHANS = " union all ".join([
+    _orphans("usage", "usage_v", "late_accounts"), _orphans("tickets", "tickets_v", "late_accounts"),
+    _orphans("nps", "nps_v", "late_accounts")])
+
+
+def _warnings(*checks: tuple[str, str, str]) -> str:
+    parts = [f"case when {n} > 0 then {lit(head)} || ({n})::bigint::varchar || {lit(tail)} end"
+             for n, head, tail in checks]
+    return f"concat_ws(' | ', {', '.join(parts)})"
+
+
+def _report(source: str, warnings: str, before: str, after: str, relation: str) -> str:
+    return (f"select {lit(source)} as source, true as is_valid, '' as errors, "
+            f"{warnings} as warnings, {before} as rows_before, {after} as rows_after "
+            f"from {relation} as c")
+
+
+_ACCOUNT_COUNTS = f"""(
+    select count(*) as n, (select count(*) from {{registrations_v}}) as before,
+           count(*) filter (account_name is null) as no_name, count(*) filter (arr < 0) as neg,
+           count(*) filter (arr <= 0) as zero,
+           count(*) filter (contract_end_date < {SNAPSHOT} - 365) as stale,
+           count(*) filter (plan_tier is null or plan_tier not in ({listed(fixed.PLAN_TIERS)}))
+               as plans from {{deduped}})"""
+_USAGE_COUNTS = f"""(
+    select count(*) as n, {", ".join(f"count(*) filter ({m} < 0) as neg_{m}" for m in METRICS)},
+           count(*) filter (api_calls > 10000000) as extreme,
+           count(*) filter (not coalesce(regexp_matches(sdk_version, '^v[0-9]+[.][0-9]+'), false))
+               as bad_sdk,
+           (select count(*) from (select account_id from {{raw_usage_v}} group by account_id
+                                  having count(distinct month) < 3) as s) as sparse
+    from {{raw_usage_v}})"""
+_TICKET_COUNTS = f"""(
+    select count(*) as n,
+           count(*) filter (coalesce(priority not in ({listed(fixed.PRIORITIES)}), true)) as pr,
+           count(*) filter (coalesce(status not in ({listed(fixed.STATUSES)}), true)) as st,
+           count(*) filter (resolution_time_hours < 0) as neg,
+           count(*) filter (resolution_time_hours > 720) as long from {{tickets_v}})"""
+_NPS_COUNTS = """(
+    select count(*) as n, count(*) filter (score < 0 or score > 10) as outside,
+           count(*) - count(distinct account_id) as dupes,
+           count(*) filter (verbatim_comment = '') as empty from {raw_nps_v})"""
+
+_CROSS = " union all ".join(
+    f"select source || ' (cross-ref)', true, '', n_orphans::varchar || ' account IDs in ' || source"
+    f" || ' not found in accounts.csv: [' || smallest_ids || ']...', 0::bigint, 0::bigint "
+    f"from ({_orphans(source, facts, 'deduped')}) as x where n_orphans > 0"
+    for source, facts in
+    [("usage", "raw_usage_v"), ("tickets", "tickets_v"), ("nps", "raw_nps_v")])
+
+REPORT = " union all ".join([
+    _report("accounts.csv", _warnings(
+        ("before - n", "Duplicate account IDs found: ", " rows. Keeping first occurrence."),
+        ("no_name", "", " accounts missing account_name"),
+        ("neg", "", " accounts have negative ARR. Setting to 0."),
+        ("zero", "", " accounts have zero ARR (free tier?)"),
+        ("stale", "", " accounts have contract_end_date > 1 year in the past (stale data)"),
+        ("plans", "Unknown plan tiers: ", " rows"),
+    ), "before", "n", _ACCOUNT_COUNTS),
+    _report("usage_metrics.csv", _warnings(
+        *[(f"neg_{m}", "", f" rows have negative {m}. Clamping to 0.") for m in METRICS],
+        ("extreme", "", " rows have api_calls > 10M (potential data entry error)"),
+        ("bad_sdk", "", " rows have invalid SDK version format"),
+        ("sparse", "", " accounts have < 3 months of data (trends may be unreliable)"),
+    ), "n", "n", _USAGE_COUNTS),
+    _report("support_tickets.csv", _warnings(
+        ("pr", "Unknown priority values: ", " rows"), ("st", "Unknown status values: ", " rows"),
+        ("neg", "", " tickets have negative resolution time"),
+        ("long", "", " tickets have resolution > 30 days (data quality issue?)"),
+    ), "n", "n", _TICKET_COUNTS),
+    _report("nps_responses.csv", _warnings(
+        ("outside", "", " NPS scores outside 0-10 range. Clamping."),
+        ("dupes", "", " duplicate NPS responses. Using latest per account."),
+        ("empty", "", " NPS responses have no comment"),
+    ), "n", "n", _NPS_COUNTS),
+    _CROSS,
+])
+
+# The validated run: the scoring relations over the repaired inputs, no translations and no
+# sentiments.
+_CLEAN_ACCOUNTS = "select * replace (greatest(arr, 0) as arr) from {accounts_v}"
+
+
+def _revised(text: str, **marks: str) -> str:
+    for old, new in marks.items():
+        text = text.replace("{" + old + "}", "{" + new + "}")
+    return text
+
+
+_VALIDATED = {
+    "usage_v": "clean_usage", "nps_v": "clean_nps", "accounts_v": "clean_accounts",
+    "translations_v": "no_translations", "sentiments_v": "no_sentiments",
+    "latest_usage": "v_latest", "usage_sig": "v_usage", "nps_sig": "v_nps", "sdk_sig": "v_sdk",
+    "eng_sig": "v_eng", "merged": "v_merged", "in_window": "v_window",
+}
+
+# Scores from the tickets alone, the other signals at their defaults.
+_TICKETS_MERGED = f"""
+    select a.*, datediff('day', {SNAPSHOT}, contract_end_date)::bigint as days_until_renewal,
+           coalesce(t.ticket_risk_score, 0.2::double) as ticket_risk_score, total_tickets,
+           p1_p2_tickets, open_escalated, avg_resolution_hours, recent_ticket_count,
+           0.3::double as usage_risk_score, 0.5::double as nps_risk_score,
+           0.3::double as csm_risk_score, 0.2::double as sdk_risk_score,
+           0.3::double as engagement_risk_score
+    from {{accounts_v}} as a left join {{ticket_sig}} as t on t.account_id = a.account_id"""
+
+# ---- insights --------------------------------------------------------------------------------
+
+_AT_RISK = "risk_tier in ('High', 'Medium')"
+
+
+def pct(value: str) -> str:
+    return f"round_even({value} * 100::double, 0)::bigint::varchar"
+
+
+def _detail(pattern: tuple, *values: str) -> str:
+    parts = pattern[2].split("{}")
+    out = [lit(parts[0])]
+    for value, text in zip(values, parts[1:], strict=True):
+        out += [value, lit(text)]
+    return f"{lit(pattern[1])} as insight_type, {' || '.join(out)} as insight_detail"
+
+
+def _silent_churn(limit: float) -> str:
+    return f"""
+        select account_id, account_name, nps_score, usage_risk_score,
+               {_detail(fixed.SILENT_CHURN, "nps_score::varchar", pct("usage_risk_score"))}
+        from {{risk}} where nps_score >= 7 and usage_risk_score >= {limit}::double"""
+
+
+SDK_CASCADE = f"""
+    select account_id, account_name, sdk_version, total_tickets, p1_p2_tickets,
+           {_detail(fixed.SDK_CASCADE, "sdk_version", "coalesce(total_tickets, 0)::varchar",
+                    "coalesce(p1_p2_tickets, 0)::varchar")}
+    from {{risk}} where sdk_version like 'v3%'"""
+CHAMPION = f"""
+    select account_id, account_name, champion_status, csm_summary,
+           {_detail(fixed.CHAMPION_RISK, "champion_status", "coalesce(csm_summary, 'N/A')")}
+    from {{risk}} where champion_status in ('at_risk', 'lost')"""
+CONTRADICTION = f"""
+    select account_id, account_name, nps_score,
+           {_detail(fixed.NPS_CONTRADICTION, "coalesce(nps_score, 0)::varchar",
+                    "substr(coalesce(nps_comment, ''), 1, 100)")}
+    from {{risk}} where sentiment_score_mismatch"""
+ALL_INSIGHTS = " union all ".join(
+    f"select {lit(p[0])} as category, account_id, insight_type from ({text}) as x"
+    for p, text in [
+        (fixed.SILENT_CHURN, _silent_churn(0.4)), (fixed.SDK_CASCADE, SDK_CASCADE),
+        (fixed.CHAMPION_RISK, CHAMPION), (fixed.NPS_CONTRADICTION, CONTRADICTION)])
+
+SDK_DISTRIBUTION = f"""
+    select sdk_version, count(*) as n_accounts, count(*) filter ({_AT_RISK}) as n_at_risk
+    from {{risk}} where sdk_version is not null group by sdk_version"""
+NPS_BUCKETS = """
+    select count(*) filter (nps_score <= 6) as detractors,
+           count(*) filter (nps_score between 7 and 8) as passives,
+           count(*) filter (nps_score >= 9) as promoters from {risk}"""
+INDUSTRY = f"""
+    select industry, count(*) as n_at_risk, sum(arr)::bigint as total_arr
+    from {{risk}} where {_AT_RISK} group by industry"""
+TIERS = """
+    select count(*) as n_accounts, count(*) filter (risk_tier = 'High') as n_high,
+           count(*) filter (risk_tier = 'Medium') as n_medium,
+           count(*) filter (risk_tier = 'Low') as n_low from {risk}"""
+TOP15 = f"""
+    select account_id, composite_risk_score,
+           '- ' || account_name || ' (ID:' || account_id || '): Risk='
+           || {pct("composite_risk_score")} || '% [' || risk_tier || '], ARR=$'
+           || format('{{{{:,}}}}', arr) || ', Plan=' || coalesce(plan_tier, '?') || ', SDK='
+           || coalesce(sdk_version, '?') || ', NPS=' || coalesce(nps_score::varchar, 'N/A')
+           || ', Usage Decline Risk=' || {pct("usage_risk_score")} || '%, Tickets='
+           || coalesce(total_tickets, 0) || ' (' || coalesce(p1_p2_tickets, 0)
+           || ' P1/P2), Competitors=' || coalesce(competitor_mentions, 'none') || ', Champion='
+           || coalesce(champion_status, 'unknown') || ', Renewal in ' || days_until_renewal
+           || ' days. CSM: ' || coalesce(csm_summary, 'No notes') as line
+    from {{risk}} order by composite_risk_score desc, account_id limit 15"""
+DIGEST = f"""
+    select 1::bigint as section, 0::double as weight,
+           'Total accounts analyzed: ' || n_accounts as line from ({TIERS}) as t
+    union all select 2, 0, 'Risk distribution: High=' || n_high || ', Medium=' || n_medium
+           || ', Low=' || n_low from ({TIERS}) as t
+    union all select 3, 0, '=== TOP 15 AT-RISK ACCOUNTS ==='
+    union all select 4, composite_risk_score, line from ({TOP15}) as t
+    union all select 5, 0, '=== SDK VERSION DISTRIBUTION ==='
+    union all select 6, n_accounts, '- ' || sdk_version || ': ' || n_accounts || ' accounts ('
+           || n_at_risk || ' at-risk)' from ({SDK_DISTRIBUTION}) as t
+    union all select 7, 0, '=== NPS SCORE DISTRIBUTION ==='
+    union all select 8, 0, 'Detractors (0-6): ' || detractors || ', Passives (7-8): ' || passives
+           || ', Promoters (9-10): ' || promoters from ({NPS_BUCKETS}) as t
+    union all select 9, 0, '=== INDUSTRY RISK BREAKDOWN ==='
+    union all select 10, 0, '- ' || industry || ': ' || n_at_risk
+           || ' at-risk accounts, total ARR=$' || format('{{{{:,}}}}', total_arr)
+           from ({INDUSTRY}) as t"""
+
+SUMMARY = f"""
+    select count(*) as total_accounts_analyzed,
+           count(*) filter (risk_tier = 'High') as high_risk_count,
+           count(*) filter (risk_tier = 'Medium') as medium_risk_count,
+           count(*) filter (risk_tier = 'Low') as low_risk_count,
+           coalesce(sum(arr) filter ({_AT_RISK}), 0)::bigint as total_arr_at_risk,
+           coalesce(sum(arr) filter (risk_tier = 'High'), 0)::bigint as high_risk_arr,
+           {rnd("sum(round_even(composite_risk_score * 1000, 0)::bigint)::double"
+                " / count(*)::double / 1000::double", 3)} as avg_risk_score,
+           {rnd("median(composite_risk_score)", 3)} as median_risk_score
+    from {{risk}}"""
+
+_COUNTS = f"select category, count(*) as n_accounts from ({ALL_INSIGHTS}) as i group by category"
+INSIGHT_COUNTS = f"""
+    select category, coalesce(n_accounts, 0) as n_accounts
+    from (values {", ".join(f"({lit(p[0])})" for p in (
+        fixed.SILENT_CHURN, fixed.SDK_CASCADE, fixed.CHAMPION_RISK, fixed.NPS_CONTRADICTION))})
+         as c(category) left join ({_COUNTS}) as n using (category)"""
+
+# ---- back-test -------------------------------------------------------------------------------
+
+TRUTH = """
+    select *, coalesce(csm_sentiment = 'negative', false)
+              or length(coalesce(competitor_mentions, '')) > 0
+              or coalesce(champion_status = 'lost', false) or coalesce(nps_score, 5) <= 3
+              or (coalesce(sdk_version like 'v3%', false) and coalesce(total_tickets, 0) > 5)
+              as expected_high,
+           coalesce(csm_sentiment, 'positive') = 'positive'
+              and length(coalesce(competitor_mentions, '')) = 0
+              and coalesce(champion_status, 'active') = 'active'
+              and coalesce(nps_score, 5) >= 9 as expected_low
+    from {risk}"""
+
+
+def _metrics(configs) -> str:
+    scored = " union all ".join(
+        f"select {i} as place, {lit(name)} as config, account_id, expected_high, expected_low, "
+        f"{weighted(w)} as score from {{truth}}" for i, (name, w) in enumerate(configs.items()))
+    return f"""
+        select config, place,
+               {rnd("coalesce(avg(score) filter (expected_high)"
+                    " - avg(score) filter (expected_low), 0::double)", 4)} as separation,
+               {rnd("count(*) filter (expected_high and rn <= k)::double / any_value(k)", 4)}
+                   as precision_at_k,
+               {rnd("coalesce(count(*) filter (expected_high and score >= 0.6::double)::double"
+                    " / nullif(count(*) filter (expected_high), 0), 0::double)", 4)} as recall,
+               {rnd("coalesce(avg(score) filter (expected_high), 0::double)", 4)}
+                   as avg_high_score,
+               {rnd("coalesce(avg(score) filter (expected_low), 0::double)", 4)} as avg_low_score,
+               count(*) filter (expected_high) as n_expected_high,
+               count(*) filter (expected_low) as n_expected_low
+        from (select *, row_number() over (partition by config order by score desc, account_id)
+                        as rn,
+                     greatest(1, count(*) filter (expected_high) over (partition by config)) as k
+              from ({scored}) as s) as r
+        group by config, place"""
+
+
+METRICS_ALL = _metrics(fixed.WEIGHT_CONFIGS)
+METRICS_CURRENT = _metrics({fixed.CURRENT_CONFIG: CURRENT})
+VERDICT = f"""
+    select (select config from {{metrics}} order by separation desc, place limit 1) as best_config,
+           floor(rk)::bigint as current_rank, rk <= 2 as is_optimal
+    from (select config, rank() over (order by separation desc)
+                 + (count(*) over (partition by separation) - 1) / 2::double as rk
+          from {{metrics}}) as r where config = {lit(fixed.CURRENT_CONFIG)}"""
+
+# ---- exports ---------------------------------------------------------------------------------
+
+EXPLAINED = f"""
+    select r.*, case when {_AT_RISK} and x.risk_explanation is not null then x.risk_explanation
+                else {lit(fixed.LOW_RISK_EXPLANATION)} end as risk_explanation
+    from {{risk}} as r left join {{explanations_v}} as x on x.account_id = r.account_id"""
+
+
+def _json_pairs(*pairs: tuple[str, str]) -> str:
+    parts = [f"{lit(braces(chr(34) + name + chr(34) + ':'))} || {value}" for name, value in pairs]
+    return "'{{' || " + " || ',' || ".join(parts) + " || '}}'"
+
+
+def _text(value: str) -> str:
+    return f"coalesce('\"' || {value} || '\"', 'null')"
+
+
+def _number(value: str) -> str:
+    return f"coalesce({value}::varchar, 'null')"
+
+
+PAYLOAD = f"""
+    select account_id, {_json_pairs(
+        ("account_id", _number("account_id")), ("account_name", _text("account_name")),
+        ("contract_end_date", _text("contract_end_date::varchar")), ("arr", _number("arr")),
+        ("sdk_version", _text("sdk_version")), ("nps_score", _number("nps_score")),
+        ("risk_tier", _text("risk_tier")), ("total_tickets", _number("total_tickets")))}
+        as payload
+    from {{risk}} where {_AT_RISK}"""
+
+_SUMMARY_COLUMNS = [
+    "total_accounts_analyzed", "high_risk_count", "medium_risk_count", "low_risk_count",
+    "total_arr_at_risk", "high_risk_arr", "avg_risk_score", "median_risk_score"]
+_CATEGORY_COUNTS = [
+    (p[0], f"(select count(*) from ({ALL_INSIGHTS}) as i where category = {lit(p[0])})::varchar")
+    for p in (fixed.SILENT_CHURN, fixed.SDK_CASCADE, fixed.CHAMPION_RISK, fixed.NPS_CONTRADICTION)]
+INSIGHTS_REPORT = f"""
+    select {_json_pairs(
+        ("summary", _json_pairs(*[(c, f"{c}::varchar") for c in _SUMMARY_COLUMNS])),
+        ("model_insights", "'" + '""' + "'"),
+        ("structured_insight_counts", _json_pairs(*_CATEGORY_COUNTS)))} as report
+    from ({SUMMARY}) as s"""
+
 RELATIONS = {
     "usage_sig": USAGE_SIG,
     "latest_usage": LATEST_USAGE,
@@ -245,6 +590,27 @@ RELATIONS = {
     "merged": MERGED,
     "in_window": IN_WINDOW,
     "risk": RISK,
+    "deduped": DEDUPED,
+    "clean_usage": CLEAN_USAGE,
+    "clean_nps": CLEAN_NPS,
+    "clean_accounts": _CLEAN_ACCOUNTS,
+    "no_translations": "select * from {translations_v} where false",
+    "no_sentiments": "select * from {sentiments_v} where false",
+    "v_latest": _revised(LATEST_USAGE, **_VALIDATED),
+    "v_usage": _revised(USAGE_SIG, **_VALIDATED),
+    "v_nps": _revised(NPS_SIG, **_VALIDATED),
+    "v_sdk": _revised(SDK_SIG, **_VALIDATED),
+    "v_eng": _revised(ENG_SIG, **_VALIDATED),
+    "v_merged": _revised(MERGED, **_VALIDATED),
+    "v_window": _revised(IN_WINDOW, **_VALIDATED),
+    "v_risk": _revised(RISK, **_VALIDATED),
+    "t_merged": _TICKETS_MERGED,
+    "t_window": _revised(IN_WINDOW, merged="t_merged"),
+    "t_risk": _revised(RISK, in_window="t_window"),
+    "late_accounts": LATE_ACCOUNTS,
+    "truth": TRUTH,
+    "metrics": METRICS_ALL,
+    "explained": EXPLAINED,
 }
 
 QUERIES = {
@@ -257,6 +623,110 @@ QUERIES = {
     "csm_signals": "select * from {csm_sig}",
     "merged_signals": "select * from {merged}",
     "risk_scores": "select * from {risk}",
+    "renewal_window": f"""
+        select * from (select *, datediff('day', {SNAPSHOT}, contract_end_date)::bigint
+                                 as days_until_renewal from {{accounts_v}}) as a
+        where days_until_renewal between 0 and 90""",
+    "composite_risk": "select account_id, composite_risk_score, risk_tier from {risk}",
+    "risk_ranking": """
+        select account_id, account_name, composite_risk_score, risk_tier from {risk}
+        order by composite_risk_score desc, account_id""",
+    "top_drivers": "select account_id, top_risk_drivers from {risk}",
+    "confidence": "select account_id, confidence_level from {risk}",
+    "risk_summary": SUMMARY,
+    "tickets_only_risk": "select * from {t_risk}",
+    "dq_dedupe_accounts": "select * from {deduped}",
+    "dq_duplicate_ids": """
+        select account_id, count(*) - 1 as surplus_rows from {registrations_v}
+        group by account_id having count(*) > 1""",
+    "dq_clamp_arr": "select account_id, greatest(arr, 0) as arr from {accounts_v}",
+    "dq_clamp_usage": "select * from {clean_usage}",
+    "dq_clamp_nps": "select * from {clean_nps}",
+    "dq_unknown_values": UNKNOWN_VALUES,
+    "dq_sparse_accounts": """
+        select account_id, count(distinct month) as n_months from {usage_v}
+        group by account_id having count(distinct month) < 3""",
+    "dq_orphan_ids": ORPHANS,
+    "dq_report": REPORT,
+    "validated_risk": """
+        select account_id, arr, composite_risk_score, risk_tier, top_risk_drivers from {v_risk}""",
+    "pipeline_counters": """
+        select 'sdk_accounts' as counter, count(*) as n from {sdk_sig}
+        union all select 'v3_accounts', count(*) from {sdk_sig} where sdk_version like 'v3%'
+        union all select 'nps_rows', count(*) from {nps_sig}
+        union all select 'translated_comments', count(*) from {nps_sig}
+                  where detected_language <> 'English'""",
+    "insight_silent_churn": _silent_churn(0.2),
+    "insight_sdk_cascade": SDK_CASCADE,
+    "insight_champion": CHAMPION,
+    "insight_contradiction": CONTRADICTION,
+    "all_insights": ALL_INSIGHTS,
+    "insight_counts": INSIGHT_COUNTS,
+    "sdk_distribution": SDK_DISTRIBUTION,
+    "nps_buckets": NPS_BUCKETS,
+    "industry_risk": INDUSTRY,
+    "top15_digest": TOP15,
+    "dataset_digest": DIGEST,
+    "ground_truth": "select account_id, expected_high, expected_low from {truth}",
+    "weight_metrics": f"select * exclude (place) from ({METRICS_CURRENT}) as m",
+    "weight_sensitivity": "select * exclude (place) from {metrics}",
+    "weight_verdict": VERDICT,
+    "report_filter": f"""
+        select account_id, risk_tier, plan_tier, arr from {{risk}}
+        where {_AT_RISK} and plan_tier in ('Starter', 'Scale') and arr >= 10000""",
+    "report_tier_counts": "select risk_tier, count(*) as n_accounts from {risk} group by risk_tier",
+    "report_arr_by_tier": """
+        select risk_tier, sum(arr)::bigint as total_arr from {risk} group by risk_tier""",
+    "report_risk_map": """
+        select account_name, risk_tier, composite_risk_score, arr, plan_tier, days_until_renewal,
+               top_risk_drivers from {risk}""",
+    "report_account": """
+        select * from {risk} where account_name = 'Customer#000000003'
+        order by composite_risk_score desc, account_id limit 1""",
+    "report_signal_breakdown": " union all ".join(
+        f"select account_id, {lit(label)} as signal, {c} as score from {{risk}}"
+        for c, label in zip(SCORES, fixed.BREAKDOWN_LABELS)),
+    "report_heatmap": f"""
+        select account_id, account_name, {", ".join(SCORES)} from {{risk}} where {_AT_RISK}
+        order by composite_risk_score desc, account_id limit 20""",
+    "report_sdk_tier": """
+        select sdk_version, risk_tier, count(*) as n_accounts from {risk}
+        where sdk_version is not null group by sdk_version, risk_tier""",
+    "report_plan_tier": """
+        select plan_tier, risk_tier, count(*) as n_accounts from {risk}
+        where plan_tier is not null group by plan_tier, risk_tier""",
+    "report_top20": """
+        select row_number() over (order by composite_risk_score desc, account_id) as rank,
+               account_name, composite_risk_score, risk_tier, arr, days_until_renewal,
+               sdk_version, top_risk_drivers
+        from {risk} order by composite_risk_score desc, account_id limit 20""",
+    "annotation_defaults": _analyses_sql(plain=True),
+    "nps_translation": """
+        select n.account_id, score, coalesce(translated, verbatim_comment) as translated_comment,
+               coalesce(language, 'English') as detected_language
+        from {nps_v} as n left join {translations_v} as t on t.account_id = n.account_id""",
+    "nps_annotation_requests": """
+        select n.account_id, score, coalesce(nullif(translated, ''), verbatim_comment) as comment
+        from {nps_v} as n left join {translations_v} as t on t.account_id = n.account_id
+        where length(trim(coalesce(nullif(translated, ''), verbatim_comment), ' ')) > 5""",
+    "non_latin_comments": braces("""
+        select account_id, verbatim_comment from <nps_v>
+        where regexp_matches(verbatim_comment, '[^\\x{0}-\\x{7F}]')""").replace(
+            "<nps_v>", "{nps_v}"),
+    "batch_annotate": """
+        select account_id, note_idx, n_words,
+               case when n_words > 20 then 'long' else 'short' end as mood
+        from (select account_id, note_idx,
+                     len(list_filter(string_split_regex(raw_text, '\\s+'), lambda x: x <> ''))
+                     as n_words from {notes_v}) as w""",
+    "briefing_payload": PAYLOAD,
+    "explanations": "select account_id, risk_tier, risk_explanation from {explained}",
+    "export_risk_scored": f"select {', '.join(fixed.EXPORT_COLUMNS)} from {{explained}}",
+    "export_detailed_signals": "select * exclude (risk_explanation) from {explained}",
+    "account_briefings": """
+        select account_id, account_name, risk_tier, composite_risk_score as risk_score, arr,
+               risk_explanation as explanation from {explained}""",
+    "insights_summary": INSIGHTS_REPORT,
 }
 
 

@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from acctrisk.operators import annotate, scoring, signals
+from acctrisk import fixed
+from acctrisk.operators import annotate, backtest, insights, quality, report, scoring, signals
+from acctrisk.sources import exports
 from acctrisk.plans import pipeline
 from acctrisk.plans.views import PARAMS, view
 
@@ -96,3 +99,344 @@ def merged_signals(spark, sf_dir):
 @query
 def risk_scores(spark, sf_dir):
     return risk(spark, sf_dir)
+
+
+@query
+def renewal_window(spark, sf_dir):
+    return scoring.renewal_window(view(spark, sf_dir, "accounts_v"), PARAMS)
+
+
+@query
+def composite_risk(spark, sf_dir):
+    return risk(spark, sf_dir).select("account_id", "composite_risk_score", "risk_tier")
+
+
+@query
+def risk_ranking(spark, sf_dir):
+    return scoring.rank_by_risk(risk(spark, sf_dir)).select(
+        "account_id", "account_name", "composite_risk_score", "risk_tier")
+
+
+@query
+def top_drivers(spark, sf_dir):
+    return risk(spark, sf_dir).select("account_id", "top_risk_drivers")
+
+
+@query
+def confidence(spark, sf_dir):
+    return risk(spark, sf_dir).select("account_id", "confidence_level")
+
+
+@query
+def risk_summary(spark, sf_dir):
+    return scoring.risk_summary(risk(spark, sf_dir))
+
+
+@query
+def tickets_only_risk(spark, sf_dir):
+    """Absent signals take their defaults."""
+    d = dataset(spark, sf_dir)
+    return scoring.composite_risk(
+        d.accounts, tickets=signals.ticket_signals(d.tickets, PARAMS), params=PARAMS)
+
+
+# ---- data quality ----------------------------------------------------------------------------
+
+@query
+def dq_dedupe_accounts(spark, sf_dir):
+    """Every order registers its customer again; the first registration stays."""
+    return quality.dedupe_accounts(view(spark, sf_dir, "registrations_v"), "ingest_order")
+
+
+@query
+def dq_duplicate_ids(spark, sf_dir):
+    return quality.duplicate_ids(view(spark, sf_dir, "registrations_v"))
+
+
+@query
+def dq_clamp_arr(spark, sf_dir):
+    return quality.clamp_arr(view(spark, sf_dir, "accounts_v")).select("account_id", "arr")
+
+
+@query
+def dq_clamp_usage(spark, sf_dir):
+    return quality.clamp_usage(view(spark, sf_dir, "raw_usage_v"))
+
+
+@query
+def dq_clamp_nps(spark, sf_dir):
+    return quality.clamp_nps(view(spark, sf_dir, "raw_nps_v"))
+
+
+@query
+def dq_unknown_values(spark, sf_dir):
+    return quality.unknown_values(
+        view(spark, sf_dir, "accounts_v"), view(spark, sf_dir, "tickets_v"))
+
+
+@query
+def dq_sparse_accounts(spark, sf_dir):
+    return quality.sparse_accounts(view(spark, sf_dir, "usage_v"))
+
+
+@query
+def dq_orphan_ids(spark, sf_dir):
+    d = dataset(spark, sf_dir)
+    # accounts without their in-window part, so that there are orphans at every scale
+    rest = scoring.with_days(d.accounts, PARAMS).filter("days_until_renewal > 90")
+    facts = {"usage": d.usage, "tickets": d.tickets, "nps": d.nps}
+    return quality.orphan_report(facts, rest)
+
+
+@query
+def dq_report(spark, sf_dir):
+    report = _validated(spark, sf_dir)[1]
+    return report.select(
+        "source", "is_valid", F.array_join("errors", " | ").alias("errors"),
+        F.array_join("warnings", " | ").alias("warnings"), "rows_before", "rows_after")
+
+
+def _validated(spark, sf_dir):
+    return quality.validate_all(
+        view(spark, sf_dir, "registrations_v"), view(spark, sf_dir, "raw_usage_v"),
+        view(spark, sf_dir, "tickets_v"), view(spark, sf_dir, "raw_nps_v"),
+        as_of=PARAMS.snapshot_date)
+
+
+@query
+def validated_risk(spark, sf_dir):
+    """The full run: validate and repair the raw relations, then score them."""
+    raw, d = _validated(spark, sf_dir)[0], dataset(spark, sf_dir)
+    return pipeline.score_dataset(pipeline.Dataset(
+        accounts=quality.clamp_arr(d.accounts), usage=raw["usage"], tickets=raw["tickets"],
+        nps=raw["nps"], analyses=d.analyses), PARAMS).select(
+            "account_id", "arr", "composite_risk_score", "risk_tier", "top_risk_drivers")
+
+
+@query
+def pipeline_counters(spark, sf_dir):
+    d = dataset(spark, sf_dir)
+    return quality.pipeline_counters(
+        signals.nps_signals(d.nps, d.translations, d.sentiments), signals.sdk_risk(d.usage))
+
+
+# ---- insights --------------------------------------------------------------------------------
+
+@query
+def insight_silent_churn(spark, sf_dir):
+    return insights.nps_usage_divergence(risk(spark, sf_dir), min_usage_risk=0.2)
+
+
+@query
+def insight_sdk_cascade(spark, sf_dir):
+    return insights.sdk_deprecation_impact(risk(spark, sf_dir))
+
+
+@query
+def insight_champion(spark, sf_dir):
+    return insights.champion_at_risk(risk(spark, sf_dir))
+
+
+@query
+def insight_contradiction(spark, sf_dir):
+    return insights.score_sentiment_contradictions(risk(spark, sf_dir))
+
+
+@query
+def all_insights(spark, sf_dir):
+    return insights.all_insights(risk(spark, sf_dir)).select(
+        "category", "account_id", "insight_type")
+
+
+@query
+def insight_counts(spark, sf_dir):
+    return insights.insight_counts(risk(spark, sf_dir))
+
+
+@query
+def sdk_distribution(spark, sf_dir):
+    return insights.sdk_distribution(risk(spark, sf_dir))
+
+
+@query
+def nps_buckets(spark, sf_dir):
+    return insights.nps_buckets(risk(spark, sf_dir))
+
+
+@query
+def industry_risk(spark, sf_dir):
+    return insights.industry_risk(risk(spark, sf_dir))
+
+
+@query
+def top15_digest(spark, sf_dir):
+    return insights.top_digest(risk(spark, sf_dir))
+
+
+@query
+def dataset_digest(spark, sf_dir):
+    return insights.dataset_digest(risk(spark, sf_dir))
+
+
+# ---- back-test -------------------------------------------------------------------------------
+
+@query
+def ground_truth(spark, sf_dir):
+    return backtest.ground_truth(risk(spark, sf_dir)).select(
+        "account_id", "expected_high", "expected_low")
+
+
+@query
+def weight_metrics(spark, sf_dir):
+    """The current weights alone."""
+    current = {fixed.CURRENT_CONFIG: fixed.WEIGHT_CONFIGS[fixed.CURRENT_CONFIG]}
+    return backtest.weight_metrics(risk(spark, sf_dir), current)
+
+
+@query
+def weight_sensitivity(spark, sf_dir):
+    return backtest.weight_metrics(risk(spark, sf_dir))
+
+
+@query
+def weight_verdict(spark, sf_dir):
+    return backtest.weight_verdict(backtest.weight_metrics(risk(spark, sf_dir)))
+
+
+# ---- reports ---------------------------------------------------------------------------------
+
+@query
+def report_filter(spark, sf_dir):
+    return report.filter_accounts(
+        risk(spark, sf_dir), ["High", "Medium"], ["Starter", "Scale"], 10_000,
+    ).select("account_id", "risk_tier", "plan_tier", "arr")
+
+
+@query
+def report_tier_counts(spark, sf_dir):
+    return report.tier_counts(risk(spark, sf_dir))
+
+
+@query
+def report_arr_by_tier(spark, sf_dir):
+    return report.arr_by_tier(risk(spark, sf_dir))
+
+
+@query
+def report_risk_map(spark, sf_dir):
+    return report.risk_map(risk(spark, sf_dir))
+
+
+@query
+def report_account(spark, sf_dir):
+    return report.account_detail(risk(spark, sf_dir), "Customer#000000003")
+
+
+@query
+def report_signal_breakdown(spark, sf_dir):
+    return report.signal_breakdown(risk(spark, sf_dir))
+
+
+@query
+def report_heatmap(spark, sf_dir):
+    return report.heatmap(risk(spark, sf_dir))
+
+
+@query
+def report_sdk_tier(spark, sf_dir):
+    return report.counts_by_tier(risk(spark, sf_dir), "sdk_version")
+
+
+@query
+def report_plan_tier(spark, sf_dir):
+    return report.counts_by_tier(risk(spark, sf_dir), "plan_tier")
+
+
+@query
+def report_top20(spark, sf_dir):
+    return report.top_accounts(risk(spark, sf_dir))
+
+
+# ---- annotations and exports -----------------------------------------------------------------
+
+@query
+def annotation_defaults(spark, sf_dir):
+    parsed = annotate.parse_analyses(view(spark, sf_dir, "analyses_v"))
+    return parsed.select(
+        "account_id", "sentiment", "risk_score", "champion_status", "summary",
+        F.array_join("competitor_mentions", "|").alias("competitor_mentions"),
+        F.array_join("key_concerns", "|").alias("key_concerns"),
+        F.array_join("recommended_actions", "|").alias("recommended_actions"))
+
+
+@query
+def nps_translation(spark, sf_dir):
+    d = dataset(spark, sf_dir)
+    return signals.translated_nps(d.nps, d.translations).select(
+        "account_id", "score", "translated_comment", "detected_language")
+
+
+@query
+def nps_annotation_requests(spark, sf_dir):
+    d = dataset(spark, sf_dir)
+    return signals.nps_comments_to_annotate(d.nps, d.translations)
+
+
+@query
+def non_latin_comments(spark, sf_dir):
+    """Comments with characters beyond ASCII; the given texts hold none beyond Latin-1."""
+    return signals.non_latin_comments(view(spark, sf_dir, "nps_v"), max_codepoint=127).select(
+        "account_id", "verbatim_comment")
+
+
+@query
+def batch_annotate(spark, sf_dir):
+    """A deterministic stand-in for a model: labels notes by their number of words."""
+    def label(batch):
+        words = batch["raw_text"].str.split().str.len()
+        return batch[["account_id", "note_idx"]].assign(
+            n_words=words, mood=words.gt(20).map({True: "long", False: "short"}))
+
+    return annotate.batch_annotate(
+        view(spark, sf_dir, "notes_v"), label,
+        "account_id bigint, note_idx bigint, n_words bigint, mood string")
+
+
+@query
+def briefing_payload(spark, sf_dir):
+    columns = ["account_id", "account_name", "contract_end_date", "arr", "sdk_version",
+               "nps_score", "risk_tier", "total_tickets"]
+    return annotate.briefing_payload(risk(spark, sf_dir).select(columns))
+
+
+@query
+def explanations(spark, sf_dir):
+    return annotate.with_explanations(
+        risk(spark, sf_dir), view(spark, sf_dir, "explanations_v"),
+    ).select("account_id", "risk_tier", "risk_explanation")
+
+
+def _explained(spark, sf_dir):
+    return annotate.with_explanations(
+        risk(spark, sf_dir), view(spark, sf_dir, "explanations_v"))
+
+
+@query
+def export_risk_scored(spark, sf_dir):
+    return exports.risk_scored(_explained(spark, sf_dir))
+
+
+@query
+def export_detailed_signals(spark, sf_dir):
+    return exports.detailed_signals(_explained(spark, sf_dir))
+
+
+@query
+def account_briefings(spark, sf_dir):
+    return exports.account_briefings(_explained(spark, sf_dir))
+
+
+@query
+def insights_summary(spark, sf_dir):
+    scored = risk(spark, sf_dir)
+    return insights.insights_export(scored, scoring.risk_summary(scored))

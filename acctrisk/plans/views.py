@@ -107,6 +107,27 @@ VIEWS = {
                    cast(doc_id as varchar(20)), '"], "summary": "Document ',
                    cast(doc_id as varchar(20)), '"}}') end as response_json
         from {labels}""",
+    "explanations_v": """
+        select c_custkey as account_id, concat('Renewal of ', c_name, ' needs attention.')
+               as risk_explanation
+        from {customer} where c_mktsegment <> 'BUILDING'""",
+    # raw relations with defects for the quality checks
+    "registrations_v": """
+        select o_custkey as account_id, o_orderkey as ingest_order,
+               case when o_orderkey % 17 = 0 then null else c_name end as account_name,
+               cast(floor(o_totalprice - 20000) as bigint) as arr,
+               cast(o_orderdate as date) as contract_end_date, c_mktsegment as plan_tier
+        from {orders} join {customer} on o_custkey = c_custkey""",
+    "raw_usage_v": """
+        select account_id, month, api_calls * 100 - 2000 as api_calls, content_entries_created,
+               active_users - 2 as active_users, workflows_triggered - 1 as workflows_triggered,
+               case when api_calls % 50 = 0 then 'beta' when api_calls % 51 = 0 then null
+                    else sdk_version end as sdk_version
+        from {usage_v}""",
+    "raw_nps_v": """
+        select doc_id % 400 as account_id, doc_id as seq, n_chars % 15 - 2 as score,
+               case when doc_id % 9 = 0 then '' else text end as verbatim_comment
+        from {documents}""",
     "notes_v": """
         select conv_id as account_id, turn as note_idx, text as raw_text
         from {conversations}""",
@@ -158,7 +179,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A view as a lazy DataFrame."""
     text = _dialect(VIEWS[name], "spark")
-    inputs = {t: read_table(spark, sf_dir, t) for t in _references(text)}
+    inputs = {
+        t: view(spark, sf_dir, t) if t in VIEWS else read_table(spark, sf_dir, t)
+        for t in _references(text)
+    }
     return spark.sql(text, **inputs)
 
 
