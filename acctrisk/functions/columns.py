@@ -43,3 +43,14 @@ def fill(template: str, *values: Column) -> Column:
 def missing_text(value: Column) -> Column:
     """Empty text as null, so that it can be coalesced."""
     return F.nullif(value, F.lit(""))
+
+
+# ---- the same as SQL text, for long expressions -------------------------------------------------
+
+def sql_rnd(value: str, digits: int) -> str:
+    return f"(rint(({value}) * {10**digits}D) / {10**digits}D)"
+
+
+def sql_text(value: str) -> str:
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from acctrisk import fixed
-from acctrisk.functions.columns import is_true, rnd
+from acctrisk.functions.columns import is_true, rnd, sql_text
 from acctrisk.operators.scoring import SCORE_COLUMNS
 
 # Accounts tied at the cut are split into this many id ranges before any of them is ranked.
@@ -38,21 +38,27 @@ def ground_truth(risk: DataFrame) -> DataFrame:
 
 
 def _scored(risk: DataFrame, configs: Mapping[str, Sequence[float]]) -> DataFrame:
-    """One row per account and configuration, from one pass over the labelled accounts."""
-    options = [
-        F.struct(F.lit(name).alias("config"), *[
-            F.lit(float(w)).alias(c) for c, w in zip(SCORE_COLUMNS, weights, strict=True)])
-        for name, weights in configs.items()
-    ]
+    """One row per account and configuration: account_id, label (1 high, 2 low), score.
+
+    The back-test passes over these rows three times. Every pass reads the same columns of the
+    exchange below, so Spark computes it, and the scored accounts under it, only once.
+    """
+    options = ", ".join(
+        f"named_struct('config', {sql_text(name)}, " + ", ".join(
+            f"'{c}', {float(w)}D" for c, w in zip(SCORE_COLUMNS, weights, strict=True)) + ")"
+        for name, weights in configs.items())
     labelled = ground_truth(risk).select(
-        "account_id", "expected_high", "expected_low", *SCORE_COLUMNS)
-    score = None
-    for column in SCORE_COLUMNS:
-        part = F.col(column) * F.col(f"w.{column}")
-        score = part if score is None else score + part
-    return labelled.withColumn("w", F.explode(F.array(*options))).select(
-        F.col("w.config").alias("config"), "account_id", "expected_high", "expected_low",
-        score.alias("score"))
+        "account_id",
+        F.expr("int(expected_high) + 2 * int(expected_low)").alias("label"),
+        *SCORE_COLUMNS,
+    ).repartition("account_id")
+    score = " + ".join(f"{c} * w.{c}" for c in SCORE_COLUMNS)
+    return labelled.withColumn("w", F.expr(f"explode(array({options}))")).select(
+        "w.config", "account_id", "label", F.expr(score).alias("score"))
+
+
+def _n_high() -> Column:
+    return F.count_if(F.col("label") % 2 == 1)
 
 
 def _high_in_top_k(scored: DataFrame, per_score: DataFrame) -> DataFrame:
@@ -79,7 +85,7 @@ def _high_in_top_k(scored: DataFrame, per_score: DataFrame) -> DataFrame:
         "id_range", F.floor((F.col("account_id") - F.col("lowest_id")) / F.col("width")))
     by_range = Window.partitionBy("config").orderBy("id_range")
     ranges = tied.groupBy("config", "still", "id_range").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if("expected_high").alias("n_high"),
+        F.count(F.lit(1)).alias("n"), _n_high().alias("n_high"),
     ).withColumns({
         "upto": F.sum("n").over(by_range), "high_upto": F.sum("n_high").over(by_range)})
     before = F.col("upto") - F.col("n")
@@ -94,7 +100,7 @@ def _high_in_top_k(scored: DataFrame, per_score: DataFrame) -> DataFrame:
         tied.join(F.broadcast(split), ["config", "id_range"])
         .withColumn("place", place)
         .filter(F.col("place") <= F.col("rest"))
-        .groupBy("config").agg(F.count_if("expected_high").alias("high_partial"))
+        .groupBy("config").agg(_n_high().alias("high_partial"))
     )
     high = (F.col("high_above") + F.coalesce("high_full", F.lit(0))
             + F.coalesce("high_partial", F.lit(0)))
@@ -113,8 +119,8 @@ def weight_metrics(
     scored = _scored(risk, configs or fixed.WEIGHT_CONFIGS)
     per_score = scored.groupBy("config", "score").agg(
         F.count(F.lit(1)).alias("n"),
-        F.count_if("expected_high").alias("n_high"),
-        F.count_if("expected_low").alias("n_low"),
+        _n_high().alias("n_high"),
+        F.count_if(F.col("label") >= 2).alias("n_low"),
         F.min("account_id").alias("lowest_id"),
         F.max("account_id").alias("highest_id"),
     )

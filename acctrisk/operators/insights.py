@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from acctrisk import fixed
 from acctrisk.functions.columns import fill, is_true, percent, whole
-from acctrisk.operators.scoring import AT_RISK, by_risk
+from acctrisk.operators.scoring import AT_RISK, by_risk, summary_columns
 
 CATEGORIES = [
     p[0] for p in (
@@ -42,74 +40,83 @@ def contradiction_condition(columns: list[str]) -> Column:
     return F.col(present[0]) if present else F.lit(False)
 
 
-# ---- one frame per pattern --------------------------------------------------------------------
-
-def _pattern(risk: DataFrame, condition: Column, pattern: tuple, shown: list[str],
-             *values: Column) -> DataFrame:
-    _, kind, template = pattern
+# ---- details ----------------------------------------------------------------------------------
+
+def _details(columns: list[str], shown_chars: int = 100, **limits) -> dict[str, tuple]:
+    """Per category: condition, fixed pattern and detail text."""
+    churn = {k: v for k, v in limits.items() if k in ("min_nps", "min_usage_risk")}
+    quote = F.substring(F.coalesce("nps_comment", F.lit("")), 1, shown_chars)
+    found = {
+        fixed.SILENT_CHURN: (silent_churn_condition(**churn), [
+            whole(F.col("nps_score")), percent(F.col("usage_risk_score"))]),
+        fixed.SDK_CASCADE: (sdk_cascade_condition(limits.get("min_tickets")), [
+            F.col("sdk_version"), _count("total_tickets"), _count("p1_p2_tickets")]),
+        fixed.CHAMPION_RISK: (champion_condition(), [
+            F.col("champion_status"), F.coalesce("csm_summary", F.lit("N/A"))]),
+        fixed.NPS_CONTRADICTION: (contradiction_condition(columns), [_count("nps_score"), quote]),
+    }
+    return {
+        category: (condition, kind, fill(template, *values))
+        for (category, kind, template), (condition, values) in found.items()
+    }
+
+
+def _pattern(risk: DataFrame, pattern: tuple, shown: list[str], **limits) -> DataFrame:
+    condition, kind, detail = _details(risk.columns, **limits)[pattern[0]]
     return risk.filter(condition).select(
         "account_id", "account_name", *shown,
-        F.lit(kind).alias("insight_type"),
-        fill(template, *values).alias("insight_detail"),
-    )
+        F.lit(kind).alias("insight_type"), detail.alias("insight_detail"))
 
 
 def nps_usage_divergence(risk: DataFrame, **limits) -> DataFrame:
     """Satisfied accounts that use the product less and less."""
-    return _pattern(
-        risk, silent_churn_condition(**limits), fixed.SILENT_CHURN,
-        ["nps_score", "usage_risk_score"],
-        whole(F.col("nps_score")), percent(F.col("usage_risk_score")))
+    return _pattern(risk, fixed.SILENT_CHURN, ["nps_score", "usage_risk_score"], **limits)
 
 
 def sdk_deprecation_impact(risk: DataFrame, min_tickets: int | None = None) -> DataFrame:
     """Accounts on a deprecated SDK with their ticket load."""
     return _pattern(
-        risk, sdk_cascade_condition(min_tickets), fixed.SDK_CASCADE,
-        ["sdk_version", "total_tickets", "p1_p2_tickets"],
-        F.col("sdk_version"), _count("total_tickets"), _count("p1_p2_tickets"))
+        risk, fixed.SDK_CASCADE, ["sdk_version", "total_tickets", "p1_p2_tickets"],
+        min_tickets=min_tickets)
 
 
 def champion_at_risk(risk: DataFrame) -> DataFrame:
     """Accounts whose champion is at risk or lost."""
-    return _pattern(
-        risk, champion_condition(), fixed.CHAMPION_RISK,
-        ["champion_status", "csm_summary"],
-        F.col("champion_status"), F.coalesce("csm_summary", F.lit("N/A")))
+    return _pattern(risk, fixed.CHAMPION_RISK, ["champion_status", "csm_summary"])
 
 
 def score_sentiment_contradictions(risk: DataFrame, shown_chars: int = 100) -> DataFrame:
     """Accounts whose survey score contradicts the comment; the text quotes its beginning."""
-    return _pattern(
-        risk, contradiction_condition(risk.columns), fixed.NPS_CONTRADICTION,
-        ["nps_score"],
-        _count("nps_score"),
-        F.substring(F.coalesce("nps_comment", F.lit("")), 1, shown_chars))
+    return _pattern(risk, fixed.NPS_CONTRADICTION, ["nps_score"], shown_chars=shown_chars)
 
 
 def all_insights(risk: DataFrame) -> DataFrame:
-    """The four patterns as one long relation."""
-    common = ["account_id", "account_name", "insight_type", "insight_detail"]
-    frames = [
-        nps_usage_divergence(risk), sdk_deprecation_impact(risk),
-        champion_at_risk(risk), score_sentiment_contradictions(risk),
+    """The four patterns as one long relation, from one pass over the scores."""
+    entries = [
+        F.when(condition, F.struct(
+            F.lit(category).alias("category"), F.lit(kind).alias("insight_type"),
+            detail.alias("insight_detail")))
+        for category, (condition, kind, detail) in _details(risk.columns).items()
     ]
-    return reduce(DataFrame.unionAll, [
-        frame.select(F.lit(category).alias("category"), *common)
-        for category, frame in zip(CATEGORIES, frames, strict=True)
-    ])
+    return risk.select(
+        "account_id", "account_name", F.inline(F.array_compact(F.array(*entries))))
 
 
-def insight_counts(risk: DataFrame) -> DataFrame:
-    """Accounts per pattern, patterns without any included, from one pass over the scores."""
+def count_columns(columns: list[str]) -> list[Column]:
+    """Accounts per pattern as aggregates."""
     conditions = [
         silent_churn_condition(), sdk_cascade_condition(), champion_condition(),
-        contradiction_condition(risk.columns),
+        contradiction_condition(columns),
     ]
-    counted = risk.agg(*[
+    return [
         F.count_if(is_true(condition)).alias(category)
         for category, condition in zip(CATEGORIES, conditions, strict=True)
-    ])
+    ]
+
+
+def insight_counts(risk: DataFrame) -> DataFrame:
+    """Accounts per pattern, patterns without any included, from one pass over the scores."""
+    counted = risk.agg(*count_columns(risk.columns))
     return counted.unpivot([], CATEGORIES, "category", "n_accounts")
 
 
@@ -181,55 +188,70 @@ def top_digest(risk: DataFrame, limit: int = 15) -> DataFrame:
 
 
 def dataset_digest(risk: DataFrame) -> DataFrame:
-    """The dataset summary as ordered lines: sort by section, -weight and text.
+    """The dataset summary as lines: sort by section, -weight and text.
 
-    Lines stay rows, so a long list of versions or industries is never gathered in one place.
+    Totals, versions and industries come from one aggregation over three grouping sets. Lines
+    stay rows, so a long list of versions or industries is never gathered in one place.
     """
-    def lines(df: DataFrame, section: int, weight: Column, text: Column) -> DataFrame:
-        return df.select(
-            F.lit(section).cast("bigint").alias("section"),
-            weight.cast("double").alias("weight"), text.alias("line"))
+    tier, score = F.col("risk_tier"), F.col("nps_score")
+    counted = risk.groupingSets(
+        [[], ["sdk_version"], ["industry"]], "sdk_version", "industry",
+    ).agg(
+        F.grouping_id().alias("set"),
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(_at_risk()).alias("n_at_risk"),
+        F.sum(F.when(_at_risk(), F.col("arr"))).alias("arr"),
+        *[F.count_if(tier == t).alias(t) for t in ("High", "Medium", "Low")],
+        F.count_if(score <= 6).alias("detractors"),
+        F.count_if(score.between(7, 8)).alias("passives"),
+        F.count_if(score >= 9).alias("promoters"),
+    )
+    n = {c: whole(F.col(c)) for c in (
+        "n", "n_at_risk", "High", "Medium", "Low", "detractors", "passives", "promoters")}
 
-    def heading(section: int, text: str) -> DataFrame:
-        return lines(tiers, section, F.lit(0), F.lit(text))
+    def line(section: int, text: Column, weight: Column | None = None) -> Column:
+        return F.struct(
+            F.lit(section).cast("bigint").alias("section"),
+            (F.lit(0.0) if weight is None else weight.cast("double")).alias("weight"),
+            text.alias("line"))
 
-    n = whole
-    tiers = tier_distribution(risk)
-    top = top_digest(risk).withColumn("weight", F.col("composite_risk_score"))
     # Section headings and line layouts
-    return reduce(DataFrame.unionAll, [
-        lines(tiers, 1, F.lit(0), fill("Total accounts analyzed: {}", n(F.col("n_accounts")))),
-        lines(tiers, 2, F.lit(0), fill(
-            "Risk distribution: High={}, Medium={}, Low={}",
-            n(F.col("n_high")), n(F.col("n_medium")), n(F.col("n_low")))),
-        heading(3, "=== TOP 15 AT-RISK ACCOUNTS ==="),
-        lines(top, 4, F.col("weight"), F.col("line")),
-        heading(5, "=== SDK VERSION DISTRIBUTION ==="),
-        lines(sdk_distribution(risk), 6, F.col("n_accounts"), fill(
-            "- {}: {} accounts ({} at-risk)", F.col("sdk_version"),
-            n(F.col("n_accounts")), n(F.col("n_at_risk")))),
-        heading(7, "=== NPS SCORE DISTRIBUTION ==="),
-        lines(nps_buckets(risk), 8, F.lit(0), fill(
-            "Detractors (0-6): {}, Passives (7-8): {}, Promoters (9-10): {}",
-            n(F.col("detractors")), n(F.col("passives")), n(F.col("promoters")))),
-        heading(9, "=== INDUSTRY RISK BREAKDOWN ==="),
-        lines(industry_risk(risk), 10, F.lit(0), fill(
-            "- {}: {} at-risk accounts, total ARR=${}", F.col("industry"),
-            n(F.col("n_at_risk")), _money("total_arr"))),
-    ])
-
-
-def insights_export(risk: DataFrame, summary: DataFrame, model_text: str = "") -> DataFrame:
-    """Summary, free text and pattern counts as one JSON record."""
-    counts = risk.agg(*[
-        F.count_if(is_true(condition)).alias(category)
-        for category, condition in zip(CATEGORIES, [
-            silent_churn_condition(), sdk_cascade_condition(), champion_condition(),
-            contradiction_condition(risk.columns)], strict=True)
-    ])
-    counted = counts.select(F.struct(*CATEGORIES))
-    return summary.select(F.to_json(F.struct(
-        F.struct(*summary.columns).alias("summary"),
+    totals = F.array(
+        line(1, fill("Total accounts analyzed: {}", n["n"])),
+        line(2, fill("Risk distribution: High={}, Medium={}, Low={}",
+                     n["High"], n["Medium"], n["Low"])),
+        line(3, F.lit("=== TOP 15 AT-RISK ACCOUNTS ===")),
+        line(5, F.lit("=== SDK VERSION DISTRIBUTION ===")),
+        line(7, F.lit("=== NPS SCORE DISTRIBUTION ===")),
+        line(8, fill("Detractors (0-6): {}, Passives (7-8): {}, Promoters (9-10): {}",
+                     n["detractors"], n["passives"], n["promoters"])),
+        line(9, F.lit("=== INDUSTRY RISK BREAKDOWN ===")),
+    )
+    version = F.array(line(6, fill(
+        "- {}: {} accounts ({} at-risk)", F.col("sdk_version"), n["n"], n["n_at_risk"]),
+        F.col("n")))
+    industry = F.array(line(10, fill(
+        "- {}: {} at-risk accounts, total ARR=${}", F.col("industry"), n["n_at_risk"],
+        _money("arr"))))
+    # grouping_id: a bit is set for each column that is not part of the row's set
+    lines = (
+        F.when(F.col("set") == 3, totals)
+        .when((F.col("set") == 1) & F.col("sdk_version").isNotNull(), version)
+        .when((F.col("set") == 2) & F.col("industry").isNotNull() & (F.col("n_at_risk") > 0),
+              industry)
+    )
+    top = top_digest(risk).select(
+        F.lit(4).cast("bigint").alias("section"),
+        F.col("composite_risk_score").alias("weight"), "line")
+    return counted.select(F.inline(lines)).unionAll(top)
+
+
+def insights_export(risk: DataFrame, model_text: str = "") -> DataFrame:
+    """Summary, free text and pattern counts as one JSON record, from one aggregation."""
+    summary = summary_columns()
+    counted = risk.agg(*summary.values(), *count_columns(risk.columns))
+    return counted.select(F.to_json(F.struct(
+        F.struct(*summary).alias("summary"),
         F.lit(model_text).alias("model_insights"),
-        counted.scalar().alias("structured_insight_counts"),
+        F.struct(*CATEGORIES).alias("structured_insight_counts"),
     )).alias("report"))

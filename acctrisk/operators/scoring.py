@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from acctrisk import fixed
-from acctrisk.functions.columns import percent, rnd
+from acctrisk.functions.columns import rnd, sql_rnd, sql_text
 from acctrisk.functions.skew import left_join_facts
 from acctrisk.params import DEFAULT, ScoringParams
 
@@ -37,11 +36,13 @@ def merge_signals(
     csm: DataFrame | None = None,
     sdk: DataFrame | None = None,
     engagement: DataFrame | None = None,
+    nps_unique: bool = False,
 ) -> DataFrame:
-    """Left join every signal frame to the accounts and fill missing scores with their default.
+    """Left join every signal frame to the accounts; ``None`` stands for an absent signal.
 
     A column two frames share comes from the earlier one. Every frame holds one row per account
-    except the survey, which may hold many and is therefore joined last, hot accounts apart.
+    except the survey, which may hold any number: it is joined last and keeps its hot accounts
+    apart, unless ``nps_unique`` says that it holds one row per account, too.
     """
     merged, layout, survey = accounts, list(accounts.columns), None
     for frame in (usage, tickets, nps, csm, sdk, engagement):
@@ -49,28 +50,29 @@ def merge_signals(
             continue
         new = [c for c in frame.columns if c not in layout]
         layout += new
-        if frame is nps:
-            survey = nps.select("account_id", *new)
+        part = frame.select("account_id", *new)
+        if frame is nps and not nps_unique:
+            survey = part
         else:
-            merged = merged.join(frame.select("account_id", *new), "account_id", "left")
+            merged = merged.join(part, "account_id", "left")
     if survey is not None:
         merged = left_join_facts(merged, survey, "account_id")
-    return fill_defaults(merged.select(*layout))
+    return merged.select(*layout)
 
 
 def fill_defaults(merged: DataFrame) -> DataFrame:
     """Replace missing scores, or missing score columns, by the signal's default."""
-    for column, _, _, default in fixed.SIGNALS:
-        known = F.col(column) if column in merged.columns else F.lit(None).cast("double")
-        merged = merged.withColumn(column, F.coalesce(known, F.lit(default)))
-    return merged
+    return merged.withColumns({
+        column: F.expr(
+            f"coalesce({column}, {default}D)" if column in merged.columns else f"{default}D")
+        for column, _, _, default in fixed.SIGNALS
+    })
 
 
-def weighted_score(weights: Mapping[str, float] | None = None) -> Column:
-    """The unrounded weighted sum of the six scores."""
+def weighted_score(weights: Mapping[str, float] | None = None) -> str:
+    """The unrounded weighted sum of the six scores, as SQL text."""
     weights = weights or DEFAULT.weights
-    parts = [F.col(column) * F.lit(float(weights[name])) for column, name, _, _ in fixed.SIGNALS]
-    return reduce(lambda a, b: a + b, parts)
+    return " + ".join(f"{column} * {float(weights[name])}D" for column, name, _, _ in fixed.SIGNALS)
 
 
 def risk_tier(score: Column, params: ScoringParams = DEFAULT) -> Column:
@@ -83,32 +85,30 @@ def risk_tier(score: Column, params: ScoringParams = DEFAULT) -> Column:
 
 def top_drivers(limit: int = 3, above: float = 0.3) -> Column:
     """The largest scores above a level as text; ties keep the order of the signals."""
-    ranked = F.sort_array(F.array(*[
-        F.struct((-F.col(column)).alias("k"), F.lit(i).alias("i"), F.lit(label).alias("label"))
-        for i, (column, _, label, _) in enumerate(fixed.SIGNALS)
-    ]))
-    texts = []
-    for place in range(limit):
-        driver = F.get(ranked, F.lit(place))
-        text = F.concat(driver["label"], F.lit(" ("), percent(-driver["k"]), F.lit("%)"))
-        texts.append(F.when(-driver["k"] > above, text))
-    joined = F.concat_ws("; ", *texts)
-    return F.when(joined == "", F.lit(fixed.NO_DRIVERS)).otherwise(joined)
+    entries = ", ".join(
+        f"named_struct('k', -{column}, 'i', {i}, 'label', {sql_text(label)})"
+        for i, (column, _, label, _) in enumerate(fixed.SIGNALS))
+    ranked = f"sort_array(array({entries}))"
+    texts = ", ".join(
+        f"CASE WHEN -{ranked}[{place}].k > {above}D THEN concat({ranked}[{place}].label, ' (', "
+        f"CAST(rint(-{ranked}[{place}].k * 100D) AS BIGINT), '%)') END"
+        for place in range(limit))
+    return F.expr(
+        f"coalesce(nullif(concat_ws('; ', {texts}), ''), {sql_text(fixed.NO_DRIVERS)})")
 
 
 def confidence_level() -> Column:
     """How many signals differ from their default."""
-    real = reduce(lambda a, b: a + b, [
-        F.when(F.abs(F.col(column) - F.lit(default)) > 0.01, 1).otherwise(0)
-        for column, _, _, default in fixed.SIGNALS
-    ])
-    return F.when(real >= 4, F.lit("High")).when(real >= 2, F.lit("Medium")).otherwise(F.lit("Low"))
+    real = " + ".join(
+        f"if(abs({column} - {default}D) > 0.01D, 1, 0)" for column, _, _, default in fixed.SIGNALS)
+    return F.expr(f"CASE WHEN {real} >= 4 THEN 'High' WHEN {real} >= 2 THEN 'Medium' "
+                  "ELSE 'Low' END")
 
 
 def score_merged(merged: DataFrame, params: ScoringParams = DEFAULT) -> DataFrame:
-    """Add composite score, tier, drivers and confidence to merged signals."""
-    scored = merged.withColumn("composite_risk_score", rnd(weighted_score(params.weights), 3))
-    return scored.withColumns({
+    """Fill in defaults and add composite score, tier, drivers and confidence."""
+    score = F.expr(sql_rnd(weighted_score(params.weights), 3))
+    return fill_defaults(merged).withColumn("composite_risk_score", score).withColumns({
         "risk_tier": risk_tier(F.col("composite_risk_score"), params),
         "top_risk_drivers": top_drivers(),
         "confidence_level": confidence_level(),
@@ -124,13 +124,14 @@ def composite_risk(
     sdk: DataFrame | None = None,
     engagement: DataFrame | None = None,
     params: ScoringParams = DEFAULT,
+    nps_unique: bool = False,
 ) -> DataFrame:
     """The scored accounts of the renewal window; ``None`` stands for an absent signal.
 
     The window looks at accounts only, so it is applied before any join.
     """
     in_window = renewal_window(accounts, params)
-    merged = merge_signals(in_window, usage, tickets, nps, csm, sdk, engagement)
+    merged = merge_signals(in_window, usage, tickets, nps, csm, sdk, engagement, nps_unique)
     return score_merged(merged, params)
 
 
@@ -144,8 +145,8 @@ def rank_by_risk(risk: DataFrame) -> DataFrame:
     return risk.orderBy(*by_risk())
 
 
-def risk_summary(risk: DataFrame) -> DataFrame:
-    """Counts per tier, ARR at risk, mean and median score in one aggregation.
+def summary_columns() -> dict[str, Column]:
+    """Counts per tier, ARR at risk, mean and median score as aggregates by name.
 
     Composite scores carry three decimals, so the exact median keeps at most about a thousand
     distinct values per task.
@@ -156,14 +157,20 @@ def risk_summary(risk: DataFrame) -> DataFrame:
         return F.coalesce(F.sum(F.when(tier.isin(tiers), F.col("arr"))), F.lit(0))
 
     # thousandths add up exactly, so the mean does not depend on the order of the rows
-    thousandths = F.rint(score * F.lit(1000.0)).cast("bigint")
-    return risk.agg(
-        F.count(F.lit(1)).alias("total_accounts_analyzed"),
-        F.count_if(tier == "High").alias("high_risk_count"),
-        F.count_if(tier == "Medium").alias("medium_risk_count"),
-        F.count_if(tier == "Low").alias("low_risk_count"),
-        arr_of(AT_RISK).alias("total_arr_at_risk"),
-        arr_of(["High"]).alias("high_risk_arr"),
-        rnd(F.sum(thousandths) / F.count(score) / F.lit(1000.0), 3).alias("avg_risk_score"),
-        rnd(F.percentile(score, F.lit(0.5)), 3).alias("median_risk_score"),
-    )
+    thousandths = F.sum(F.rint(score * F.lit(1000.0)).cast("bigint"))
+    columns = {
+        "total_accounts_analyzed": F.count(F.lit(1)),
+        "high_risk_count": F.count_if(tier == "High"),
+        "medium_risk_count": F.count_if(tier == "Medium"),
+        "low_risk_count": F.count_if(tier == "Low"),
+        "total_arr_at_risk": arr_of(AT_RISK),
+        "high_risk_arr": arr_of(["High"]),
+        "avg_risk_score": rnd(F.try_divide(thousandths, F.count(score)) / F.lit(1000.0), 3),
+        "median_risk_score": rnd(F.percentile(score, F.lit(0.5)), 3),
+    }
+    return {name: column.alias(name) for name, column in columns.items()}
+
+
+def risk_summary(risk: DataFrame) -> DataFrame:
+    """The summary of a scored frame as one row, from one aggregation."""
+    return risk.agg(*summary_columns().values())

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from acctrisk import fixed
-from acctrisk.functions.columns import clip01, is_true, missing_text, rnd
+from acctrisk.functions.columns import clip01, missing_text, rnd, sql_rnd, sql_text
 from acctrisk.params import DEFAULT, ScoringParams
 
 # Sorts after every YYYY-MM text, so rows without a month come last.
@@ -27,7 +25,7 @@ def usage_profile(usage: DataFrame) -> DataFrame:
     row = F.struct(*fixed.USAGE_METRICS, "sdk_version")
     months = (
         usage.filter(F.col("account_id").isNotNull())
-        .groupBy("account_id", F.coalesce("month", F.lit(_NO_MONTH)).alias("month"))
+        .groupBy("account_id", "month")
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.min(row).alias("low"),
@@ -35,8 +33,11 @@ def usage_profile(usage: DataFrame) -> DataFrame:
             F.max("active_users").alias("users"),
             F.max("sdk_version").alias("sdk"),
         )
-        # a month with a single row, the usual case, ships that row once
-        .withColumn("high", F.when(F.col("n") > 1, F.col("high")))
+        .withColumns({
+            "month": F.coalesce("month", F.lit(_NO_MONTH)),
+            # a month with a single row, the usual case, ships that row once
+            "high": F.when(F.col("n") > 1, F.col("high")),
+        })
     )
     history = months.groupBy("account_id").agg(
         F.sum("n").alias("n_rows"),
@@ -72,34 +73,36 @@ def latest_usage(usage: DataFrame) -> DataFrame:
     )
 
 
-def _decline(metric: str) -> Column:
-    """Share of the early level lost by the latest two rows, 0 to 1."""
-    early = (F.col(f"first_row.{metric}") + F.col(f"second_row.{metric}")) / F.lit(2.0)
-    late = (F.col(f"previous_row.{metric}") + F.col(f"last_row.{metric}")) / F.lit(2.0)
-    # an unknown or zero start counts as no decline, an unknown end as a full one
-    lost = F.when(late.isNull(), F.lit(1.0)).otherwise(clip01(-((late - early) / early)))
-    return F.when(is_true(early > 0), lost).otherwise(F.lit(0.0))
+def _decline(metric: str) -> str:
+    """Share of the early level lost by the latest two rows, 0 to 1.
+
+    An unknown or zero start counts as no decline, an unknown end as a full one.
+    """
+    early = f"((first_row.{metric} + second_row.{metric}) / 2D)"
+    late = f"((previous_row.{metric} + last_row.{metric}) / 2D)"
+    return f"""
+        CASE WHEN {early} > 0 THEN
+            CASE WHEN {late} IS NULL THEN 1D
+                 ELSE greatest(0D, least(1D, -(({late} - {early}) / {early}))) END
+        ELSE 0D END"""
 
 
 def usage_columns() -> list[Column]:
     """Usage-trend columns over a usage profile."""
-    enough = F.col("n_rows") >= 3
-    parts = [_decline(m) * F.lit(share) for m, share in fixed.USAGE_METRICS.items()]
-    score = rnd(reduce(lambda a, b: a + b, parts), 3)
-
-    def decline_pct(metric: str) -> Column:
-        return rnd(_decline(metric) * F.lit(-100.0), 1) + F.lit(0.0)
-
-    return [
-        F.when(enough, score)
-        .when(F.col("n_rows").isNotNull(), F.lit(fixed.SPARSE_USAGE_SCORE))
-        .alias("usage_risk_score"),
-        F.when(enough, F.col("last_row.api_calls")).alias("api_calls_latest"),
-        F.when(enough, F.col("last_row.active_users")).alias("active_users_latest"),
-        F.when(enough, decline_pct("api_calls")).alias("api_calls_decline_pct"),
-        F.when(enough, decline_pct("active_users")).alias("active_users_decline_pct"),
-        F.when(enough, F.col("last_row.sdk_version")).alias("sdk_version"),
-    ]
+    score = " + ".join(f"{_decline(m)} * {share}D" for m, share in fixed.USAGE_METRICS.items())
+    api_pct, users_pct = (
+        f"{sql_rnd(_decline(m) + ' * -100D', 1)} + 0D" for m in ("api_calls", "active_users"))
+    columns = {
+        "usage_risk_score":
+            f"CASE WHEN n_rows >= 3 THEN {sql_rnd(score, 3)} "
+            f"WHEN n_rows IS NOT NULL THEN {fixed.SPARSE_USAGE_SCORE}D END",
+        "api_calls_latest": "CASE WHEN n_rows >= 3 THEN last_row.api_calls END",
+        "active_users_latest": "CASE WHEN n_rows >= 3 THEN last_row.active_users END",
+        "api_calls_decline_pct": f"CASE WHEN n_rows >= 3 THEN {api_pct} END",
+        "active_users_decline_pct": f"CASE WHEN n_rows >= 3 THEN {users_pct} END",
+        "sdk_version": "CASE WHEN n_rows >= 3 THEN last_row.sdk_version END",
+    }
+    return [F.expr(text).alias(name) for name, text in columns.items()]
 
 
 def usage_signals(usage: DataFrame) -> DataFrame:
@@ -109,21 +112,21 @@ def usage_signals(usage: DataFrame) -> DataFrame:
 
 # ---- SDK -------------------------------------------------------------------------------------
 
-def sdk_columns(version: Column, present: Column, rules=None) -> list[Column]:
-    """SDK risk and its reasons from a table of version rules."""
-    risk, texts = F.lit(0.0), []
-    for kind, versions, points, text in rules or fixed.SDK_RULES:
+def sdk_columns(version: str, present: str = "true", rules=None) -> list[Column]:
+    """SDK risk and its reasons from a table of version rules; null unless ``present``."""
+    points, texts = ["0D"], []
+    for kind, versions, risk, text in rules or fixed.SDK_RULES:
         if kind == "prefix":
-            hit = reduce(lambda a, b: a | b, [version.startswith(v) for v in versions])
+            hit = " OR ".join(f"startswith({version}, {sql_text(v)})" for v in versions)
         else:
-            hit = version.isin(versions)
-        risk = risk + F.when(hit, F.lit(points)).otherwise(F.lit(0.0))
-        before, *after = text.split("{v}")
-        message = F.concat(F.lit(before), version, F.lit(after[0])) if after else F.lit(text)
-        texts.append(F.when(hit, message))
+            hit = f"{version} IN ({', '.join(sql_text(v) for v in versions)})"
+        points.append(f"CASE WHEN {hit} THEN {risk}D ELSE 0D END")
+        texts.append(f"CASE WHEN {hit} THEN replace({sql_text(text)}, '{{v}}', {version}) END")
+    total = f"least(1D, {' + '.join(points)})"
     return [
-        F.when(present, rnd(F.least(F.lit(1.0), risk), 3)).alias("sdk_risk_score"),
-        F.when(present, F.concat_ws("; ", *texts)).alias("sdk_risk_factors"),
+        F.expr(f"CASE WHEN {present} THEN {sql_rnd(total, 3)} END").alias("sdk_risk_score"),
+        F.expr(f"CASE WHEN {present} THEN concat_ws('; ', {', '.join(texts)}) END")
+        .alias("sdk_risk_factors"),
     ]
 
 
@@ -140,30 +143,30 @@ def sdk_risk(usage: DataFrame, rules=None) -> DataFrame:
             F.struct(F.coalesce("month", F.lit(_NO_MONTH)), "sdk_version"),
         ))["sdk_version"].alias("sdk_version"))
     )
-    risk, factors = sdk_columns(F.col("sdk_version"), F.lit(True), rules)
+    risk, factors = sdk_columns("sdk_version", rules=rules)
     return known.select("account_id", risk, "sdk_version", factors)
 
 
 # ---- engagement ------------------------------------------------------------------------------
 
-def engagement_columns(users: Column, tier: Column, arr: Column, present: Column) -> list[Column]:
-    """Active users against what the plan tier should have."""
-    expected = F.lit(None).cast("bigint")
-    for name, count in fixed.EXPECTED_USERS.items():
-        expected = F.when(tier == name, F.lit(count).cast("bigint")).otherwise(expected)
-    expected = F.coalesce(expected, F.lit(fixed.EXPECTED_USERS_OTHER).cast("bigint"))
-    ratio = users.cast("double") / expected.cast("double")
-    risk = F.lit(fixed.ENGAGEMENT_FULL)
-    for below, value in reversed(fixed.ENGAGEMENT_STEPS):
-        risk = F.when(ratio < below, F.lit(value)).otherwise(risk)
-    per_user = arr.cast("double") / F.greatest(users, F.lit(1)).cast("double")
-    per_user = F.when(users.isNotNull(), per_user)
+def engagement_columns(users: str, present: str = "true") -> list[Column]:
+    """Active users against what the plan tier should have; null unless ``present``."""
+    tiers = " ".join(f"WHEN {sql_text(t)} THEN {n}L" for t, n in fixed.EXPECTED_USERS.items())
+    expected = f"(CASE plan_tier {tiers} ELSE {fixed.EXPECTED_USERS_OTHER}L END)"
+    ratio = f"(CAST({users} AS DOUBLE) / CAST({expected} AS DOUBLE))"
+    steps = " ".join(f"WHEN {ratio} < {top}D THEN {risk}D" for top, risk in fixed.ENGAGEMENT_STEPS)
+    # greatest() would skip an unknown number of users
+    per_user = f"CAST(arr AS DOUBLE) / CAST(if({users} < 1, 1, {users}) AS DOUBLE)"
+    columns = {
+        "engagement_risk_score": sql_rnd(f"CASE {steps} ELSE {fixed.ENGAGEMENT_FULL}D END", 3),
+        "active_users": users,
+        "expected_users": expected,
+        "engagement_ratio": sql_rnd(ratio, 2),
+        "arr_per_active_user": sql_rnd(per_user, 0),
+    }
     return [
-        F.when(present, rnd(risk, 3)).alias("engagement_risk_score"),
-        F.when(present, users).alias("active_users"),
-        F.when(present, expected).alias("expected_users"),
-        F.when(present, rnd(ratio, 2)).alias("engagement_ratio"),
-        F.when(present, rnd(per_user, 0)).alias("arr_per_active_user"),
+        F.expr(f"CASE WHEN {present} THEN {text} END").alias(name)
+        for name, text in columns.items()
     ]
 
 
@@ -178,10 +181,7 @@ def engagement_signals(usage: DataFrame, accounts: DataFrame) -> DataFrame:
         ))["active_users"].alias("users"))
     )
     joined = known.join(accounts.select("account_id", "plan_tier", "arr"), "account_id", "left")
-    return joined.select(
-        "account_id",
-        *engagement_columns(F.col("users"), F.col("plan_tier"), F.col("arr"), F.lit(True)),
-    )
+    return joined.select("account_id", *engagement_columns("users"))
 
 
 # ---- tickets ---------------------------------------------------------------------------------

@@ -26,37 +26,34 @@ class Dataset:
     analyses: DataFrame | None = None
     translations: DataFrame | None = None
     sentiments: DataFrame | None = None
-
-
-def usage_family(usage: DataFrame, accounts: DataFrame) -> DataFrame:
-    """Usage, SDK and engagement signals from one pass over the usage table."""
-    profile = signals.usage_profile(usage)
-    plans = accounts.select("account_id", "plan_tier", "arr")
-    present = F.col("n_rows").isNotNull()
-    return profile.join(plans, "account_id", "inner").select(
-        "account_id",
-        *signals.usage_columns(),
-        *signals.sdk_columns(F.col("known_sdk"), present),
-        *signals.engagement_columns(
-            F.col("known_users"), F.col("plan_tier"), F.col("arr"), present),
-    )
+    # whether the survey is known to hold at most one row per account
+    nps_unique: bool = False
 
 
 def score_dataset(data: Dataset, params: ScoringParams = DEFAULT) -> DataFrame:
-    """Scored accounts of the renewal window, each fact table read once."""
-    usage = data.usage
+    """Scored accounts of the renewal window, each fact table read once.
+
+    Usage, SDK and engagement come from one usage profile; engagement needs the plan and ARR,
+    which the accounts bring along, so no second join with them.
+    """
+    accounts = scoring.renewal_window(data.accounts, params)
+    usage = tickets = nps = csm = None
+    if data.usage is not None:
+        usage = signals.usage_profile(data.usage).select(
+            "account_id", *signals.usage_columns(),
+            *signals.sdk_columns("known_sdk"), "known_users", F.lit(True).alias("has_usage"))
+    if data.tickets is not None:
+        tickets = signals.ticket_signals(data.tickets, params)
+    if data.nps is not None:
+        nps = signals.nps_signals(data.nps, data.translations, data.sentiments)
+    if data.analyses is not None:
+        csm = signals.csm_signals(annotate.account_analyses(data.analyses))
+    merged = scoring.merge_signals(
+        accounts, usage, tickets, nps, csm, nps_unique=data.nps_unique)
     if usage is not None:
-        usage = usage_family(usage, scoring.renewal_window(data.accounts, params))
-    tickets = data.tickets
-    if tickets is not None:
-        tickets = signals.ticket_signals(tickets, params)
-    nps = data.nps
-    if nps is not None:
-        nps = signals.nps_signals(nps, data.translations, data.sentiments)
-    csm = data.analyses
-    if csm is not None:
-        csm = signals.csm_signals(annotate.account_analyses(csm))
-    return scoring.composite_risk(data.accounts, usage, tickets, nps, csm, params=params)
+        kept = [c for c in merged.columns if c not in ("known_users", "has_usage")]
+        merged = merged.select(*kept, *signals.engagement_columns("known_users", "has_usage"))
+    return scoring.score_merged(merged, params)
 
 
 def clean_dataset(data: Dataset) -> Dataset:
@@ -69,4 +66,5 @@ def clean_dataset(data: Dataset) -> Dataset:
         analyses=data.analyses,
         translations=data.translations,
         sentiments=data.sentiments,
+        nps_unique=data.nps_unique,
     )

@@ -32,6 +32,7 @@ def dataset(spark: SparkSession, sf_dir: str) -> pipeline.Dataset:
         analyses=view(spark, sf_dir, "analyses_v"),
         translations=view(spark, sf_dir, "translations_v"),
         sentiments=view(spark, sf_dir, "sentiments_v"),
+        nps_unique=True,  # documents carry unique ids
     )
 
 
@@ -92,8 +93,9 @@ def merged_signals(spark, sf_dir):
         signals.csm_signals(annotate.account_analyses(d.analyses)),
         signals.sdk_risk(d.usage),
         signals.engagement_signals(d.usage, d.accounts),
+        nps_unique=d.nps_unique,
     )
-    return scoring.with_days(merged, PARAMS)
+    return scoring.with_days(scoring.fill_defaults(merged), PARAMS)
 
 
 @query
@@ -438,5 +440,4 @@ def account_briefings(spark, sf_dir):
 
 @query
 def insights_summary(spark, sf_dir):
-    scored = risk(spark, sf_dir)
-    return insights.insights_export(scored, scoring.risk_summary(scored))
+    return insights.insights_export(risk(spark, sf_dir))
