@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from acctrisk import fixed
 from acctrisk.functions.columns import is_true, rnd, sql_text
-from acctrisk.operators.scoring import SCORE_COLUMNS
+from acctrisk.functions.lineage import materialise
+from acctrisk.operators.scoring import SCORE_COLUMNS, fill_defaults
 
 # Accounts tied at the cut are split into this many id ranges before any of them is ranked.
 TIE_RANGES = 4096
@@ -40,18 +41,18 @@ def ground_truth(risk: DataFrame) -> DataFrame:
 def _scored(risk: DataFrame, configs: Mapping[str, Sequence[float]]) -> DataFrame:
     """One row per account and configuration: account_id, label (1 high, 2 low), score.
 
-    The back-test passes over these rows three times. Every pass reads the same columns of the
-    exchange below, so Spark computes it, and the scored accounts under it, only once.
+    The back-test passes over these rows several times, so the labelled accounts, nine narrow
+    columns, are materialised first: the scoring below them runs once.
     """
     options = ", ".join(
         f"named_struct('config', {sql_text(name)}, " + ", ".join(
             f"'{c}', {float(w)}D" for c, w in zip(SCORE_COLUMNS, weights, strict=True)) + ")"
         for name, weights in configs.items())
-    labelled = ground_truth(risk).select(
+    labelled = materialise(ground_truth(fill_defaults(risk)).select(
         "account_id",
         F.expr("int(expected_high) + 2 * int(expected_low)").alias("label"),
         *SCORE_COLUMNS,
-    ).repartition("account_id")
+    ))
     score = " + ".join(f"{c} * w.{c}" for c in SCORE_COLUMNS)
     return labelled.withColumn("w", F.expr(f"explode(array({options}))")).select(
         "w.config", "account_id", "label", F.expr(score).alias("score"))
