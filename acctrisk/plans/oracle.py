@@ -579,7 +579,191 @@ INSIGHTS_REPORT = f"""
         ("structured_insight_counts", _json_pairs(*_CATEGORY_COUNTS)))} as report
     from ({SUMMARY}) as s"""
 
+# ---- notes and names -------------------------------------------------------------------------
+
+_TRIMMED = "regexp_replace(regexp_replace({}, '^[\\s]+', ''), '[\\s]+$', '')"
+
+
+def trimmed(text: str) -> str:
+    return _TRIMMED.replace("{}", text)
+
+
+def _split_notes(block: str) -> str:
+    """Notes of the part files; ``block`` is what becomes of a trimmed block b."""
+    return f"""
+        select file_no, row_number() over (partition by file_no order by place) as note_idx,
+               b as raw_text
+        from (select file_no, place, {block} as b
+              from (select file_no, generate_subscripts(parts, 1) as place,
+                           {trimmed("unnest(parts)")} as b
+                    from (select file_no, string_split_regex(value, '\\n---+\\n') as parts
+                          from {{part_files_v}}) as s) as t) as u
+        where b <> '' and not starts_with(b, '=== CSM')"""
+
+
+_KEEP = trimmed(
+    "case when starts_with(b, '=== CSM') then "
+    "regexp_replace(b, '^=== CSM[^\\n]*(\\n[^\\n]+)*(\\n\\s*\\n|$)', '') else b end")
+
+NOTE_IDS = f"""
+    select note_idx, try_cast(nullif(regexp_extract(
+               raw_text, {lit(braces(fixed.NOTE_ID_PATTERN))}, 1), '') as bigint) as account_id
+    from {{part_notes_v}}"""
+
+
+def _note_name(pattern: str) -> str:
+    name = trimmed(f"regexp_extract(line, {lit(braces('(?i)' + pattern))}, 1)")
+    for tail in (r"[.]+$", r"\s*\(sic\).*", r"(?i)\s+call\b.*"):
+        name = f"regexp_replace({name}, {lit(tail)}, '')"
+    return f"case when length({name}) > 3 then {name} end"
+
+
+NOTE_NAMES = f"""
+    select note_idx,
+           coalesce({", ".join(_note_name(p) for p in fixed.NOTE_NAME_PATTERNS)}, '')
+               as account_name
+    from (select note_idx, string_split(raw_text, chr(10))[1] as line from {{part_notes_v}}) as n"""
+
+FOUND_NOTES = """
+    select note_idx, raw_text, account_id, account_name
+    from {part_notes_v} join {note_ids} using (note_idx) join {note_names} using (note_idx)"""
+
+_MONTHS = "January|February|March|April|May|June|July|August|September|October|November|December"
+_AFFECTED = "list_transform(regexp_extract_all({t}, '{p}', 1), lambda v: 'v' || v)"
+
+
+def _flagged(marks: str) -> str:
+    """Trimmed texts after one of the marks, as a list."""
+    return (f"list_transform(regexp_extract_all(body, '[{marks}]\\s*(.+?)(?:\\n|$)', 1), "
+            f"lambda t: {trimmed('t')})")
+
+
+def _versions(prefix: str) -> str:
+    pattern = prefix + r"(\d+\.\w+(?:\.\w+)?)"
+    return (f"array_to_string(list_transform(regexp_extract_all(t, {lit(pattern)}, 1), "
+            "lambda v: 'v' || v), '|')")
+
+
+_CHANGELOG_ENTRIES = f"""list_concat(
+    list_transform({_flagged("⚠️🔴")}, lambda t: {{{{
+        'category': case when lower(t) like '%deprecat%' or lower(t) like '%sunset%'
+                         then 'deprecation' else 'breaking_change' end,
+        'description': t, 'affected_versions': {_versions("(?:SDK|v)")},
+        'deadline': regexp_extract(t, '(?i)(?:before|by|after|until)\\s+((?:{_MONTHS})'
+                    || '\\s+\\d+,?\\s*\\d{{{{4}}}})', 1)}}}}),
+    list_transform(list_transform(
+        regexp_extract_all(body, '(?:Patched|Fixed|CVE).*?(?:CVE-[\\d-]+).*?(?:\\n|$)'),
+        lambda t: {trimmed("t")}), lambda t: {{{{
+        'category': 'security', 'description': t, 'affected_versions': '', 'deadline': ''}}}}),
+    list_transform(list_filter({_flagged("🔴")}, lambda t: lower(t) like '%breaking%'
+                               or lower(t) like '%changes the response%'), lambda t: {{{{
+        'category': 'breaking_change', 'description': t, 'affected_versions': {_versions("v")},
+        'deadline': ''}}}}))"""
+
+CHANGELOG = f"""
+    select file_no, release_no, entry_no - 1 as entry_no, version, date, e.category,
+           e.description, e.affected_versions, e.deadline
+    from (select file_no, release_no, version, date, unnest(entries) as e,
+                 generate_subscripts(entries, 1) as entry_no
+          from (select file_no, release_no, version, date, {_CHANGELOG_ENTRIES} as entries
+                from (select file_no, release_no,
+                             'v' || regexp_extract(part, '^([\\d.]+)', 1) as version,
+                             regexp_extract(part, '^[\\d.]+\\s*[-—–]\\s*([^\\n]+)', 1) as date,
+                             substr(part, position(chr(10) in part)) as body
+                      from (select file_no, unnest(parts[2:]) as part,
+                                   generate_subscripts(parts[2:], 1) as release_no
+                            from (select file_no, string_split(value, '### v') as parts
+                                  from {{part_changelogs_v}}) as s) as p) as r) as l) as x"""
+
+
+def _entities(external: str) -> str:
+    return f"""
+        select n.note_idx, raw_text, coalesce(x.account_id, n.account_id) as account_id,
+               coalesce(nullif(x.account_name, ''), n.account_name) as account_name,
+               coalesce(x.date_str, '') as date_str, coalesce(x.csm_name, '') as csm_name
+        from {{found_notes}} as n left join {external} as x on x.note_idx = n.note_idx"""
+
+
+NAME_LOOKUP = """
+    select lower(account_name) as name_key, max(account_id) as account_id,
+           arg_max(account_name, account_id) as account_name,
+           arg_min(account_name, account_id) as first_name, min(account_id) as first_order
+    from {part_accounts_v} group by 1"""
+
+# Longest common subsequence by one pass over the characters of a, keeping the row of lengths
+# for the prefixes of b: each new row is the running maximum of its candidates.
+_LCS = """list_reduce(list_prepend(list_transform(range(length(b) + 1), lambda z: 0::bigint),
+        list_transform(string_split(a, ''), lambda c: [ascii(c)::bigint])),
+    lambda old, c: list_prepend(0::bigint, list_transform(range(1, length(b) + 1), lambda j:
+        list_max(list_transform(range(1, j + 1), lambda i: greatest(old[i + 1],
+            case when ascii(b[i]) = c[1] then old[i] + 1 else 0 end))))))[-1]"""
+
+
+def _sorted_words(name: str) -> str:
+    return (f"array_to_string(list_sort(list_filter(string_split_regex(lower({name}), '\\s+'), "
+            "lambda w: w <> '')), ' ')")
+
+
+def _fuzzy(queries: str) -> str:
+    return f"""
+        select query, account_name as match_name, account_id, score
+        from (select *, row_number() over (partition by query order by score desc, account_id)
+                        as rn
+              from (select query, account_name, account_id,
+                           200::double * {_LCS} / (length(a) + length(b)) as score
+                    from (select query, account_name, account_id, {_sorted_words("query")} as a,
+                                 {_sorted_words("account_name")} as b
+                          from {queries} as q, {{named_accounts_v}} as n
+                          where length(query) >= 3) as p) as s) as r
+        where rn = 1 and score >= 65"""
+
+
+TIERS_1_2 = """
+    select n.note_idx, n.raw_text, n.account_id as own_id, n.account_name as own_name,
+           i.account_id as by_id, i.account_name as id_name, e.account_id as exact_id,
+           e.account_name as exact_name, m.account_id as ext_id, m.account_name as ext_name
+    from {found_notes} as n left join {named_accounts_v} as i on i.account_id = n.account_id
+         left join {named_accounts_v} as e on lower(e.account_name) = lower(n.account_name)
+         left join (select input_name, account_id, account_name
+                    from (select *, row_number() over (partition by input_name
+                                    order by confidence, account_id) as rn
+                          from {name_matches_v} join {named_accounts_v}
+                               on account_id = matched_id
+                          where confidence in ('high', 'medium')) as v where rn = 1) as m
+              on m.input_name = n.account_name"""
+OPEN_NAMES = """
+    select distinct own_name as query from {tiers_1_2}
+    where by_id is null and exact_id is null and ext_id is null and own_name <> ''"""
+RECONCILED = """
+    select note_idx, raw_text,
+           coalesce(by_id, exact_id, ext_id, f.account_id, own_id) as account_id,
+           case when by_id is not null then id_name when exact_id is not null then exact_name
+                when ext_id is not null then ext_name
+                else coalesce(f.match_name, own_name) end as account_name,
+           case when by_id is not null then 'id' when exact_id is not null then 'exact'
+                when ext_id is not null then 'external' when f.account_id is not null then 'fuzzy'
+                else 'none' end as match_method
+    from {tiers_1_2} left join {fuzzy_open} as f on f.query = own_name"""
+
+
+def _by_account(notes: str, accounts: str) -> str:
+    return f"""
+        select t.account_id, coalesce(a.account_name, 'Account ' || t.account_id) as account_name,
+               0::bigint as segment, n_notes, notes_text
+        from (select account_id, count(*) as n_notes,
+                     string_agg(raw_text, chr(10) || chr(10) order by note_idx) as notes_text
+              from {notes} where account_id is not null group by account_id) as t
+             left join {accounts} as a on a.account_id = t.account_id"""
+
+
 RELATIONS = {
+    "note_ids": NOTE_IDS,
+    "note_names": NOTE_NAMES,
+    "found_notes": FOUND_NOTES,
+    "tiers_1_2": TIERS_1_2,
+    "open_names": OPEN_NAMES,
+    "fuzzy_open": _fuzzy("{open_names}"),
+    "reconciled": RECONCILED,
     "usage_sig": USAGE_SIG,
     "latest_usage": LATEST_USAGE,
     "sdk_sig": SDK_SIG,
@@ -614,6 +798,34 @@ RELATIONS = {
 }
 
 QUERIES = {
+    "load_accounts": "select * from {accounts_v}",
+    "load_usage": "select * from {raw_usage_v}",
+    "load_tickets": """
+        select ticket_id::varchar as ticket_id, * exclude (ticket_id) from {tickets_v}""",
+    "load_nps": "select account_id, score, verbatim_comment from {raw_nps_v}",
+    "split_notes": _split_notes("b"),
+    "split_notes_keep_banner_note": _split_notes(_KEEP),
+    "note_account_id": "select * from {note_ids}",
+    "note_account_name": "select * from {note_names}",
+    "parse_changelog": CHANGELOG,
+    "note_entities": _entities("{note_external_v}"),
+    "note_entities_unaligned": """
+        select *, '' as date_str, '' as csm_name from {found_notes}""",
+    "name_lookup": NAME_LOOKUP,
+    "fuzzy_match": _fuzzy("{misspelt_v}"),
+    "reconcile_notes": "select * from {reconciled}",
+    "reconcile_by_id": """
+        select note_idx, account_id, account_name from {reconciled} where match_method = 'id'""",
+    "reconcile_exact": """
+        select note_idx, account_id, account_name from {reconciled} where match_method = 'exact'""",
+    "reconcile_annotated": """
+        select note_idx, account_id, account_name from {reconciled}
+        where match_method = 'external'""",
+    "reconcile_rate": """
+        select count(account_id) as n_matched, count(*) as n_notes,
+               count(account_id)::double / count(*) as match_rate from {reconciled}""",
+    "notes_by_account": _by_account("{notes_v}", "{accounts_v}"),
+    "reconciled_notes_by_account": _by_account("{reconciled}", "{named_accounts_v}"),
     "usage_signals": "select * from {usage_sig}",
     "latest_usage": "select * from {latest_usage}",
     "sdk_risk": "select * from {sdk_sig}",

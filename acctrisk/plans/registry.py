@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acctrisk import fixed
-from acctrisk.operators import annotate, backtest, insights, quality, report, scoring, signals
-from acctrisk.sources import exports
+from acctrisk.functions.lineage import shared_folder
+from acctrisk.operators import (
+    annotate, backtest, insights, notes, quality, reconcile, report, scoring, signals,
+)
+from acctrisk.sources import exports, files
 from acctrisk.plans import pipeline
 from acctrisk.plans.views import PARAMS, view
 
@@ -40,6 +44,141 @@ def risk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pipeline.score_dataset(dataset(spark, sf_dir), PARAMS)
 
 
+# ---- sources ---------------------------------------------------------------------------------
+
+def _as_csv(spark, df) -> str:
+    """Write a view as CSV into the shared folder, to be read by a loader."""
+    path = f"{shared_folder(spark)}/csv-{uuid.uuid4().hex}"
+    exports.write_csv(df, path)
+    return path
+
+
+@query
+def load_accounts(spark, sf_dir):
+    return files.load_accounts(spark, _as_csv(spark, view(spark, sf_dir, "accounts_v")))
+
+
+@query
+def load_usage(spark, sf_dir):
+    return files.load_usage_metrics(spark, _as_csv(spark, view(spark, sf_dir, "raw_usage_v")))
+
+
+@query
+def load_tickets(spark, sf_dir):
+    """Unresolved tickets have a resolution time that is no number."""
+    tickets = view(spark, sf_dir, "tickets_v")
+    text = F.coalesce(F.col("resolution_time_hours").cast("string"), F.lit("n/a"))
+    path = _as_csv(spark, tickets.withColumn("resolution_time_hours", text))
+    return files.load_support_tickets(spark, path)
+
+
+@query
+def load_nps(spark, sf_dir):
+    nps = view(spark, sf_dir, "raw_nps_v").select("account_id", "score", "verbatim_comment")
+    return files.load_nps_responses(spark, _as_csv(spark, nps))
+
+
+# ---- notes and names -------------------------------------------------------------------------
+
+@query
+def split_notes(spark, sf_dir):
+    return notes.split_notes(view(spark, sf_dir, "part_files_v"))
+
+
+@query
+def split_notes_keep_banner_note(spark, sf_dir):
+    return notes.split_notes(view(spark, sf_dir, "part_files_v"), strip_banner=True)
+
+
+@query
+def note_account_id(spark, sf_dir):
+    return view(spark, sf_dir, "part_notes_v").select(
+        "note_idx", notes.note_account_id(F.col("raw_text")).alias("account_id"))
+
+
+@query
+def note_account_name(spark, sf_dir):
+    return view(spark, sf_dir, "part_notes_v").select(
+        "note_idx", notes.note_account_name(F.col("raw_text")).alias("account_name"))
+
+
+@query
+def parse_changelog(spark, sf_dir):
+    parsed = notes.parse_changelog(view(spark, sf_dir, "part_changelogs_v"))
+    return parsed.withColumn("affected_versions", F.array_join("affected_versions", "|"))
+
+
+@query
+def note_entities(spark, sf_dir):
+    found = notes.extract_entities(view(spark, sf_dir, "part_notes_v"))
+    return annotate.note_entities(found, view(spark, sf_dir, "note_external_v"))
+
+
+@query
+def note_entities_unaligned(spark, sf_dir):
+    """External entities that miss some notes are ignored as a whole."""
+    found = notes.extract_entities(view(spark, sf_dir, "part_notes_v"))
+    external = view(spark, sf_dir, "note_external_v").filter("csm_name <> ''")
+    return annotate.note_entities(found, external)
+
+
+@query
+def name_lookup(spark, sf_dir):
+    return reconcile.name_lookup(view(spark, sf_dir, "part_accounts_v"))
+
+
+@query
+def fuzzy_match(spark, sf_dir):
+    lookup = reconcile.name_lookup(view(spark, sf_dir, "named_accounts_v"))
+    return reconcile.fuzzy_match(view(spark, sf_dir, "misspelt_v"), lookup)
+
+
+def _reconciled(spark, sf_dir):
+    found = notes.extract_entities(view(spark, sf_dir, "part_notes_v"))
+    return reconcile.reconcile(
+        found, view(spark, sf_dir, "named_accounts_v"), view(spark, sf_dir, "name_matches_v"))
+
+
+@query
+def reconcile_notes(spark, sf_dir):
+    return _reconciled(spark, sf_dir)
+
+
+@query
+def reconcile_by_id(spark, sf_dir):
+    return _reconciled(spark, sf_dir).filter("match_method = 'id'").select(
+        "note_idx", "account_id", "account_name")
+
+
+@query
+def reconcile_exact(spark, sf_dir):
+    return _reconciled(spark, sf_dir).filter("match_method = 'exact'").select(
+        "note_idx", "account_id", "account_name")
+
+
+@query
+def reconcile_annotated(spark, sf_dir):
+    return _reconciled(spark, sf_dir).filter("match_method = 'external'").select(
+        "note_idx", "account_id", "account_name")
+
+
+@query
+def reconcile_rate(spark, sf_dir):
+    return reconcile.match_rate(_reconciled(spark, sf_dir))
+
+
+@query
+def notes_by_account(spark, sf_dir):
+    return reconcile.notes_by_account(
+        view(spark, sf_dir, "notes_v"), view(spark, sf_dir, "accounts_v"))
+
+
+@query
+def reconciled_notes_by_account(spark, sf_dir):
+    return reconcile.notes_by_account(
+        _reconciled(spark, sf_dir), view(spark, sf_dir, "named_accounts_v"))
+
+
 # ---- signals ---------------------------------------------------------------------------------
 
 @query

@@ -136,6 +136,11 @@ VIEWS = {
     "named_accounts_v": """
         select 1000 + min(p_partkey) as account_id, p_name as account_name
         from {part} group by p_name""",
+    # accounts with repeated names in several spellings
+    "part_accounts_v": """
+        select p_partkey as account_id,
+               case when p_partkey % 2 = 0 then upper(p_name) else p_name end as account_name
+        from {part}""",
     # one free-text note per part, naming an account by id, by name, by a misspelt name or not
     "part_notes_v": """
         select p_partkey as note_idx, concat(
@@ -152,6 +157,48 @@ VIEWS = {
                <NL>, 'They run ', p_type, ' in size ', cast(p_size as varchar(9)), '.')
                as raw_text
         from {part}""",
+    # text files of several notes under a banner, with separators of several lengths
+    "part_files_v": """
+        select p_partkey as file_no, concat('=== CSM Call Notes', <NL>, '(internal)', <NL>, <NL>,
+               'Mar 12 - ', p_name, <NL>, <NL>, '---', <NL>, <NL>, '4/5 ', p_name, ' (#12', <NL>,
+               'second line', <NL>, '-----', <NL>, '   ', <NL>, '---', <NL>,
+               '-- two dashes stay', <NL>, p_type, <NL>, '---', <NL>, <NL>, 'last ', p_brand,
+               <NL>) as value
+        from {part}""",
+    # a changelog of two releases per part
+    "part_changelogs_v": """
+        select p_partkey as file_no, concat('# Changelog', <NL>, <NL>, '### v4.',
+               cast(p_size % 10 as varchar(9)), '.', cast(p_partkey % 7 as varchar(9)),
+               ' — May ', cast(1 + p_size % 28 as varchar(9)), ', 2001', <NL>,
+               '**Deprecations**', <NL>,
+               case p_partkey % 4
+                   when 0 then '- ⚠️ SDK v3.x will stop after April 30, 2002. Upgrade to v4.2.3.'
+                   when 1 then concat('- 🔴 SDK v4.2.0+ changes the response envelope of ', p_name)
+                   when 2 then concat('- 🔴 ', p_name, ' API sunset moved until June 1 2003')
+                   else concat('- plain line about ', p_name) end, <NL>,
+               '- Fixed: hole in ', p_type, ' (CVE-2001-', cast(p_partkey as varchar(20)),
+               '). Update.', <NL>, '---', <NL>, '### Upcoming — v9.9.9', <NL>,
+               '- 🔴 This BREAKING line still belongs to the release above', <NL>,
+               '### v5.0.', cast(p_size as varchar(9)), ' - soon', <NL>, '- 🔴 ', p_brand,
+               ' breaking later', <NL>) as value
+        from {part}""",
+    # names with a missing character, swapped words or another case
+    "misspelt_v": """
+        select distinct case p_partkey % 3
+                   when 0 then concat(substr(p_name, position(' ' in p_name) + 1, 40), ' ',
+                                      substr(p_name, 2, position(' ' in p_name) - 2))
+                   when 1 then upper(p_name)
+                   else concat(substr(p_name, 1, 3), substr(p_name, 5, 40)) end as query
+        from {part}""",
+    # entities of every note from elsewhere, partly blank
+    "note_external_v": """
+        select p_partkey as note_idx,
+               case when p_partkey % 5 = 0 then 1000 + p_partkey end as account_id,
+               case p_partkey % 4 when 0 then '' when 1 then concat('The ', p_name) end
+                   as account_name,
+               case when p_partkey % 3 = 0 then 'Mar 12' end as date_str,
+               case when p_partkey % 2 = 0 then 'James O.' else '' end as csm_name
+        from {part}""",
     # external name matches for some of the names the notes use
     "name_matches_v": """
         select distinct lower(substr(p_name, 2, 40)) as input_name,

@@ -27,7 +27,9 @@ def account_briefings(risk: DataFrame) -> DataFrame:
 
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV part files with a header, one per partition; nothing passes through the driver."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    options = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False,
+               "ignoreTrailingWhiteSpace": False}
+    df.write.mode("overwrite").options(**options).csv(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:
