@@ -7,7 +7,7 @@ import sys
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
@@ -62,66 +62,65 @@ def similarity(lcs: Column, left: Column, right: Column) -> Column:
 
 # ---- candidates -------------------------------------------------------------------------------
 
-def _with_tokens(names: DataFrame) -> DataFrame:
-    """Explode a name into its characters, each numbered by occurrence: a1, b1, a2, ..."""
-    chars = F.split("sorted", "")
-    numbered = F.transform(chars, lambda c, i: F.concat(
-        c, F.size(F.filter(F.slice(chars, 1, i + 1), lambda d: d == c)).cast("string")))
-    return names.withColumn("token", F.explode(numbered))
+# Tokens whose frequency is looked up; a bound for the lookup, not for the search: any fixed
+# order of the tokens finds every pair, and tokens beyond these simply count as rarest.
+MAX_RANKED_TOKENS = 512
 
 
-def _needed(threshold: int, lengths: Column) -> Column:
-    """Common characters a pair needs, given the sum of both lengths."""
-    return F.ceil(F.lit(threshold) * lengths / F.lit(200.0))
+# the characters of a name, each numbered by occurrence: a1, b1, a2, ...
+_NUMBERED = """
+    transform(split(sorted, ''), (c, i) ->
+        concat(c, size(filter(slice(split(sorted, ''), 1, i + 1), d -> d = c))))"""
 
 
-def _prefixes(names: DataFrame, frequency: DataFrame, threshold: int) -> DataFrame:
-    """The rarest tokens of each name, as many as no similar name can do without.
+def token_ranks(names: DataFrame) -> Column:
+    """How often the commonest character tokens occur among ``sorted`` names, as one map."""
+    counted = (
+        names.select(F.expr(f"explode({_NUMBERED})").alias("token"))
+        .groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+        .orderBy(F.desc("n"), "token").limit(MAX_RANKED_TOKENS)
+    )
+    return counted.agg(F.expr("map_from_entries(collect_list(struct(token, n)))")).scalar()
+
+
+def with_tokens(names: DataFrame, ranks: Column) -> DataFrame:
+    """Add the character tokens of ``sorted`` names, rarest first; no shuffle."""
+    rarest_first = F.expr(f"""
+        array_sort(transform({_NUMBERED}, t ->
+            struct(coalesce(try_element_at(ranks, t), 0L) AS n, t AS token))).token""")
+    return names.withColumn("ranks", ranks).withColumn("tokens", rarest_first).drop("ranks")
+
 
-    A name of length l needs at least ``needed`` characters in common with any partner, so one
-    of its l - needed + 1 rarest tokens is among the common ones.
+def _prefixes(names: DataFrame, threshold: int) -> DataFrame:
+    """One row per token no similar partner can do without.
+
+    A name of length l needs at least n characters in common with any partner, so one of its
+    l - n + 1 rarest tokens is among the common ones. n is smallest for the shortest partner.
     """
-    order = Window.partitionBy("sorted").orderBy("n", "token")
-    every = Window.partitionBy("sorted")
-    ranked = (
-        _with_tokens(names).join(frequency, "token", "left")
-        .withColumn("n", F.coalesce("n", F.lit(0)))
-        .withColumns({
-            "pos": F.row_number().over(order),
-            "tokens": F.array_sort(F.collect_list(F.struct("n", "token")).over(every)),
-            "len": F.length("sorted"),
-        })
-    )
-    shortest = F.ceil(F.lit(threshold) * F.col("len") / F.lit(200.0 - threshold))
-    needed = _needed(threshold, F.col("len") + shortest)
-    return ranked.filter(F.col("pos") <= F.col("len") - needed + 1).withColumn(
-        "tokens", F.col("tokens.token"))
+    shortest = f"ceil({threshold} * length(sorted) / {200 - threshold}D)"
+    needed = f"ceil({threshold} * (length(sorted) + {shortest}) / 200D)"
+    return names.select("*", F.expr(
+        f"posexplode(slice(tokens, 1, int(length(sorted) - {needed} + 1)))"
+    ).alias("pos", "token"))
 
 
 def similar_pairs(left: DataFrame, right: DataFrame, threshold: int) -> DataFrame:
-    """All pairs of ``sorted`` names at or above a similarity, with their score.
+    """All pairs of names at or above a similarity: ``a``, the right-hand row, ``score``.
 
-    Both inputs hold distinct names in a column ``sorted``. Pairs meet on a shared rare token and
-    are kept only at the first token they share, so each is looked at once; the bounds on length
-    and on common characters drop hopeless pairs inside the join, before any comparison.
+    Both inputs hold distinct names in ``sorted`` and their ``tokens``. Pairs meet on a shared
+    rare token and are kept only at the first token they share, so each is looked at once; the
+    bounds on length and on common characters drop hopeless pairs inside the join, before any
+    comparison.
     """
-    frequency = _with_tokens(right).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    a = _prefixes(left, frequency, threshold).select(
-        "token", F.col("sorted").alias("a"), F.col("tokens").alias("ta"),
-        F.col("pos").alias("pa"), F.col("len").alias("la"))
-    b = _prefixes(right, frequency, threshold).select(
-        "token", F.col("sorted").alias("b"), F.col("tokens").alias("tb"),
-        F.col("pos").alias("pb"), F.col("len").alias("lb"))
-    lengths = F.col("la") + F.col("lb")
-    needed = _needed(threshold, lengths)
-    common = F.array_intersect("ta", "tb")
-    candidates = a.join(b, "token").filter(
-        (200 * F.least("la", "lb") >= threshold * lengths)
-        & (F.col("pa") <= F.col("la") - needed + 1)
-        & (F.col("pb") <= F.col("lb") - needed + 1)
-        & (F.get(common, F.lit(0)) == F.col("token"))
-        & (F.size(common) >= needed)
-    )
-    scored = candidates.select(
-        "a", "b", similarity(lcs_length("a", "b"), F.col("a"), F.col("b")).alias("score"))
-    return scored.filter(F.col("score") >= threshold)
+    a = _prefixes(left, threshold).select(
+        "token", F.col("sorted").alias("a"), F.col("tokens").alias("ta"), F.col("pos").alias("pa"))
+    b = _prefixes(right, threshold).withColumnsRenamed({"tokens": "tb", "pos": "pb"})
+    needed = f"ceil({threshold} * (length(a) + length(sorted)) / 200D)"
+    candidates = a.join(b, "token").filter(f"""
+        200 * least(length(a), length(sorted)) >= {threshold} * (length(a) + length(sorted))
+        AND pa <= length(a) - {needed} AND pb <= length(sorted) - {needed}
+        AND get(array_intersect(ta, tb), 0) = token
+        AND size(array_intersect(ta, tb)) >= {needed}""")
+    score = similarity(lcs_length("a", "sorted"), F.col("a"), F.col("sorted"))
+    return candidates.drop("token", "ta", "tb", "pa", "pb").withColumn("score", score).filter(
+        F.col("score") >= threshold)

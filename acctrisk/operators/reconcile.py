@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from acctrisk.functions.columns import missing_text
-from acctrisk.functions.similarity import EASY_THRESHOLD, similar_pairs, token_sort
+from acctrisk.functions.similarity import (
+    EASY_THRESHOLD, similar_pairs, token_ranks, token_sort, with_tokens,
+)
 
 MIN_FUZZY_LENGTH = 3
 
@@ -31,44 +33,37 @@ def name_lookup(accounts: DataFrame, order: str = "account_id") -> DataFrame:
 
 
 def _best(queries: DataFrame, canonical: DataFrame, threshold: int) -> DataFrame:
-    """Best canonical spelling per query spelling; ties go to the earliest account."""
-    pairs = similar_pairs(
-        queries.select("sorted"), canonical.select("sorted"), threshold)
-    placed = pairs.join(
-        canonical.select(F.col("sorted").alias("b"), "first_order", "name_key"), "b")
-    best = F.max_by(
-        F.struct("score", "name_key"),
-        F.struct("score", (-F.col("first_order")).alias("o"), "name_key"))
-    return placed.groupBy(F.col("a").alias("sorted")).agg(best.alias("m")).select(
-        "sorted", F.col("m.name_key").alias("name_key"), F.col("m.score").alias("score"))
+    """The best account per query spelling; ties go to the earliest account."""
+    best = F.max(F.struct(
+        "score", (-F.col("first_order")).alias("o"), "first_name", "account_id"))
+    return similar_pairs(queries, canonical, threshold).groupBy("a").agg(best.alias("m")).select(
+        F.col("a").alias("sorted"), F.col("m.first_name").alias("match_name"), "m.account_id",
+        "m.score")
 
 
 def fuzzy_match(names: DataFrame, lookup: DataFrame, threshold: int = 65) -> DataFrame:
     """The most similar account name of each query name, if similar enough.
 
     ``names``: column ``query``. Similarity looks at lower-cased names with their words sorted,
-    so equal spellings are matched once. Equal spellings first, then close ones, then the rest:
-    each step only searches for the names the step before left over, and what a step finds is
-    final because any better match would have been found there, too.
+    so equal spellings are matched once. Close spellings are searched first, which is cheap; what
+    this finds is final, because any better match would have been found, too. Only the names
+    left over take part in the wider search.
     """
     queries = names.filter(F.length("query") >= MIN_FUZZY_LENGTH).select(
         "query", token_sort(F.lower("query")).alias("sorted"))
-    spelt = queries.select("sorted").distinct()
     canonical = (
-        lookup.select(token_sort(F.col("name_key")).alias("sorted"), "first_order", "name_key")
-        .groupBy("sorted").agg(F.min(F.struct("first_order", "name_key")).alias("f"))
-        .select("sorted", "f.first_order", "f.name_key")
+        lookup.groupBy(token_sort(F.col("name_key")).alias("sorted"))
+        .agg(F.min(F.struct("first_order", "first_name", "account_id")).alias("f"))
+        .select("sorted", "f.*")
     )
-    found = spelt.join(canonical, "sorted").select(
-        "sorted", "name_key", F.lit(100.0).alias("score"))
-    for step in sorted({threshold, max(threshold, EASY_THRESHOLD)}, reverse=True):
+    ranks = token_ranks(canonical)
+    canonical = with_tokens(canonical, ranks)
+    spelt = with_tokens(queries.select("sorted").distinct(), ranks)
+    found = _best(spelt, canonical, max(threshold, EASY_THRESHOLD))
+    if threshold < EASY_THRESHOLD:
         rest = spelt.join(found.select("sorted"), "sorted", "left_anti")
-        found = found.unionAll(_best(rest, canonical, step))
-    return (
-        queries.join(found, "sorted")
-        .join(lookup.select("name_key", "account_id", "first_name"), "name_key")
-        .select("query", F.col("first_name").alias("match_name"), "account_id", "score")
-    )
+        found = found.unionAll(_best(rest, canonical, threshold))
+    return queries.join(found, "sorted").select("query", "match_name", "account_id", "score")
 
 
 def valid_matches(matches: DataFrame, accounts: DataFrame) -> DataFrame:
