@@ -40,8 +40,7 @@ def _lcs_lengths(left: pd.Series, right: pd.Series) -> np.ndarray:
     return row[:, -1]
 
 
-@F.pandas_udf(IntegerType())
-def lcs_length(left: pd.Series, right: pd.Series) -> pd.Series:
+def _lcs_batch(left: pd.Series, right: pd.Series) -> pd.Series:
     """Length of the longest common subsequence, on Arrow batches.
 
     Long texts are compared apart from short ones, so that one of them does not widen the matrix
@@ -49,12 +48,18 @@ def lcs_length(left: pd.Series, right: pd.Series) -> pd.Series:
     """
     out = np.zeros(len(left), dtype=np.int32)
     width = np.maximum(left.str.len(), right.str.len()).to_numpy()
-    for group in np.unique(np.ceil(np.log2(np.maximum(width, 16)))):
-        at = np.flatnonzero(np.ceil(np.log2(np.maximum(width, 16))) == group)
+    size = np.ceil(np.log2(np.maximum(width, 16)))
+    for group in np.unique(size):
+        at = np.flatnonzero(size == group)
         out[at] = _lcs_lengths(left.iloc[at], right.iloc[at])
     return pd.Series(out)
 
 
+# Declared nondeterministic only so that the optimizer does not run it once for the filter on
+# its result and once more for the result.
+lcs_length = F.pandas_udf(_lcs_batch, IntegerType()).asNondeterministic()
+
+
 def similarity(lcs: Column, left: Column, right: Column) -> Column:
     """0..100: twice the common subsequence over both lengths."""
     return F.lit(200.0) * lcs / (F.length(left) + F.length(right))
