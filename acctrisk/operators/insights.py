@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from acctrisk import fixed
@@ -15,6 +15,21 @@ CATEGORIES = [
 ]
 
 
+# columns of signals that may be absent, with their types
+OPTIONAL_COLUMNS = {
+    "nps_score": "bigint", "nps_comment": "string", "sdk_version": "string",
+    "total_tickets": "bigint", "p1_p2_tickets": "bigint", "champion_status": "string",
+    "csm_summary": "string", "competitor_mentions": "string", "plan_tier": "string",
+    "industry": "string",
+}
+
+
+def with_optional_columns(risk: DataFrame) -> DataFrame:
+    """Add the columns of absent signals as nulls, so that their patterns match nothing."""
+    absent = {c: k for c, k in OPTIONAL_COLUMNS.items() if c not in risk.columns}
+    return risk.withColumns({c: F.lit(None).cast(k) for c, k in absent.items()})
+
+
 def _count(value: str) -> Column:
     return whole(F.coalesce(value, F.lit(0)))
 
@@ -62,6 +77,7 @@ def _details(columns: list[str], shown_chars: int = 100, **limits) -> dict[str,
 
 
 def _pattern(risk: DataFrame, pattern: tuple, shown: list[str], **limits) -> DataFrame:
+    risk = with_optional_columns(risk)
     condition, kind, detail = _details(risk.columns, **limits)[pattern[0]]
     return risk.filter(condition).select(
         "account_id", "account_name", *shown,
@@ -92,6 +108,7 @@ def score_sentiment_contradictions(risk: DataFrame, shown_chars: int = 100) -> D
 
 def all_insights(risk: DataFrame) -> DataFrame:
     """The four patterns as one long relation, from one pass over the scores."""
+    risk = with_optional_columns(risk)
     entries = [
         F.when(condition, F.struct(
             F.lit(category).alias("category"), F.lit(kind).alias("insight_type"),
@@ -116,7 +133,7 @@ def count_columns(columns: list[str]) -> list[Column]:
 
 def insight_counts(risk: DataFrame) -> DataFrame:
     """Accounts per pattern, patterns without any included, from one pass over the scores."""
-    counted = risk.agg(*count_columns(risk.columns))
+    counted = with_optional_columns(risk).agg(*count_columns(risk.columns))
     return counted.unpivot([], CATEGORIES, "category", "n_accounts")
 
 
@@ -128,7 +145,7 @@ def _at_risk() -> Column:
 
 def sdk_distribution(risk: DataFrame) -> DataFrame:
     """Accounts and at-risk accounts per SDK version."""
-    return risk.filter(F.col("sdk_version").isNotNull()).groupBy("sdk_version").agg(
+    return with_optional_columns(risk).filter(F.col("sdk_version").isNotNull()).groupBy("sdk_version").agg(
         F.count(F.lit(1)).alias("n_accounts"),
         F.count_if(_at_risk()).alias("n_at_risk"),
     )
@@ -137,7 +154,7 @@ def sdk_distribution(risk: DataFrame) -> DataFrame:
 def nps_buckets(risk: DataFrame) -> DataFrame:
     """Detractors, passives and promoters; accounts without a score are left out."""
     score = F.col("nps_score")
-    return risk.agg(
+    return with_optional_columns(risk).agg(
         F.count_if(score <= 6).alias("detractors"),
         F.count_if(score.between(7, 8)).alias("passives"),
         F.count_if(score >= 9).alias("promoters"),
@@ -146,7 +163,7 @@ def nps_buckets(risk: DataFrame) -> DataFrame:
 
 def industry_risk(risk: DataFrame) -> DataFrame:
     """At-risk accounts and their ARR per industry."""
-    return risk.filter(_at_risk() & F.col("industry").isNotNull()).groupBy("industry").agg(
+    return with_optional_columns(risk).filter(_at_risk() & F.col("industry").isNotNull()).groupBy("industry").agg(
         F.count(F.lit(1)).alias("n_at_risk"), F.sum("arr").alias("total_arr"))
 
 
@@ -183,8 +200,11 @@ def top_digest(risk: DataFrame, limit: int = 15) -> DataFrame:
         or_text("competitor_mentions", "none"), or_text("champion_status", "unknown"),
         whole(F.col("days_until_renewal")), or_text("csm_summary", "No notes"),
     )
-    return risk.orderBy(*by_risk()).limit(limit).select(
-        "account_id", "composite_risk_score", line.alias("line"))
+    top = with_optional_columns(risk).orderBy(*by_risk()).limit(limit)
+    # only those few rows are numbered
+    place = F.row_number().over(Window.orderBy(*by_risk())).cast("bigint")
+    return top.select(
+        place.alias("rank"), "account_id", "composite_risk_score", line.alias("line"))
 
 
 def dataset_digest(risk: DataFrame) -> DataFrame:
@@ -193,6 +213,7 @@ def dataset_digest(risk: DataFrame) -> DataFrame:
     Totals, versions and industries come from one aggregation over three grouping sets. Lines
     stay rows, so a long list of versions or industries is never gathered in one place.
     """
+    risk = with_optional_columns(risk)
     tier, score = F.col("risk_tier"), F.col("nps_score")
     counted = risk.groupingSets(
         [[], ["sdk_version"], ["industry"]], "sdk_version", "industry",
@@ -242,14 +263,14 @@ def dataset_digest(risk: DataFrame) -> DataFrame:
     )
     top = top_digest(risk).select(
         F.lit(4).cast("bigint").alias("section"),
-        F.col("composite_risk_score").alias("weight"), "line")
+        (-F.col("rank")).cast("double").alias("weight"), "line")
     return counted.select(F.inline(lines)).unionAll(top)
 
 
 def insights_export(risk: DataFrame, model_text: str = "") -> DataFrame:
     """Summary, free text and pattern counts as one JSON record, from one aggregation."""
     summary = summary_columns()
-    counted = risk.agg(*summary.values(), *count_columns(risk.columns))
+    counted = with_optional_columns(risk).agg(*summary.values(), *count_columns(risk.columns))
     return counted.select(F.to_json(F.struct(
         F.struct(*summary).alias("summary"),
         F.lit(model_text).alias("model_insights"),

@@ -219,7 +219,11 @@ def _invalid(df: DataFrame, source: str, missing: list[str]) -> DataFrame:
 def validate_accounts(
     accounts: DataFrame, as_of: date, order: str = "ingest_order"
 ) -> tuple[DataFrame, DataFrame]:
-    """Repaired accounts and their report. Without an ``order`` column any one copy is kept."""
+    """Repaired accounts and their report.
+
+    The ``order`` column decides which copy of an id is kept and is dropped; without one any
+    single copy is kept.
+    """
     missing = missing_columns(accounts, "accounts")
     if missing:
         return accounts, _invalid(accounts, "accounts", missing)
@@ -240,7 +244,7 @@ def validate_accounts(
          " accounts have contract_end_date > 1 year in the past (stale data)"),
         ("unknown_plan", "Unknown plan tiers: ", " rows"),
     ])
-    return clamp_arr(kept), report
+    return clamp_arr(kept.drop(order)), report
 
 
 def validate_usage(usage: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -440,7 +440,8 @@ TIERS = """
            count(*) filter (risk_tier = 'Medium') as n_medium,
            count(*) filter (risk_tier = 'Low') as n_low from {risk}"""
 TOP15 = f"""
-    select account_id, composite_risk_score,
+    select row_number() over (order by composite_risk_score desc, account_id) as rank,
+           account_id, composite_risk_score,
            '- ' || account_name || ' (ID:' || account_id || '): Risk='
            || {pct("composite_risk_score")} || '% [' || risk_tier || '], ARR=$'
            || format('{{{{:,}}}}', arr) || ', Plan=' || coalesce(plan_tier, '?') || ', SDK='
@@ -457,7 +458,7 @@ DIGEST = f"""
     union all select 2, 0, 'Risk distribution: High=' || n_high || ', Medium=' || n_medium
            || ', Low=' || n_low from ({TIERS}) as t
     union all select 3, 0, '=== TOP 15 AT-RISK ACCOUNTS ==='
-    union all select 4, composite_risk_score, line from ({TOP15}) as t
+    union all select 4, -rank, line from ({TOP15}) as t
     union all select 5, 0, '=== SDK VERSION DISTRIBUTION ==='
     union all select 6, n_accounts, '- ' || sdk_version || ': ' || n_accounts || ' accounts ('
            || n_at_risk || ' at-risk)' from ({SDK_DISTRIBUTION}) as t

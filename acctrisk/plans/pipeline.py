@@ -7,8 +7,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from acctrisk.operators import annotate, quality, scoring, signals
+from acctrisk.functions.lineage import materialise
+from acctrisk.operators import (
+    annotate, backtest, insights, quality, reconcile, scoring, signals,
+)
 from acctrisk.params import DEFAULT, ScoringParams
+from acctrisk.sources import exports
+from acctrisk.sources.files import Sources
 
 
 @dataclass(frozen=True)
@@ -56,15 +61,39 @@ def score_dataset(data: Dataset, params: ScoringParams = DEFAULT) -> DataFrame:
     return scoring.score_merged(merged, params)
 
 
-def clean_dataset(data: Dataset) -> Dataset:
-    """The dataset after the value repairs of validation."""
-    return Dataset(
-        accounts=quality.clamp_arr(data.accounts),
-        usage=None if data.usage is None else quality.clamp_usage(data.usage),
-        tickets=data.tickets,
-        nps=None if data.nps is None else quality.clamp_nps(data.nps),
-        analyses=data.analyses,
-        translations=data.translations,
-        sentiments=data.sentiments,
-        nps_unique=data.nps_unique,
-    )
+@dataclass(frozen=True)
+class Run:
+    """What a run leaves behind."""
+
+    report: DataFrame
+    risk: DataFrame
+    notes: DataFrame
+    metrics: DataFrame
+    verdict: DataFrame
+
+
+def run(
+    data: Sources,
+    folder: str | None = None,
+    params: ScoringParams = DEFAULT,
+    analyses: DataFrame | None = None,
+    translations: DataFrame | None = None,
+    sentiments: DataFrame | None = None,
+    name_matches: DataFrame | None = None,
+    explanations: DataFrame | None = None,
+) -> Run:
+    """The whole pipeline: validate, resolve names, score, explain, back-test and export.
+
+    The scored accounts are materialised once, because every later step reads them.
+    """
+    clean, report = quality.validate_all(
+        data.accounts, data.usage, data.tickets, data.nps, params.snapshot_date)
+    notes = reconcile.reconcile(data.notes, clean["accounts"], name_matches)
+    scored = score_dataset(Dataset(
+        clean["accounts"], clean["usage"], clean["tickets"], clean["nps"], analyses,
+        translations, sentiments), params)
+    risk = materialise(annotate.with_explanations(scored, explanations))
+    metrics = backtest.weight_metrics(risk)
+    if folder is not None:
+        exports.export_all(risk, insights.insights_export(risk), folder)
+    return Run(report, risk, notes, metrics, backtest.weight_verdict(metrics))
