@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from acctrisk import fixed
@@ -26,16 +26,19 @@ def missing_columns(df: DataFrame, source: str) -> list[str]:
 
 # ---- repairs ---------------------------------------------------------------------------------
 
-def dedupe_accounts(accounts: DataFrame, order: str) -> DataFrame:
+def dedupe_accounts(accounts: DataFrame, order: str, copies: str | None = None) -> DataFrame:
     """Keep the first row of each account id in ``order``, which must be unique.
 
     A minimum combines on the map side, so a heavily repeated id costs one row per task.
+    ``copies`` names a column for the number of rows the id had.
     """
     others = [c for c in accounts.columns if c not in ("account_id", order)]
-    kept = accounts.groupBy("account_id").agg(F.min(F.struct(order, *others)).alias("r"))
+    kept = accounts.groupBy("account_id").agg(
+        F.min(F.struct(order, *others)).alias("r"), F.count(F.lit(1)).alias("n"))
+    counted = [F.col("n").alias(copies)] if copies else []
     return kept.select(
         *["account_id" if c == "account_id" else F.col(f"r.{c}").alias(c)
-          for c in accounts.columns])
+          for c in accounts.columns], *counted)
 
 
 def clamp_arr(accounts: DataFrame) -> DataFrame:
@@ -124,11 +127,12 @@ def orphan_report(facts: dict[str, DataFrame], accounts: DataFrame, show: int =
 # ---- counters and report ----------------------------------------------------------------------
 
 def account_counters(accounts: DataFrame, as_of: date) -> DataFrame:
-    """All account checks in one pass over the deduplicated accounts."""
+    """All account checks in one pass over deduplicated accounts and their ``copies``."""
     arr = F.col("arr")
     stale = F.date_sub(F.lit(as_of), fixed.STALE_CONTRACT_DAYS)
     return accounts.agg(
         F.count(F.lit(1)).alias("rows"),
+        F.coalesce(F.sum("copies"), F.lit(0)).alias("before"),
         F.count_if(F.col("account_name").isNull()).alias("missing_name"),
         F.count_if(arr < 0).alias("negative_arr"),
         F.count_if(arr <= 0).alias("zero_arr"),
@@ -137,19 +141,24 @@ def account_counters(accounts: DataFrame, as_of: date) -> DataFrame:
     )
 
 
-def usage_counters(usage: DataFrame) -> DataFrame:
-    """All row-level usage checks in one pass."""
-    negatives = [
-        F.count_if(F.col(m) < 0).alias(f"negative_{m}")
-        for m in fixed.USAGE_METRICS if m in usage.columns
-    ]
+def usage_counters(usage: DataFrame, min_months: int = 3) -> DataFrame:
+    """All usage checks in one pass: per account and month, per account, in total."""
     good_version = is_true(F.col("sdk_version").rlike(fixed.SDK_VERSION_PATTERN))
-    return usage.agg(
-        F.count(F.lit(1)).alias("rows"),
-        *negatives,
-        F.count_if(F.col("api_calls") > fixed.MAX_API_CALLS).alias("extreme_api_calls"),
-        F.count_if(~good_version).alias("invalid_sdk_version"),
+    checks = {
+        "rows": F.count(F.lit(1)),
+        **{f"negative_{m}": F.count_if(F.col(m) < 0)
+           for m in fixed.USAGE_METRICS if m in usage.columns},
+        "extreme_api_calls": F.count_if(F.col("api_calls") > fixed.MAX_API_CALLS),
+        "invalid_sdk_version": F.count_if(~good_version),
+    }
+    sums = [F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in checks]
+    per_account = (
+        usage.groupBy("account_id", "month")
+        .agg(*[column.alias(name) for name, column in checks.items()])
+        .groupBy("account_id").agg(*sums, F.count("month").alias("n_months"))
     )
+    sparse = F.col("account_id").isNotNull() & (F.col("n_months") < min_months)
+    return per_account.agg(*sums, F.count_if(sparse).alias("sparse"))
 
 
 def ticket_counters(tickets: DataFrame) -> DataFrame:
@@ -227,14 +236,11 @@ def validate_accounts(
     missing = missing_columns(accounts, "accounts")
     if missing:
         return accounts, _invalid(accounts, "accounts", missing)
-    if order in accounts.columns:
-        kept = dedupe_accounts(accounts, order)
-    else:
-        ranked = accounts.withColumn("_o", F.struct(*[c for c in accounts.columns]))
-        kept = dedupe_accounts(ranked, "_o").drop("_o")
-    before = accounts.agg(F.count(F.lit(1)))
-    counters = account_counters(kept, as_of).withColumn("before", before.scalar())
-    counters = counters.withColumn("duplicates", F.col("before") - F.col("rows"))
+    if order not in accounts.columns:
+        accounts = accounts.withColumn(order, F.struct(*accounts.columns))
+    kept = dedupe_accounts(accounts, order, copies="copies")
+    counters = account_counters(kept, as_of).withColumn(
+        "duplicates", F.col("before") - F.col("rows"))
     report = _report(counters, "accounts", F.col("before"), [
         ("duplicates", "Duplicate account IDs found: ", " rows. Keeping first occurrence."),
         ("missing_name", "", " accounts missing account_name"),
@@ -244,7 +250,7 @@ def validate_accounts(
          " accounts have contract_end_date > 1 year in the past (stale data)"),
         ("unknown_plan", "Unknown plan tiers: ", " rows"),
     ])
-    return clamp_arr(kept.drop(order)), report
+    return clamp_arr(kept.drop(order, "copies")), report
 
 
 def validate_usage(usage: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -252,8 +258,6 @@ def validate_usage(usage: DataFrame) -> tuple[DataFrame, DataFrame]:
     missing = missing_columns(usage, "usage")
     if missing:
         return usage, _invalid(usage, "usage", missing)
-    sparse = sparse_accounts(usage).agg(F.count(F.lit(1)))
-    counters = usage_counters(usage).withColumn("sparse", sparse.scalar())
     messages = [
         (f"negative_{m}", "", f" rows have negative {m}. Clamping to 0.")
         for m in fixed.USAGE_METRICS if m in usage.columns
@@ -263,7 +267,8 @@ def validate_usage(usage: DataFrame) -> tuple[DataFrame, DataFrame]:
         ("invalid_sdk_version", "", " rows have invalid SDK version format"),
         ("sparse", "", " accounts have < 3 months of data (trends may be unreliable)"),
     ]
-    return clamp_usage(usage), _report(counters, "usage", F.col("rows"), messages)
+    return clamp_usage(usage), _report(
+        usage_counters(usage), "usage", F.col("rows"), messages)
 
 
 def validate_tickets(tickets: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -329,15 +334,11 @@ def validate_all(
 
 def pipeline_counters(nps_frame: DataFrame, sdk_frame: DataFrame) -> DataFrame:
     """Run counters: rows per frame, translated comments, accounts on a v3 SDK."""
-    v3: Column = is_true(F.col("sdk_version").startswith("v3"))
+    v3 = is_true(F.col("sdk_version").startswith("v3"))
     sdk = sdk_frame.agg(
         F.count(F.lit(1)).alias("sdk_accounts"), F.count_if(v3).alias("v3_accounts"))
     nps = nps_frame.agg(
         F.count(F.lit(1)).alias("nps_rows"),
         F.count_if(F.col("detected_language") != "English").alias("translated_comments"))
-    return (
-        sdk.select(F.lit("sdk_accounts").alias("counter"), F.col("sdk_accounts").alias("n"))
-        .unionAll(sdk.select(F.lit("v3_accounts"), "v3_accounts"))
-        .unionAll(nps.select(F.lit("nps_rows"), "nps_rows"))
-        .unionAll(nps.select(F.lit("translated_comments"), "translated_comments"))
-    )
+    return reduce(DataFrame.unionAll, [
+        counts.unpivot([], counts.columns, "counter", "n") for counts in (sdk, nps)])

@@ -159,26 +159,24 @@ def match_rate(reconciled: DataFrame) -> DataFrame:
 
 
 def notes_by_account(
-    notes: DataFrame,
-    accounts: DataFrame | None = None,
-    max_chars: int = 50_000_000,
-    block_size: int = 1_000,
+    notes: DataFrame, accounts: DataFrame | None = None, max_chars: int = 50_000_000
 ) -> DataFrame:
     """The notes of each account as one text, in note order, with blank lines in between.
 
-    Notes are counted per account before any text is gathered. An account whose text would pass
-    ``max_chars`` is split by ranges of ``block_size`` note numbers into numbered segments, whose
-    texts in order make up the whole; all other accounts have the single segment 0.
+    Notes are measured per account before any text is gathered. An account whose text would pass
+    ``max_chars`` is split by ranges of note numbers, each short enough even if all its notes
+    were as long as the longest, into numbered segments, whose texts in order make up the whole.
+    All other accounts have a single segment.
     """
     rows = notes.filter(F.col("account_id").isNotNull())
+    size = F.length("raw_text").cast("bigint") + 2
     long = (
-        rows.groupBy("account_id")
-        .agg(F.sum(F.length("raw_text") + 2).alias("chars"))
-        .filter(F.col("chars") > max_chars + 2)
-        .select("account_id", F.lit(True).alias("long"))
+        rows.groupBy("account_id").agg(F.sum(size).alias("chars"), F.max(size).alias("longest"))
+        .filter(F.col("chars") > max_chars)
+        .select("account_id", F.greatest(
+            F.lit(1), F.floor(F.lit(max_chars) / F.col("longest"))).alias("per_segment"))
     )
-    block = F.floor(F.col("note_idx") / F.lit(block_size))
-    segment = F.when(F.col("long"), block).otherwise(F.lit(0)).cast("bigint")
+    segment = F.coalesce(F.floor(F.col("note_idx") / F.col("per_segment")), F.lit(0))
     texts = (
         rows.join(long, "account_id", "left")
         .groupBy("account_id", segment.alias("segment"))

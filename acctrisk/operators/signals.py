@@ -15,30 +15,34 @@ _NO_MONTH = "~"
 
 # ---- usage history ---------------------------------------------------------------------------
 
-def usage_profile(usage: DataFrame) -> DataFrame:
+def usage_profile(usage: DataFrame, unique_months: bool = False) -> DataFrame:
     """One row per account with its first two, last two and last known usage rows.
 
     The first aggregation reduces each account-month on the map side, so an account with very
     many rows shrinks to its calendar months before anything is collected. Rows that share a
     month have no order of their own: the smallest and the largest of them stand for the month.
+    ``unique_months`` promises one row per account and month and saves that first step.
     """
+    usage = usage.filter(F.col("account_id").isNotNull())
     row = F.struct(*fixed.USAGE_METRICS, "sdk_version")
-    months = (
-        usage.filter(F.col("account_id").isNotNull())
-        .groupBy("account_id", "month")
-        .agg(
+    month = F.coalesce("month", F.lit(_NO_MONTH))
+    if unique_months:
+        months = usage.select(
+            "account_id", month.alias("month"), F.lit(1).cast("bigint").alias("n"),
+            row.alias("low"), F.lit(None).cast(usage.select(row).schema[0].dataType).alias("high"),
+            F.col("active_users").alias("users"), F.col("sdk_version").alias("sdk"))
+    else:
+        months = usage.groupBy("account_id", "month").agg(
             F.count(F.lit(1)).alias("n"),
             F.min(row).alias("low"),
             F.max(row).alias("high"),
             F.max("active_users").alias("users"),
             F.max("sdk_version").alias("sdk"),
-        )
-        .withColumns({
-            "month": F.coalesce("month", F.lit(_NO_MONTH)),
+        ).withColumns({
+            "month": month,
             # a month with a single row, the usual case, ships that row once
             "high": F.when(F.col("n") > 1, F.col("high")),
         })
-    )
     history = months.groupBy("account_id").agg(
         F.sum("n").alias("n_rows"),
         F.sort_array(F.collect_list(F.struct("month", "n", "low", "high"))).alias("h"),
@@ -61,9 +65,9 @@ def usage_profile(usage: DataFrame) -> DataFrame:
     )
 
 
-def latest_usage(usage: DataFrame) -> DataFrame:
+def latest_usage(usage: DataFrame, unique_months: bool = False) -> DataFrame:
     """The last row of each account next to the last known value of each column."""
-    return usage_profile(usage).select(
+    return usage_profile(usage, unique_months).select(
         "account_id",
         F.col("last_row.api_calls").alias("api_calls_last"),
         F.col("last_row.active_users").alias("active_users_last"),
@@ -105,9 +109,9 @@ def usage_columns() -> list[Column]:
     return [F.expr(text).alias(name) for name, text in columns.items()]
 
 
-def usage_signals(usage: DataFrame) -> DataFrame:
+def usage_signals(usage: DataFrame, unique_months: bool = False) -> DataFrame:
     """Usage decline between the first and the last two rows of each account."""
-    return usage_profile(usage).select("account_id", *usage_columns())
+    return usage_profile(usage, unique_months).select("account_id", *usage_columns())
 
 
 # ---- SDK -------------------------------------------------------------------------------------

@@ -62,6 +62,31 @@ USAGE_SIG = f"""
                        count(*) over (partition by account_id) as n from {{usage_v}}) as u
           group by account_id) as p"""
 
+# The same where a month may hold many rows: its smallest and its largest row stand for it.
+_MONTH_ROWS = f"""
+    select account_id, month, {", ".join(
+        f"case side when 0 then first_row.{m} else last_row.{m} end as {m}"
+        for m in [*METRICS, "sdk_version"])},
+           row_number() over (partition by account_id order by month, side) as rn,
+           sum(rows) over (partition by account_id, side) as n,
+           count(*) over (partition by account_id) as kept
+    from (select account_id, month, count(*) as rows, min(r) as first_row, max(r) as last_row
+          from (select account_id, month, {{{{{", ".join(
+              f"'{m}': {m}" for m in [*METRICS, "sdk_version"])}}}}} as r
+                from {{order_usage_v}}) as s
+          group by account_id, month) as g, (values (0), (1)) as sides(side)
+    where side = 0 or rows > 1"""
+_ANY_ROWS = f"""(
+    select account_id, first(total) as n, {", ".join(
+        f"sum({m}) filter (rn <= 2) / 2::double as early_{m}, "
+        f"sum({m}) filter (rn > kept - 2) / 2::double as late_{m}" for m in METRICS)},
+           arg_max(api_calls, rn) as last_api, arg_max(active_users, rn) as last_users,
+           max(case when rn = kept then sdk_version end) as last_sdk
+    from (select *, max(n) over (partition by account_id) as total from ({_MONTH_ROWS}) as m) as w
+    group by account_id)"""
+USAGE_ANY_ROWS = USAGE_SIG[:USAGE_SIG.index("from (select account_id, any_value(n)")] + (
+    f"from {_ANY_ROWS} as p")
+
 LATEST_USAGE = """
     select account_id, arg_max(api_calls, month) as api_calls_last,
            arg_max(active_users, month) as active_users_last,
@@ -828,6 +853,7 @@ QUERIES = {
     "notes_by_account": _by_account("{notes_v}", "{accounts_v}"),
     "reconciled_notes_by_account": _by_account("{reconciled}", "{named_accounts_v}"),
     "usage_signals": "select * from {usage_sig}",
+    "usage_signals_any_rows": USAGE_ANY_ROWS,
     "latest_usage": "select * from {latest_usage}",
     "sdk_risk": "select * from {sdk_sig}",
     "engagement_signals": "select * from {eng_sig}",

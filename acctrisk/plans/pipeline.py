@@ -31,8 +31,9 @@ class Dataset:
     analyses: DataFrame | None = None
     translations: DataFrame | None = None
     sentiments: DataFrame | None = None
-    # whether the survey is known to hold at most one row per account
+    # promises that spare work: at most one survey row per account, one usage row per month
     nps_unique: bool = False
+    unique_months: bool = False
 
 
 def score_dataset(data: Dataset, params: ScoringParams = DEFAULT) -> DataFrame:
@@ -44,7 +45,7 @@ def score_dataset(data: Dataset, params: ScoringParams = DEFAULT) -> DataFrame:
     accounts = scoring.renewal_window(data.accounts, params)
     usage = tickets = nps = csm = None
     if data.usage is not None:
-        usage = signals.usage_profile(data.usage).select(
+        usage = signals.usage_profile(data.usage, data.unique_months).select(
             "account_id", *signals.usage_columns(),
             *signals.sdk_columns("known_sdk"), "known_users", F.lit(True).alias("has_usage"))
     if data.tickets is not None:

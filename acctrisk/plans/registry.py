@@ -37,6 +37,7 @@ def dataset(spark: SparkSession, sf_dir: str) -> pipeline.Dataset:
         translations=view(spark, sf_dir, "translations_v"),
         sentiments=view(spark, sf_dir, "sentiments_v"),
         nps_unique=True,  # documents carry unique ids
+        unique_months=True,  # the view groups by account and month
     )
 
 
@@ -183,7 +184,13 @@ def reconciled_notes_by_account(spark, sf_dir):
 
 @query
 def usage_signals(spark, sf_dir):
-    return signals.usage_signals(view(spark, sf_dir, "usage_v"))
+    return signals.usage_signals(view(spark, sf_dir, "usage_v"), unique_months=True)
+
+
+@query
+def usage_signals_any_rows(spark, sf_dir):
+    """Any number of rows per account and month: here every order is a usage row."""
+    return signals.usage_signals(view(spark, sf_dir, "order_usage_v"))
 
 
 @query
@@ -226,7 +233,7 @@ def merged_signals(spark, sf_dir):
     d = dataset(spark, sf_dir)
     merged = scoring.merge_signals(
         d.accounts,
-        signals.usage_signals(d.usage),
+        signals.usage_signals(d.usage, d.unique_months),
         signals.ticket_signals(d.tickets, PARAMS),
         signals.nps_signals(d.nps, d.translations, d.sentiments),
         signals.csm_signals(annotate.account_analyses(d.analyses)),

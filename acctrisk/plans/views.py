@@ -59,6 +59,13 @@ VIEWS = {
                     when 5 then 'v4.2.3' when 6 then 'v4.3.0' else 'v5.0.0' end as sdk_version
         from {orders} join {lineitem} on l_orderkey = o_orderkey
         group by o_custkey, <MONTH>""",
+    "order_usage_v": """
+        select o_custkey as account_id, <MONTH> as month, o_orderkey as api_calls,
+               cast(floor(o_totalprice) as bigint) as content_entries_created,
+               o_orderkey % 90 as active_users, o_orderkey % 7 as workflows_triggered,
+               case when o_orderkey % 5 > 0 then concat('v', cast(o_orderkey % 5 as varchar(9)),
+                    '.', cast(o_orderkey % 3 as varchar(9)), '.0') end as sdk_version
+        from {orders}""",
     "tickets_v": """
         select o_orderkey as ticket_id, o_custkey as account_id,
                cast(o_orderdate as date) as created_date,

@@ -74,7 +74,7 @@ def test_pipeline_end_to_end(spark, folder, tmp_path):
     out = Path(tmp_path / "out")
     csv = "".join(p.read_text() for p in sorted((out / "risk_scored_accounts").glob("*.csv")))
     assert csv.startswith("account_id,account_name,arr,plan_tier") and '"Acme, Inc"' in csv
-    detail = spark.read.option("header", True).option("multiLine", True).csv(
+    detail = spark.read.options(header=True, multiLine=True, escape='"').csv(
         str(out / "detailed_signals"))
     assert "risk_explanation" not in detail.columns and detail.count() == 2
     briefings = [json.loads(line) for p in (out / "account_briefings").glob("*.json")
