@@ -1,40 +1,88 @@
-"""Joins that stay balanced when a few keys hold most of the rows."""
+"""Joins that stay balanced when a few keys hold most of the rows.
+
+Spark's adaptive skew handling only splits a join whose two inputs are both plain shuffles, which
+an aggregated or already joined input is not. So hot keys are found first and spread here: the
+rows of a hot key get a salt, and its row on the other side is repeated once per salt.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# At most this many keys are ever broadcast. Any key outside the MAX_HOT_KEYS heaviest holds
-# less than one row in MAX_HOT_KEYS, so a plain shuffle spreads the rest evenly.
+# Only this many keys are ever treated as hot, so the list of them is small enough to broadcast
+# whatever the size of the data. Any other key holds less than one row in MAX_HOT_KEYS.
 MAX_HOT_KEYS = 1000
-# Groups below this size fit one task whatever their share, so they never count as hot.
+# Groups below this size fit one task whatever their share.
 MIN_HOT_ROWS = 200_000
+MAX_SALTS = 1000
+
+
+def key_counts(facts: DataFrame, key: str) -> DataFrame:
+    """Rows per key, as column ``n``."""
+    return facts.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
 
 
-def hot_keys(facts: DataFrame, key: str, min_rows: int = MIN_HOT_ROWS) -> DataFrame:
-    """The heaviest keys of ``facts``: never more than MAX_HOT_KEYS rows."""
+def hot_keys(counts: DataFrame, key: str, min_rows: int | None = None) -> DataFrame:
+    """The heaviest keys and how many salts each is spread over; at most MAX_HOT_KEYS rows."""
+    rows = min_rows or MIN_HOT_ROWS
+    salts = F.least(F.lit(MAX_SALTS), F.ceil(F.col("n") / F.lit(rows)) + 1)
     return (
-        facts.filter(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") >= min_rows)
+        counts.filter(F.col(key).isNotNull() & (F.col("n") >= rows))
         .orderBy(F.desc("n"), key)
         .limit(MAX_HOT_KEYS)
-        .select(key)
+        .select(key, salts.cast("int").alias("_salts"))
     )
 
 
-def left_join_facts(
-    base: DataFrame, facts: DataFrame, key: str, min_rows: int = MIN_HOT_ROWS
+def _salt(key: str) -> Column:
+    """The salt of a row: 0 unless its key is hot.
+
+    It depends on the task that reads the row, so equal rows are spread, too, and on nothing that
+    changes when a lost task runs again. Rows without a key match nothing and go anywhere.
+    """
+    task = F.spark_partition_id()
+    return (
+        F.when(F.col(key).isNull(), task)
+        .when(F.col("_salts").isNotNull(), F.pmod(task, F.col("_salts")))
+        .otherwise(F.lit(0)).alias("_salt")
+    )
+
+
+def _salted(facts: DataFrame, hot: DataFrame, key: str) -> DataFrame:
+    return facts.join(hot, key, "left").select(*facts.columns, _salt(key))
+
+
+def _repeated(rows: DataFrame, hot: DataFrame, key: str) -> DataFrame:
+    """Each row once per salt of its key, with ``_salts`` null unless the key is hot."""
+    salts = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
+    return rows.join(hot, key, "left").select(
+        *rows.columns, "_salts", F.explode(salts).alias("_salt"))
+
+
+def left_join_lookup(
+    facts: DataFrame,
+    lookup: DataFrame,
+    key: str,
+    min_rows: int | None = None,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
-    """``base`` (one row per key) left join ``facts`` (any number of rows per key).
+    """``facts`` (any number of rows per key) left join ``lookup`` (one row per key).
 
-    A left join cannot split a heavy right-hand key, so the few heavy keys take another route:
-    their ``base`` rows, at most MAX_HOT_KEYS of them, are broadcast to the facts where they lie.
+    ``counts`` may hand in the rows per key if the caller has them already.
     """
-    hot = F.broadcast(hot_keys(facts, key, min_rows))
-    spread = base.join(hot, key, "left_anti").join(facts.join(hot, key, "left_anti"), key, "left")
-    heavy_base = F.broadcast(base.join(hot, key, "left_semi"))
-    heavy = facts.join(heavy_base, key, "inner")
-    return spread.unionByName(heavy)
+    counts = key_counts(facts, key) if counts is None else counts
+    hot = F.broadcast(hot_keys(counts, key, min_rows))
+    right = _repeated(lookup, hot, key).drop("_salts")
+    return _salted(facts, hot, key).join(right, [key, "_salt"], "left").drop("_salt")
+
+
+def left_join_facts(
+    base: DataFrame, facts: DataFrame, key: str, min_rows: int | None = None
+) -> DataFrame:
+    """``base`` (one row per key) left join ``facts`` (any number of rows per key)."""
+    hot = F.broadcast(hot_keys(key_counts(facts, key), key, min_rows))
+    right = _salted(facts, hot, key).withColumn("_found", F.lit(True))
+    joined = _repeated(base, hot, key).join(right, [key, "_salt"], "left")
+    # a hot key has facts, so a salt of it without any is no row of the result
+    return joined.filter("_salts IS NULL OR _found").drop("_salts", "_salt", "_found")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from acctrisk.functions.columns import missing_text
+from acctrisk.functions.skew import key_counts, left_join_lookup
 from acctrisk.functions.similarity import (
     EASY_THRESHOLD, similar_pairs, token_ranks, token_sort, with_tokens,
 )
@@ -97,7 +98,12 @@ def reconcile(
     pairs, so an account that a third of all notes mention is resolved once; the notes
     themselves are joined a single time.
     """
-    pairs = notes.select("account_id", "account_name").distinct()
+    kept = [c for c in notes.columns if c not in ("account_id", "account_name")]
+    # pairs as structs are equal where both lack the same part
+    keyed = notes.select(*kept, F.struct("account_id", "account_name").alias("pair"))
+    counts = key_counts(keyed, "pair")
+    # the filter holds always; using the count lets Spark share this aggregation with the join
+    pairs = counts.filter("n > 0").select("pair.*")
     by_id = accounts.select(
         "account_id", F.col("account_name").alias("id_name"), F.lit(True).alias("by_id"))
     lookup = name_lookup(accounts, order)
@@ -131,7 +137,7 @@ def reconcile(
         return column
 
     resolved = tiers.select(
-        F.col("account_id").alias("k_id"), F.col("account_name").alias("k_name"),
+        F.struct("account_id", "account_name").alias("pair"),
         first(("by_id", F.col("account_id")), ("exact_id", F.col("exact_id")),
               ("ext_id", F.col("ext_id")), ("fuzzy_id", F.col("fuzzy_id")),
               ("account_id", F.col("account_id"))).alias("new_id"),
@@ -142,10 +148,7 @@ def reconcile(
               ("ext_id", F.lit("external")), ("fuzzy_id", F.lit("fuzzy")))
         .otherwise(F.lit("none")).alias("match_method"),
     )
-    kept = [c for c in notes.columns if c not in ("account_id", "account_name")]
-    same = F.col("account_id").eqNullSafe(F.col("k_id")) & F.col("account_name").eqNullSafe(
-        F.col("k_name"))
-    return notes.join(resolved, same, "left").select(
+    return left_join_lookup(keyed, resolved, "pair", counts=counts).select(
         *kept, F.col("new_id").alias("account_id"), F.col("new_name").alias("account_name"),
         "match_method")
 
@@ -176,6 +179,9 @@ def notes_by_account(
         .select("account_id", F.greatest(
             F.lit(1), F.floor(F.lit(max_chars) / F.col("longest"))).alias("per_segment"))
     )
+    # Broadcast: there are at most total text / max_chars such accounts, two million two-number
+    # rows for 100 TB. A shuffled join would leave all segments of an account in one task.
+    long = F.broadcast(long)
     segment = F.coalesce(F.floor(F.col("note_idx") / F.col("per_segment")), F.lit(0))
     texts = (
         rows.join(long, "account_id", "left")

@@ -41,8 +41,8 @@ def merge_signals(
     """Left join every signal frame to the accounts; ``None`` stands for an absent signal.
 
     A column two frames share comes from the earlier one. Every frame holds one row per account
-    except the survey, which may hold any number: it is joined last and keeps its hot accounts
-    apart, unless ``nps_unique`` says that it holds one row per account, too.
+    except the survey, which may hold any number: it is joined last and its hot accounts are
+    spread, unless ``nps_unique`` says that it holds one row per account, too.
     """
     merged, layout, survey = accounts, list(accounts.columns), None
     for frame in (usage, tickets, nps, csm, sdk, engagement):

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from acctrisk import fixed
 from acctrisk.functions.columns import clip01, missing_text, rnd, sql_rnd, sql_text
+from acctrisk.functions.skew import left_join_lookup
 from acctrisk.params import DEFAULT, ScoringParams
 
 # Sorts after every YYYY-MM text, so rows without a month come last.
@@ -241,22 +244,34 @@ def last_per_account(annotations: DataFrame, columns: list[str], order: str) ->
     ).select("account_id", *[F.col(f"a.{c}").alias(c) for c in columns])
 
 
+def _translations(translations: DataFrame) -> DataFrame:
+    supplied = last_per_account(translations, ["translated", "language"], "seq")
+    return supplied.withColumn("has_translation", F.lit(True))
+
+
+def _translation_columns() -> list[Column]:
+    comment = F.col("verbatim_comment")
+    return [
+        F.when(F.col("has_translation"), F.coalesce("translated", comment, F.lit("")))
+        .otherwise(comment).alias("translated_comment"),
+        F.when(F.col("has_translation"), F.coalesce("language", F.lit("unknown")))
+        .otherwise(F.lit("English")).alias("detected_language"),
+    ]
+
+
 def translated_nps(nps: DataFrame, translations: DataFrame | None = None) -> DataFrame:
-    """Survey rows with the translated comment and its language where one was supplied."""
+    """Survey rows with the translated comment and its language where one was supplied.
+
+    ``translations``: account_id, seq, translated, language; the last per account counts.
+    """
     if translations is None:
         return nps.select(
             "*",
             F.col("verbatim_comment").alias("translated_comment"),
             F.lit("English").alias("detected_language"),
         )
-    supplied = last_per_account(translations, ["translated", "language"], "seq")
-    return nps.join(supplied.withColumn("t", F.lit(True)), "account_id", "left").select(
-        *nps.columns,
-        F.when(F.col("t"), F.coalesce("translated", "verbatim_comment", F.lit("")))
-        .otherwise(F.col("verbatim_comment")).alias("translated_comment"),
-        F.when(F.col("t"), F.coalesce("language", F.lit("unknown")))
-        .otherwise(F.lit("English")).alias("detected_language"),
-    )
+    joined = left_join_lookup(nps, _translations(translations), "account_id")
+    return joined.select(*nps.columns, *_translation_columns())
 
 
 def nps_comments_to_annotate(
@@ -275,21 +290,32 @@ def nps_signals(
     nps: DataFrame,
     translations: DataFrame | None = None,
     sentiments: DataFrame | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """Survey risk, one output row per survey row.
 
-    ``sentiments``: account_id, seq, sentiment, score_contradicts, risk_boost.
+    ``sentiments``: account_id, seq, sentiment, score_contradicts, risk_boost. ``unique``
+    promises at most one survey row per account, so that no account can be hot.
     """
-    rows = translated_nps(nps.filter(F.col("account_id").isNotNull()), translations)
-    if sentiments is None:
-        boost, mood, contradicts = F.lit(0.0), F.lit("neutral"), F.lit(False)
-    else:
-        supplied = last_per_account(
-            sentiments, ["sentiment", "score_contradicts", "risk_boost"], "seq")
-        rows = rows.join(supplied, "account_id", "left")
+    rows = nps.filter(F.col("account_id").isNotNull())
+    supplied = []
+    boost, mood, contradicts = F.lit(0.0), F.lit("neutral"), F.lit(False)
+    comment, language = F.col("verbatim_comment").alias("translated_comment"), F.lit(
+        "English").alias("detected_language")
+    if translations is not None:
+        supplied.append(_translations(translations))
+        comment, language = _translation_columns()
+    if sentiments is not None:
+        supplied.append(last_per_account(
+            sentiments, ["sentiment", "score_contradicts", "risk_boost"], "seq"))
         boost = F.coalesce("risk_boost", F.lit(0.0))
         mood = F.coalesce("sentiment", F.lit("neutral"))
         contradicts = F.coalesce("score_contradicts", F.lit(False))
+    if supplied:
+        # both annotations, one row per account each, meet before the many survey rows join them
+        annotations = reduce(lambda a, b: a.join(b, "account_id", "full"), supplied)
+        rows = (rows.join(annotations, "account_id", "left") if unique
+                else left_join_lookup(rows, annotations, "account_id"))
     base = nps_base_risk(F.col("score"))
     return rows.select(
         "account_id",
@@ -297,8 +323,8 @@ def nps_signals(
         F.when(F.col("score").isNotNull(), rnd(clip01(base + boost), 3)).alias("nps_risk_score"),
         F.col("score").alias("nps_score"),
         F.col("verbatim_comment").alias("nps_comment"),
-        "translated_comment",
-        "detected_language",
+        comment,
+        language,
         mood.alias("comment_sentiment"),
         contradicts.alias("sentiment_score_mismatch"),
     )

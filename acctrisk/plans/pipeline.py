@@ -51,7 +51,8 @@ def score_dataset(data: Dataset, params: ScoringParams = DEFAULT) -> DataFrame:
     if data.tickets is not None:
         tickets = signals.ticket_signals(data.tickets, params)
     if data.nps is not None:
-        nps = signals.nps_signals(data.nps, data.translations, data.sentiments)
+        nps = signals.nps_signals(
+            data.nps, data.translations, data.sentiments, data.nps_unique)
     if data.analyses is not None:
         csm = signals.csm_signals(annotate.account_analyses(data.analyses))
     merged = scoring.merge_signals(

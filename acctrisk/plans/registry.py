@@ -235,7 +235,7 @@ def merged_signals(spark, sf_dir):
         d.accounts,
         signals.usage_signals(d.usage, d.unique_months),
         signals.ticket_signals(d.tickets, PARAMS),
-        signals.nps_signals(d.nps, d.translations, d.sentiments),
+        signals.nps_signals(d.nps, d.translations, d.sentiments, d.nps_unique),
         signals.csm_signals(annotate.account_analyses(d.analyses)),
         signals.sdk_risk(d.usage),
         signals.engagement_signals(d.usage, d.accounts),

@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 from tests.conftest import by_key
 
 from acctrisk import fixed
-from acctrisk.functions.skew import hot_keys, left_join_facts
+from acctrisk.functions.skew import (
+    hot_keys, key_counts, left_join_facts, left_join_lookup,
+)
 from acctrisk.operators import scoring
 from acctrisk.params import ScoringParams
 
@@ -87,10 +89,22 @@ def test_every_response_keeps_its_row_on_either_join_path(frame):
     merged = scoring.composite_risk(accounts, nps=nps).groupBy("account_id").count()
     assert {r.account_id: r["count"] for r in merged.collect()} == {1: 50, 2: 1, 3: 1}
     plain = accounts.join(nps, "account_id", "left")
-    split = left_join_facts(accounts, nps, "account_id", min_rows=10)
-    assert [r.account_id for r in hot_keys(nps, "account_id", 10).collect()] == [1]
-    assert sorted(map(str, split.select(plain.columns).collect())) == sorted(
-        map(str, plain.collect()))
+    hot = hot_keys(key_counts(nps, "account_id"), "account_id", 10).collect()
+    assert [(r.account_id, r._salts) for r in hot] == [(1, 6)]
+    for parts in (1, 9):
+        split = left_join_facts(accounts, nps.repartition(parts), "account_id", min_rows=10)
+        assert sorted(map(str, split.select(plain.columns).collect())) == sorted(
+            map(str, plain.collect()))
+
+
+def test_hot_and_missing_keys_of_a_lookup_join(frame):
+    facts = frame("k long, v long", *[(1, i % 3) for i in range(40)], (2, 1), (None, 5), (3, 6))
+    lookup = frame("k long, name string", (1, "one"), (2, "two"), (4, "four"))
+    plain = facts.join(lookup, "k", "left")
+    for parts in (1, 9):
+        split = left_join_lookup(facts.repartition(parts), lookup, "k", min_rows=10)
+        assert sorted(map(str, split.select(plain.columns).collect())) == sorted(
+            map(str, plain.collect()))
 
 
 def test_ranking_breaks_ties_by_id(frame):
