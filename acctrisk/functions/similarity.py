@@ -19,9 +19,9 @@ EASY_THRESHOLD = 85
 
 
 def token_sort(name: Column) -> Column:
-    """A name with its words in code point order."""
+    """A name with its words in code point order; never null."""
     words = F.array_remove(F.split(name, r"(?U)\s+"), "")
-    return F.array_join(F.array_sort(words), " ")
+    return F.coalesce(F.array_join(F.sort_array(words), " "), F.lit(""))
 
 
 def _codes(texts: pd.Series) -> np.ndarray:
@@ -81,18 +81,23 @@ _NUMBERED = """
 def token_ranks(names: DataFrame) -> Column:
     """How often the commonest character tokens occur among ``sorted`` names, as one map."""
     counted = (
-        names.select(F.expr(f"explode({_NUMBERED})").alias("token"))
-        .groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+        names.select(F.expr(f"explode_outer({_NUMBERED})").alias("token"))
+        .filter("token IS NOT NULL").groupBy("token").agg(F.count(F.lit(1)).alias("n"))
         .orderBy(F.desc("n"), "token").limit(MAX_RANKED_TOKENS)
     )
     return counted.agg(F.expr("map_from_entries(collect_list(struct(token, n)))")).scalar()
 
 
 def with_tokens(names: DataFrame, ranks: Column) -> DataFrame:
-    """Add the character tokens of ``sorted`` names, rarest first; no shuffle."""
+    """Add the character tokens of ``sorted`` names, rarest first; no shuffle.
+
+    They are declared never null: else Spark tests them for null ahead, on all the names there
+    are before these are made distinct.
+    """
     rarest_first = F.expr(f"""
-        array_sort(transform({_NUMBERED}, t ->
-            struct(coalesce(try_element_at(ranks, t), 0L) AS n, t AS token))).token""")
+        coalesce(sort_array(transform({_NUMBERED}, t ->
+            struct(coalesce(try_element_at(ranks, t), 0L) AS n, t AS token))).token,
+            cast(array() AS array<string>))""")
     return names.withColumn("ranks", ranks).withColumn("tokens", rarest_first).drop("ranks")
 
 
@@ -101,11 +106,14 @@ def _prefixes(names: DataFrame, threshold: int) -> DataFrame:
 
     A name of length l needs at least n characters in common with any partner, so one of its
     l - n + 1 rarest tokens is among the common ones. n is smallest for the shortest partner.
+
+    The outer form of explode keeps Spark from testing the list's size ahead, too; names without
+    tokens drop out in the join.
     """
     shortest = f"ceil({threshold} * length(sorted) / {200 - threshold}D)"
     needed = f"ceil({threshold} * (length(sorted) + {shortest}) / 200D)"
     return names.select("*", F.expr(
-        f"posexplode(slice(tokens, 1, int(length(sorted) - {needed} + 1)))"
+        f"posexplode_outer(slice(tokens, 1, int(length(sorted) - {needed} + 1)))"
     ).alias("pos", "token"))
 
 

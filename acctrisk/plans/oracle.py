@@ -861,6 +861,7 @@ QUERIES = {
     "nps_signals": "select * from {nps_sig}",
     "csm_signals": "select * from {csm_sig}",
     "merged_signals": "select * from {merged}",
+    "merged_stand_alone": "select * from {merged}",
     "risk_scores": "select * from {risk}",
     "renewal_window": f"""
         select * from (select *, datediff('day', {SNAPSHOT}, contract_end_date)::bigint

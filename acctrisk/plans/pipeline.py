@@ -36,13 +36,14 @@ class Dataset:
     unique_months: bool = False
 
 
-def score_dataset(data: Dataset, params: ScoringParams = DEFAULT) -> DataFrame:
-    """Scored accounts of the renewal window, each fact table read once.
+def merge_dataset(
+    data: Dataset, accounts: DataFrame, params: ScoringParams = DEFAULT
+) -> DataFrame:
+    """All signals of the given accounts with defaults filled in, each fact table read once.
 
     Usage, SDK and engagement come from one usage profile; engagement needs the plan and ARR,
     which the accounts bring along, so no second join with them.
     """
-    accounts = scoring.renewal_window(data.accounts, params)
     usage = tickets = nps = csm = None
     if data.usage is not None:
         usage = signals.usage_profile(data.usage, data.unique_months).select(
@@ -60,7 +61,13 @@ def score_dataset(data: Dataset, params: ScoringParams = DEFAULT) -> DataFrame:
     if usage is not None:
         kept = [c for c in merged.columns if c not in ("known_users", "has_usage")]
         merged = merged.select(*kept, *signals.engagement_columns("known_users", "has_usage"))
-    return scoring.score_merged(merged, params)
+    return scoring.fill_defaults(merged)
+
+
+def score_dataset(data: Dataset, params: ScoringParams = DEFAULT) -> DataFrame:
+    """Scored accounts of the renewal window."""
+    accounts = scoring.renewal_window(data.accounts, params)
+    return scoring.score_merged(merge_dataset(data, accounts, params), params)
 
 
 @dataclass(frozen=True)

@@ -229,19 +229,25 @@ def csm_signals(spark, sf_dir):
 
 @query
 def merged_signals(spark, sf_dir):
-    """The whole merge, window not applied, from the stand-alone signal operators."""
+    """All signals of all accounts, window not applied."""
+    d = dataset(spark, sf_dir)
+    return pipeline.merge_dataset(d, scoring.with_days(d.accounts, PARAMS), PARAMS)
+
+
+@query
+def merged_stand_alone(spark, sf_dir):
+    """The same merge from six stand-alone signal frames."""
     d = dataset(spark, sf_dir)
     merged = scoring.merge_signals(
-        d.accounts,
-        signals.usage_signals(d.usage, d.unique_months),
+        scoring.with_days(d.accounts, PARAMS),
+        signals.usage_signals(d.usage),
         signals.ticket_signals(d.tickets, PARAMS),
-        signals.nps_signals(d.nps, d.translations, d.sentiments, d.nps_unique),
+        signals.nps_signals(d.nps, d.translations, d.sentiments),
         signals.csm_signals(annotate.account_analyses(d.analyses)),
         signals.sdk_risk(d.usage),
         signals.engagement_signals(d.usage, d.accounts),
-        nps_unique=d.nps_unique,
     )
-    return scoring.with_days(scoring.fill_defaults(merged), PARAMS)
+    return scoring.fill_defaults(merged)
 
 
 @query
