@@ -145,7 +145,8 @@ def _at_risk() -> Column:
 
 def sdk_distribution(risk: DataFrame) -> DataFrame:
     """Accounts and at-risk accounts per SDK version."""
-    return with_optional_columns(risk).filter(F.col("sdk_version").isNotNull()).groupBy("sdk_version").agg(
+    known = with_optional_columns(risk).filter(F.col("sdk_version").isNotNull())
+    return known.groupBy("sdk_version").agg(
         F.count(F.lit(1)).alias("n_accounts"),
         F.count_if(_at_risk()).alias("n_at_risk"),
     )
@@ -163,7 +164,8 @@ def nps_buckets(risk: DataFrame) -> DataFrame:
 
 def industry_risk(risk: DataFrame) -> DataFrame:
     """At-risk accounts and their ARR per industry."""
-    return with_optional_columns(risk).filter(_at_risk() & F.col("industry").isNotNull()).groupBy("industry").agg(
+    known = with_optional_columns(risk).filter(_at_risk() & F.col("industry").isNotNull())
+    return known.groupBy("industry").agg(
         F.count(F.lit(1)).alias("n_at_risk"), F.sum("arr").alias("total_arr"))
 
 
