@@ -90,11 +90,13 @@ def reconcile(
     matches: DataFrame | None = None,
     threshold: int = 65,
     order: str = "account_id",
+    all_or_nothing: bool = False,
 ) -> DataFrame:
     """Give every note its account: by id, exact name, external match or similar name.
 
     ``notes`` holds account_id and account_name as found in the text; ``accounts`` one row per
-    id. A note no tier resolves keeps what it has. The tiers run on the distinct (id, name)
+    id. A note no tier resolves keeps what it has. With ``all_or_nothing``, external matches that
+    lack a row for any name still open are ignored as a whole. The tiers run on the distinct (id, name)
     pairs, so an account that a third of all notes mention is resolved once; the notes
     themselves are joined a single time.
     """
@@ -122,8 +124,14 @@ def reconcile(
         external = valid_matches(matches, accounts).select(
             "input_name", F.col("matched_id").alias("ext_id"),
             F.col("account_name").alias("ext_name"))
-        tiers = tiers.join(
-            external, F.when(unsettled, name) == F.col("input_name"), "left")
+        asked = F.when(unsettled, name)
+        if all_or_nothing:
+            answered = matches.select(F.col("input_name").alias("query")).distinct()
+            unanswered = tiers.select(asked.alias("query")).filter("query IS NOT NULL").join(
+                answered, "query", "left_anti")
+            complete = unanswered.agg(F.count(F.lit(1)) == 0).scalar()
+            external = external.withColumn("complete", complete).filter("complete")
+        tiers = tiers.join(external, asked == F.col("input_name"), "left")
     open_name = F.when(unsettled & F.col("ext_id").isNull(), name)
     open_names = tiers.select(open_name.alias("query")).filter("query IS NOT NULL").distinct()
     fuzzy = fuzzy_match(open_names, lookup, threshold).select(

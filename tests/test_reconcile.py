@@ -137,3 +137,16 @@ def test_long_accounts_come_in_segments_that_make_up_the_whole(frame):
     assert all(len(text) <= 100 for texts in pieces.values() for text in texts)
     assert {k: "\n\n".join(v) for k, v in pieces.items()} == {
         k: r.notes_text for k, r in whole.items()}
+
+
+def test_incomplete_external_matches_can_be_ignored(frame, accounts):
+    notes = frame(NOTES, (1, "a", None, "the healthcare one"), (2, "b", None, "another"),
+                  (3, "c", 1001, "not asked"))
+    schema = "input_name string, matched_id long, confidence string"
+    partly = frame(schema, ("the healthcare one", 1006, "high"))
+    fully = frame(schema, ("the healthcare one", 1006, "high"), ("another", None, "low"))
+    for matches, strict, expected in [
+            (partly, False, 1006), (partly, True, None), (fully, True, 1006)]:
+        rows = by_key(reconcile.reconcile(
+            notes, accounts, matches, all_or_nothing=strict), "note_idx")
+        assert (rows[1].account_id, rows[3].account_id) == (expected, 1001)
