@@ -49,3 +49,19 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text",
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """The texts of a batch; null counts as empty."""
     return [x or "" for x in batch.column(column).to_pylist()]
+
+
+def salted_join(large: DataFrame, small: DataFrame, keys: list[str], spread: str,
+                salts: int = 32, how: str = "left") -> DataFrame:
+    """Equi-join in which the rows of one key go to `salts` partitions instead of one.
+
+    Rows of the large side are dealt by the hash of the column `spread`, which should vary within
+    a key; each row of the small side, with few rows per key, is repeated per salt. Null keys meet
+    nothing.
+    """
+    salt = F.pmod(F.xxhash64(F.col(spread)), F.lit(salts)).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    return (
+        large.withColumn("_salt", salt)
+        .join(small.withColumn("_salt", every), [*keys, "_salt"], how).drop("_salt")
+    )

@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from acctrisk.llm import byte_bpe, packing
-from acctrisk.llm.common import table
+from acctrisk.llm import byte_bpe, chat, packing, rules, urls
+from acctrisk.llm.common import materialise, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -20,6 +21,97 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    measured = materialise(rules.measure(table(spark, sf_dir, "documents")))
+    return rules.judge(measured, rules.fit(measured, table(spark, sf_dir, "labels")))
+
+
+URL_RULES = [
+    urls.Rule("allow", "org", "/"), urls.Rule("block", "example.org", "/es/"),
+    urls.Rule("block", "example.org", "/en/1"), urls.Rule("allow", "com", "/fr/"),
+    urls.Rule("block", "com", "/de/"),
+]
+
+
+@query
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page's outcome is the quality label of the document that its url numbers."""
+    pages = table(spark, sf_dir, "pages").select(
+        "page_id", "url", F.expr("try_cast(regexp_extract(url, '/([0-9]+)', 1) as bigint)")
+        .alias("item"))
+    labels = table(spark, sf_dir, "labels").select(
+        F.col("doc_id").alias("item"), F.col("quality").alias("good"))
+    return urls.judge(pages, labels, URL_RULES).select(
+        "page_id", "host", "path", "rule", "verdict")
+
+
+ORACLE_SQL["op4_url_filters"] = r"""
+with cut as (
+  select page_id, try_cast(regexp_extract(url, '/([0-9]+)', 1) as bigint) as item,
+         case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) else '' end rest
+  from pages),
+parsed as (
+  select page_id, item, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path,
+         translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz') as host
+  from cut),
+hosts as (
+  select host, count(quality) as n, coalesce(sum(quality), 0) as k,
+         regexp_replace(host, ':[0-9]*$', '') as name
+  from parsed left join labels on doc_id = item group by host),
+leveled as (
+  select host, n, k, regexp_extract(name, '[^.]*$') as suffix,
+         regexp_extract(name, '([^.]*[.])?[^.]*$') as domain
+  from hosts),
+domains as (select domain, suffix, sum(n) as n, sum(k) as k from leveled group by all),
+suffixes as (select suffix, sum(n) as n, sum(k) as k from domains group by suffix),
+groups as (
+  select 'host' as lv, n, k from hosts union all select 'domain', n, k from domains
+  union all select 'suffix', n, k from suffixes),
+sums as (
+  select lv, count(*) as g, sum(n)::double as n, sum(k)::double as k, sum(n::double * n) as nn,
+         sum(k::double * k / n) as kkn
+  from groups where n > 0 group by lv),
+spread as (
+  select lv, k / n * (1 - k / n) as v,
+         (kkn - k * k / n - (g - 1) * (k / n) * (1 - k / n)) / nullif(n - nn / n, 0) as b
+  from sums),
+strength as (
+  select lv, greatest(1.0, least(10000.0, case when b > 0 then v / b - 1 else 10000.0 end)) as m
+  from spread),
+m as (
+  select coalesce(max(m) filter (where lv = 'suffix'), 1) as ms,
+         coalesce(max(m) filter (where lv = 'domain'), 1) as md,
+         coalesce(max(m) filter (where lv = 'host'), 1) as mh from strength),
+top as (select coalesce(sum(k) / sum(n), 0.5) as p from suffixes),
+suffix_means as (
+  select suffix, (ms * p + k) / (ms + n) as mean from suffixes, m, top),
+domain_means as (
+  select domain, (md * s.mean + k) / (md + n) as mean
+  from domains join suffix_means s using (suffix), m),
+posterior as (
+  select host, (mh * d.mean + k) / (mh + n) as good, mh + n as total
+  from leveled join domain_means d using (domain), m),
+bounds as (
+  select host, good + 1.645 * sqrt(good * (1 - good) / (total + 1)) as upper from posterior),
+judged as (
+  select page_id, host, path, upper,
+    case when (host = 'example.org' or host like '%.example.org') and path like '/en/1%'
+           then 'example.org/en/1'
+         when (host = 'example.org' or host like '%.example.org') and path like '/es/%'
+           then 'example.org/es/'
+         when (host = 'com' or host like '%.com') and path like '/de/%' then 'com/de/'
+         when (host = 'com' or host like '%.com') and path like '/fr/%' then 'com/fr/'
+         when (host = 'org' or host like '%.org') and path like '/%' then 'org/' end as rule
+  from parsed join bounds using (host))
+select page_id, host, path, rule,
+  case when rule in ('org/', 'com/fr/') then 'allow' when rule is not null then 'block'
+       when upper < 0.8 then 'block' else 'allow' end as verdict
+from judged
+"""
+
+
 @query
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -30,3 +122,35 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.rotate(table(spark, sf_dir, "conversations"))
+
+
+ORACLE_SQL["op10_chat"] = r"""
+with seen as (
+  select distinct conv_id, role as perspective from conversations
+  where role is not null and role <> 'system'),
+views as (
+  select c.conv_id, s.perspective, c.turn, c.role as speaker, c.text,
+    case when c.role = 'system' then 'system' when c.role = s.perspective then 'assistant'
+         else 'user' end as role
+  from conversations c join seen s on c.conv_id is not distinct from s.conv_id),
+named as (
+  select *, case when role = 'user' then
+    regexp_replace(coalesce(speaker, 'unknown'), '[^A-Za-z0-9_-]', '_', 'g') end as name,
+    replace(coalesce(text, ''), '<|', '< |') || '<|im_end|>' as said
+  from views),
+made as (
+  select *, '<|im_start|>' || role || coalesce(' name=' || name, '') || chr(10) as head from named)
+select conv_id, perspective, turn, role, name, head || said || chr(10) as rendered,
+  coalesce(sum(length(head || said) + 1) over (
+    partition by conv_id, perspective
+    order by turn nulls first, speaker nulls first, text nulls first
+    rows between unbounded preceding and 1 preceding), 0)::bigint as start,
+  length(head)::int as mask_start,
+  (case when role = 'assistant' then length(said) else 0 end)::int as mask_length
+from made
+"""
