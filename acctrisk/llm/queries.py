@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acctrisk.llm import byte_bpe, chat, packing, rules, urls
-from acctrisk.llm.common import materialise, table
+from acctrisk.llm import byte_bpe, chat, classifier, language, packing, rules, urls
+from acctrisk.llm.common import held_out, materialise, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -21,6 +21,14 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").where(~held_out("doc_id", 5, 0))
+    scored = classifier.score(docs, classifier.fit(docs, labels))
+    return scored.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score", "predicted")
+
+
 @query
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     measured = materialise(rules.measure(table(spark, sf_dir, "documents")))
@@ -124,6 +132,14 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.fit(docs.where(~held_out("doc_id", 3, 1)))
+    found = language.identify(docs, model)
+    return found.select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rotate(table(spark, sf_dir, "conversations"))
