@@ -22,10 +22,10 @@ UNKNOWN = "und"
 MAX_N = 3
 # Places of the presence vector; n-grams are hashed to them.
 PLACES = 1 << 14
-LANDMARKS = 96
+LANDMARKS = 128
 RIDGE = 1e-3
 # Texts per language for fitting, on average at most.
-FIT_ROWS = 600
+FIT_ROWS = 1000
 # Texts that become one presence matrix.
 ROWS = 64
 
@@ -59,45 +59,66 @@ def kernel(x: np.ndarray, landmarks: np.ndarray) -> np.ndarray:
     return (x @ landmarks.T) / np.maximum(size, 1e-9)
 
 
+def packed(x: np.ndarray) -> np.ndarray:
+    """Presence rows as bits, an eighth of a byte per place."""
+    return np.packbits(x.astype(bool), axis=1)
+
+
+def unpacked(bits: np.ndarray) -> np.ndarray:
+    return np.unpackbits(bits, axis=1).astype(np.float32)
+
+
+def kernels(bits: np.ndarray, landmarks: np.ndarray, rows: int = 256) -> np.ndarray:
+    """Kernel of many packed rows with the landmarks, a block of rows at a time."""
+    parts = [kernel(unpacked(bits[i:i + rows]), landmarks) for i in range(0, len(bits), rows)]
+    return np.concatenate(parts).astype(float)
+
+
 @dataclass
 class Model:
+    """Landmarks are kept packed, so the model that goes to the tasks is about half a megabyte."""
+
     languages: list[str]
-    landmarks: np.ndarray
+    bits: np.ndarray
     weights: np.ndarray
     offset: np.ndarray
 
-    def scores(self, x: np.ndarray) -> np.ndarray:
+    def landmarks(self) -> np.ndarray:
+        return unpacked(self.bits)
+
+    def scores(self, x: np.ndarray, landmarks: np.ndarray) -> np.ndarray:
         """One column per language; about 1 for it, about 0 against it."""
-        return kernel(x, self.landmarks) @ self.weights + self.offset
+        return kernel(x, landmarks) @ self.weights + self.offset
 
-    def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
+    def predict(self, texts: list[str], landmarks: np.ndarray) -> tuple[list[str], np.ndarray]:
         """Language and score of each text; `und` and 0 without a letter or a learnt language."""
         names, best = [UNKNOWN] * len(texts), np.zeros(len(texts))
         at = [i for i, x in enumerate(texts) if self.languages and has_letter(x)]
         for start in range(0, len(at), ROWS):
             rows = at[start:start + ROWS]
-            scores = self.scores(presence([texts[i] for i in rows]))
+            scores = self.scores(presence([texts[i] for i in rows]), landmarks)
             for i, k, value in zip(rows, scores.argmax(1), scores.max(1), strict=True):
                 names[i], best[i] = self.languages[k], min(max(float(value), 0.0), 1.0)
         return names, best
 
 
-def train(x: np.ndarray, names: list[str], landmarks: int = LANDMARKS,
+def train(bits: np.ndarray, names: list[str], landmarks: int = LANDMARKS,
           ridge: float = RIDGE) -> Model:
     """Nyström features of all rows and a ridge regression per language.
 
-    The landmarks are the first rows of each language in turn.
+    bits: packed presence rows. The landmarks are the first rows of each language in turn.
     """
     languages = sorted(set(names))
     name = np.array(names, dtype=object)
     if not languages:
-        return Model([], np.zeros((0, PLACES), np.float32), np.zeros((0, 0)), np.zeros(0))
+        return Model([], bits[:0], np.zeros((0, 0)), np.zeros(0))
     turn = [np.flatnonzero(name == k) for k in languages]
-    order = [rows[i] for i in range(len(x)) for rows in turn if i < len(rows)]
-    chosen = x[order[:landmarks]]
-    values, vectors = np.linalg.eigh(kernel(chosen, chosen).astype(float))
+    order = [rows[i] for i in range(max(map(len, turn))) for rows in turn if i < len(rows)]
+    chosen = bits[order[:landmarks]]
+    near = unpacked(chosen)
+    values, vectors = np.linalg.eigh(kernel(near, near).astype(float))
     root = vectors * np.where(values > 1e-6, 1 / np.sqrt(np.maximum(values, 1e-6)), 0)
-    features = kernel(x, chosen) @ root
+    features = kernels(bits, near) @ root
     wanted = (name[:, None] == np.array(languages, dtype=object)[None, :]).astype(float)
     weight = 1 / wanted.sum(0)[wanted.argmax(1)]  # every language counts alike
     weight = weight / weight.sum()
@@ -120,7 +141,7 @@ def fit(docs: DataFrame, rows: int = FIT_ROWS, landmarks: int = LANDMARKS) -> Mo
         for batch in slices(batches):
             for start in range(0, len(batch), ROWS):
                 part = batch.slice(start, ROWS)
-                bits = np.packbits(presence(texts_of(part)).astype(bool), axis=1)
+                bits = packed(presence(texts_of(part)))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id").cast(pa.int64()), part.column("lang"),
                      pa.array([x.tobytes() for x in bits], pa.binary())],
@@ -136,8 +157,7 @@ def fit(docs: DataFrame, rows: int = FIT_ROWS, landmarks: int = LANDMARKS) -> Mo
         .select("doc_id", "row.*").orderBy(F.xxhash64("doc_id"), "doc_id").toArrow()
     )
     bits = np.frombuffer(b"".join(taken["bits"].to_pylist()), np.uint8).reshape(-1, PLACES // 8)
-    x = np.unpackbits(bits, axis=1).astype(np.float32)
-    return train(x, taken["lang"].to_pylist(), landmarks)
+    return train(bits, taken["lang"].to_pylist(), landmarks)
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
@@ -147,8 +167,9 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     null. Other columns are ignored. Nothing is shuffled.
     """
     def run(batches):
+        landmarks = model.landmarks()
         for batch in slices(batches):
-            names, scores = model.predict(texts_of(batch))
+            names, scores = model.predict(texts_of(batch), landmarks)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").cast(pa.int64()), pa.array(names, pa.string()),
                  pa.array(scores)], names=["doc_id", "lang_pred", "score"])
@@ -160,8 +181,9 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 def keep(docs: DataFrame, model: Model, min_score: float) -> DataFrame:
     """The documents whose language is known with at least `min_score`, with all their columns."""
     def run(batches):
+        landmarks = model.landmarks()
         for batch in slices(batches):
-            names, scores = model.predict(texts_of(batch))
+            names, scores = model.predict(texts_of(batch), landmarks)
             good = (np.array(names, dtype=object) != UNKNOWN) & (scores >= min_score)
             yield batch.filter(pa.array(good.astype(bool)))
 
