@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acctrisk.llm import byte_bpe, chat, classifier, language, packing, rules, urls
+from acctrisk.llm import byte_bpe, chat, classifier, language, lm, packing, rules, urls
 from acctrisk.llm.common import held_out, materialise, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,13 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score", "predicted")
 
 
+@query
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = lm.score(docs, *lm.fit(docs.where(~held_out("doc_id", 10, 0))))
+    return scored.withColumn("held_out", held_out("doc_id", 10, 0))
+
+
 @query
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     measured = materialise(rules.measure(table(spark, sf_dir, "documents")))
