@@ -70,10 +70,8 @@ def long_pieces(text: str, size: int = LONG_TEXT) -> Iterator[str]:
 
 def encode_text(encoding: tiktoken.Encoding, text: str) -> np.ndarray:
     """Token ids of a text, special tokens being ordinary text."""
-    if len(text) <= LONG_TEXT:
-        return np.array(encoding.encode_ordinary(text), dtype="<u4")
-    return np.concatenate([np.array(encoding.encode_ordinary(piece), dtype="<u4")
-                           for piece in long_pieces(text)])
+    parts = [encoding.encode_to_numpy(piece, disallowed_special=()) for piece in long_pieces(text)]
+    return parts[0] if len(parts) == 1 else np.concatenate(parts)
 
 
 def encode(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
