@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acctrisk.llm import byte_bpe, chat, classifier, jaccard, language, lm, packing, rules, urls
+from acctrisk.llm import byte_bpe, chat, classifier, jaccard, language, lm, packing, rules, topk, urls
 from acctrisk.llm.common import held_out, materialise, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -147,6 +147,11 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents")).documents.select(

@@ -1,19 +1,57 @@
-"""Corpus pipeline: quality rules, language, near duplicates, packing."""
+"""Corpus pipeline: quality rules, language, near duplicates, packing.
+
+Every stage but the last takes documents and returns those it keeps, with all their columns. The
+stages are run one after the other on written tables, so each works on what the one before kept.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from acctrisk.llm import packing
+from acctrisk.llm import jaccard, language, packing, rules
 from acctrisk.llm.common import materialise, table
 
+# A language counts as known from this score on. Texts that switch languages score about 0.3 and
+# more, so only texts in none of the learnt languages fall below.
+MIN_LANGUAGE = 0.2
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rules and the isolation forest keep.
+
+    The forest's threshold is calibrated on the labelled rows among these documents.
+    """
+    measured = materialise(rules.measure(docs))
+    return rules.keep(docs, rules.fit(measured, table(spark, sf_dir, "labels")))
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in one of the languages learnt from `lang`; texts without a letter go."""
+    return language.keep(docs, language.fit(docs), MIN_LANGUAGE)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest doc_id of every group of near duplicates.
+
+    A repeated row, one with the same doc_id, is the same document and stays once.
+    """
+    kept = (
+        jaccard.join(docs).documents.where(F.col("doc_id") == F.col("component_id"))
+        .select("doc_id").distinct()
+    )
+    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
+
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Kept documents as pieces of sequences of at most 1024 tokens."""
     return packing.pack(docs)
 
 
-STAGES = [("packing", pack)]
+STAGES = [
+    ("quality rules", quality_rules), ("language", known_language),
+    ("near duplicates", one_of_each_group), ("packing", pack),
+]
 ORACLE_SQL = None
 
 
