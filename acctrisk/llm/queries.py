@@ -93,7 +93,8 @@ spread as (
          (kkn - k * k / n - (g - 1) * (k / n) * (1 - k / n)) / nullif(n - nn / n, 0) as b
   from sums),
 strength as (
-  select lv, greatest(1.0, least(10000.0, case when b > 0 then v / b - 1 else 10000.0 end)) as m
+  select lv, greatest(1.0, least(10000.0, case when b is null then 1.0
+    when b > 0 then v / b - 1 else 10000.0 end)) as m
   from spread),
 m as (
   select coalesce(max(m) filter (where lv = 'suffix'), 1) as ms,

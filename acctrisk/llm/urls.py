@@ -68,7 +68,11 @@ def _levels(host: Column) -> tuple[Column, Column]:
 
 
 def _moments(children: DataFrame, name: str) -> Column:
-    """Strength of the prior over the given groups (columns n and k), as a scalar subquery."""
+    """Strength of the prior over the given groups (columns n and k), as a scalar subquery.
+
+    Groups that differ no more than by chance share the strongest prior; one group alone says
+    nothing about differences and gets the weakest.
+    """
     n, k = F.col("n").cast("double"), F.col("k").cast("double")
     sums = children.where("n > 0").agg(
         F.count("*").alias("groups"), F.sum(n).alias("n"), F.sum(k).alias("k"),
@@ -78,7 +82,8 @@ def _moments(children: DataFrame, name: str) -> Column:
     # sum of n_i * (p_i - p)^2, less what chance alone gives, over the effective group size
     spread = F.col("kkn") - F.col("n") * p * p - (F.col("groups") - 1) * inner
     between = spread / F.nullif(F.col("n") - F.col("nn") / F.col("n"), F.lit(0.0))
-    strength = F.when(between > 0, inner / between - 1).otherwise(F.lit(STRONGEST))
+    strength = (F.when(between.isNull(), F.lit(WEAKEST))
+                .when(between > 0, inner / between - 1).otherwise(F.lit(STRONGEST)))
     strength = F.greatest(F.lit(WEAKEST), F.least(F.lit(STRONGEST), strength))
     return sums.select(F.coalesce(strength, F.lit(WEAKEST)).alias(name)).scalar()
 
@@ -95,7 +100,7 @@ def reputation(outcomes: DataFrame, z: float = Z) -> DataFrame:
     sums = [F.sum("n").alias("n"), F.sum("k").alias("k")]
     domains = hosts.groupBy("domain", "suffix").agg(*sums)
     suffixes = domains.groupBy("suffix").agg(*sums)
-    mean = suffixes.agg(F.coalesce(F.sum("k") / F.sum("n"), F.lit(0.5))).scalar()
+    mean = suffixes.agg(F.coalesce(F.try_divide(F.sum("k"), F.sum("n")), F.lit(0.5))).scalar()
     of_suffix, of_domain, of_host = (
         _moments(x, "m") for x in (suffixes, domains, outcomes))
 
