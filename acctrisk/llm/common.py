@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -9,11 +10,32 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acctrisk.functions.lineage import materialise  # noqa: F401
+from acctrisk.functions.lineage import shared_folder
 
 # Bytes of text that a task function works on at once; bounds the memory of a Python worker.
 SLICE_BYTES = 1 << 22
 
+# Rows of an Arrow batch, and bytes of a row group, while a table of texts is written: both are
+# held in memory once per task.
+BATCH_ROWS = 1024
+ROW_GROUP = 1 << 24
+
+
+def materialise(df: DataFrame) -> DataFrame:
+    """Compute a relation once, write it to the shared folder and go on from the written table.
+
+    The table outlives the executors that wrote it. The session's batch size is put back after.
+    """
+    spark, size = df.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    path = f"{shared_folder(spark)}/corpus-{uuid.uuid4().hex}"
+    before = spark.conf.get(size)
+    spark.conf.set(size, str(BATCH_ROWS))
+    try:
+        df.write.option("parquet.block.size", ROW_GROUP).parquet(path)
+    finally:
+        spark.conf.set(size, before)
+    return spark.read.schema(df.schema).parquet(path)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -3,12 +3,15 @@
 Every text becomes the set of its word n-grams (shingles, as 64-bit hashes). Texts with equal sets
 form one class. Two classes are linked when their sets reach the similarity.
 
-1. All shingles are counted in a table of fixed size, so rare ones can be told from common ones.
+1. All shingles are counted. Numbers of shingles travel sorted and packed to the group that counts
+   them; what comes back are those that several texts have, so most never travel again.
 2. Prefix filter: sets that are similar enough share a shingle among the first few in any common
    order. With rare shingles first such prefixes seldom meet by chance. Prefixes are joined on the
-   shingle, with the length and positional filters.
-3. First round: of each shingle's classes the smallest leads, and every class is verified against
-   one leader only, the one it meets most often. Copies of one text so cost one check each.
+   shingle, with the length and positional filters. A shingle that one text alone has takes its
+   place in the order but is never joined.
+3. First round: of each shingle's classes the one that meets others most often leads, as the text
+   that others are copies of does. Every class is verified against one leader only, the one it
+   meets at most places. Copies of one text so cost one check each.
 4. Second round: what still lies in different components is compared pair by pair, unless the
    triangle inequality over the checks of the first round rules a pair out.
 5. Verification happens once per pair, on the whole sets, after the suffix filter.
@@ -36,11 +39,17 @@ from acctrisk.llm.hashing import Powers, hashed_words, mixed
 
 WORDS = 5
 PERCENT = 80
-# Counters of the shingle table, and of one part of it.
-COUNTERS, PART = 1 << 21, 1 << 16
+# Shingles are counted by this many leading bits of their hashes.
+ID_BITS = 36
+# Occurrences that are counted in one group, on average, and that a task hands on together.
+COUNTED, HANDED = 1 << 21, 1 << 20
 # Bits of the filter that says which classes have candidates.
 FILTER_BITS = 1 << 26
 SALTS = 8
+# Classes of a shingle that are held in memory together.
+GROUP = 64
+# Shared shingles of a class by which a pair that meets at many places is looked at once.
+HEAD = 16
 
 
 def sets_of(batch: pa.RecordBatch, words: int, powers: Powers) -> list[np.ndarray]:
@@ -54,7 +63,8 @@ def sets_of(batch: pa.RecordBatch, words: int, powers: Powers) -> list[np.ndarra
     for end in upto.tolist():
         n = end - start
         if n >= words:
-            found = np.unique(codes[start:end - words + 1])
+            found = np.sort(codes[start:end - words + 1])
+            found = found[np.r_[True, found[1:] != found[:-1]]]
         elif n:
             code = np.full(1, n, dtype=np.uint64)
             for h in hashes[start:end]:
@@ -85,142 +95,218 @@ def needed(total, percent: int):
 
 # --- Step 1: classes and the counts of shingles -------------------------------------------------
 
-def measure(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """Rows of documents (doc_id, n, sig) and rows of counts (part, piece, counts) in one pass."""
+def packed(values: np.ndarray) -> bytes:
+    """Whole numbers, byte by byte of all of them, compressed."""
+    return zlib.compress(values.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
+
+
+def unpacked(blob: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(blob), dtype=np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view("<u8").ravel()
+
+
+def steps(ids: np.ndarray) -> np.ndarray:
+    """Differences of ascending numbers, the first one from zero."""
+    return np.diff(ids, prepend=np.zeros(1, ids.dtype))
+
+
+def ids_of(found: np.ndarray) -> np.ndarray:
+    """The numbers by which shingles are counted; they ascend as hashes do."""
+    return found >> np.uint64(64 - ID_BITS)
+
+
+MEASURED = ["doc_id", "n", "sig", "chunk", "bucket", "ids", "owners"]
+
+
+def measure(docs: DataFrame, words: int, buckets: int) -> DataFrame:
+    """Rows of documents (doc_id, n, sig) and rows of shingles to count, in one pass.
+
+    A class is handed on once per task, in chunks of classes. A chunk's rows have chunk, bucket,
+    ids (sorted numbers of shingles) and owners (which class of the chunk has each); the row with
+    bucket -1 has the classes themselves, signatures as ids and sizes as owners.
+    """
     def run(batches):
-        powers, counts, seen = Powers(), np.zeros(COUNTERS, np.uint32), set()
+        powers, seen, waiting = Powers(), set(), []
+        chunk = TaskContext.get().partitionId() << 24
+
+        def hand_on():
+            sizes = np.array([len(x) for _, x in waiting])
+            ids = ids_of(np.concatenate([x for _, x in waiting]))
+            order = np.argsort(ids, kind="stable")
+            ids, owners = ids[order], np.repeat(np.arange(len(sizes)), sizes)[order]
+            of = (ids * np.uint64(buckets)) >> np.uint64(ID_BITS)
+            cuts = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
+            ends = np.r_[cuts[1:], len(ids)]
+            sigs = np.array([sig for sig, _ in waiting], dtype=np.int64)
+            waiting.clear()
+            spans = [*zip(cuts.tolist(), ends.tolist(), strict=True)]
+            none = pa.nulls(len(spans) + 1, pa.int64())
+            return pa.RecordBatch.from_arrays(
+                [none, none, none, pa.array(np.full(len(spans) + 1, chunk)),
+                 pa.array([-1, *of[cuts].astype(np.int64).tolist()], pa.int64()),
+                 pa.array([packed(sigs.view(np.uint64)),
+                           *(packed(steps(ids[i:k])) for i, k in spans)], pa.binary()),
+                 pa.array([packed(sizes), *(packed(owners[i:k]) for i, k in spans)], pa.binary())],
+                names=MEASURED)
+
         for batch in slices(batches):
             found = sets_of(batch, words, powers)
             sigs = [signature(x) for x in found]
             for x, sig in zip(found, sigs, strict=True):
-                if sig not in seen:
+                if sig not in seen and len(x):
                     seen.add(sig)
-                    np.add.at(counts, (x & np.uint64(COUNTERS - 1)).astype(np.int64), 1)
+                    waiting.append((sig, x))
             size = len(batch)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").cast(pa.int64()), pa.array([len(x) for x in found]),
-                 pa.array(sigs, pa.int64()), pa.nulls(size, pa.int32()), pa.nulls(size, pa.int32()),
-                 pa.nulls(size, pa.binary())], schema=pa_schema)
-        task = TaskContext.get().partitionId()
-        for piece in range(COUNTERS // PART if seen else 0):
-            some = counts[piece * PART:(piece + 1) * PART]
-            yield pa.RecordBatch.from_arrays(
-                [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()),
-                 pa.array([task], pa.int32()), pa.array([piece], pa.int32()),
-                 pa.array([zlib.compress(some.tobytes(), 1)], pa.binary())], schema=pa_schema)
+                 pa.array(sigs, pa.int64()), pa.nulls(size, pa.int64()),
+                 pa.nulls(size, pa.int64()), pa.nulls(size, pa.binary()),
+                 pa.nulls(size, pa.binary())], names=MEASURED)
+            if sum(len(x) for _, x in waiting) > HANDED:
+                yield hand_on()
+                chunk += 1
+        if waiting:
+            yield hand_on()
 
-    pa_schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("sig", pa.int64()),
-                           ("part", pa.int32()), ("piece", pa.int32()), ("counts", pa.binary())])
     return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n long, sig long, part int, piece int, counts binary")
+        run, "doc_id long, n long, sig long, chunk long, bucket long, ids binary, owners binary")
 
 
-def levels(measured: DataFrame) -> np.ndarray:
-    """How common the shingles of each counter are: the binary logarithm of its count.
+def counted(measured: DataFrame) -> DataFrame:
+    """The shingles that several classes have: chunk, ids, owners and levels.
 
-    The counts of tasks are added up in three steps, so no group grows with the number of tasks
-    beyond the next step's fan-in; what reaches the driver has a fixed size.
+    The level is the logarithm of how many have it, in quarters of a doubling.
     """
-    def add(table: pa.Table) -> pa.Table:
-        total = np.zeros(PART, dtype=np.uint64)
-        for blob in table["counts"]:
-            values = np.frombuffer(zlib.decompress(blob.as_py()), dtype=np.uint32)
-            total += values
-        total = np.minimum(total, np.uint64(0xFFFFFFFF)).astype(np.uint32)
-        return pa.table({"part": table["part"][:1], "piece": table["piece"][:1],
-                         "counts": pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())})
-
-    counts = measured.where("piece is not null").select("part", "piece", "counts")
-    for parts in (4096, 64, 1):
-        counts = (
-            counts.withColumn("part", F.pmod("part", F.lit(parts)).cast("int"))
-            .groupBy("piece", "part").applyInArrow(add, "part int, piece int, counts binary")
-        )
-    out = np.zeros(COUNTERS, dtype=np.uint8)
-    for row in counts.select("piece", "counts").collect():
-        values = np.frombuffer(zlib.decompress(row.counts), dtype=np.uint32)
-        out[row.piece * PART:(row.piece + 1) * PART] = np.log2(np.maximum(values, 1))
-    return out
+    def run(table: pa.Table) -> pa.Table:
+        chunks = table["chunk"].to_numpy()
+        ids = [np.cumsum(unpacked(x.as_py()), dtype=np.uint64) for x in table["ids"]]
+        of = np.repeat(np.arange(len(ids), dtype=np.int32), [len(x) for x in ids])
+        ids = np.concatenate(ids)
+        owners = np.concatenate([unpacked(x.as_py()).astype(np.uint32) for x in table["owners"]])
+        order = np.argsort(ids, kind="stable")
+        ranked = ids[order]
+        first = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]])
+        times = np.empty(len(ids), dtype=np.int64)
+        times[order] = np.repeat(np.diff(np.r_[first, len(ids)]), np.diff(np.r_[first, len(ids)]))
+        shared = times > 1
+        level = np.floor(4 * np.log2(times[shared]))
+        ids, owners, of = ids[shared], owners[shared], of[shared]
+        cuts = np.searchsorted(of, np.arange(len(chunks) + 1))
+        spans = [(k, i, j) for k, (i, j) in enumerate(zip(cuts[:-1], cuts[1:])) if j > i]
+        return pa.table({
+            "chunk": pa.array([int(chunks[k]) for k, _, _ in spans], pa.int64()),
+            "bucket": pa.array([0] * len(spans), pa.int64()),
+            "ids": pa.array([packed(steps(ids[i:j])) for _, i, j in spans], pa.binary()),
+            "owners": pa.array([packed(owners[i:j]) for _, i, j in spans], pa.binary()),
+            "levels": pa.array([packed(level[i:j]) for _, i, j in spans], pa.binary())})
+
+    return (
+        measured.where("bucket >= 0").select("chunk", "bucket", "ids", "owners")
+        .groupBy("bucket").applyInArrow(
+            run, "chunk long, bucket long, ids binary, owners binary, levels binary")
+    )
 
 
 # --- Step 2: prefixes and their meetings --------------------------------------------------------
 
-def prefixes(docs: DataFrame, level: np.ndarray, percent: int, words: int) -> DataFrame:
-    """The first shingles of each class in rare-first order: shingle, sig, n, pos."""
-    def run(batches):
-        powers, seen = Powers(), set()
-        for batch in slices(batches):
-            columns = [[], [], [], []]
-            for found in sets_of(batch, words, powers):
-                n, sig = len(found), signature(found)
-                if not n or sig in seen:
-                    continue
-                seen.add(sig)
-                common = level[(found & np.uint64(COUNTERS - 1)).astype(np.int64)]
-                first = np.argsort(common, kind="stable")[:prefix_length(n, percent)]
-                for column, values in zip(columns, (
-                        found[first].view(np.int64), np.full(len(first), sig),
-                        np.full(len(first), n), np.arange(len(first))), strict=True):
-                    column.append(values)
-            if columns[0]:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(c).astype(np.int64)) for c in columns],
-                    names=["shingle", "sig", "n", "pos"])
+def prefixes(measured: DataFrame, percent: int) -> DataFrame:
+    """The first shingles of each class in rare-first order: shingle, sig, n, pos.
 
-    return docs.select("text").mapInArrow(run, "shingle long, sig long, n long, pos long")
+    Those that the class has alone come first and are left out. Two shingles of a class may have
+    one number; as their order is then open, the prefix is longer by as many and places count from
+    the lowest they may be.
+    """
+    def run(table: pa.Table) -> pa.Table:
+        bucket = table["bucket"].to_numpy()
+        head = int(np.flatnonzero(bucket == -1)[0])
+        sigs = unpacked(table["ids"][head].as_py()).view(np.int64)
+        sizes = unpacked(table["owners"][head].as_py()).astype(np.int64)
+        rest = np.flatnonzero(bucket >= 0).tolist()
+        ids = np.concatenate([np.zeros(0, np.uint64), *(
+            np.cumsum(unpacked(table["ids"][k].as_py()), dtype=np.uint64) for k in rest)])
+        owner, level = (np.concatenate([np.zeros(0, np.int64), *(
+            unpacked(table[c][k].as_py()).astype(np.int64) for k in rest)])
+            for c in ("owners", "levels"))
+        order = np.lexsort((ids, level, owner))
+        ids, owner = ids[order].astype(np.int64), owner[order]
+        starts = np.searchsorted(owner, np.arange(len(sizes) + 1))
+        alone = sizes - np.diff(starts)
+        twice = np.zeros(len(ids), dtype=bool)
+        twice[1:] = (ids[1:] == ids[:-1]) & (owner[1:] == owner[:-1])
+        open_ = np.bincount(owner[twice], minlength=len(sizes))
+        place = alone[owner] + np.arange(len(ids)) - starts[owner]
+        kept = place < prefix_length(sizes, percent)[owner] + open_[owner]
+        owner = owner[kept]
+        return pa.table({"shingle": pa.array(ids[kept]), "sig": pa.array(sigs[owner]),
+                         "n": pa.array(sizes[owner]),
+                         "pos": pa.array(np.maximum(place[kept] - open_[owner], 0))})
+
+    heads = measured.where("bucket = -1").select(
+        "chunk", "bucket", "ids", "owners", F.lit(None).cast("binary").alias("levels"))
+    return (
+        heads.unionByName(counted(measured)).groupBy("chunk")
+        .applyInArrow(run, "shingle long, sig long, n long, pos long")
+    )
 
 
-def led(x: np.ndarray, link: np.ndarray, percent: int) -> None:
-    """Leaders of sorted rows, in place.
+def with_partner(x: np.ndarray, group: np.ndarray, most: int, percent: int) -> np.ndarray:
+    """Whether a row passes the filters with another one of its group.
 
-    x has the rows shingle, sig, n, pos, leader, leader_n and leader_pos; a new row is its own
-    leader so far. link says whether a row has the shingle of the row before it. A row follows the
-    leader of the row before it, unless it is too large for that leader.
+    group: ascending numbers, each at most `most` times.
     """
-    first = np.maximum.accumulate(np.where(link, 0, np.arange(len(link))))
-    follow = np.flatnonzero(link)
-    x[4:, follow] = x[4:, first[follow]]
-    far = link & (percent * x[2] > 100 * x[5])
-    for i in np.flatnonzero(far):
-        if far[i - 1] and link[i] and percent * x[2, i] <= 100 * x[5, i - 1]:
-            x[4:, i] = x[4:, i - 1]
-        else:
-            x[4:, i] = x[1:4, i]
+    ok = np.zeros(x.shape[1], dtype=bool)
+    n, left = x[2], x[2] - x[3]
+    for d in range(1, min(most, x.shape[1])):
+        same = np.flatnonzero(group[d:] == group[:-d])
+        if not len(same):
+            break
+        other = same + d
+        link = ((percent * n[other] <= 100 * n[same])
+                & ((100 + percent) * np.minimum(left[same], left[other])
+                   >= percent * (n[same] + n[other])))
+        ok[same[link]] = ok[other[link]] = True
+    return ok
 
 
 def meetings(entries: DataFrame, percent: int) -> DataFrame:
-    """The prefix entries whose shingle two classes or more have, each with a leader.
+    """The prefix entries whose shingle two classes or more have.
 
-    Entries are sorted by shingle, size and class. The first class of a shingle leads those after
-    it that are not too large for it, then the next one leads. One sorted pass that remembers one
-    row, so a frequent shingle needs no memory.
+    In groups of up to GROUP classes, those that pass the length and positional filters with no
+    other class are left out at once. Entries are sorted by shingle, size and class for one pass
+    that remembers the last group, or one row of it where it is larger, so a frequent shingle
+    needs no memory.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, met = np.zeros((7, 0), dtype=np.int64), False
+        held, large = np.zeros((4, 0), dtype=np.int64), False
         for batch in batches:
-            x = np.stack([batch.column(c).to_numpy() for c in names[:4]])
+            x = np.concatenate((held, np.stack([batch.column(c).to_numpy() for c in names])), axis=1)
             new = np.ones(x.shape[1], dtype=bool)
-            new[1:] = (x[:2, 1:] != x[:2, :-1]).any(0)
-            if held.shape[1]:  # equal entries come from several tasks
-                new[0] = (x[:2, 0] != held[:2, 0]).any()
+            new[1:] = (x[:2, 1:] != x[:2, :-1]).any(0)  # equal entries come from several tasks
             x = x[:, new]
-            if not x.shape[1]:
-                continue
-            kept = held.shape[1]
-            x = np.concatenate((held, np.concatenate((x, x[1:4]))), axis=1)
-            link = np.zeros(x.shape[1], dtype=bool)
-            link[1:] = x[0, 1:] == x[0, :-1]
-            led(x, link, percent)
-            if kept:
-                x[:, 0], link[0] = held[:, 0], met
-            out = x[:, :-1][:, link[:-1] | link[1:]]
-            held, met = x[:, -1:].copy(), bool(link[-1])
-            if out.shape[1]:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in out], names=names)
-        if met:
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in held], names=names)
-
-    names = ["shingle", "sig", "n", "pos", "leader", "leader_n", "leader_pos"]
+            last = int(np.searchsorted(x[0], x[0, -1]))
+            yield from out(x[:, :last], large)
+            large = large and not last
+            held = x[:, last:]
+            if held.shape[1] > GROUP:
+                yield from rows(held[:, :-1])
+                held, large = held[:, -1:], True
+        yield from out(held, large)
+
+    def out(x, large):
+        if not x.shape[1]:
+            return
+        group = np.cumsum(np.r_[True, x[0, 1:] != x[0, :-1]]) - 1
+        size = np.bincount(group)
+        all_ = size[group] > GROUP
+        if large:  # the first group goes on from rows handed on before
+            all_ |= group == 0
+        yield from rows(x[:, with_partner(x, group, int(size.max()), percent) | all_])
+
+    def rows(x):
+        if x.shape[1]:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in x], names=names)
+
+    names = ["shingle", "sig", "n", "pos"]
     return (
         entries.repartition("shingle").sortWithinPartitions("shingle", "n", "sig")
         .mapInArrow(run, ", ".join(f"{c} long" for c in names))
@@ -331,12 +417,25 @@ class Joined:
 
 
 def first_round(met: DataFrame, percent: int) -> DataFrame:
-    """One pair per class: the leader that it meets at most places, the smaller one on ties."""
+    """One pair per class, with the leader that it meets at most places.
+
+    A shingle's leader is the class that meets others at most places in all. Ties go to the
+    leader that meets more and then to the smaller class.
+    """
+    weights = met.groupBy("sig").agg(F.count("*").alias("weight"))
+    rows = met.join(weights, "sig")
+    leaders = rows.groupBy("shingle").agg(
+        F.max(F.struct("weight", -F.col("sig"), "sig", "n", "pos")).alias("l")).select(
+        "shingle", F.col("l.sig").alias("leader"), F.col("l.n").alias("leader_n"),
+        F.col("l.pos").alias("leader_pos"), F.col("l.weight").alias("leader_weight"))
     return (
-        met.where((F.col("sig") != F.col("leader"))
-                  & _may_link("n", "pos", "leader_n", "leader_pos", percent))
-        .groupBy("sig", "leader").agg(F.count("*").alias("times"))
-        .groupBy("sig").agg(F.max(F.struct("times", -F.col("leader"), "leader")).alias("best"))
+        salted_join(rows.drop("weight"), leaders, ["shingle"], "sig", SALTS, "inner")
+        .where((F.col("sig") != F.col("leader"))
+               & _may_link("n", "pos", "leader_n", "leader_pos", percent))
+        .groupBy("sig", "leader").agg(F.count("*").alias("times"),
+                                      F.first("leader_weight").alias("weight"))
+        .groupBy("sig").agg(F.max(F.struct(
+            "times", "weight", -F.col("leader"), "leader")).alias("best"))
         .select(F.col("best.leader").alias("a"), F.col("sig").alias("b"))
     )
 
@@ -345,17 +444,21 @@ def second_round(met: DataFrame, checked: DataFrame, roots: DataFrame, percent:
     """The pairs of different components that filters and triangle inequality leave open.
 
     In a shingle's classes the most frequent component is only compared with the others, never
-    within itself. Jaccard distances obey the triangle inequality: two classes whose distances to
+    within itself. A pair is taken where it first meets; only pairs that meet late in a prefix are
+    taken at several places and made distinct. Jaccard distances obey the triangle inequality: two classes whose distances to
     the same leader differ by more than the largest distance of a link cannot be linked.
     """
     known = checked.select(
         F.col("b").alias("sig"), F.col("a").alias("led_by"),
         (1 - F.col("shared") / (F.col("total") - F.col("shared"))).alias("far"))
+    heads = met.groupBy("sig").agg(
+        F.slice(F.sort_array(F.collect_list(F.struct("pos", "shingle"))), 1, HEAD)["shingle"]
+        .alias("head"))
     rows = (
-        met.select("shingle", "sig", "n", "pos")
+        met.join(heads, "sig")
         .join(roots.withColumnRenamed("node", "sig"), "sig", "left").join(known, "sig", "left")
-        .select("shingle", "sig", "n", "pos", F.coalesce("root", "sig").alias("root"), "led_by",
-                F.coalesce("led_by", "sig").alias("anchor"),
+        .select("shingle", "sig", "n", "pos", "head", F.coalesce("root", "sig").alias("root"),
+                "led_by", F.coalesce("led_by", "sig").alias("anchor"),
                 F.coalesce("far", F.lit(0.0)).alias("far"))
     )
     kinds = rows.groupBy("shingle", "root").agg(F.count("*").alias("times"))
@@ -366,7 +469,9 @@ def second_round(met: DataFrame, checked: DataFrame, roots: DataFrame, percent:
     )
     rows = materialise(rows.join(mixed, "shingle"))
     one = rows.where("root <> main").select("shingle", *(
-        F.col(c).alias(f"one_{c}") for c in ("sig", "n", "pos", "root", "led_by", "anchor", "far")))
+        F.col(c).alias(f"one_{c}")
+        for c in ("sig", "n", "pos", "head", "root", "led_by", "anchor", "far")))
+    both = F.array_intersect("head", "one_head")
     ruled_out = ((F.col("anchor") == F.col("one_anchor"))
                  & (F.abs(F.col("far") - F.col("one_far")) > 1 - percent / 100 + 1e-9))
     return (
@@ -374,6 +479,7 @@ def second_round(met: DataFrame, checked: DataFrame, roots: DataFrame, percent:
             (F.col("root") != F.col("one_root"))
             & ((F.col("root") == F.col("main")) | (F.col("one_root") < F.col("root")))
             & _may_link("n", "pos", "one_n", "one_pos", percent) & ~ruled_out
+            & ((F.size(both) == 0) | (F.get(both, F.lit(0)) == F.col("shingle")))
             & ~F.coalesce(F.col("led_by") == F.col("one_sig"), F.lit(False))
             & ~F.coalesce(F.col("one_led_by") == F.col("sig"), F.lit(False)))
         .select(F.least("sig", "one_sig").alias("a"), F.greatest("sig", "one_sig").alias("b"))
@@ -393,10 +499,10 @@ def join(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> Joined:
     Shingles and sets are told apart by 64-bit hashes. Intermediate tables are written to the
     shared folder, so a lost executor costs the tasks that ran on it and no more.
     """
-    measured = materialise(measure(docs, words))
-    classes = measured.where("piece is null").select("doc_id", "n", "sig")
-    level = levels(measured)
-    met = materialise(meetings(prefixes(docs, level, percent, words), percent))
+    chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
+    measured = materialise(measure(docs, words, max(1, chars // (4 * COUNTED))))
+    classes = measured.where("chunk is null").select("doc_id", "n", "sig")
+    met = materialise(meetings(prefixes(measured, percent), percent))
     sets = materialise(whole_sets(docs, met.select("sig"), words))
 
     similar = F.col("shared") * (100 + percent) >= percent * F.col("total")
