@@ -319,7 +319,7 @@ def _may_link(n: str, pos: str, other_n: str, other_pos: str, percent: int) -> C
     At the first shingle that both have, what is left of the shorter rest has to suffice.
     """
     a, b = F.col(n), F.col(other_n)
-    rest = 1 + F.least(a - F.col(pos), b - F.col(other_pos)) - 1
+    rest = F.least(a - F.col(pos), b - F.col(other_pos))  # this shingle and those after it
     return ((percent * F.greatest(a, b) <= 100 * F.least(a, b))
             & ((100 + percent) * rest >= percent * (a + b)))
 
@@ -368,8 +368,6 @@ def apart(a: np.ndarray, b: np.ndarray) -> int:
     Both sets are cut at the same values; what one has more in a part has no partner there.
     """
     cuts = [np.diff(np.searchsorted(x, _PIVOTS), prepend=0, append=len(x)) for x in (a, b)]
-    for c, x in zip(cuts, (a, b), strict=True):
-        c[-1] = len(x) - c[:-1].sum()
     return int(np.abs(cuts[0] - cuts[1]).sum())
 
 

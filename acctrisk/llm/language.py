@@ -148,10 +148,12 @@ def fit(docs: DataFrame, rows: int = FIT_ROWS, landmarks: int = LANDMARKS) -> Mo
                     names=["doc_id", "lang", "bits"])
 
     known = docs.select("doc_id", "text", "lang").dropna().where("text <> ''")
-    share = known.groupBy("lang").agg((F.lit(float(rows)) / F.count("*")).alias("share"))
+    # one small map, an entry per language, looked up where the text is: no text is shuffled
+    shares = known.groupBy("lang").agg((F.lit(float(rows)) / F.count("*")).alias("share")).agg(
+        F.map_from_entries(F.collect_list(F.struct("lang", "share")))).scalar()
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     taken = (
-        known.join(share, "lang").where(place < F.col("share")).select("doc_id", "text", "lang")
+        known.where(place < F.try_element_at(shares, F.col("lang")))
         .mapInArrow(run, "doc_id long, lang string, bits binary")
         .groupBy("doc_id").agg(F.min(F.struct("lang", "bits")).alias("row"))
         .select("doc_id", "row.*").orderBy(F.xxhash64("doc_id"), "doc_id").toArrow()

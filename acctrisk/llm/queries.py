@@ -31,8 +31,8 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    scored = lm.score(docs, *lm.fit(docs.where(~held_out("doc_id", 10, 0))))
+    prepared = lm.prepare(table(spark, sf_dir, "documents"), ~held_out("doc_id", 10, 0))
+    scored = lm.score(*prepared, *lm.fit(*prepared))
     return scored.withColumn("held_out", held_out("doc_id", 10, 0))
 
 
