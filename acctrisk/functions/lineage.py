@@ -7,18 +7,24 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_own: list[tempfile.TemporaryDirectory] = []
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share, as the session names it in spark.checkpoint.dir.
 
-    Only a local session, as in tests, may go without one and gets a temporary folder.
+    A session whose one process is its only executor may go without one, as in tests; it gets one
+    temporary folder, which goes when the process ends. Any other session has to name a folder.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return tempfile.mkdtemp(prefix="acctrisk-")
+    if not _own:
+        _own.append(tempfile.TemporaryDirectory(prefix="acctrisk-", ignore_cleanup_errors=True))
+    return _own[0].name
 
 
 def materialise(df: DataFrame) -> DataFrame:

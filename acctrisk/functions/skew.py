@@ -1,8 +1,9 @@
 """Joins that stay balanced when a few keys hold most of the rows.
 
 Spark's adaptive skew handling only splits a join whose two inputs are both plain shuffles, which
-an aggregated or already joined input is not. So hot keys are found first and spread here: the
-rows of a hot key get a salt, and its row on the other side is repeated once per salt.
+an aggregated or already joined input is not. So the rows of every key are dealt over a fixed
+number of salts, and the one row on the other side is repeated once per salt. Any number of keys
+may be hot, and nothing depends on how large they are.
 """
 
 from __future__ import annotations
@@ -10,12 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Only this many keys are ever treated as hot, so the list of them is small enough to broadcast
-# whatever the size of the data. Any other key holds less than one row in MAX_HOT_KEYS.
-MAX_HOT_KEYS = 1000
-# Groups below this size fit one task whatever their share.
-MIN_HOT_ROWS = 200_000
-MAX_SALTS = 1000
+SALTS = 16
 
 
 def key_counts(facts: DataFrame, key: str) -> DataFrame:
@@ -23,66 +19,50 @@ def key_counts(facts: DataFrame, key: str) -> DataFrame:
     return facts.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
 
 
-def hot_keys(counts: DataFrame, key: str, min_rows: int | None = None) -> DataFrame:
-    """The heaviest keys and how many salts each is spread over; at most MAX_HOT_KEYS rows."""
-    rows = min_rows or MIN_HOT_ROWS
-    salts = F.least(F.lit(MAX_SALTS), F.ceil(F.col("n") / F.lit(rows)) + 1)
-    return (
-        counts.filter(F.col(key).isNotNull() & (F.col("n") >= rows))
-        .orderBy(F.desc("n"), key)
-        .limit(MAX_HOT_KEYS)
-        .select(key, salts.cast("int").alias("_salts"))
-    )
-
+def _salt(facts: DataFrame, salts: int) -> Column:
+    """The salt of a row, from all its values and the task that reads it.
 
-def _salt(key: str) -> Column:
-    """The salt of a row: 0 unless its key is hot.
-
-    It depends on the task that reads the row, so equal rows are spread, too, and on nothing that
-    changes when a lost task runs again. Rows without a key match nothing and go anywhere.
+    Different rows of a key part even if one task reads them all, equal rows if several do; a lost
+    task that runs again gives the same salts.
     """
-    task = F.spark_partition_id()
-    return (
-        F.when(F.col(key).isNull(), task)
-        .when(F.col("_salts").isNotNull(), F.pmod(task, F.col("_salts")))
-        .otherwise(F.lit(0)).alias("_salt")
-    )
-
-
-def _salted(facts: DataFrame, hot: DataFrame, key: str) -> DataFrame:
-    return facts.join(hot, key, "left").select(*facts.columns, _salt(key))
-
-
-def _repeated(rows: DataFrame, hot: DataFrame, key: str) -> DataFrame:
-    """Each row once per salt of its key, with ``_salts`` null unless the key is hot."""
-    salts = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
-    return rows.join(hot, key, "left").select(
-        *rows.columns, "_salts", F.explode(salts).alias("_salt"))
+    return F.pmod(F.xxhash64(F.spark_partition_id(), *facts.columns), F.lit(salts)).alias("_salt")
 
 
 def left_join_lookup(
-    facts: DataFrame,
-    lookup: DataFrame,
-    key: str,
-    min_rows: int | None = None,
-    counts: DataFrame | None = None,
+    facts: DataFrame, lookup: DataFrame, key: str, salts: int = SALTS
 ) -> DataFrame:
     """``facts`` (any number of rows per key) left join ``lookup`` (one row per key).
 
-    ``counts`` may hand in the rows per key if the caller has them already.
+    Rows without a key are dealt over the salts, too, and match nothing.
     """
-    counts = key_counts(facts, key) if counts is None else counts
-    hot = F.broadcast(hot_keys(counts, key, min_rows))
-    right = _repeated(lookup, hot, key).drop("_salts")
-    return _salted(facts, hot, key).join(right, [key, "_salt"], "left").drop("_salt")
+    every = F.explode(F.expr(f"sequence(0L, {salts - 1}L)")).alias("_salt")
+    return (
+        facts.select("*", _salt(facts, salts))
+        .join(lookup.select("*", every), [key, "_salt"], "left").drop("_salt")
+    )
 
 
-def left_join_facts(
-    base: DataFrame, facts: DataFrame, key: str, min_rows: int | None = None
-) -> DataFrame:
+def left_join_facts(base: DataFrame, facts: DataFrame, key: str, salts: int = SALTS) -> DataFrame:
     """``base`` (one row per key) left join ``facts`` (any number of rows per key)."""
-    hot = F.broadcast(hot_keys(key_counts(facts, key), key, min_rows))
-    right = _salted(facts, hot, key).withColumn("_found", F.lit(True))
-    joined = _repeated(base, hot, key).join(right, [key, "_salt"], "left")
-    # a hot key has facts, so a salt of it without any is no row of the result
-    return joined.filter("_salts IS NULL OR _found").drop("_salts", "_salt", "_found")
+    has = facts.groupBy(key).agg(F.lit(True).alias("_has"))
+    every = F.sequence(F.lit(0), F.when(F.col("_has"), F.lit(salts - 1)).otherwise(F.lit(0)))
+    repeated = base.join(has, key, "left").select("*", F.explode(every).alias("_at")).select(
+        *base.columns, "_has", F.col("_at").cast("bigint").alias("_salt"))
+    right = facts.select("*", _salt(facts, salts)).withColumn("_found", F.lit(True))
+    joined = repeated.join(right, [key, "_salt"], "left")
+    # a key with facts has no row of its own for a salt that none of them got
+    return joined.filter("_has IS NULL OR _found").drop("_has", "_salt", "_found")
+
+
+def left_join_open(left: DataFrame, right: DataFrame, on: Column, key: str) -> DataFrame:
+    """Left join on an expression that is null for many rows, which then match nothing.
+
+    Those rows are dealt over the partitions by their values instead of meeting in one.
+    """
+    spread = F.when(on.isNull(), F.xxhash64(*left.columns)).otherwise(F.lit(0))
+    return (
+        left.withColumns({"_on": on, "_spread": spread})
+        .join(right.withColumn("_zero", F.lit(0).cast("bigint")),
+              (F.col("_on") == F.col(key)) & (F.col("_spread") == F.col("_zero")), "left")
+        .drop("_on", "_spread", "_zero")
+    )

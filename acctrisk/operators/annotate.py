@@ -79,24 +79,27 @@ def note_entities(notes: DataFrame, external: DataFrame | None = None) -> DataFr
     """Note names, ids, dates and writers: external values win, extracted ones fill the blanks.
 
     ``notes``: note_idx, account_id, account_name (both from the text). ``external``: note_idx,
-    account_id, account_name, date_str, csm_name. If the external relation does not hold exactly
+    account_id, account_name, date_str, csm_name. Notes of several files are told apart by the
+    column ``file``, which both then have. If the external relation does not hold exactly
     one row per note it cannot be aligned and is ignored as a whole.
     """
     blank = F.lit("")
     if external is None:
         return notes.withColumns({"date_str": blank, "csm_name": blank})
-    per_note = external.groupBy("note_idx").agg(
+    keys = [c for c in ("file", "note_idx") if c in notes.columns and c in external.columns]
+    if "file" in notes.columns and "file" not in keys:
+        raise ValueError("notes come from files, external entities lack the column file")
+    per_note = external.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),
         F.max(F.struct("account_id", "account_name", "date_str", "csm_name")).alias("x"),
     )
-    paired = notes.select("note_idx", F.lit(True).alias("known")).join(
-        per_note, "note_idx", "full")
+    paired = notes.select(*keys, F.lit(True).alias("known")).join(per_note, keys, "full")
     unaligned = paired.filter(F.coalesce("n", F.lit(0)) != 1).union(
         paired.filter(F.col("known").isNull()))
     aligned = unaligned.agg((F.count(F.lit(1)) == 0).alias("ok"))
     x = F.when(F.col("ok"), F.col("x"))
     return (
-        notes.join(per_note.select("note_idx", "x"), "note_idx", "left")
+        notes.join(per_note.select(*keys, "x"), keys, "left")
         .withColumn("ok", aligned.scalar())
         .withColumn("x", x)
         .select(

@@ -12,9 +12,6 @@ from acctrisk.functions.columns import is_true, rnd, sql_text
 from acctrisk.functions.lineage import materialise
 from acctrisk.operators.scoring import SCORE_COLUMNS, fill_defaults
 
-# Accounts tied at the cut are split into this many id ranges before any of them is ranked.
-TIE_RANGES = 4096
-
 
 def _column(df: DataFrame, name: str, kind: str) -> Column:
     return F.col(name) if name in df.columns else F.lit(None).cast(kind)
@@ -38,11 +35,20 @@ def ground_truth(risk: DataFrame) -> DataFrame:
     })
 
 
+# From the best account down, as in the scored frame: ties go to the higher composite score.
+_ORDER = (F.desc, "score"), (F.desc, "composite"), (F.asc, "account_id")
+
+
+def _order() -> list[Column]:
+    return [direction(name) for direction, name in _ORDER]
+
+
 def _scored(risk: DataFrame, configs: Mapping[str, Sequence[float]]) -> DataFrame:
-    """One row per account and configuration: account_id, label (1 high, 2 low), score.
+    """One row per account and configuration: config, account_id, label (1 high, 2 low), score.
 
-    The back-test passes over these rows several times, so the labelled accounts, nine narrow
-    columns, are materialised first: the scoring below them runs once.
+    The rows are range-sorted and written with ``slice``, the number of the range they lie in, as
+    the back-test passes over them several times. The labelled accounts, ten narrow columns, are
+    written first, so that the scoring below them runs once.
     """
     options = ", ".join(
         f"named_struct('config', {sql_text(name)}, " + ", ".join(
@@ -51,64 +57,46 @@ def _scored(risk: DataFrame, configs: Mapping[str, Sequence[float]]) -> DataFram
     labelled = materialise(ground_truth(fill_defaults(risk)).select(
         "account_id",
         F.expr("int(expected_high) + 2 * int(expected_low)").alias("label"),
+        F.coalesce(_column(risk, "composite_risk_score", "double"), F.lit(0.0)).alias("composite"),
         *SCORE_COLUMNS,
     ))
     score = " + ".join(f"{c} * w.{c}" for c in SCORE_COLUMNS)
-    return labelled.withColumn("w", F.expr(f"explode(array({options}))")).select(
-        "w.config", "account_id", "label", F.expr(score).alias("score"))
+    scored = labelled.withColumn("w", F.expr(f"explode(array({options}))")).select(
+        "w.config", "account_id", "label", "composite", F.expr(score).alias("score"))
+    return materialise(scored.sort("config", *_order()).withColumn(
+        "slice", F.spark_partition_id()))
 
 
 def _n_high() -> Column:
     return F.count_if(F.col("label") % 2 == 1)
 
 
-def _high_in_top_k(scored: DataFrame, per_score: DataFrame) -> DataFrame:
+def _high_in_top_k(scored: DataFrame) -> DataFrame:
     """Per configuration: K and how many of the K best accounts are expected high.
 
-    K is the number of expected-high accounts. Scores are sums of a few rounded values, so the
-    accounts shrink to few distinct scores; the running count over those finds the score at the
-    cut. Only accounts tied at that score need an order (by id): they are counted by id range
-    first, and just the range that holds the cut is ranked.
+    K is the number of expected-high accounts. Rows are counted per slice of the sorted table; a
+    running count over the slices finds the one that holds the cut, and only its rows are ranked.
     """
-    by_score = Window.partitionBy("config").orderBy(F.desc("score"))
-    k = F.greatest(F.lit(1), F.sum("n_high").over(Window.partitionBy("config")))
-    running = per_score.withColumns({
-        "upto": F.sum("n").over(by_score), "high_upto": F.sum("n_high").over(by_score), "k": k})
+    in_order = Window.partitionBy("config").orderBy("slice")
+    slices = scored.groupBy("config", "slice").agg(
+        F.count(F.lit(1)).alias("n"), _n_high().alias("n_high"))
+    running = slices.withColumns({
+        "upto": F.sum("n").over(in_order), "high_upto": F.sum("n_high").over(in_order),
+        "k": F.greatest(F.lit(1), F.sum("n_high").over(Window.partitionBy("config")))})
     before = F.col("upto") - F.col("n")
+    # one row per configuration
     cut = running.filter((F.col("upto") >= F.col("k")) & (before < F.col("k"))).select(
-        "config", "score", "k", "lowest_id",
-        (F.col("high_upto") - F.col("n_high")).alias("high_above"),
-        (F.col("k") - before).alias("still"),
-        F.ceil((F.col("highest_id") - F.col("lowest_id") + 1) / F.lit(TIE_RANGES)).alias("width"),
-    )
-    # broadcast: one row per configuration, a handful by construction
-    tied = scored.join(F.broadcast(cut), ["config", "score"]).withColumn(
-        "id_range", F.floor((F.col("account_id") - F.col("lowest_id")) / F.col("width")))
-    by_range = Window.partitionBy("config").orderBy("id_range")
-    ranges = tied.groupBy("config", "still", "id_range").agg(
-        F.count(F.lit(1)).alias("n"), _n_high().alias("n_high"),
-    ).withColumns({
-        "upto": F.sum("n").over(by_range), "high_upto": F.sum("n_high").over(by_range)})
-    before = F.col("upto") - F.col("n")
-    # ranges wholly before the cut count at once
-    full = ranges.filter(F.col("upto") <= F.col("still")).groupBy("config").agg(
-        F.max("high_upto").alias("high_full"))
-    split = ranges.filter((F.col("upto") > F.col("still")) & (before < F.col("still"))).select(
-        "config", "id_range", (F.col("still") - before).alias("rest"))
-    place = F.row_number().over(Window.partitionBy("config").orderBy("account_id"))
-    # broadcast: at most one range per configuration
+        "config", "slice", "k", (F.col("high_upto") - F.col("n_high")).alias("high_above"),
+        (F.col("k") - before).alias("rest"))
+    place = F.row_number().over(Window.partitionBy("config").orderBy(*_order()))
     partial = (
-        tied.join(F.broadcast(split), ["config", "id_range"])
-        .withColumn("place", place)
+        scored.join(F.broadcast(cut), ["config", "slice"]).withColumn("place", place)
         .filter(F.col("place") <= F.col("rest"))
         .groupBy("config").agg(_n_high().alias("high_partial"))
     )
-    high = (F.col("high_above") + F.coalesce("high_full", F.lit(0))
-            + F.coalesce("high_partial", F.lit(0)))
-    return (
-        cut.join(full, "config", "left").join(partial, "config", "left")
-        .select("config", "k", high.alias("high_in_top"))
-    )
+    return cut.join(partial, "config", "left").select(
+        "config", "k",
+        (F.col("high_above") + F.coalesce("high_partial", F.lit(0))).alias("high_in_top"))
 
 
 def weight_metrics(
@@ -122,8 +110,6 @@ def weight_metrics(
         F.count(F.lit(1)).alias("n"),
         _n_high().alias("n_high"),
         F.count_if(F.col("label") >= 2).alias("n_low"),
-        F.min("account_id").alias("lowest_id"),
-        F.max("account_id").alias("highest_id"),
     )
     # decimal sums do not depend on the order of the rows
     score = F.rint(F.col("score") * F.lit(1e9)).cast("decimal(20,0)")
@@ -141,7 +127,7 @@ def weight_metrics(
         F.when(F.sum("n_high") > 0, flagged / F.sum("n_high")).alias("recall"),
     )
     zero = F.lit(0.0)
-    return totals.join(_high_in_top_k(scored, per_score), "config").select(
+    return totals.join(_high_in_top_k(scored), "config").select(
         "config",
         rnd(F.coalesce(F.col("high_mean") - F.col("low_mean"), zero), 4).alias("separation"),
         rnd(F.col("high_in_top") / F.col("k"), 4).alias("precision_at_k"),

@@ -269,12 +269,26 @@ def dataset_digest(risk: DataFrame) -> DataFrame:
     return counted.select(F.inline(lines)).unionAll(top)
 
 
+# Sections of the digest that open with a heading, set off by a blank line.
+_HEADINGS = (3, 5, 7, 9)
+
+
+def digest_text(risk: DataFrame) -> DataFrame:
+    """The dataset summary as one text, ``digest``: what goes into a prompt in one piece."""
+    line = F.when(F.col("section").isin(*_HEADINGS), F.concat(F.lit("\n"), "line")).otherwise(
+        F.col("line"))
+    lines = F.sort_array(F.collect_list(
+        F.struct("section", (-F.col("weight")).alias("w"), F.col("line").alias("o"),
+                 line.alias("l"))))
+    return dataset_digest(risk).agg(F.array_join(lines["l"], "\n").alias("digest"))
+
+
 def insights_export(risk: DataFrame, model_text: str = "") -> DataFrame:
     """Summary, free text and pattern counts as one JSON record, from one aggregation."""
     summary = summary_columns()
     counted = with_optional_columns(risk).agg(*summary.values(), *count_columns(risk.columns))
     return counted.select(F.to_json(F.struct(
         F.struct(*summary).alias("summary"),
-        F.lit(model_text).alias("model_insights"),
+        F.lit(model_text).alias("llm_insights"),
         F.struct(*CATEGORIES).alias("structured_insight_counts"),
     )).alias("report"))

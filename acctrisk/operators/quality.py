@@ -103,8 +103,8 @@ def sparse_accounts(usage: DataFrame, min_months: int = 3) -> DataFrame:
 
 
 def orphan_ids(facts: DataFrame, accounts: DataFrame) -> DataFrame:
-    """Distinct fact account ids that no account has."""
-    return facts.select("account_id").distinct().join(
+    """Distinct fact account ids that no account has; rows without an id are no orphans."""
+    return facts.filter(F.col("account_id").isNotNull()).select("account_id").distinct().join(
         accounts.select("account_id"), "account_id", "left_anti")
 
 
@@ -230,13 +230,14 @@ def validate_accounts(
 ) -> tuple[DataFrame, DataFrame]:
     """Repaired accounts and their report.
 
-    The ``order`` column decides which copy of an id is kept and is dropped; without one any
-    single copy is kept.
+    The ``order`` column decides which copy of an id is kept and stays in the result; without one
+    any single copy is kept.
     """
     missing = missing_columns(accounts, "accounts")
     if missing:
         return accounts, _invalid(accounts, "accounts", missing)
-    if order not in accounts.columns:
+    ordered = order in accounts.columns
+    if not ordered:
         accounts = accounts.withColumn(order, F.struct(*accounts.columns))
     kept = dedupe_accounts(accounts, order, copies="copies")
     counters = account_counters(kept, as_of).withColumn(
@@ -250,7 +251,7 @@ def validate_accounts(
          " accounts have contract_end_date > 1 year in the past (stale data)"),
         ("unknown_plan", "Unknown plan tiers: ", " rows"),
     ])
-    return clamp_arr(kept.drop(order, "copies")), report
+    return clamp_arr(kept.drop("copies") if ordered else kept.drop(order, "copies")), report
 
 
 def validate_usage(usage: DataFrame) -> tuple[DataFrame, DataFrame]:

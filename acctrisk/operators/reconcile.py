@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from acctrisk.functions.columns import missing_text
-from acctrisk.functions.skew import key_counts, left_join_lookup
-from acctrisk.functions.similarity import (
-    EASY_THRESHOLD, similar_pairs, token_ranks, token_sort, with_tokens,
-)
+from acctrisk.functions.skew import left_join_lookup, left_join_open
+from acctrisk.functions.similarity import best_matches, token_sort
 
 MIN_FUZZY_LENGTH = 3
 
@@ -33,37 +31,23 @@ def name_lookup(accounts: DataFrame, order: str = "account_id") -> DataFrame:
     )
 
 
-def _best(queries: DataFrame, canonical: DataFrame, threshold: int) -> DataFrame:
-    """The best account per query spelling; ties go to the earliest account."""
-    best = F.max(F.struct(
-        "score", (-F.col("first_order")).alias("o"), "first_name", "account_id"))
-    return similar_pairs(queries, canonical, threshold).groupBy("a").agg(best.alias("m")).select(
-        F.col("a").alias("sorted"), F.col("m.first_name").alias("match_name"), "m.account_id",
-        "m.score")
-
-
 def fuzzy_match(names: DataFrame, lookup: DataFrame, threshold: int = 65) -> DataFrame:
     """The most similar account name of each query name, if similar enough.
 
     ``names``: column ``query``. Similarity looks at lower-cased names with their words sorted,
-    so equal spellings are matched once. Close spellings are searched first, which is cheap; what
-    this finds is final, because any better match would have been found, too. Only the names
-    left over take part in the wider search.
+    so equal spellings are matched once. Ties go to the earliest account.
     """
     queries = names.filter(F.length("query") >= MIN_FUZZY_LENGTH).select(
         "query", token_sort(F.lower("query")).alias("sorted"))
     canonical = (
         lookup.groupBy(token_sort(F.col("name_key")).alias("sorted"))
         .agg(F.min(F.struct("first_order", "first_name", "account_id")).alias("f"))
-        .select("sorted", "f.*")
     )
-    ranks = token_ranks(canonical)
-    canonical = with_tokens(canonical, ranks)
-    spelt = with_tokens(queries.select("sorted").distinct(), ranks)
-    found = _best(spelt, canonical, max(threshold, EASY_THRESHOLD))
-    if threshold < EASY_THRESHOLD:
-        rest = spelt.join(found.select("sorted"), "sorted", "left_anti")
-        found = found.unionAll(_best(rest, canonical, threshold))
+    hits = best_matches(queries.select("sorted").distinct(), canonical, threshold)
+    best = F.min(F.struct((-F.col("score")).alias("s"), "f"))
+    found = hits.join(canonical, "sorted").groupBy("a").agg(best.alias("m")).select(
+        F.col("a").alias("sorted"), F.col("m.f.first_name").alias("match_name"),
+        "m.f.account_id", (-F.col("m.s")).alias("score"))
     return queries.join(found, "sorted").select("query", "match_name", "account_id", "score")
 
 
@@ -90,32 +74,31 @@ def reconcile(
     matches: DataFrame | None = None,
     threshold: int = 65,
     order: str = "account_id",
-    all_or_nothing: bool = False,
+    all_or_nothing: bool = True,
 ) -> DataFrame:
     """Give every note its account: by id, exact name, external match or similar name.
 
     ``notes`` holds account_id and account_name as found in the text; ``accounts`` one row per
-    id. A note no tier resolves keeps what it has. With ``all_or_nothing``, external matches that
-    lack a row for any name still open are ignored as a whole. The tiers run on the distinct (id, name)
-    pairs, so an account that a third of all notes mention is resolved once; the notes
+    id. A note no tier resolves keeps what it has. External matches that lack a row for any name
+    still open are ignored as a whole, unless ``all_or_nothing`` is switched off. The tiers run on
+    the distinct (id, name) pairs, so an account that a third of all notes mention is resolved once; the notes
     themselves are joined a single time.
     """
     kept = [c for c in notes.columns if c not in ("account_id", "account_name")]
     # pairs as structs are equal where both lack the same part
     keyed = notes.select(*kept, F.struct("account_id", "account_name").alias("pair"))
-    counts = key_counts(keyed, "pair")
-    # the filter holds always; using the count lets Spark share this aggregation with the join
-    pairs = counts.filter("n > 0").select("pair.*")
+    pairs = keyed.select("pair").distinct().select("pair.*")
     by_id = accounts.select(
-        "account_id", F.col("account_name").alias("id_name"), F.lit(True).alias("by_id"))
+        F.col("account_id").alias("id_key"), F.col("account_name").alias("id_name"),
+        F.lit(True).alias("by_id"))
     lookup = name_lookup(accounts, order)
     by_name = lookup.select(
         F.col("name_key").alias("exact_key"), F.col("account_id").alias("exact_id"),
         F.col("account_name").alias("exact_name"))
-    tiers = pairs.join(by_id, "account_id", "left")
+    tiers = left_join_open(pairs, by_id, F.col("account_id"), "id_key").drop("id_key")
     name = missing_text(F.col("account_name"))
-    tiers = tiers.join(
-        by_name, F.when(F.col("by_id").isNull(), F.lower(name)) == F.col("exact_key"), "left")
+    tiers = left_join_open(
+        tiers, by_name, F.when(F.col("by_id").isNull(), F.lower(name)), "exact_key")
     unsettled = F.col("by_id").isNull() & F.col("exact_id").isNull()
     if matches is None:
         tiers = tiers.withColumns({
@@ -131,12 +114,12 @@ def reconcile(
                 answered, "query", "left_anti")
             complete = unanswered.agg(F.count(F.lit(1)) == 0).scalar()
             external = external.withColumn("complete", complete).filter("complete")
-        tiers = tiers.join(external, asked == F.col("input_name"), "left")
+        tiers = left_join_open(tiers, external, asked, "input_name")
     open_name = F.when(unsettled & F.col("ext_id").isNull(), name)
     open_names = tiers.select(open_name.alias("query")).filter("query IS NOT NULL").distinct()
     fuzzy = fuzzy_match(open_names, lookup, threshold).select(
         "query", F.col("account_id").alias("fuzzy_id"), "match_name")
-    tiers = tiers.join(fuzzy, open_name == F.col("query"), "left")
+    tiers = left_join_open(tiers, fuzzy, open_name, "query")
 
     def first(*found: tuple[str, Column]) -> Column:
         column = F.when(F.col(found[0][0]).isNotNull(), found[0][1])
@@ -156,7 +139,7 @@ def reconcile(
               ("ext_id", F.lit("external")), ("fuzzy_id", F.lit("fuzzy")))
         .otherwise(F.lit("none")).alias("match_method"),
     )
-    return left_join_lookup(keyed, resolved, "pair", counts=counts).select(
+    return left_join_lookup(keyed, resolved, "pair").select(
         *kept, F.col("new_id").alias("account_id"), F.col("new_name").alias("account_name"),
         "match_method")
 
@@ -169,31 +152,36 @@ def match_rate(reconciled: DataFrame) -> DataFrame:
         F.try_divide(matched, F.count(F.lit(1))).alias("match_rate"))
 
 
+# Notes of an account that make up one text.
+SEGMENT_NOTES = 1000
+# Note numbers that one window puts in order.
+BLOCK = 4096
+
+
 def notes_by_account(
-    notes: DataFrame, accounts: DataFrame | None = None, max_chars: int = 50_000_000
+    notes: DataFrame, accounts: DataFrame | None = None, segment_notes: int = SEGMENT_NOTES
 ) -> DataFrame:
-    """The notes of each account as one text, in note order, with blank lines in between.
+    """The notes of each account as texts, in note order, with blank lines in between.
 
-    Notes are measured per account before any text is gathered. An account whose text would pass
-    ``max_chars`` is split by ranges of note numbers, each short enough even if all its notes
-    were as long as the longest, into numbered segments, whose texts in order make up the whole.
-    All other accounts have a single segment.
+    Every account comes in segments of ``segment_notes`` notes, numbered from 0, whose texts in
+    order make up the whole; most accounts have the one. Notes are ordered by number (nulls first)
+    and text. A note's place is the count of notes in the blocks of numbers before its own, summed
+    per block, and its place in the block, so an account of any size is never ordered or gathered
+    in one task unless all its notes share a few numbers, and no text is longer than its segment.
     """
-    rows = notes.filter(F.col("account_id").isNotNull())
-    size = F.length("raw_text").cast("bigint") + 2
-    long = (
-        rows.groupBy("account_id").agg(F.sum(size).alias("chars"), F.max(size).alias("longest"))
-        .filter(F.col("chars") > max_chars)
-        .select("account_id", F.greatest(
-            F.lit(1), F.floor(F.lit(max_chars) / F.col("longest"))).alias("per_segment"))
-    )
-    # Broadcast: there are at most total text / max_chars such accounts, two million two-number
-    # rows for 100 TB. A shuffled join would leave all segments of an account in one task.
-    long = F.broadcast(long)
-    segment = F.coalesce(F.floor(F.col("note_idx") / F.col("per_segment")), F.lit(0))
+    rows = notes.filter(F.col("account_id").isNotNull()).withColumn(
+        "_block", F.floor(F.col("note_idx") / BLOCK))
+    earlier = Window.partitionBy("account_id").orderBy("_block").rowsBetween(
+        Window.unboundedPreceding, -1)
+    blocks = rows.groupBy("account_id", "_block").agg(F.count(F.lit(1)).alias("_n")).select(
+        F.col("account_id").alias("_account"), F.col("_block").alias("_at"),
+        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy("account_id", "_block").orderBy("note_idx", "raw_text")
+    same = (F.col("account_id") == F.col("_account")) & F.col("_block").eqNullSafe(F.col("_at"))
+    placed = rows.withColumn("_place", F.row_number().over(inside) - 1).join(blocks, same)
+    place = F.col("_before") + F.col("_place")
     texts = (
-        rows.join(long, "account_id", "left")
-        .groupBy("account_id", segment.alias("segment"))
+        placed.groupBy("account_id", F.floor(place / segment_notes).alias("segment"))
         .agg(
             F.count(F.lit(1)).alias("n_notes"),
             F.sort_array(F.collect_list(F.struct("note_idx", "raw_text"))).alias("t"))

@@ -532,7 +532,7 @@ TRUTH = """
 def _metrics(configs) -> str:
     scored = " union all ".join(
         f"select {i} as place, {lit(name)} as config, account_id, expected_high, expected_low, "
-        f"{weighted(w)} as score from {{truth}}" for i, (name, w) in enumerate(configs.items()))
+        f"composite_risk_score, {weighted(w)} as score from {{truth}}" for i, (name, w) in enumerate(configs.items()))
     return f"""
         select config, place,
                {rnd("coalesce(avg(score) filter (expected_high)"
@@ -546,8 +546,8 @@ def _metrics(configs) -> str:
                {rnd("coalesce(avg(score) filter (expected_low), 0::double)", 4)} as avg_low_score,
                count(*) filter (expected_high) as n_expected_high,
                count(*) filter (expected_low) as n_expected_low
-        from (select *, row_number() over (partition by config order by score desc, account_id)
-                        as rn,
+        from (select *, row_number() over (partition by config
+                        order by score desc, composite_risk_score desc, account_id) as rn,
                      greatest(1, count(*) filter (expected_high) over (partition by config)) as k
               from ({scored}) as s) as r
         group by config, place"""
@@ -601,7 +601,7 @@ _CATEGORY_COUNTS = [
 INSIGHTS_REPORT = f"""
     select {_json_pairs(
         ("summary", _json_pairs(*[(c, f"{c}::varchar") for c in _SUMMARY_COLUMNS])),
-        ("model_insights", "'" + '""' + "'"),
+        ("llm_insights", "'" + '""' + "'"),
         ("structured_insight_counts", _json_pairs(*_CATEGORY_COUNTS)))} as report
     from ({SUMMARY}) as s"""
 
@@ -775,10 +775,14 @@ RECONCILED = """
 def _by_account(notes: str, accounts: str) -> str:
     return f"""
         select t.account_id, coalesce(a.account_name, 'Account ' || t.account_id) as account_name,
-               0::bigint as segment, n_notes, notes_text
-        from (select account_id, count(*) as n_notes,
-                     string_agg(raw_text, chr(10) || chr(10) order by note_idx) as notes_text
-              from {notes} where account_id is not null group by account_id) as t
+               segment, n_notes, notes_text
+        from (select account_id, segment, count(*) as n_notes,
+                     string_agg(raw_text, chr(10) || chr(10) order by rn) as notes_text
+              from (select *, (rn - 1) // 1000 as segment
+                    from (select *, row_number() over (partition by account_id
+                                        order by note_idx, raw_text) as rn
+                          from {notes} where account_id is not null) as o) as s
+              group by account_id, segment) as t
              left join {accounts} as a on a.account_id = t.account_id"""
 
 
@@ -787,6 +791,17 @@ RELATIONS = {
     "note_names": NOTE_NAMES,
     "found_notes": FOUND_NOTES,
     "tiers_1_2": TIERS_1_2,
+    "tiers_strict": """
+    select * replace (case when complete then ext_id end as ext_id,
+                      case when complete then ext_name end as ext_name)
+    from {tiers_1_2}, (
+        select count(*) = 0 as complete from {tiers_1_2}
+        where by_id is null and exact_id is null and own_name <> ''
+              and own_name not in (select input_name from {name_matches_v})) as c""",
+    "open_strict": OPEN_NAMES.replace("{tiers_1_2}", "{tiers_strict}"),
+    "fuzzy_strict": _fuzzy("{open_strict}"),
+    "reconciled_strict": RECONCILED.replace("{tiers_1_2}", "{tiers_strict}").replace(
+        "{fuzzy_open}", "{fuzzy_strict}"),
     "open_names": OPEN_NAMES,
     "fuzzy_open": _fuzzy("{open_names}"),
     "reconciled": RECONCILED,
@@ -839,6 +854,7 @@ QUERIES = {
         select *, '' as date_str, '' as csm_name from {found_notes}""",
     "name_lookup": NAME_LOOKUP,
     "fuzzy_match": _fuzzy("{misspelt_v}"),
+    "reconcile_notes_strict": "select * from {reconciled_strict}",
     "reconcile_notes": "select * from {reconciled}",
     "reconcile_by_id": """
         select note_idx, account_id, account_name from {reconciled} where match_method = 'id'""",
@@ -907,6 +923,10 @@ QUERIES = {
     "industry_risk": INDUSTRY,
     "top15_digest": TOP15,
     "dataset_digest": DIGEST,
+    "digest_text": f"""
+        select string_agg(case when section in (3, 5, 7, 9) then chr(10) || line else line end,
+                          chr(10) order by section, weight desc, line) as digest
+        from ({DIGEST}) as d""",
     "ground_truth": "select account_id, expected_high, expected_low from {truth}",
     "weight_metrics": f"select * exclude (place) from ({METRICS_CURRENT}) as m",
     "weight_sensitivity": "select * exclude (place) from {metrics}",

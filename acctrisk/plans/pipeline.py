@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +17,9 @@ from acctrisk.params import DEFAULT, ScoringParams
 from acctrisk.sources import exports
 from acctrisk.sources.files import Sources
 
+# What an analysis of notes returns: one or more responses per account, the last seq counts.
+ANALYSES = "account_id long, seq long, response_json string"
+
 
 @dataclass(frozen=True)
 class Dataset:
@@ -77,6 +82,7 @@ class Run:
     report: DataFrame
     risk: DataFrame
     notes: DataFrame
+    notes_by_account: DataFrame
     metrics: DataFrame
     verdict: DataFrame
 
@@ -90,19 +96,31 @@ def run(
     sentiments: DataFrame | None = None,
     name_matches: DataFrame | None = None,
     explanations: DataFrame | None = None,
+    entities: DataFrame | None = None,
+    analyse: Callable[[pd.DataFrame], pd.DataFrame] | None = None,
 ) -> Run:
     """The whole pipeline: validate, resolve names, score, explain, back-test and export.
 
-    The scored accounts are materialised once, because every later step reads them.
+    ``entities`` are external findings per note (see annotate.note_entities). ``analyse`` gets
+    batches of notes_by_account rows and returns ANALYSES rows for them; it takes the place of
+    ``analyses``. Accounts with ``ingest_order`` are taken in file order, when rows are
+    deduplicated and where names are ambiguous. The scored accounts are materialised once, because
+    every later step reads them.
     """
     clean, report = quality.validate_all(
         data.accounts, data.usage, data.tickets, data.nps, params.snapshot_date)
-    notes = reconcile.reconcile(data.notes, clean["accounts"], name_matches)
+    accounts = clean["accounts"]
+    order = "ingest_order" if "ingest_order" in accounts.columns else "account_id"
+    notes = reconcile.reconcile(
+        annotate.note_entities(data.notes, entities), accounts, name_matches, order=order)
+    by_account = reconcile.notes_by_account(notes, accounts)
+    if analyse is not None:
+        analyses = annotate.batch_annotate(by_account, analyse, ANALYSES)
     scored = score_dataset(Dataset(
-        clean["accounts"], clean["usage"], clean["tickets"], clean["nps"], analyses,
+        accounts.drop("ingest_order"), clean["usage"], clean["tickets"], clean["nps"], analyses,
         translations, sentiments), params)
     risk = materialise(annotate.with_explanations(scored, explanations))
     metrics = backtest.weight_metrics(risk)
     if folder is not None:
         exports.export_all(risk, insights.insights_export(risk), folder)
-    return Run(report, risk, notes, metrics, backtest.weight_verdict(metrics))
+    return Run(report, risk, notes, by_account, metrics, backtest.weight_verdict(metrics))

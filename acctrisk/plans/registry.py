@@ -134,10 +134,11 @@ def fuzzy_match(spark, sf_dir):
     return reconcile.fuzzy_match(view(spark, sf_dir, "misspelt_v"), lookup)
 
 
-def _reconciled(spark, sf_dir):
+def _reconciled(spark, sf_dir, all_or_nothing=False):
     found = notes.extract_entities(view(spark, sf_dir, "part_notes_v"))
     return reconcile.reconcile(
-        found, view(spark, sf_dir, "named_accounts_v"), view(spark, sf_dir, "name_matches_v"))
+        found, view(spark, sf_dir, "named_accounts_v"), view(spark, sf_dir, "name_matches_v"),
+        all_or_nothing=all_or_nothing)
 
 
 @query
@@ -145,6 +146,12 @@ def reconcile_notes(spark, sf_dir):
     return _reconciled(spark, sf_dir)
 
 
+@query
+def reconcile_notes_strict(spark, sf_dir):
+    """External matches count only if they answer for every open name, as by default."""
+    return _reconciled(spark, sf_dir, all_or_nothing=True)
+
+
 @query
 def reconcile_by_id(spark, sf_dir):
     return _reconciled(spark, sf_dir).filter("match_method = 'id'").select(
@@ -432,6 +439,11 @@ def dataset_digest(spark, sf_dir):
     return insights.dataset_digest(risk(spark, sf_dir))
 
 
+@query
+def digest_text(spark, sf_dir):
+    return insights.digest_text(risk(spark, sf_dir))
+
+
 # ---- back-test -------------------------------------------------------------------------------
 
 @query

@@ -15,9 +15,11 @@ from acctrisk.sources import schemas
 def _csv(
     spark: SparkSession, path: str, schema: T.StructType, required: list[str], multi_line: bool
 ) -> DataFrame:
-    """A CSV table with a header; columns are found by name, bad values stop the read.
+    """A CSV table with a header; bad values stop the read.
 
-    Only the header line is read up front; there is no pass over the data to infer types.
+    The order of the columns is that of the first file's header, which is all that is read up
+    front. A file of the folder whose header differs stops the read, too, as its columns would be
+    taken for others.
     """
     options = {"header": True, "escape": '"', "multiLine": multi_line}
     known = {f.name: f for f in schema}
@@ -27,7 +29,8 @@ def _csv(
         known[name] if name in known and known[name].dataType != T.DateType()
         else T.StructField(name, text)
         for name in spark.read.options(**options).csv(path).columns])
-    df = spark.read.schema(in_file).options(**options, mode="FAILFAST").csv(path)
+    df = spark.read.schema(in_file).options(
+        **options, mode="FAILFAST", enforceSchema=False).csv(path)
     dates = {c: F.col(c).cast("timestamp").cast("date") for c in df.columns
              if c in known and known[c].dataType == T.DateType()}
     present = {c: F.coalesce(F.col(c), F.raise_error(F.lit(f"{c} is missing")).cast("bigint"))
@@ -73,13 +76,18 @@ def load_nps_responses(spark: SparkSession, path: str, multi_line: bool = True)
 
 
 def read_texts(spark: SparkSession, path: str) -> DataFrame:
-    """Whole text files, one row each, in parallel over the files."""
-    return spark.read.text(path, wholetext=True)
+    """Whole text files, one row each with its file, in parallel over the files.
+
+    Lines end with a line feed, whichever way they ended in the file.
+    """
+    return spark.read.text(path, wholetext=True).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.regexp_replace("value", "\\r\\n?", "\n").alias("value"))
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines with their place, for text files too large for one row."""
-    return spark.read.text(path, lineSep="\n").select(
+    return spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("split"),
         F.monotonically_increasing_id().alias("pos"),
@@ -87,12 +95,12 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def load_notes(spark: SparkSession, path: str, strip_banner: bool = False) -> DataFrame:
-    """Notes with the account id and name their text mentions."""
+    """Notes with the account id and name their text mentions, numbered per ``file``."""
     return extract_entities(split_notes(read_texts(spark, path), strip_banner=strip_banner))
 
 
 def load_changelog(spark: SparkSession, path: str) -> DataFrame:
-    return parse_changelog(read_texts(spark, path))
+    return parse_changelog(read_texts(spark, path).drop("file"))
 
 
 @dataclass(frozen=True)
@@ -107,8 +115,8 @@ class Sources:
     changelog: DataFrame
 
 
-def load_all(spark: SparkSession, folder: str, ordered: bool = False) -> Sources:
-    """The six inputs of a folder, under their usual file names."""
+def load_all(spark: SparkSession, folder: str, ordered: bool = True) -> Sources:
+    """The six inputs of a folder, under their usual file names, accounts with their place."""
     return Sources(
         accounts=load_accounts(spark, f"{folder}/accounts.csv", ordered),
         usage=load_usage_metrics(spark, f"{folder}/usage_metrics.csv"),

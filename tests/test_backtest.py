@@ -55,23 +55,25 @@ def test_nothing_expected(frame):
 
 
 @pytest.mark.parametrize("ties", [1, 3, 1000])
-def test_precision_equals_brute_force_with_ties(frame, monkeypatch, ties):
-    """Up to all accounts share one score; the cut then falls between accounts by id."""
-    monkeypatch.setattr(backtest, "TIE_RANGES", 7)
+def test_precision_equals_brute_force_with_ties(frame, ties):
+    """Up to all accounts share one score, or none do; ties go by composite score, then by id."""
     rng = random.Random(ties)
     rows = []
     for i in rng.sample(range(5000), 200):
         level = rng.randint(0, 1000 // ties) / 1000
         mood = rng.choice(["negative", "neutral", "neutral"])
         rows.append((i, "n", mood, "", "active", 7, "v4.3.0", 1, *[level] * 6))
-    got = by_key(backtest.weight_metrics(frame(RISK, *rows).repartition(5)), "config")
+    composite = {r[0]: rng.randint(0, 3) / 10 for r in rows}
+    scored = frame(RISK, *rows).join(
+        frame("account_id long, composite_risk_score double", *composite.items()), "account_id")
+    got = by_key(backtest.weight_metrics(scored.repartition(5)), "config")
     for name, weights in fixed.WEIGHT_CONFIGS.items():
         def score(row):
             total = row[8] * weights[0]
             for value, weight in zip(row[9:], weights[1:]):
                 total = total + value * weight
             return total
-        ranked = sorted(rows, key=lambda r: (-score(r), r[0]))
+        ranked = sorted(rows, key=lambda r: (-score(r), -composite[r[0]], r[0]))
         k = max(1, sum(r[2] == "negative" for r in rows))
         precision = sum(r[2] == "negative" for r in ranked[:k]) / k
         assert got[name].precision_at_k == pytest.approx(precision, abs=1e-4)

@@ -81,7 +81,7 @@ def test_report_json(frame):
     text = insights.insights_export(risk_frame(frame), "free text").first().report
     data = json.loads(text)
     assert data["summary"]["total_arr_at_risk"] == 1236167
-    assert data["model_insights"] == "free text"
+    assert data["llm_insights"] == "free text"
     assert data["structured_insight_counts"]["sdk_cascade"] == 2
 
 

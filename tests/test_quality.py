@@ -92,7 +92,7 @@ def test_ticket_checks(frame):
 
 def test_orphans(frame):
     accounts = frame("account_id long", (1,), (2,))
-    facts = frame("account_id long", *[(i,) for i in [1, 9, 9, 8, 7, 6, 5, 4]])
+    facts = frame("account_id long", *[(i,) for i in [1, 9, 9, None, 8, 7, None, 6, 5, 4]])
     row = quality.orphan_report({"usage": facts}, accounts).first()
     assert (row.n_orphans, row.smallest_ids) == (6, "4, 5, 6, 7, 8")
     assert quality.cross_reference_report({"nps": accounts}, accounts).count() == 0

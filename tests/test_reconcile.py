@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from tests.conftest import by_key
 
-from acctrisk.functions.similarity import lcs_length, token_sort
+from acctrisk.functions.similarity import lcs_lengths, token_sort
 from acctrisk.operators import reconcile
 
 NAMES = ["BrightPath Solutions", "Pinnacle Media Group", "Vanguard Retail", "Thunderbolt Motors",
@@ -35,8 +35,35 @@ def test_lcs_on_mixed_lengths(frame):
     rng = random.Random(3)
     pairs = [("".join(rng.choices("abcé😀 ", k=rng.randint(1, n))),
               "".join(rng.choices("abcé😀 ", k=rng.randint(1, n)))) for n in (3, 9, 40, 90) * 10]
-    df = frame("a string, b string", *pairs).select("a", "b", lcs_length("a", "b").alias("n"))
-    assert all(r.n == lcs(r.a, r.b) for r in df.collect())
+    found = lcs_lengths([a for a, _ in pairs], [b for _, b in pairs])
+    assert found.tolist() == [lcs(a, b) for a, b in pairs]
+
+
+def test_fuzzy_search_finds_the_best_of_thousands_of_names(frame):
+    """Blocks, bands and the bound on common characters lose nothing; ties go to the first."""
+    rng = random.Random(5)
+    parts = "an ber cor dal en fir gra hol in jor kal lon mer nor tech net bio".split()
+
+    def name():
+        return " ".join("".join(rng.choices(parts, k=rng.randint(1, 3))).title()
+                        for _ in range(rng.randint(1, 3)))
+
+    names = sorted({name() for _ in range(9000)})[:6000]
+    asked = [n[:len(n) // 2] + n[len(n) // 2 + 1:] + " co" for n in rng.sample(names, 300)]
+    accounts = frame("account_id long, account_name string", *enumerate(names))
+    got = by_key(reconcile.fuzzy_match(
+        frame("query string", *[(q,) for q in asked]), reconcile.name_lookup(accounts)), "query")
+    keys = [" ".join(sorted(n.lower().split())) for n in names]
+    first = {}
+    for i, key in enumerate(keys):
+        first.setdefault(key, i)
+    for q in rng.sample(asked, 40):
+        key = " ".join(sorted(q.lower().split()))
+        lengths = lcs_lengths([key] * len(keys), keys)
+        scores = [200.0 * n / (len(key) + len(k)) for n, k in zip(lengths.tolist(), keys)]
+        best = max(scores)
+        want = min(first[keys[i]] for i, s in enumerate(scores) if s == best)
+        assert best < 65 and q not in got or (got[q].account_id, got[q].score) == (want, best)
 
 
 def test_token_sort(frame):
@@ -98,14 +125,15 @@ def test_tiers(frame, accounts):
     matches = frame("input_name string, matched_id long, confidence string",
                     ("the healthcare one", 1006, "high"), ("the healthcare one", 1001, "medium"),
                     ("low one", 1001, "low"), ("ghost id", 4242, "high"))
-    rows = by_key(reconcile.reconcile(notes, accounts, matches), "note_idx")
+    rows = by_key(reconcile.reconcile(notes, accounts, matches, all_or_nothing=False), "note_idx")
     got = {i: (r.account_id, r.account_name, r.match_method) for i, r in rows.items()}
     assert got == {
         1: (1003, "Vanguard Retail", "id"), 2: (1005, "Crescent Labs", "exact"),
         3: (1006, "Meridian Health", "external"), 4: (1004, "Thunderbolt Motors", "fuzzy"),
         5: (9999, "nobody knows", "none"), 6: (None, "", "none"), 7: (None, "low one", "none"),
         8: (None, "ghost id", "none"), 9: (None, None, "none")}
-    rate = reconcile.match_rate(reconcile.reconcile(notes, accounts, matches)).first()
+    done = reconcile.reconcile(notes, accounts, matches, all_or_nothing=False)
+    rate = reconcile.match_rate(done).first()
     assert (rate.n_matched, rate.n_notes) == (5, 9)
 
 
@@ -124,17 +152,22 @@ def test_notes_by_account(frame, accounts):
     assert got[7].account_name == "Account 7"
 
 
-def test_long_accounts_come_in_segments_that_make_up_the_whole(frame):
+def test_long_accounts_come_in_segments_that_make_up_the_whole(frame, monkeypatch):
+    """Numbers that repeat and missing numbers, too, do not make a segment longer."""
+    monkeypatch.setattr(reconcile, "BLOCK", 16)
     rows = [(i, f"note {i}", 1 if i % 2 else 2, "") for i in range(101)]
-    rows.append((200, "short", 3, ""))
+    rows += [(200, "short", 3, "")]
+    rows += [(7, f"same number {i:02}", 4, "") for i in range(23)]
+    rows += [(None, f"no number {i:02}", 4, "") for i in range(17)]
     notes = frame(NOTES, *rows).repartition(6)
     whole = by_key(reconcile.notes_by_account(notes))
-    parts = reconcile.notes_by_account(notes, max_chars=100)
+    assert whole[4].notes_text.startswith("no number 00")
+    parts = reconcile.notes_by_account(notes, segment_notes=10)
     pieces = {}
     for r in parts.orderBy("account_id", "segment").collect():
         pieces.setdefault(r.account_id, []).append(r.notes_text)
-    assert len(pieces[1]) > 5 and len(pieces[3]) == 1
-    assert all(len(text) <= 100 for texts in pieces.values() for text in texts)
+    assert len(pieces[1]) == 5 and len(pieces[3]) == 1 and len(pieces[4]) == 4
+    assert all(text.count("\n\n") < 10 for texts in pieces.values() for text in texts)
     assert {k: "\n\n".join(v) for k, v in pieces.items()} == {
         k: r.notes_text for k, r in whole.items()}
 

@@ -5,9 +5,7 @@ from pyspark.sql import functions as F
 from tests.conftest import by_key
 
 from acctrisk import fixed
-from acctrisk.functions.skew import (
-    hot_keys, key_counts, left_join_facts, left_join_lookup,
-)
+from acctrisk.functions.skew import left_join_facts, left_join_lookup, left_join_open
 from acctrisk.operators import scoring
 from acctrisk.params import ScoringParams
 
@@ -89,10 +87,8 @@ def test_every_response_keeps_its_row_on_either_join_path(frame):
     merged = scoring.composite_risk(accounts, nps=nps).groupBy("account_id").count()
     assert {r.account_id: r["count"] for r in merged.collect()} == {1: 50, 2: 1, 3: 1}
     plain = accounts.join(nps, "account_id", "left")
-    hot = hot_keys(key_counts(nps, "account_id"), "account_id", 10).collect()
-    assert [(r.account_id, r._salts) for r in hot] == [(1, 6)]
     for parts in (1, 9):
-        split = left_join_facts(accounts, nps.repartition(parts), "account_id", min_rows=10)
+        split = left_join_facts(accounts, nps.repartition(parts), "account_id")
         assert sorted(map(str, split.select(plain.columns).collect())) == sorted(
             map(str, plain.collect()))
 
@@ -102,11 +98,29 @@ def test_hot_and_missing_keys_of_a_lookup_join(frame):
     lookup = frame("k long, name string", (1, "one"), (2, "two"), (4, "four"))
     plain = facts.join(lookup, "k", "left")
     for parts in (1, 9):
-        split = left_join_lookup(facts.repartition(parts), lookup, "k", min_rows=10)
+        split = left_join_lookup(facts.repartition(parts), lookup, "k")
         assert sorted(map(str, split.select(plain.columns).collect())) == sorted(
             map(str, plain.collect()))
 
 
+def test_hot_keys_are_dealt_out_even_from_one_partition(frame):
+    facts = frame("k long, v long", *[(1, i) for i in range(4000)]).coalesce(1)
+    joined = left_join_lookup(facts, frame("k long, name string", (1, "one")), "k")
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "_salt" in plan and joined.filter("name = 'one'").count() == 4000
+    from acctrisk.functions import skew
+    per_salt = facts.select(skew._salt(facts, 16)).groupBy("_salt").count().collect()
+    assert len(per_salt) == 16 and max(r["count"] for r in per_salt) < 400
+
+
+def test_open_keys_match_nothing_and_are_spread(frame):
+    left = frame("a long, b string", (1, "x"), (2, "y"), (None, "z"), (None, "z"))
+    right = frame("k long, c string", (1, "one"), (3, "three"))
+    got = left_join_open(left, right, F.when(F.col("a") < 2, F.col("a")), "k").collect()
+    assert sorted(map(str, (r.c for r in got))) == ["None", "None", "None", "one"]
+    assert [r.k for r in got if r.c] == [1]
+
+
 def test_ranking_breaks_ties_by_id(frame):
     df = frame("account_id long, composite_risk_score double", (3, 0.5), (1, 0.5), (2, 0.9))
     assert [r.account_id for r in scoring.rank_by_risk(df).collect()] == [2, 1, 3]

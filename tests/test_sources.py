@@ -3,10 +3,12 @@ from datetime import date
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 from tests.conftest import by_key
 
 from acctrisk.functions.lineage import materialise, shared_folder
-from acctrisk.operators import notes, quality, scoring
+from acctrisk.operators import annotate, notes, quality, scoring
+from acctrisk.operators.notes import blocks_from_lines
 from acctrisk.plans import pipeline
 from acctrisk.sources import exports, files
 
@@ -98,6 +100,62 @@ def test_fused_scoring_equals_stand_alone_operators(spark, folder):
         map(str, plain.select(sorted(plain.columns)).collect()))
 
 
+def test_files_with_other_headers_stop_the_read(spark, tmp_path):
+    folder = tmp_path / "nps"
+    folder.mkdir()
+    (folder / "a.csv").write_text("account_id,score,verbatim_comment\n1,9,good\n")
+    (folder / "b.csv").write_text("account_id,score,verbatim_comment\n2,3,bad\n")
+    assert files.load_nps_responses(spark, str(folder)).count() == 2
+    (folder / "c.csv").write_text("score,account_id,verbatim_comment\n3,500,bad\n")
+    with pytest.raises(Exception, match="CSV header"):
+        files.load_nps_responses(spark, str(folder)).collect()
+
+
+def test_note_files_of_any_line_end_keep_their_notes_apart(spark, frame, tmp_path):
+    """Two files number their notes alike; external findings meet the note of their own file."""
+    folder = tmp_path / "notes"
+    folder.mkdir()
+    for name, end in (("a.txt", "\r\n"), ("b.txt", "\n"), ("c.txt", "\r")):
+        blocks = [f"{name} first", "-" * 40, f"{name} second", "line two", "-" * 40, f"{name} third"]
+        (folder / name).write_bytes(end.join(blocks).encode())
+    notes = files.load_notes(spark, str(folder))
+    rows = {(r.file.rsplit("/", 1)[1], r.note_idx): r.raw_text for r in notes.collect()}
+    assert rows == {(f, i + 1): f"{f} {t}" for f in ("a.txt", "b.txt", "c.txt")
+                    for i, t in enumerate(("first", "second\nline two", "third"))}
+    blocks = blocks_from_lines(files.read_lines(spark, str(folder))).collect()
+    assert sorted(r.raw_text for r in blocks) == sorted(rows.values())
+    external = notes.select(
+        "file", "note_idx", F.lit(7).cast("long").alias("account_id"),
+        F.concat("raw_text", F.lit("!")).alias("account_name"),
+        F.lit("").alias("date_str"), F.lit("").alias("csm_name"))
+    found = annotate.note_entities(notes, external).collect()
+    assert all(r.account_name == rows[r.file.rsplit("/", 1)[1], r.note_idx] + "!" for r in found)
+    with pytest.raises(ValueError):
+        annotate.note_entities(notes, external.drop("file"))
+
+
+def test_run_uses_notes_entities_and_the_analysis(spark, folder):
+    data = files.load_all(spark, folder)
+    first = data.notes.select("file", "note_idx").orderBy("note_idx").first()
+    entities = data.notes.select("file", "note_idx").withColumns({
+        "account_id": F.when(F.col("note_idx") == first.note_idx, F.lit(1001).cast("long")),
+        "account_name": F.lit(""), "date_str": F.lit("2026-01-01"), "csm_name": F.lit("Kim")})
+
+    def analyse(batch):
+        out = batch[["account_id"]].copy()
+        out["seq"] = 1
+        out["response_json"] = '{"sentiment": "negative", "risk_score": 0.9}'
+        return out
+
+    result = pipeline.run(data, entities=entities, analyse=analyse)
+    assert {r.csm_name for r in result.notes.collect()} == {"Kim"}
+    texts = by_key(result.notes_by_account)
+    assert 1001 in texts and texts[1001].n_notes >= 1
+    risk = by_key(result.risk)
+    assert risk[1001].csm_sentiment == "negative"
+    assert "ingest_order" not in result.risk.columns
+
+
 def test_materialise_writes_to_the_shared_folder(spark):
     df = materialise(spark.range(5))
     assert df.count() == 5
