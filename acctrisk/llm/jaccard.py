@@ -279,7 +279,8 @@ def meetings(entries: DataFrame, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, large = np.zeros((4, 0), dtype=np.int64), False
         for batch in batches:
-            x = np.concatenate((held, np.stack([batch.column(c).to_numpy() for c in names])), axis=1)
+            x = np.stack([batch.column(c).to_numpy() for c in names])
+            x = np.concatenate((held, x), axis=1)
             new = np.ones(x.shape[1], dtype=bool)
             new[1:] = (x[:2, 1:] != x[:2, :-1]).any(0)  # equal entries come from several tasks
             x = x[:, new]
@@ -443,8 +444,8 @@ def second_round(met: DataFrame, checked: DataFrame, roots: DataFrame, percent:
 
     In a shingle's classes the most frequent component is only compared with the others, never
     within itself. A pair is taken where it first meets; only pairs that meet late in a prefix are
-    taken at several places and made distinct. Jaccard distances obey the triangle inequality: two classes whose distances to
-    the same leader differ by more than the largest distance of a link cannot be linked.
+    taken at several places and made distinct. Jaccard distances obey the triangle inequality: two
+    classes whose distances to the same leader differ by more than the largest distance of a link cannot be linked.
     """
     known = checked.select(
         F.col("b").alias("sig"), F.col("a").alias("led_by"),

@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acctrisk.llm import byte_bpe, chat, classifier, jaccard, language, lm, packing, rules, topk, urls
+from acctrisk.llm import (
+    byte_bpe, chat, classifier, jaccard, language, lm, packing, rules, topk, urls,
+)
 from acctrisk.llm.common import held_out, materialise, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -153,12 +155,55 @@ def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"))
 
 
+ORACLE_SQL["op8_topk"] = """
+with v as (
+  select vec_id, [floor(64 * x::double) for x in embedding] as e from embeddings
+  where embedding is not null
+        and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
+scored as (
+  select q.vec_id as query_id, c.vec_id, list_inner_product(q.e, c.e)::bigint as score
+  from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 20 = 0),
+ranked as (
+  select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank
+  from scored)
+select query_id, rank, vec_id, score from ranked where rank <= 20
+"""
+
+
 @query
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents")).documents.select(
         "doc_id", "n_shingles", "component_id")
 
 
+ORACLE_SQL["op9_ngram_jaccard"] = r"""
+with recursive cut as (
+  select doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') as w
+  from documents),
+spread as (
+  select doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as i from cut where len(w) > 0),
+shingles as (
+  select distinct doc_id, array_to_string(list_slice(w, i, i + 4), ' ') as s from spread),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+shared as (
+  select a.doc_id as x, b.doc_id as y, count(*) as c
+  from shingles a join shingles b on a.s = b.s and a.doc_id < b.doc_id group by all),
+links as (
+  select x, y from shared join sizes p on p.doc_id = x join sizes q on q.doc_id = y
+  where 100 * c >= 80 * (p.n + q.n - c)),
+both_ways as (select x, y from links union all select y, x from links),
+reach as (
+  select x, x as y from both_ways
+  union select r.x, b.y from reach r join both_ways b on b.x = r.y),
+least as (select x, min(y) as component_id from reach group by x)
+select doc_id, coalesce(n, 0)::bigint as n_shingles,
+       coalesce(component_id, doc_id)::bigint as component_id
+from documents left join sizes using (doc_id) left join least on x = doc_id
+"""
+
+
 @query
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rotate(table(spark, sf_dir, "conversations"))
