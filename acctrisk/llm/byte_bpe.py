@@ -53,6 +53,17 @@ def load(path: str, pattern: str = public_tokenizers.PATTERN) -> tiktoken.Encodi
     return tiktoken.Encoding("local", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
+def added_tokens(path: str) -> dict[str, int]:
+    """The ids of the added tokens of a byte-level vocabulary; a rank file has none."""
+    if not path.endswith(".json"):
+        return {}
+    with open(path, encoding="utf-8") as f:
+        added = json.load(f).get("added_tokens", [])
+    if any(x[flag] for x in added for flag in ("single_word", "lstrip", "rstrip")):
+        raise ValueError("added tokens that look at their surroundings are not supported")
+    return {x["content"]: x["id"] for x in added}
+
+
 def long_pieces(text: str, size: int = LONG_TEXT) -> Iterator[str]:
     """A text in pieces of about `size` characters, cut at safe boundaries only.
 
@@ -68,8 +79,15 @@ def long_pieces(text: str, size: int = LONG_TEXT) -> Iterator[str]:
     yield text[at:]
 
 
-def encode_text(encoding: tiktoken.Encoding, text: str) -> np.ndarray:
-    """Token ids of a text, special tokens being ordinary text."""
+def encode_text(encoding: tiktoken.Encoding, text: str, added: dict[str, int] | None = None,
+                ) -> np.ndarray:
+    """Token ids of a text. Texts in `added` become their ids, what is between them is encoded
+    for itself; without it special tokens are ordinary text."""
+    if added and any(x in text for x in added):
+        longest_first = sorted(added, key=len, reverse=True)
+        parts = re.split("(" + "|".join(map(re.escape, longest_first)) + ")", text)
+        return np.concatenate([np.array([added[x]], np.uint32) if k % 2 else
+                               encode_text(encoding, x) for k, x in enumerate(parts)])
     parts = [encoding.encode_to_numpy(piece, disallowed_special=()) for piece in long_pieces(text)]
     return parts[0] if len(parts) == 1 else np.concatenate(parts)
 

@@ -71,7 +71,7 @@ def first_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray
 
 
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, with_ids: bool = False,
-           ) -> DataFrame:
+           added: bool = False) -> DataFrame:
     """Every document's ids, the end id included, cut into pieces of at most `capacity`.
 
     `copy` numbers equal rows of a task; the set of numbers does not depend on the order of rows,
@@ -79,11 +79,12 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, with_ids: bool
     """
     def run(batches):
         encoding, seen = byte_bpe.load(path), {}
+        special = byte_bpe.added_tokens(path) if added else None
         for batch in slices(batches):
             out = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch),
                                     strict=True):
-                ids = np.append(byte_bpe.encode_text(encoding, text), END_ID).astype("<u4")
+                ids = np.append(byte_bpe.encode_text(encoding, text, special), END_ID).astype("<u4")
                 key = (doc_id, zlib.crc32(ids.tobytes()))
                 seen[key] = copy = seen.get(key, -1) + 1
                 for start in range(0, len(ids), capacity):
@@ -100,13 +101,15 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, with_ids: bool
 
 
 def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY,
-         group_docs: int = GROUP_DOCS, seed: int = 0, with_ids: bool = False) -> DataFrame:
+         group_docs: int = GROUP_DOCS, seed: int = 0, with_ids: bool = False,
+         added: bool = False) -> DataFrame:
     """One row per piece: where it lies in its document and in its sequence.
 
     doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset and, with `with_ids`, the
     piece's ids (little-endian unsigned 32-bit). A null text counts as empty and has the end id
     only. Repeated rows are packed each for itself; ids may be null. Other columns are ignored; an
-    empty table gives no rows.
+    empty table gives no rows. With `added`, added tokens of the vocabulary that stand in a text
+    get their ids, as the tokenizers library does by default; else they are ordinary text.
 
     Documents fall into groups of about `group_docs` by a seeded hash, copies of a row into
     different groups, so groups stay even whatever the ids are. The vocabulary file has to be at
@@ -128,6 +131,6 @@ def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY,
 
     part = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "doc_tokens", "copy"), F.lit(groups))
     return (
-        pieces(docs, path, capacity, with_ids).withColumn("part", part)
+        pieces(docs, path, capacity, with_ids, added).withColumn("part", part)
         .groupBy("part").applyInArrow(run, PACKED + ", ids binary" * with_ids)
     )

@@ -45,7 +45,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Kept documents as pieces of sequences of at most 1024 tokens."""
-    return packing.pack(docs)
+    return packing.pack(docs, added=True)
 
 
 STAGES = [

@@ -6,7 +6,8 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from acctrisk.llm import byte_bpe, packing
+import corpus_pipeline
+from acctrisk.llm import byte_bpe, packing, queries
 from acctrisk.llm.common import table
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -93,3 +94,27 @@ def test_vocabulary_file_gives_the_ids_of_the_library():
     for text in ("it's 'sab\n\n  x   y", "déjà <|endoftext|> 123", "\x1c\x00 ~" * 50):
         assert byte_bpe.encode_text(encoding, text).tolist() == \
             tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_added_tokens_as_the_library_does_by_default(spark, frame):
+    tokenizer, end = Tokenizer.from_file(PATH), "<|endoftext|>"
+    texts = [f"a {end} b", end, f"{end}{end}", f"x  \n{end}\n\n y{end}", f"<|endoftext|{end}|>",
+             f"it's {'long ' * 40_000}{end} {'long ' * 40_000}", "none", f"日本{end}語"]
+    docs = frame("doc_id long, text string", *enumerate(texts))
+    want = {i: tokenizer.encode(x, add_special_tokens=False).ids + [packing.END_ID]
+            for i, x in enumerate(texts)}
+    assert want[0] == [64, 220, 50256, 275, 0]
+    got = {}
+    for r in sorted(packing.pack(docs, with_ids=True, added=True).collect(),
+                    key=lambda r: r.start):
+        got.setdefault(r.doc_id, []).extend(np.frombuffer(r.ids, "<u4").tolist())
+    assert got == want
+
+
+def test_query_and_pipeline_give_added_tokens_their_ids(spark, frame, tmp_path):
+    docs = frame("doc_id long, text string", (1, "a <|endoftext|> b"))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    ids = np.array([64, 220, 50256, 275, 0], "<u4").tobytes()
+    for rows in (queries.op6_packing(spark, str(tmp_path)),
+                 corpus_pipeline.pack(spark, docs, str(tmp_path))):
+        assert [(r.doc_tokens, r.ids_crc32) for r in rows.collect()] == [(5, zlib.crc32(ids))]
