@@ -15,6 +15,8 @@ from acctrisk.llm.common import materialise, table
 # A language counts as known from this score on. Texts that switch languages score about 0.3 and
 # more, so only texts in none of the learnt languages fall below.
 MIN_LANGUAGE = 0.2
+# The number of a row among those that near duplicates are sought in.
+ROW = "_row_of_stage"
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,15 +34,26 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of every group of near duplicates.
+    """One row of every group of near duplicates: the smallest doc_id, null ids last.
 
-    A repeated row, one with the same doc_id, is the same document and stays once.
+    Rows are told apart by numbers of their own, so null and repeated ids lose no text. Rows
+    without a word are near duplicates of nothing; of those that have equal ids and texts one
+    stays.
     """
+    rows = materialise(docs.withColumn(ROW, F.monotonically_increasing_id()))
+    blank = F.when(F.col("text").rlike(r"^[\x20\x09-\x0D]*\z"), F.sha2("text", 256))
+    ids = rows.select(ROW, "doc_id", blank.alias("blank"))
+    joined = jaccard.join(rows.select(F.col(ROW).alias("doc_id"), "text")).documents
+    joined = joined.select(F.col("doc_id").alias(ROW), "component_id", "n_shingles").join(ids, ROW)
+    repeated = (F.col("n_shingles") == 0) & F.col("doc_id").isNotNull()
     kept = (
-        jaccard.join(docs).documents.where(F.col("doc_id") == F.col("component_id"))
-        .select("doc_id").distinct()
+        joined.groupBy(F.when(~repeated, F.col("component_id")).alias("component"),
+                       F.when(repeated, F.col("doc_id")).alias("id"),
+                       F.when(repeated, F.col("blank")).alias("blank"))
+        .agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", ROW)).alias("first"))
+        .select(F.col("first")[ROW].alias(ROW))
     )
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
+    return rows.join(kept, ROW, "left_semi").select(docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -71,3 +71,24 @@ def test_all_operators_are_registered():
     assert "pipeline" in names
     for n in range(1, 11):
         assert sum(x.startswith(f"op{n}_") for x in names) == 1
+
+
+def test_near_duplicates_lose_no_text_with_null_or_equal_ids(spark, frame):
+    def words(name, change=None):
+        return " ".join(f"{name}{i}" if i != change else "changed" for i in range(100))
+
+    rows = [(None, words("a")), (None, words("b")), (None, words("b", 50)), (None, words("c")),
+            (7, words("c", 99)), (1, words("d")), (1, words("e")), (1, words("e")),
+            (2, words("f")), (3, words("f", 99)), (3, words("g")), (4, ""), (4, ""), (4, " "),
+            (4, None), (None, ""), (None, None)]
+    docs = frame("doc_id long, text string, lang string", *[(*r, "x") for r in rows])
+    kept = corpus_pipeline.one_of_each_group(spark, docs, SF_DIR)
+    assert kept.columns == docs.columns
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr)
+    for one in (words("b"), words("b", 50)):
+        want = [(None, words("a")), (None, one), (7, words("c", 99)), (1, words("d")),
+                (1, words("e")), (2, words("f")), (3, words("g")), (4, ""), (4, " "), (4, None),
+                (None, ""), (None, None)]
+        if got == sorted(want, key=repr):
+            return
+    raise AssertionError(got)
