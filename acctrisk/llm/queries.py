@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acctrisk.llm import (
-    byte_bpe, chat, classifier, jaccard, language, lm, packing, rules, topk, urls,
+    byte_bpe, chat, classifier, jaccard, language, lines, lm, packing, rules, topk, urls,
 )
 from acctrisk.llm.common import held_out, materialise, table
 
@@ -234,3 +234,33 @@ select conv_id, perspective, turn, role, name, head || said || chr(10) as render
   (case when role = 'assistant' then length(said) else 0 end)::int as mask_length
 from made
 """
+
+
+@query
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+ORACLE_SQL["op12_line_dedup"] = r"""
+with rows as (
+  select row_number() over () as row, doc_id, str_split(coalesce(text, ''), chr(10)) as lines
+  from documents),
+cut as (
+  select row, doc_id, unnest(lines) as line, unnest(range(len(lines))) as place from rows),
+keyed as (
+  select *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key
+  from cut),
+shared as (
+  select key, max(doc_id) as keeper from (
+    select distinct key, doc_id from keyed where length(key) >= 20)
+  group by key having count(*) >= 3),
+marked as (
+  select k.*, s.key is not null and k.doc_id is distinct from keeper as gone
+  from keyed k left join shared s on k.key = s.key)
+select doc_id, count(*)::bigint as n_lines, count_if(gone)::bigint as n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) order by place) filter (where not gone), ''))
+         as kept_sha256
+from marked group by row, doc_id
+"""
