@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from acctrisk.llm import (
     byte_bpe, chat, classifier, jaccard, language, lines, lm, packing, rules, topk, urls,
+    whitening,
 )
 from acctrisk.llm.common import held_out, materialise, table
 
@@ -264,3 +265,10 @@ select doc_id, count(*)::bigint as n_lines, count_if(gone)::bigint as n_dropped,
          as kept_sha256
 from marked group by row, doc_id
 """
+
+
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A deviation beyond 64 bits is null here; the operator has it with 38 digits."""
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.expr("try_cast(deviation as bigint)"))

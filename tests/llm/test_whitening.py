@@ -1,0 +1,124 @@
+"""Whitening against whole-number arithmetic in plain Python."""
+
+import math
+from fractions import Fraction
+
+import numpy as np
+import pytest
+
+from acctrisk.llm import whitening
+
+SCHEMA = "vec_id long, embedding array<double>, n long, x string, component string"
+
+
+def table(frame, rows):
+    return frame(SCHEMA, *[(i, v, 7, "clash", "c") for i, v in rows])
+
+
+def usable(rows):
+    return [(i, [math.floor(256 * c) for c in v]) for i, v in rows
+            if v and all(c is not None and math.isfinite(c) for c in v)]
+
+
+def covariance(fit):
+    n, dims = len(fit), len(fit[0])
+    mean = [Fraction(sum(x[k] for x in fit), n) for k in range(dims)]
+    return mean, [[sum((x[i] - mean[i]) * (x[k] - mean[k]) for x in fit) / n
+                   for k in range(dims)] for i in range(dims)]
+
+
+def check(frame, rows, expected):
+    found = whitening.whiten(table(frame, rows)).collect()
+    kept = usable(rows)
+    assert len(found) == len(kept) * expected
+    if not found:
+        return found
+    fit = sorted({tuple(x) for _, x in kept})
+    n, dims = len(fit), len(fit[0])
+    mean, cov = covariance(fit)
+    trace = float(sum(cov[k][k] for k in range(dims)))
+    sums = [sum(x[k] for x in fit) for k in range(dims)]
+    wanted = {}
+    for i, x in kept:
+        wanted.setdefault(i, set()).add(sum((n * c - s) ** 2 for c, s in zip(x, sums)))
+    for r in found:
+        assert r.n == n and int(r.deviation) in wanted[r.vec_id]
+        assert r.identity_error <= 1e-4
+    # the whitened rows determine the components: every vector is found again by regression
+    by_id = {(r.vec_id, r.component): r.whitened for r in found}
+    first = {tuple(x): i for i, x in reversed(kept)}
+    centred = np.array([[float(c - m) for c, m in zip(x, mean)] for x in fit])
+    w = np.array([[by_id[first[x], k + 1] for k in range(expected)] for x in fit])
+    assert np.allclose(w.T @ w / n, np.eye(expected), atol=1e-4)
+    explained = {r.component: r.explained for r in found}
+    for k in range(expected):
+        loading = centred.T @ w[:, k] / n  # sqrt(e) times the component
+        e = explained[k + 1] * trace
+        # with v'Vv = e (above) this says that Vv = ev
+        assert np.isclose(loading @ loading, e, rtol=1e-4)
+    values = [explained[k + 1] for k in range(expected)]
+    assert values == sorted(values, reverse=True)
+    return found
+
+
+def test_cross_products_in_bit_slices():
+    rng = np.random.default_rng(1)
+    for x in (rng.integers(-300, 300, (1000, 5)), rng.integers(-2**62, 2**62, (70, 3)),
+              np.array([[-2**63, 2**63 - 1, 0]]), np.full((3, 2), -7),
+              rng.integers(0, 2, (whitening.BLOCK, 2))):
+        sums, gram = whitening.cross_products(x.astype(np.int64))
+        big = x.astype(object)
+        assert sums == [int(v) for v in big.sum(0)]
+        assert (gram == big.T @ big).all()
+
+
+def test_packing_is_one_to_one():
+    x = np.array([[0, 1], [127, -128], [128, 0], [0, -129], [2**31, 0], [2**63 - 1, -2**63]])
+    assert (whitening.unpacked(whitening.packed(x)) == x).all()
+
+
+def test_random_vectors(frame):
+    rng = np.random.default_rng(2)
+    rows = [(i, v) for i, v in enumerate((rng.normal(size=(60, 6)) * [3, 2, 1, .5, .2, .1]).tolist())]
+    check(frame, rows, 4)
+
+
+def test_far_from_the_origin(frame):
+    """Without whole numbers such offsets leave nothing of the variance."""
+    rng = np.random.default_rng(3)
+    rows = [(i, v) for i, v in enumerate((1e9 + rng.normal(size=(50, 3))).tolist())]
+    check(frame, rows, 3)
+
+
+def test_dimensions_of_very_different_scales(frame):
+    rng = np.random.default_rng(4)
+    spread = rng.normal(size=(80, 5)) * [1e12, 1e6, 1e3, 10, 1]
+    check(frame, [(i, v) for i, v in enumerate(spread.tolist())], 4)
+
+
+def test_nulls_ties_and_repeated_rows(frame):
+    rows = [(1, [1.0, 2.0]), (1, [1.0, 2.0]), (2, [1.0, 2.0]), (3, [-1.0, 0.5]), (4, None),
+            (5, [None, 1.0]), (6, [float("nan"), 1.0]), (7, [1.0, float("-inf")]), (8, []),
+            (9, [-0.0, 0.0]), (10, [0.001, 0.002]), (None, [4.0, -3.0])]
+    found = check(frame, rows, 2)
+    assert {r.vec_id for r in found} == {1, 2, 3, 9, 10, None}
+
+
+def test_fewer_components_than_wanted(frame):
+    check(frame, [(i, [float(i % 4), 5.0, 2.0 * (i % 4)]) for i in range(9)], 1)
+    check(frame, [(1, [1.0, 2.0]), (2, [1.0, 2.0])], 0)
+    check(frame, [(1, None)], 0)
+    check(frame, [], 0)
+
+
+def test_more_rows_than_a_block(frame, monkeypatch):
+    monkeypatch.setattr(whitening, "BLOCK", 16)
+    rng = np.random.default_rng(5)
+    check(frame, [(i, v) for i, v in enumerate(rng.normal(size=(150, 3)).tolist())], 3)
+
+
+def test_unusable_tables_stop(frame):
+    with pytest.raises(Exception, match="different lengths"):
+        whitening.whiten(table(frame, [(1, [1.0]), (2, [1.0, 2.0])])).collect()
+    with pytest.raises(Exception, match="64 bits"):
+        whitening.whiten(table(frame, [(1, [1e300, 1.0])])).collect()
