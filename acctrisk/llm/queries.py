@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acctrisk.llm import (
-    byte_bpe, chat, classifier, jaccard, language, lines, lm, packing, rules, topk, urls,
+    byte_bpe, chat, classifier, jaccard, language, lines, lm, packing, repair, rules, topk, urls,
     whitening,
 )
 from acctrisk.llm.common import held_out, materialise, table
@@ -272,3 +272,18 @@ def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A deviation beyond 64 bits is null here; the operator has it with 38 digits."""
     found = whitening.whiten(table(spark, sf_dir, "embeddings"))
     return found.withColumn("deviation", F.expr("try_cast(deviation as bigint)"))
+
+
+@query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    repaired = repair.repair(repair.damage(turns))
+    all_ids = turns.select(F.struct("conv_id").alias("key")).distinct()
+    for part in (repaired.conversations, repair.digests(repaired.turns)):
+        all_ids = all_ids.join(
+            part.withColumn("key", F.struct("conv_id")).drop("conv_id"), "key", "left")
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return all_ids.select(
+        "key.conv_id", *(F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in counts),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
