@@ -287,3 +287,87 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
         "key.conv_id", *(F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in counts),
         F.coalesce("audit", F.lit("")).alias("audit"),
         F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+def _repair_sql() -> str:
+    """The same by one search per dialogue, turn by turn from its end.
+
+    s0 to s3 are the best ways on from the four states: costs, audit and the lines that are left.
+    """
+    follow = {0: (2, "user"), 1: (2, "user"), 2: (3, "assistant"), 3: (2, "user")}
+    kept = {0: {"s": 1, "u": 2}, 1: {"u": 2}, 2: {"a": 3}, 3: {"u": 2}}
+
+    def way(cost: str, letter: str, then: str, line: str | None = None) -> str:
+        lines = f"list_prepend({line}, {then}.r)" if line else f"{then}.r"
+        return f"{{'c': {cost} + {then}.c, 'a': '{letter}' || {then}.a, 'r': {lines}}}"
+
+    own, best = [], []
+    for p, (q, role) in follow.items():
+        keep = " ".join(f"when k = '{k}' and not gone then "
+                        + way("late", "K", f"s{to}", "role || ':' || text")
+                        for k, to in kept[p].items())
+        change = way("2 + late", "R", f"s{q}", f"'{role}:' || text")
+        own.append(f"list_sort(list_filter([{way('3', 'D', f's{p}')}, case {keep} end, case when "
+                   f"not gone then {change} end], lambda x: x is not null))[1] as o{p}")
+        more, last = follow[q]
+        twice = (f"{{'c': 4 + o{more}.c, 'a': 'II' || o{more}.a, "
+                 f"'r': list_concat(['{role}:', '{last}:'], o{more}.r)}}")
+        once = way("2", "I", f"o{q}", f"'{role}:'")
+        best.append(f"list_sort([o{p}, {once}, {twice}])[1] as s{p}")
+    end = ["{'c': 0::bigint, 'a': '', 'r': []::varchar[]}",
+           "{'c': 4::bigint, 'a': 'II', 'r': ['user:', 'assistant:']}",
+           "{'c': 2::bigint, 'a': 'I', 'r': ['assistant:']}",
+           "{'c': 0::bigint, 'a': '', 'r': []::varchar[]}"]
+    return rf"""
+with recursive numbered as (
+  select dense_rank() over (order by conv_id nulls first) as conv, conv_id, turn,
+         coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+         coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as key
+  from conversations),
+checked as (
+  select *, xor(list_reduce(
+    list_prepend(4294967295::ubigint, [ascii(x)::ubigint for x in string_split(key, '')]),
+    lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0]::ubigint[],
+                          lambda x, y: xor(x >> 1, 3988292384::ubigint * (x & 1::ubigint)))),
+    4294967295::ubigint) % 20 as fold
+  from numbered),
+damaged as (
+  select conv, turn, case when fold = 4 then 'user' else role end as role,
+         case when fold = 1 then '' when fold = 2 then regexp_replace(text, '[.!?]', '', 'g')
+              else text end as text, unnest(range(case when fold = 3 then 2 else 1 end)) as copy
+  from checked where fold <> 0),
+placed as (
+  select *, row_number() over (partition by conv order by turn nulls first, role, text) as pos,
+         left(role, 1) as k,
+         rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as said
+  from damaged),
+marked as (
+  select *, said = '' as blank, said <> '' and
+         row_number() over (partition by conv, role, text order by pos) > 1 as duplicate,
+         lag(k) over (partition by conv order by pos) || k as pair
+  from placed),
+faulty as (
+  select *, blank or duplicate as gone,
+         (not blank and not duplicate and right(said, 1) not in ('.', '!', '?'))::bigint as late
+  from marked),
+stats as (
+  select conv, count(*) as n, count_if(blank)::bigint as blank,
+         count_if(duplicate)::bigint as duplicate, sum(late)::bigint as truncated,
+         count_if(pair not in ('su', 'ua', 'au'))::bigint as illegal,
+         coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0)::bigint as gaps
+  from faulty group by conv),
+paths as (
+  select conv, n as pos, {", ".join(f"{x} as s{p}" for p, x in enumerate(end))} from stats
+  union all
+  select conv, pos - 1, {", ".join(best)}
+  from (select conv, pos, {", ".join(own)} from paths join faulty using (conv, pos))),
+done as (select conv, s0 from paths where pos = 0)
+select distinct conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank,
+       coalesce(duplicate, 0) as duplicate, coalesce(truncated, 0) as truncated,
+       coalesce(illegal, 0) as illegal, coalesce(s0.c, 0) as cost, coalesce(s0.a, '') as audit,
+       sha256(coalesce(array_to_string(s0.r, chr(10)), '')) as repaired_sha256
+from numbered left join stats using (conv) left join done using (conv)
+"""
+
+
+ORACLE_SQL["op11_conversation_repair"] = _repair_sql()
