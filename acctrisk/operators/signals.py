@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from acctrisk import fixed
@@ -18,44 +18,72 @@ _NO_MONTH = "~"
 
 # ---- usage history ---------------------------------------------------------------------------
 
-def usage_profile(usage: DataFrame, unique_months: bool = False) -> DataFrame:
-    """One row per account with its first two, last two and last known usage rows.
+def _descending(text: Column) -> Column:
+    """A text that sorts the other way round: its bytes as complements, the longer text first."""
+    digits = "0123456789ABCDEF"
+    return F.concat(F.translate(F.hex(text), digits, digits[::-1]), F.lit("G"))
+
 
-    The first aggregation reduces each account-month on the map side, so an account with very
-    many rows shrinks to its calendar months before anything is collected. Rows that share a
-    month have no order of their own: the smallest and the largest of them stand for the month.
-    ``unique_months`` promises one row per account and month and saves that first step.
+def _months(usage: DataFrame, unique_months: bool) -> DataFrame:
+    """account_id, month and what each account-month holds.
+
+    That is the number of rows, the smallest and the largest (``high``, null for a month with a
+    single row, the usual case, so that it travels once), and the largest known users and SDK.
     """
-    usage = usage.filter(F.col("account_id").isNotNull())
     row = F.struct(*fixed.USAGE_METRICS, "sdk_version")
-    month = F.coalesce("month", F.lit(_NO_MONTH))
+    month = F.coalesce("month", F.lit(_NO_MONTH)).alias("month")
     if unique_months:
-        months = usage.select(
-            "account_id", month.alias("month"), F.lit(1).cast("bigint").alias("n"),
-            row.alias("low"), F.lit(None).cast(usage.select(row).schema[0].dataType).alias("high"),
-            F.col("active_users").alias("users"), F.col("sdk_version").alias("sdk"))
-    else:
-        months = usage.groupBy("account_id", "month").agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min(row).alias("low"),
-            F.max(row).alias("high"),
-            F.max("active_users").alias("users"),
-            F.max("sdk_version").alias("sdk"),
-        ).withColumns({
-            "month": month,
-            # a month with a single row, the usual case, ships that row once
-            "high": F.when(F.col("n") > 1, F.col("high")),
-        })
-    history = months.groupBy("account_id").agg(
-        F.sum("n").alias("n_rows"),
-        F.sort_array(F.collect_list(F.struct("month", "n", "low", "high"))).alias("h"),
-        F.max(F.when(F.col("users").isNotNull(), F.struct("month", "users"))).alias("u"),
-        F.max(F.when(F.col("sdk").isNotNull(), F.struct("month", "sdk"))).alias("s"),
+        kind = usage.select(row).schema[0].dataType
+        return usage.select(
+            "account_id", month, F.lit(1).cast("bigint").alias("n"), row.alias("low"),
+            F.lit(None).cast(kind).alias("high"), F.col("active_users").alias("users"),
+            F.col("sdk_version").alias("sdk"))
+    return usage.groupBy("account_id", month).agg(
+        F.count(F.lit(1)).alias("n"), F.min(row).alias("low"), F.max(row).alias("high"),
+        F.max("active_users").alias("users"), F.max("sdk_version").alias("sdk"),
+    ).withColumn("high", F.when(F.col("n") > 1, F.col("high")))
+
+
+def usage_profile(usage: DataFrame, unique_months: bool = False) -> DataFrame:
+    """One row per account with its first two, last two and last known usage rows.
+
+    Every month stands in up to four lists of its account: from the first month on, from the last
+    one back, and back over the months with known users and with a known SDK. A limit on the
+    rank in these lists holds in every task that reads months, before the exchange, so a few
+    rows per account and task travel, however long a history is, and none is ever gathered.
+
+    Rows that share a month have no order of their own: the smallest and the largest of them stand
+    for the month. ``n_rows`` counts up to three. ``unique_months`` promises one row per account
+    and month and saves the aggregation that finds those two.
+    """
+    months = _months(usage.filter(F.col("account_id").isNotNull()), unique_months)
+    backwards = _descending(F.col("month")).alias("key")
+
+    def listed(name: str, key: Column, known: str | None = None) -> Column:
+        entry = F.struct(F.lit(name).alias("list"), key.alias("key"))
+        return entry if known is None else F.when(F.col(known).isNotNull(), entry)
+
+    lists = F.array_compact(F.array(
+        listed("first", F.col("month")), listed("last", backwards),
+        listed("users", backwards, "users"), listed("sdk", backwards, "sdk")))
+    in_list = Window.partitionBy("account_id", "list").orderBy("key")
+    ends = (
+        months.select("*", F.inline(lists)).withColumn("at", F.row_number().over(in_list))
+        .filter("at <= 3")
     )
-    first, second = F.get("h", F.lit(0)), F.get("h", F.lit(1))
-    last = F.get("h", F.size("h") - 1)
-    before = F.get("h", F.size("h") - 2)
-    return history.select(
+
+    def entry(name: str, at: int) -> Column:
+        of = (F.col("list") == name) & (F.col("at") == at)
+        return F.max(F.when(of, F.struct("n", "low", "high", "users", "sdk")))
+
+    profile = ends.groupBy("account_id").agg(
+        F.least(F.sum(F.when(F.col("list") == "first", F.col("n"))), F.lit(3)).alias("n_rows"),
+        entry("first", 1).alias("first"), entry("first", 2).alias("second"),
+        entry("last", 1).alias("last"), entry("last", 2).alias("before"),
+        entry("users", 1)["users"].alias("known_users"),
+        entry("sdk", 1)["sdk"].alias("known_sdk"))
+    first, second, last, before = (F.col(c) for c in ("first", "second", "last", "before"))
+    return profile.select(
         "account_id",
         "n_rows",
         first["low"].alias("first_row"),
@@ -63,8 +91,8 @@ def usage_profile(usage: DataFrame, unique_months: bool = False) -> DataFrame:
         F.when(last["n"] > 1, last["low"])
         .otherwise(F.coalesce(before["high"], before["low"])).alias("previous_row"),
         F.coalesce(last["high"], last["low"]).alias("last_row"),
-        F.col("u.users").alias("known_users"),
-        F.col("s.sdk").alias("known_sdk"),
+        "known_users",
+        "known_sdk",
     )
 
 

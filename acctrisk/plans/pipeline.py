@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from acctrisk.functions.lineage import materialise
+from acctrisk.functions.prune import with_keys
 from acctrisk.operators import (
     annotate, backtest, insights, quality, reconcile, scoring, signals,
 )
@@ -19,6 +20,8 @@ from acctrisk.sources.files import Sources
 
 # What an analysis of notes returns: one or more responses per account, the last seq counts.
 ANALYSES = "account_id long, seq long, response_json string"
+# The inputs that hold facts about accounts.
+FACTS = ("usage", "tickets", "nps", "analyses", "translations", "sentiments")
 
 
 @dataclass(frozen=True)
@@ -69,10 +72,19 @@ def merge_dataset(
     return scoring.fill_defaults(merged)
 
 
+def facts_of(data: Dataset, accounts: DataFrame) -> Dataset:
+    """The same inputs with the facts of the given accounts only, cut down where they are read."""
+    facts = {name: getattr(data, name) for name in FACTS}
+    return replace(data, accounts=accounts, **{
+        name: with_keys(df, accounts, "account_id")
+        for name, df in facts.items() if df is not None})
+
+
 def score_dataset(data: Dataset, params: ScoringParams = DEFAULT) -> DataFrame:
-    """Scored accounts of the renewal window."""
+    """Scored accounts of the renewal window; facts of other accounts go before any exchange."""
     accounts = scoring.renewal_window(data.accounts, params)
-    return scoring.score_merged(merge_dataset(data, accounts, params), params)
+    facts = facts_of(data, accounts.select("account_id"))
+    return scoring.score_merged(merge_dataset(facts, accounts, params), params)
 
 
 @dataclass(frozen=True)

@@ -1,0 +1,92 @@
+"""Facts of accounts outside the renewal window go before anything is exchanged."""
+
+from datetime import date, timedelta
+
+import pytest
+
+from acctrisk.functions.prune import key_set, with_keys
+from acctrisk.params import ScoringParams
+from acctrisk.plans import pipeline
+from tests.conftest import by_key
+
+PARAMS = ScoringParams(snapshot_date=date(2026, 4, 10))
+ACCOUNTS = "account_id long, account_name string, arr long, contract_end_date date, plan_tier string"
+USAGE = ("account_id long, month string, api_calls long, content_entries_created long, "
+         "active_users long, workflows_triggered long, sdk_version string")
+
+
+def accounts_of(frame, n=200):
+    """Every fourth account renews within the window."""
+    ends = [PARAMS.snapshot_date + timedelta(days=10 if i % 4 == 0 else 400) for i in range(n)]
+    return frame(ACCOUNTS, *[(i, f"A{i}", 100, end, "Scale") for i, end in enumerate(ends)])
+
+
+def dataset(frame, n=200):
+    usage = [(i, f"2025-{m:02d}", 100 - m * (i % 9), 5, 7, 1, "v4.1.0")
+             for i in range(n) for m in range(1, 5)]
+    tickets = [(i * 10 + k, i, date(2026, 4, 1), "P1", "Open", 5.0)
+               for i in range(n) for k in range(i % 3)]
+    return pipeline.Dataset(
+        accounts_of(frame, n), usage=frame(USAGE, *usage),
+        tickets=frame("ticket_id long, account_id long, created_date date, priority string, "
+                      "status string, resolution_time_hours double", *tickets),
+        nps=frame("account_id long, score long, verbatim_comment string",
+                  *[(i, i % 11, "fine") for i in range(n)]),
+        analyses=frame("account_id long, seq long, response_json string",
+                       *[(i, 1, '{"risk_score": 0.7}') for i in range(n)]))
+
+
+def test_keys_are_found_and_most_others_are_not(frame):
+    keys = frame("id long, other string", *[(i, "x") for i in range(0, 1000, 4)], (None, "x"))
+    facts = frame("id long, v string", *[(i, "y") for i in range(1000)], (None, "y"), (0, "z"))
+    kept = [r.id for r in with_keys(facts, keys, "id").collect()]
+    assert sorted(kept) == sorted([*range(0, 1000, 4), 0])
+    assert with_keys(facts, keys.limit(0), "id").count() == 0
+
+
+def test_full_set_keeps_all_and_stays_small(frame):
+    """Far more keys than bits: nothing is lost, and the set does not grow."""
+    keys = frame("id long", *[(i,) for i in range(5000)])
+    assert key_set(keys, "id", bits=256).count() <= 4
+    facts = frame("id long", *[(i,) for i in range(4000, 6000)])
+    kept = {r.id for r in with_keys(facts, keys, "id", bits=256).collect()}
+    assert set(range(4000, 5000)) <= kept
+
+
+def test_scores_are_the_same_without_pruning(frame, monkeypatch):
+    data = dataset(frame)
+    pruned = by_key(pipeline.score_dataset(data, PARAMS))
+    monkeypatch.setattr(pipeline, "facts_of", lambda data, accounts: data)
+    assert pruned == by_key(pipeline.score_dataset(data, PARAMS))
+    assert set(pruned) == set(range(0, 200, 4))
+
+
+def test_facts_of_other_accounts_never_reach_an_exchange(spark, frame):
+    """Each fact relation meets the set of keys before the first exchange of its branch."""
+    plan = pipeline.score_dataset(dataset(frame), PARAMS)._jdf.queryExecution().executedPlan()
+    text = plan.toString()
+    assert text.count("LeftSemi") >= 4  # usage, tickets, survey, analyses
+    lines = text.split("\n")
+    for i, line in enumerate(lines):
+        if "LeftSemi" in line:
+            # what the join reads its facts from: no exchange, aggregate or other join
+            depth = len(line) - len(line.lstrip(" :+-"))
+            below = []
+            for other in lines[i + 1:]:
+                inner = len(other) - len(other.lstrip(" :+-"))
+                if inner <= depth or (below and inner == depth + 3):
+                    break
+                below.append(other)
+            assert not any(x in b for b in below for x in ("Exchange", "Aggregate", "Join"))
+
+
+@pytest.mark.parametrize("unique", [True, False])
+def test_pruning_sinks_below_the_aggregation_of_a_view(spark, frame, unique):
+    """A relation that is itself an aggregate is pruned before that aggregate."""
+    orders = frame("o long, account_id long, month string, n long",
+                   *[(i, i % 200, f"2025-{i % 12:02d}", i) for i in range(2000)])
+    view = orders.groupBy("account_id", "month").sum("n")
+    kept = with_keys(view, accounts_of(frame).limit(5) if unique else accounts_of(frame),
+                     "account_id")
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate") < plan.index("LeftSemi")

@@ -181,3 +181,26 @@ def test_non_latin_comments(frame):
     nps = frame(NPS, (1, 5, "产品不错"), (2, 5, "español café"), (3, 5, ""), (4, 5, "ok 😀"))
     assert sorted(by_key(signals.non_latin_comments(nps))) == [1, 4]
     assert sorted(by_key(signals.non_latin_comments(nps, max_codepoint=127))) == [1, 2, 4]
+
+
+@pytest.mark.parametrize("unique", [True, False])
+def test_no_history_is_gathered(frame, unique):
+    """Months of an account are cut to a few in every task, before the exchange."""
+    usage = frame(USAGE, *[steady(1, f"{m:05d}", m) for m in range(3000)])
+    found = signals.usage_profile(usage.repartition(5), unique)
+    row = found.first()
+    assert (row.first_row.api_calls, row.second_row.api_calls) == (0, 1)
+    assert (row.previous_row.api_calls, row.last_row.api_calls) == (2998, 2999)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan
+    assert "row_number(), 3, Partial" in plan
+
+
+def test_months_of_any_text_sort_both_ways(frame):
+    months = ["", "2025", "2025-1", "2025-10", "2025-2", "ä", "z", None, "\U0001f600", "2025-01-"]
+    usage = frame(USAGE, *[steady(1, m, i) for i, m in enumerate(months)])
+    order = sorted(range(len(months)), key=lambda i: (months[i] if months[i] is not None else "~")
+                   .encode())
+    row = signals.usage_profile(usage).first()
+    assert [row.first_row.api_calls, row.second_row.api_calls] == order[:2]
+    assert [row.previous_row.api_calls, row.last_row.api_calls] == order[-2:]
