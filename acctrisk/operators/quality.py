@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from acctrisk import fixed
@@ -109,19 +109,29 @@ def orphan_ids(facts: DataFrame, accounts: DataFrame) -> DataFrame:
 
 
 def orphan_report(facts: dict[str, DataFrame], accounts: DataFrame, show: int = 5) -> DataFrame:
-    """Per source: how many orphan ids there are and the smallest few of them."""
-    parts = []
-    for source, df in facts.items():
-        orphans = orphan_ids(df, accounts)
-        counted = orphans.agg(F.count(F.lit(1)).alias("n_orphans"))
-        smallest = orphans.orderBy("account_id").limit(show).agg(
-            F.sort_array(F.collect_list("account_id")).alias("ids"))
-        parts.append(counted.select(
-            F.lit(source).alias("source"),
-            "n_orphans",
-            F.array_join(smallest.scalar(), ", ").alias("smallest_ids"),
-        ))
-    return reduce(DataFrame.unionAll, parts)
+    """Per source: how many orphan ids there are and the smallest few of them.
+
+    The distinct orphans are found once. They are dealt into as many buckets as there are shuffle
+    partitions, each of which gives its count and its smallest ids; only these are put together.
+    """
+    spark = accounts.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    every = reduce(DataFrame.unionAll, [
+        orphan_ids(df, accounts).select(F.lit(source).alias("source"), "account_id")
+        for source, df in facts.items()])
+    bucket = Window.partitionBy("source", F.pmod(F.xxhash64("account_id"), F.lit(buckets)))
+    few = every.select(
+        "source", "account_id", F.count(F.lit(1)).over(bucket).alias("n"),
+        F.row_number().over(bucket.orderBy("account_id")).alias("at")).filter(F.col("at") <= show)
+    found = few.groupBy("source").agg(
+        F.sum(F.when(F.col("at") == 1, F.col("n"))).alias("n"),
+        F.slice(F.sort_array(F.collect_list("account_id")), 1, show).alias("ids"))
+    sources = spark.range(1).select(
+        F.explode(F.array(*[F.lit(source) for source in facts])).alias("source"))
+    return sources.join(found, "source", "left").select(
+        "source",
+        F.coalesce("n", F.lit(0).cast("bigint")).alias("n_orphans"),
+        F.coalesce(F.array_join("ids", ", "), F.lit("")).alias("smallest_ids"))
 
 
 # ---- counters and report ----------------------------------------------------------------------

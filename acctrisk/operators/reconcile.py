@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from acctrisk.functions.columns import missing_text
+from acctrisk.functions.lineage import materialise
 from acctrisk.functions.skew import left_join_lookup, left_join_open
 from acctrisk.functions.similarity import best_matches, token_sort
 
@@ -154,8 +155,26 @@ def match_rate(reconciled: DataFrame) -> DataFrame:
 
 # Notes of an account that make up one text.
 SEGMENT_NOTES = 1000
-# Note numbers that one window puts in order.
-BLOCK = 4096
+# Characters by which notes of one account, file and number are dealt over tasks in order.
+HEAD = 256
+# Numbers of rows within a task, as monotonically_increasing_id counts them.
+_TASK_BITS = 33
+
+
+def in_note_order(notes: DataFrame) -> DataFrame:
+    """account_id, raw_text and place, which ascends in note order; written to the shared folder.
+
+    The order is that of account, file (if there is one), number (null first) and text; texts
+    alike in their first characters come in the order of a hash. Equal notes are dealt over tasks
+    by a number of their own, so no account, file or number is too large for a task.
+    """
+    keys = ["account_id", *(["file"] if "file" in notes.columns else []), "note_idx"]
+    rows = notes.filter(F.col("account_id").isNotNull()).select(
+        *keys, "raw_text", F.monotonically_increasing_id().alias("row"))
+    order = [*keys, F.left("raw_text", F.lit(HEAD)), F.xxhash64("raw_text"), "row"]
+    return materialise(
+        rows.repartitionByRange(*order).sortWithinPartitions(*order)
+        .select("account_id", "raw_text", F.monotonically_increasing_id().alias("place")))
 
 
 def notes_by_account(
@@ -164,27 +183,25 @@ def notes_by_account(
     """The notes of each account as texts, in note order, with blank lines in between.
 
     Every account comes in segments of ``segment_notes`` notes, numbered from 0, whose texts in
-    order make up the whole; most accounts have the one. Notes are ordered by number (nulls first)
-    and text. A note's place is the count of notes in the blocks of numbers before its own, summed
-    per block, and its place in the block, so an account of any size is never ordered or gathered
-    in one task unless all its notes share a few numbers, and no text is longer than its segment.
+    order make up the whole; most accounts have the one. Notes are ordered by file, number (nulls
+    first) and text. They are range sorted; an account's slices of the sorted tasks are counted,
+    and running sums over these counts give every note its place within the account. So neither an
+    account nor a note number is ever ordered or gathered in one task, and no text is longer
+    than its segment.
     """
-    rows = notes.filter(F.col("account_id").isNotNull()).withColumn(
-        "_block", F.floor(F.col("note_idx") / BLOCK))
-    earlier = Window.partitionBy("account_id").orderBy("_block").rowsBetween(
+    placed = in_note_order(notes).withColumn("slice", F.shiftright("place", _TASK_BITS))
+    earlier = Window.partitionBy("account_id").orderBy("slice").rowsBetween(
         Window.unboundedPreceding, -1)
-    blocks = rows.groupBy("account_id", "_block").agg(F.count(F.lit(1)).alias("_n")).select(
-        F.col("account_id").alias("_account"), F.col("_block").alias("_at"),
-        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    inside = Window.partitionBy("account_id", "_block").orderBy("note_idx", "raw_text")
-    same = (F.col("account_id") == F.col("_account")) & F.col("_block").eqNullSafe(F.col("_at"))
-    placed = rows.withColumn("_place", F.row_number().over(inside) - 1).join(blocks, same)
-    place = F.col("_before") + F.col("_place")
+    slices = placed.groupBy("account_id", "slice").agg(
+        F.min("place").alias("base"), F.count(F.lit(1)).alias("n")).select(
+        "account_id", "slice", "base", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    at = F.col("before") + F.col("place") - F.col("base")
     texts = (
-        placed.groupBy("account_id", F.floor(place / segment_notes).alias("segment"))
+        placed.join(slices, ["account_id", "slice"])
+        .groupBy("account_id", F.floor(at / segment_notes).alias("segment"))
         .agg(
             F.count(F.lit(1)).alias("n_notes"),
-            F.sort_array(F.collect_list(F.struct("note_idx", "raw_text"))).alias("t"))
+            F.sort_array(F.collect_list(F.struct("place", "raw_text"))).alias("t"))
         .select("account_id", "segment", "n_notes",
                 F.array_join(F.col("t.raw_text"), "\n\n").alias("notes_text"))
     )

@@ -109,3 +109,14 @@ def test_validate_all(frame):
     assert {r.source for r in report.collect()} == {
         "accounts.csv", "usage_metrics.csv", "support_tickets.csv", "nps_responses.csv",
         "usage (cross-ref)"}
+
+
+def test_orphans_of_several_sources_in_one_pass(frame):
+    accounts = frame("account_id long", *[(i,) for i in range(100)])
+    many = frame("account_id long", *[(i % 3000,) for i in range(6000)], (None,))
+    none = frame("account_id long", (1,), (2,), (None,))
+    few = frame("account_id long", (500,), (-3,), (500,))
+    rows = {r.source: (r.n_orphans, r.smallest_ids) for r in quality.orphan_report(
+        {"many": many, "none": none, "few": few}, accounts).collect()}
+    assert rows == {"many": (2900, "100, 101, 102, 103, 104"), "none": (0, ""),
+                    "few": (2, "-3, 500")}

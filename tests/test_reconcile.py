@@ -152,9 +152,8 @@ def test_notes_by_account(frame, accounts):
     assert got[7].account_name == "Account 7"
 
 
-def test_long_accounts_come_in_segments_that_make_up_the_whole(frame, monkeypatch):
+def test_long_accounts_come_in_segments_that_make_up_the_whole(frame):
     """Numbers that repeat and missing numbers, too, do not make a segment longer."""
-    monkeypatch.setattr(reconcile, "BLOCK", 16)
     rows = [(i, f"note {i}", 1 if i % 2 else 2, "") for i in range(101)]
     rows += [(200, "short", 3, "")]
     rows += [(7, f"same number {i:02}", 4, "") for i in range(23)]
@@ -172,6 +171,39 @@ def test_long_accounts_come_in_segments_that_make_up_the_whole(frame, monkeypatc
         k: r.notes_text for k, r in whole.items()}
 
 
+def test_notes_of_several_files_keep_file_order(frame):
+    """Notes are numbered per file, so the file comes before the number."""
+    rows = [("b.txt", 1, "b1", 5), ("a.txt", 2, "a2", 5), ("b.txt", 2, "b2", 5),
+            ("a.txt", 1, "a1", 5), (None, 9, "no file", 5), ("a.txt", 1, "other", 6)]
+    notes = frame("file string, note_idx long, raw_text string, account_id long", *rows)
+    got = by_key(reconcile.notes_by_account(notes))
+    assert got[5].notes_text == "no file\n\na1\n\na2\n\nb1\n\nb2"
+    assert got[6].n_notes == 1
+
+
+def test_notes_with_few_numbers_are_ordered_in_many_tasks(spark, frame):
+    """100,000 notes of one account that share three numbers, half of them the same text."""
+    notes = spark.range(100_000).selectExpr(
+        "7L as account_id", "if(id % 3 = 0, null, id % 3) as note_idx",
+        "if(id % 2 = 0, 'the same', concat('note ', lpad(id, 6, '0'))) as raw_text")
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        placed = reconcile.in_note_order(notes)
+        sizes = [r["count"] for r in placed.groupBy((placed.place / 2**33).cast("int")).count()
+                 .collect()]
+        assert len(sizes) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+        assert max(sizes) < 2 * 100_000 / len(sizes)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    rows = reconcile.notes_by_account(notes).orderBy("segment").collect()
+    assert [r.segment for r in rows] == list(range(100))
+    assert all(r.n_notes == 1000 for r in rows)
+    texts = "\n\n".join(r.notes_text for r in rows).split("\n\n")
+    expected = sorted((r.note_idx or 0, r.raw_text) for r in notes.collect())
+    assert texts == [text for _, text in expected]
+
+
 def test_incomplete_external_matches_can_be_ignored(frame, accounts):
     notes = frame(NOTES, (1, "a", None, "the healthcare one"), (2, "b", None, "another"),
                   (3, "c", 1001, "not asked"))
