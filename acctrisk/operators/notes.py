@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from acctrisk import fixed
 from acctrisk.functions.columns import missing_text
+from acctrisk.sources.records import numbered
 
 _SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
 
@@ -17,6 +18,16 @@ def strip(text: Column) -> Column:
 
 # ---- note blocks ------------------------------------------------------------------------------
 
+def _without_banner(block: Column) -> Column:
+    """A block without the paragraph that a banner opens."""
+    banner = f"(?s)^{fixed.NOTE_BANNER}.*?(?:\\n\\s*\\n|$)"
+    return strip(F.regexp_replace(block, banner, ""))
+
+
+def _is_note(block: Column) -> Column:
+    return (block != "") & ~block.startswith(fixed.NOTE_BANNER)
+
+
 def split_notes(texts: DataFrame, text: str = "value", strip_banner: bool = False) -> DataFrame:
     """One row per note of each text; ``note_idx`` numbers the notes of a text from 1.
 
@@ -24,41 +35,22 @@ def split_notes(texts: DataFrame, text: str = "value", strip_banner: bool = Fals
     banner only loses its own paragraph and the note below it stays.
     """
     blocks = F.transform(F.split(text, fixed.NOTE_SEPARATOR, -1), strip)
-    banner = f"(?s)^{fixed.NOTE_BANNER}.*?(?:\\n\\s*\\n|$)"
     if strip_banner:
-        blocks = F.transform(blocks, lambda b: strip(F.regexp_replace(b, banner, "")))
-    kept = F.filter(blocks, lambda b: (b != "") & ~b.startswith(fixed.NOTE_BANNER))
+        blocks = F.transform(blocks, _without_banner)
+    kept = F.filter(blocks, _is_note)
     keys = [c for c in texts.columns if c != text]
     return texts.select(*keys, F.posexplode(kept).alias("note_idx", "raw_text")).withColumn(
         "note_idx", (F.col("note_idx") + 1).cast("bigint"))
 
 
-def blocks_from_lines(lines: DataFrame) -> DataFrame:
-    """Note blocks of files too large to hold as one text.
-
-    ``lines``: file, split (where a file split starts), pos (ascending within it), value. The
-    separators are counted per split first; a running sum over the splits then numbers the
-    blocks of all splits at once. Separator lines in a row count as one.
-    """
-    lines = lines.withColumn("is_mark", F.col("value").rlike("^---+$"))
-    before = Window.partitionBy("file").orderBy("split").rowsBetween(
-        Window.unboundedPreceding, -1)
-    per_split = lines.groupBy("file", "split").agg(F.count_if("is_mark").alias("n")).select(
-        "file", "split", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("marks_before"))
-    inside = Window.partitionBy("file", "split").orderBy("pos").rowsBetween(
-        Window.unboundedPreceding, 0)
-    numbered = (
-        lines.withColumn("marks", F.count_if("is_mark").over(inside))
-        .join(per_split, ["file", "split"])
-        .withColumn("block", F.col("marks") + F.col("marks_before"))
-        .filter(~F.col("is_mark"))
-    )
-    body = F.sort_array(F.collect_list(F.struct("split", "pos", "value")))
-    return (
-        numbered.groupBy("file", "block").agg(body.alias("b"))
-        .select("file", "block", strip(F.array_join(F.col("b.value"), "\n")).alias("raw_text"))
-        .filter((F.col("raw_text") != "") & ~F.col("raw_text").startswith(fixed.NOTE_BANNER))
-    )
+def notes_of_blocks(blocks: DataFrame, strip_banner: bool = False) -> DataFrame:
+    """The same from blocks that are already cut: file, start, row and value (sources/records.py)."""
+    text = strip(F.col("value"))
+    notes = blocks.select(
+        "file", "start", "row", (_without_banner(text) if strip_banner else text).alias("raw_text")
+    ).filter(_is_note(F.col("raw_text")))
+    return numbered(notes, F.lit(1), "before").select(
+        "file", (F.col("before") + 1).cast("bigint").alias("note_idx"), "raw_text")
 
 
 def note_account_id(text: Column) -> Column:
@@ -152,3 +144,16 @@ def parse_changelog(texts: DataFrame, text: str = "value") -> DataFrame:
     ).select(
         *keys, F.col("n").cast("bigint").alias("release_no"),
         F.col("entry_no").cast("bigint").alias("entry_no"), "version", "date", "e.*")
+
+
+def changelog_of_blocks(blocks: DataFrame) -> DataFrame:
+    """The same from blocks that each begin at a release: file, start, row and value.
+
+    Releases are numbered within their file, as if the file were one text.
+    """
+    header = f"(?d){fixed.CHANGELOG_HEADER}(?=\\n)"
+    texts = blocks.withColumn("value", F.concat("value", F.lit("\n")))
+    parts = F.size(F.split("value", f"(?={header})", -1))
+    found = parse_changelog(numbered(texts, parts, "before"))
+    return found.withColumn("release_no", F.col("release_no") + F.col("before")).drop(
+        "start", "row", "before")

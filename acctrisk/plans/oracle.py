@@ -788,6 +788,7 @@ def _by_account(notes: str, accounts: str) -> str:
 
 RELATIONS = {
     "note_ids": NOTE_IDS,
+    "changelog": CHANGELOG,
     "note_names": NOTE_NAMES,
     "found_notes": FOUND_NOTES,
     "tiers_1_2": TIERS_1_2,
@@ -844,6 +845,15 @@ QUERIES = {
     "load_tickets": """
         select ticket_id::varchar as ticket_id, * exclude (ticket_id) from {tickets_v}""",
     "load_nps": "select account_id, score, verbatim_comment from {raw_nps_v}",
+    "load_notes": "select raw_text, account_id, account_name from {found_notes}",
+    "load_conversation_notes": f"""
+        select raw_text, try_cast(nullif(regexp_extract(
+                   raw_text, {lit(braces(fixed.NOTE_ID_PATTERN))}, 1), '') as bigint) as account_id
+        from (select {trimmed("raw_text")} as raw_text from {{notes_v}}) as n
+        where raw_text <> '' and not starts_with(raw_text, '=== CSM')""",
+    "load_changelog": """
+        select version, date, category, description, affected_versions, deadline
+        from {changelog}""",
     "split_notes": _split_notes("b"),
     "split_notes_keep_banner_note": _split_notes(_KEEP),
     "note_account_id": "select * from {note_ids}",

@@ -79,6 +79,38 @@ def load_nps(spark, sf_dir):
     return files.load_nps_responses(spark, _as_csv(spark, nps))
 
 
+def _as_text(spark, df) -> str:
+    """Write the texts of a one-column frame as text files into the shared folder."""
+    path = f"{shared_folder(spark)}/text-{uuid.uuid4().hex}"
+    df.write.text(path)
+    return path
+
+
+@query
+def load_notes(spark, sf_dir):
+    """Notes of text files that hold many each; which file a note is in depends on the writer."""
+    notes_text = view(spark, sf_dir, "part_notes_v").select(
+        F.concat("raw_text", F.lit("\n---")))
+    return files.load_notes(spark, _as_text(spark, notes_text)).select(
+        "raw_text", "account_id", "account_name")
+
+
+@query
+def load_conversation_notes(spark, sf_dir):
+    """The same from all turns of the given dialogues."""
+    turns = view(spark, sf_dir, "notes_v").select(F.concat("raw_text", F.lit("\n-----")))
+    return files.load_notes(spark, _as_text(spark, turns)).select("raw_text", "account_id")
+
+
+@query
+def load_changelog(spark, sf_dir):
+    logs = view(spark, sf_dir, "part_changelogs_v").select("value")
+    entries = files.load_changelog(spark, _as_text(spark, logs))
+    return entries.select(
+        "version", "date", "category", "description",
+        F.array_join("affected_versions", "|").alias("affected_versions"), "deadline")
+
+
 # ---- notes and names -------------------------------------------------------------------------
 
 @query

@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from acctrisk.operators.notes import extract_entities, parse_changelog, split_notes
+from acctrisk import fixed
+from acctrisk.operators.notes import changelog_of_blocks, extract_entities, notes_of_blocks
 from acctrisk.sources import schemas
+from acctrisk.sources.records import headed_blocks, quoted_records, separated_blocks
 
 
 def _csv(
-    spark: SparkSession, path: str, schema: T.StructType, required: list[str], multi_line: bool
+    spark: SparkSession, path: str, schema: T.StructType, required: list[str], multi_line: bool,
+    ordered: bool = False,
 ) -> DataFrame:
     """A CSV table with a header; bad values stop the read.
 
@@ -24,18 +27,40 @@ def _csv(
     options = {"header": True, "escape": '"', "multiLine": multi_line}
     known = {f.name: f for f in schema}
     text = T.StringType()
+    header = spark.read.options(**options).csv(path).columns
     # dates may come with a time of day, so they are read as text and cast
     in_file = T.StructType([
         known[name] if name in known and known[name].dataType != T.DateType()
-        else T.StructField(name, text)
-        for name in spark.read.options(**options).csv(path).columns])
-    df = spark.read.schema(in_file).options(
-        **options, mode="FAILFAST", enforceSchema=False).csv(path)
+        else T.StructField(name, text) for name in header])
+    if multi_line:
+        df = _parsed(quoted_records(spark, path), in_file, header)
+    else:
+        df = spark.read.schema(in_file).options(
+            **options, mode="FAILFAST", enforceSchema=False).csv(path)
+        if ordered:
+            df = with_ingest_order(df)
+    names = [*header, *(["ingest_order"] if ordered else [])]
     dates = {c: F.col(c).cast("timestamp").cast("date") for c in df.columns
              if c in known and known[c].dataType == T.DateType()}
     present = {c: F.coalesce(F.col(c), F.raise_error(F.lit(f"{c} is missing")).cast("bigint"))
                for c in required}
-    return df.withColumns({**dates, **present})
+    return df.withColumns({**dates, **present}).select(*names)
+
+
+def _parsed(records: DataFrame, in_file: T.StructType, header: list[str]) -> DataFrame:
+    """Columns of CSV records; the first record of every file has to be the header."""
+    options = {"escape": '"', "multiLine": "true", "mode": "FAILFAST"}
+    first = (F.col("start") == 0) & (F.col("row") == 0)
+    names = F.from_csv("value", ", ".join(f"c{i} string" for i in range(len(header))), options)
+    same = F.lit(True)
+    for i, name in enumerate(header):
+        same = same & names[f"c{i}"].eqNullSafe(F.lit(name))
+    differs = F.raise_error(F.concat(F.lit("another CSV header in "), "file")).cast("boolean")
+    cells = F.from_csv("value", in_file.simpleString()[7:-1].replace(":", " "), options)
+    # a header that differs stops the read, one that does not goes
+    rows = records.filter(F.when(~first, F.lit(True)).when(same, F.lit(False)).otherwise(differs))
+    order = F.struct("file", "start", "row").alias("ingest_order")
+    return rows.select(order, cells.alias("cells")).select("ingest_order", "cells.*")
 
 
 def with_ingest_order(df: DataFrame) -> DataFrame:
@@ -51,11 +76,10 @@ def load_accounts(
 ) -> DataFrame:
     """Accounts; with ``ordered`` also their place in the file, for keep-first checks.
 
-    Here and below, ``multi_line`` allows line breaks inside cells, at the price of one task per
-    file instead of one per file split.
+    Here and below, ``multi_line`` allows line breaks inside quoted cells. Large files are read by
+    several tasks all the same, at the price of a pass that counts their quotes.
     """
-    df = _csv(spark, path, schemas.ACCOUNTS, ["account_id", "arr"], multi_line)
-    return with_ingest_order(df) if ordered else df
+    return _csv(spark, path, schemas.ACCOUNTS, ["account_id", "arr"], multi_line, ordered)
 
 
 def load_usage_metrics(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
@@ -85,22 +109,19 @@ def read_texts(spark: SparkSession, path: str) -> DataFrame:
         F.regexp_replace("value", "\\r\\n?", "\n").alias("value"))
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines with their place, for text files too large for one row."""
-    return spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("split"),
-        F.monotonically_increasing_id().alias("pos"),
-        "value")
-
-
 def load_notes(spark: SparkSession, path: str, strip_banner: bool = False) -> DataFrame:
-    """Notes with the account id and name their text mentions, numbered per ``file``."""
-    return extract_entities(split_notes(read_texts(spark, path), strip_banner=strip_banner))
+    """Notes with the account id and name their text mentions, numbered per ``file``.
+
+    Files are read in as many tasks as they have splits, whatever their size.
+    """
+    separator = fixed.NOTE_SEPARATOR.removeprefix(r"\n").removesuffix(r"\n")
+    blocks = separated_blocks(spark, path, separator)
+    return extract_entities(notes_of_blocks(blocks, strip_banner))
 
 
 def load_changelog(spark: SparkSession, path: str) -> DataFrame:
-    return parse_changelog(read_texts(spark, path).drop("file"))
+    """Entries of all releases, in tasks by file splits; releases are numbered per file."""
+    return changelog_of_blocks(headed_blocks(spark, path, fixed.CHANGELOG_HEADER)).drop("file")
 
 
 @dataclass(frozen=True)

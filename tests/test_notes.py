@@ -42,20 +42,6 @@ def test_split_can_keep_the_note_under_the_banner(frame):
     assert split(frame, "=== CSM only a banner", strip_banner=True) == []
 
 
-def test_blocks_from_lines_equal_whole_file_blocks(spark):
-    """Lines of two files in several splits each, in any order."""
-    rows = []
-    for name in ("a", "b"):
-        for i, line in enumerate((FILE + "tail " + name).split("\n")):
-            rows.append((name, i // 6, i, line))
-    lines = spark.createDataFrame(rows[::-1], "file string, split long, pos long, value string")
-    got = notes.blocks_from_lines(lines.repartition(5)).orderBy("file", "block").collect()
-    for name in ("a", "b"):
-        texts = [(FILE + "tail " + name,)]
-        whole = notes.split_notes(spark.createDataFrame(texts, "value string")).collect()
-        assert [r.raw_text for r in got if r.file == name] == [r.raw_text for r in whole]
-
-
 @pytest.mark.parametrize("text, expected", [
     ("3/15 acct 1001 - X", 1001), ("see Account  1016 and acct 1017", 1016), ("(#1007)", 1007),
     ("acct 12", None), ("evergreen media 1015", None), ("ACCT 10425", 1042),
