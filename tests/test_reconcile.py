@@ -1,9 +1,12 @@
 import random
+import tracemalloc
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 from tests.conftest import by_key
 
+from acctrisk.functions import similarity
 from acctrisk.functions.similarity import lcs_lengths, token_sort
 from acctrisk.operators import reconcile
 
@@ -215,3 +218,50 @@ def test_incomplete_external_matches_can_be_ignored(frame, accounts):
         rows = by_key(reconcile.reconcile(
             notes, accounts, matches, all_or_nothing=strict), "note_idx")
         assert (rows[1].account_id, rows[3].account_id) == (expected, 1001)
+
+
+def test_lcs_of_long_and_odd_texts():
+    rng = random.Random(6)
+    sizes = [0, 1, 63, 64, 65, 200, 256, 257, 700]
+    texts = ["".join(rng.choices("abé\U0001f600 ", k=k)) for k in sizes] + ["x" * 300, "\0a\0"]
+    pairs = [(a, b) for a in texts for b in texts]
+    found = lcs_lengths([a for a, _ in pairs], [b for _, b in pairs])
+    assert found.tolist() == [lcs(a, b) if a and b else 0 for a, b in pairs]
+
+
+def test_characters_in_common_are_never_underestimated():
+    rng = random.Random(7)
+    texts = ["".join(rng.choices("abcdefgh 日本語", k=rng.randint(1, 60))) for _ in range(80)]
+    texts += ["a" * 500 + "b" * 9, "b" * 400, "", "abc" * 30]
+    bound = similarity._in_common(texts[:40] + texts[-4:], texts)
+    for i, a in enumerate(texts[:40] + texts[-4:]):
+        for j, b in enumerate(texts):
+            exact = sum((Counter(a) & Counter(b)).values())
+            assert bound[i, j] >= exact
+            if max([*Counter(a).values(), *Counter(b).values(), 0]) <= similarity.TIMES:
+                assert bound[i, j] == exact
+
+
+def test_a_block_with_a_very_long_name_stays_small():
+    """A name of 1,000,000 characters among ordinary ones; the old matrices took 16 GB."""
+    rng = random.Random(8)
+    names = ["".join(rng.choices("abcdefg ", k=20)) for _ in range(300)]
+    long = "ab " * 333_334
+    tracemalloc.start()
+    found = similarity.best_of_block([*names[:20], long], [*names, long], 65)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200e6
+    best = {i: names[j] if j < 300 else long for i, j, score in zip(*found) if score == 100.0}
+    assert best == {**dict(enumerate(names[:20])), 20: long}
+
+
+def test_more_names_than_are_looked_at_first():
+    """Many names with the same bound: the order beyond the first few loses none."""
+    rng = random.Random(9)
+    names = ["".join(rng.sample("abcdefghij", 10)) for _ in range(400)]
+    query = "abcdefghij"
+    exact = [200.0 * lcs(query, n) / 20 for n in names]
+    top = max(exact)
+    found = similarity.best_of_block([query], names, 40)
+    assert sorted(found[1]) == [j for j, x in enumerate(exact) if x == top]
