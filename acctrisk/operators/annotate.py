@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Callable, Iterator
+from concurrent.futures import Future, ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -113,24 +115,65 @@ def note_entities(notes: DataFrame, external: DataFrame | None = None) -> DataFr
     )
 
 
+# Batches of a task that the function works on at the same time.
+IN_FLIGHT = 5
+
+
 def batch_annotate(
     rows: DataFrame,
     annotate: Callable[[pd.DataFrame], pd.DataFrame],
     schema: T.StructType | str,
     partitions: int | None = None,
+    in_flight: int = IN_FLIGHT,
+    error_column: str | None = None,
 ) -> DataFrame:
     """Apply a user function to bounded Arrow batches of rows, in every task at once.
 
     The function gets and returns one pandas frame per batch (spark.sql.execution.arrow.
-    maxRecordsPerBatch rows at most), so nothing larger than a batch is ever held.
+    maxRecordsPerBatch rows at most). It mostly waits for a service, so a task keeps up to
+    ``in_flight`` batches going, in threads; results come in the order of the batches, and no more
+    than those are held. The function has to be safe to call from several threads.
+
+    A batch that fails stops the query, unless ``error_column`` names a text column of the schema:
+    then its rows come back with the columns that they share with the schema, the error in that
+    column and null in the others. Rows of other batches have null there.
     """
+    kind = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    names = kind.names
+    if error_column is not None and error_column not in names:
+        raise ValueError(f"the schema lacks {error_column}")
+
+    def outcome(batch: pd.DataFrame, call: Future) -> pd.DataFrame:
+        try:
+            found = call.result()
+            if error_column is not None and error_column not in found:
+                found = found.assign(**{error_column: None})
+        except Exception as error:
+            if error_column is None:
+                raise
+            none = pd.Series([None] * len(batch), dtype=object)
+            told = pd.Series([f"{type(error).__name__}: {error}"] * len(batch), dtype=object)
+            found = pd.DataFrame({
+                c: told if c == error_column else
+                batch[c].reset_index(drop=True) if c in batch else none for c in names})
+        return found
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield annotate(batch)
+        with ThreadPoolExecutor(in_flight) as pool:
+            going: deque[tuple[pd.DataFrame, Future]] = deque()
+            try:
+                for batch in batches:
+                    going.append((batch, pool.submit(annotate, batch)))
+                    if len(going) == in_flight:
+                        yield outcome(*going.popleft())
+                while going:
+                    yield outcome(*going.popleft())
+            finally:
+                for _, call in going:
+                    call.cancel()
 
     spread = rows if partitions is None else rows.repartition(partitions)
-    return spread.mapInPandas(run, schema)
+    return spread.mapInPandas(run, kind)
 
 
 def briefing_payload(risk: DataFrame) -> DataFrame:

@@ -89,7 +89,7 @@ def score_dataset(data: Dataset, params: ScoringParams = DEFAULT) -> DataFrame:
 
 @dataclass(frozen=True)
 class Run:
-    """What a run leaves behind."""
+    """What a run leaves behind; ``failed`` has the accounts whose analysis failed, and why."""
 
     report: DataFrame
     risk: DataFrame
@@ -97,6 +97,7 @@ class Run:
     notes_by_account: DataFrame
     metrics: DataFrame
     verdict: DataFrame
+    failed: DataFrame | None = None
 
 
 def run(
@@ -114,8 +115,8 @@ def run(
     """The whole pipeline: validate, resolve names, score, explain, back-test and export.
 
     ``entities`` are external findings per note (see annotate.note_entities). ``analyse`` gets
-    batches of notes_by_account rows and returns ANALYSES rows for them; it takes the place of
-    ``analyses``. Accounts with ``ingest_order`` are taken in file order, when rows are
+    batches of notes_by_account rows, several at a time, and returns ANALYSES rows for them; it
+    takes the place of ``analyses``, and accounts of a batch that fails go without. Accounts with ``ingest_order`` are taken in file order, when rows are
     deduplicated and where names are ambiguous. The scored accounts are materialised once, because
     every later step reads them.
     """
@@ -126,8 +127,13 @@ def run(
     notes = reconcile.reconcile(
         annotate.note_entities(data.notes, entities), accounts, name_matches, order=order)
     by_account = reconcile.notes_by_account(notes, accounts)
+    failed = None
     if analyse is not None:
-        analyses = annotate.batch_annotate(by_account, analyse, ANALYSES)
+        # written once, so that no account is analysed twice
+        answers = materialise(annotate.batch_annotate(
+            by_account, analyse, f"{ANALYSES}, error string", error_column="error"))
+        failed = answers.filter("error IS NOT NULL").select("account_id", "error")
+        analyses = answers.filter("error IS NULL").drop("error")
     scored = score_dataset(Dataset(
         accounts.drop("ingest_order"), clean["usage"], clean["tickets"], clean["nps"], analyses,
         translations, sentiments), params)
@@ -135,4 +141,4 @@ def run(
     metrics = backtest.weight_metrics(risk)
     if folder is not None:
         exports.export_all(risk, insights.insights_export(risk), folder)
-    return Run(report, risk, notes, by_account, metrics, backtest.weight_verdict(metrics))
+    return Run(report, risk, notes, by_account, metrics, backtest.weight_verdict(metrics), failed)

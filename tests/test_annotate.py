@@ -1,7 +1,9 @@
 import json
+import time
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 from tests.conftest import by_key
 
 from acctrisk import fixed
@@ -93,3 +95,54 @@ def test_briefing_payload_and_explanations(frame):
     rows = by_key(annotate.with_explanations(risk, texts))
     assert [rows[k].risk_explanation for k in (1, 2, 3)] == [
         "Act now", fixed.LOW_RISK_EXPLANATION, fixed.LOW_RISK_EXPLANATION]
+
+
+@pytest.fixture
+def small_batches(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 10)
+    yield
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_batches_overlap_and_keep_their_order(spark, small_batches):
+    """Twelve slow calls in one task, five at a time, the later ones of each five done first."""
+    def slow(batch):
+        began = time.time()
+        time.sleep(0.3 if batch["id"].iloc[0] % 50 == 0 else 0.15)
+        return batch.assign(began=began, ended=time.time())
+
+    ids = spark.range(120).coalesce(1)
+    schema = "id long, began double, ended double"
+    rows = annotate.batch_annotate(ids, slow, schema).collect()
+    assert [r.id for r in rows] == list(range(120))
+    calls = sorted({(r.began, r.ended) for r in rows})
+    assert len(calls) == 12
+    together = [sum(b <= began < e for b, e in calls) for began, _ in calls]
+    assert 3 <= max(together) <= annotate.IN_FLIGHT
+    alone = annotate.batch_annotate(ids, slow, schema, in_flight=1).collect()
+    calls = sorted({(r.began, r.ended) for r in alone})
+    assert all(a[1] <= b[0] for a, b in zip(calls, calls[1:]))
+
+
+def test_a_failing_batch_comes_back_with_its_error(spark, small_batches):
+    def label(batch):
+        if 20 <= batch["id"].iloc[0] < 30:
+            raise TimeoutError("no answer")
+        return batch[["id"]].assign(label="ok")
+
+    ids = spark.range(60).withColumn("unused", F.lit("x")).coalesce(1)
+    schema = "id long, label string, error string"
+    rows = annotate.batch_annotate(ids, label, schema, error_column="error").collect()
+    assert [r.id for r in rows] == list(range(60))
+    failed = {r.id for r in rows if r.error == "TimeoutError: no answer" and r.label is None}
+    assert failed == set(range(20, 30))
+    assert all(r.label == "ok" and r.error is None for r in rows if r.id not in failed)
+    with pytest.raises(Exception, match="no answer"):
+        annotate.batch_annotate(ids, label, "id long, label string").collect()
+    with pytest.raises(ValueError):
+        annotate.batch_annotate(ids, label, "id long", error_column="error")
+
+
+def test_no_batches(spark):
+    none = spark.range(0)
+    assert annotate.batch_annotate(none, lambda b: b, "id long").count() == 0
