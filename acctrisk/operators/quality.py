@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from acctrisk import fixed
@@ -151,7 +151,33 @@ def account_counters(accounts: DataFrame, as_of: date) -> DataFrame:
     )
 
 
-def usage_counters(usage: DataFrame, min_months: int = 3) -> DataFrame:
+def _totals(
+    per_account: DataFrame, accounts: DataFrame | None = None, show: int = 5
+) -> DataFrame:
+    """Sums of all counters per account; with ``accounts`` also the orphans, in the same pass.
+
+    ``per_account``: account_id, which may be null, and counters. Ids are dealt into as many
+    buckets as there are shuffle partitions, so that each task hands on its smallest orphans only.
+    """
+    sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in per_account.columns
+            if c != "account_id"]
+    if accounts is None:
+        return per_account.agg(*sums)
+    known = accounts.select("account_id", F.lit(True).alias("_known"))
+    orphan = F.col("account_id").isNotNull() & F.col("_known").isNull()
+    buckets = int(accounts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bucket = F.pmod(F.xxhash64("account_id"), F.lit(buckets))
+    ranked = per_account.join(known, "account_id", "left").withColumn("_orphan", orphan).withColumn(
+        "_at", F.row_number().over(Window.partitionBy(bucket, "_orphan").orderBy("account_id")))
+    smallest = F.collect_list(F.when(F.col("_orphan") & (F.col("_at") <= show), F.col("account_id")))
+    return ranked.agg(
+        *sums, F.count_if("_orphan").alias("n_orphans"),
+        F.array_join(F.slice(F.sort_array(smallest), 1, show), ", ").alias("smallest_ids"))
+
+
+def usage_counters(
+    usage: DataFrame, min_months: int = 3, accounts: DataFrame | None = None
+) -> DataFrame:
     """All usage checks in one pass: per account and month, per account, in total."""
     good_version = is_true(F.col("sdk_version").rlike(fixed.SDK_VERSION_PATTERN))
     checks = {
@@ -161,19 +187,21 @@ def usage_counters(usage: DataFrame, min_months: int = 3) -> DataFrame:
         "extreme_api_calls": F.count_if(F.col("api_calls") > fixed.MAX_API_CALLS),
         "invalid_sdk_version": F.count_if(~good_version),
     }
-    sums = [F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in checks]
     per_account = (
         usage.groupBy("account_id", "month")
         .agg(*[column.alias(name) for name, column in checks.items()])
-        .groupBy("account_id").agg(*sums, F.count("month").alias("n_months"))
+        .groupBy("account_id").agg(
+            *[F.sum(name).alias(name) for name in checks], F.count("month").alias("n_months"))
     )
     sparse = F.col("account_id").isNotNull() & (F.col("n_months") < min_months)
-    return per_account.agg(*sums, F.count_if(sparse).alias("sparse"))
+    return _totals(
+        per_account.withColumn("sparse", sparse.cast("bigint")).drop("n_months"), accounts)
 
 
-def ticket_counters(tickets: DataFrame) -> DataFrame:
+def ticket_counters(tickets: DataFrame, accounts: DataFrame | None = None) -> DataFrame:
     """All ticket checks in one pass."""
     checks = [
+        F.count(F.lit(1)).alias("rows"),
         F.count_if(~is_true(F.col("priority").isin(fixed.PRIORITIES))).alias("unknown_priority"),
         F.count_if(~is_true(F.col("status").isin(fixed.STATUSES))).alias("unknown_status"),
     ]
@@ -183,10 +211,12 @@ def ticket_counters(tickets: DataFrame) -> DataFrame:
             F.count_if(hours < 0).alias("negative_resolution"),
             F.count_if(hours > fixed.MAX_RESOLUTION_HOURS).alias("long_resolution"),
         ]
-    return tickets.agg(F.count(F.lit(1)).alias("rows"), *checks)
+    if accounts is None:
+        return tickets.agg(*checks)
+    return _totals(tickets.groupBy("account_id").agg(*checks), accounts)
 
 
-def nps_counters(nps: DataFrame) -> DataFrame:
+def nps_counters(nps: DataFrame, accounts: DataFrame | None = None) -> DataFrame:
     """All survey checks: one count per account, then one row."""
     score = F.col("score")
     empty = (
@@ -194,33 +224,43 @@ def nps_counters(nps: DataFrame) -> DataFrame:
         else F.count_if(F.lit(False))
     )
     per_account = nps.groupBy("account_id").agg(
-        F.count(F.lit(1)).alias("n"),
+        F.count(F.lit(1)).alias("rows"),
         F.count_if((score < 0) | (score > 10)).alias("out_of_range"),
         empty.alias("empty_comment"),
     )
-    return per_account.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
-        F.coalesce(F.sum("out_of_range"), F.lit(0)).alias("out_of_range"),
-        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicates"),
-        F.coalesce(F.sum("empty_comment"), F.lit(0)).alias("empty_comment"),
-    )
+    return _totals(per_account.withColumn("duplicates", F.col("rows") - 1), accounts)
+
+
+def _orphan_warning() -> Column:
+    return F.concat(
+        F.col("n_orphans").cast("string"), F.lit(" account IDs in "), F.col("source"),
+        F.lit(" not found in accounts.csv: ["), F.col("smallest_ids"), F.lit("]..."))
 
 
 def _report(counters: DataFrame, source: str, rows_before, messages: list) -> DataFrame:
-    """One report row from one row of counters; a check is listed only when it counted rows."""
+    """Report rows from one row of counters; a check is listed only when it counted rows.
+
+    Counters that know of orphans give a second row if there are any.
+    """
     listed = [
         F.when(F.col(name) > 0, F.concat(
             F.lit(head), F.col(name).cast("string"), F.lit(tail)))
         for name, head, tail in messages
     ]
-    return counters.select(
-        F.lit(fixed.SOURCE_FILES[source]).alias("source"),
-        F.lit(True).alias("is_valid"),
-        F.array().cast("array<string>").alias("errors"),
-        F.array_compact(F.array(*listed)).alias("warnings"),
-        rows_before.cast("bigint").alias("rows_before"),
-        F.col("rows").alias("rows_after"),
-    )
+    none, zero = F.array().cast("array<string>"), F.lit(0).cast("bigint")
+
+    def row(name: Column, warnings: Column, before: Column, after: Column) -> Column:
+        return F.struct(
+            name.alias("source"), F.lit(True).alias("is_valid"), none.alias("errors"),
+            warnings.alias("warnings"), before.alias("rows_before"), after.alias("rows_after"))
+
+    rows = [row(F.lit(fixed.SOURCE_FILES[source]), F.array_compact(F.array(*listed)),
+                rows_before.cast("bigint"), F.col("rows"))]
+    if "n_orphans" in counters.columns:
+        counters = counters.withColumn("source", F.lit(source))
+        rows.append(F.when(F.col("n_orphans") > 0, row(
+            F.lit(f"{source} (cross-ref)"), F.array(_orphan_warning()), zero, zero)))
+    return counters.select(F.inline(F.array_compact(F.array(*rows))))
 
 
 def _invalid(df: DataFrame, source: str, missing: list[str]) -> DataFrame:
@@ -264,8 +304,10 @@ def validate_accounts(
     return clamp_arr(kept.drop("copies") if ordered else kept.drop(order, "copies")), report
 
 
-def validate_usage(usage: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Repaired usage rows and their report."""
+def validate_usage(
+    usage: DataFrame, accounts: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Repaired usage rows and their report, with ``accounts`` also on ids that none of them has."""
     missing = missing_columns(usage, "usage")
     if missing:
         return usage, _invalid(usage, "usage", missing)
@@ -279,11 +321,13 @@ def validate_usage(usage: DataFrame) -> tuple[DataFrame, DataFrame]:
         ("sparse", "", " accounts have < 3 months of data (trends may be unreliable)"),
     ]
     return clamp_usage(usage), _report(
-        usage_counters(usage), "usage", F.col("rows"), messages)
+        usage_counters(usage, accounts=accounts), "usage", F.col("rows"), messages)
 
 
-def validate_tickets(tickets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Tickets, unchanged, and their report."""
+def validate_tickets(
+    tickets: DataFrame, accounts: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Tickets, unchanged, and their report, with ``accounts`` also on unknown ids."""
     missing = missing_columns(tickets, "tickets")
     if missing:
         return tickets, _invalid(tickets, "tickets", missing)
@@ -296,15 +340,17 @@ def validate_tickets(tickets: DataFrame) -> tuple[DataFrame, DataFrame]:
             ("negative_resolution", "", " tickets have negative resolution time"),
             ("long_resolution", "", " tickets have resolution > 30 days (data quality issue?)"),
         ]
-    return tickets, _report(ticket_counters(tickets), "tickets", F.col("rows"), messages)
+    return tickets, _report(ticket_counters(tickets, accounts), "tickets", F.col("rows"), messages)
 
 
-def validate_nps(nps: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Survey rows with scores clamped to 0..10 and their report."""
+def validate_nps(
+    nps: DataFrame, accounts: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Survey rows with scores clamped to 0..10, and their report as for tickets."""
     missing = missing_columns(nps, "nps")
     if missing:
         return nps, _invalid(nps, "nps", missing)
-    report = _report(nps_counters(nps), "nps", F.col("rows"), [
+    report = _report(nps_counters(nps, accounts), "nps", F.col("rows"), [
         ("out_of_range", "", " NPS scores outside 0-10 range. Clamping."),
         ("duplicates", "", " duplicate NPS responses. Using latest per account."),
         ("empty_comment", "", " NPS responses have no comment"),
@@ -319,10 +365,7 @@ def cross_reference_report(facts: dict[str, DataFrame], accounts: DataFrame) ->
         F.concat("source", F.lit(" (cross-ref)")).alias("source"),
         F.lit(True).alias("is_valid"),
         F.array().cast("array<string>").alias("errors"),
-        F.array(F.concat(
-            F.col("n_orphans").cast("string"), F.lit(" account IDs in "), F.col("source"),
-            F.lit(" not found in accounts.csv: ["), F.col("smallest_ids"), F.lit("]..."),
-        )).alias("warnings"),
+        F.array(_orphan_warning()).alias("warnings"),
         F.lit(0).cast("bigint").alias("rows_before"),
         F.lit(0).cast("bigint").alias("rows_after"),
     )
@@ -332,15 +375,19 @@ def validate_all(
     accounts: DataFrame, usage: DataFrame, tickets: DataFrame, nps: DataFrame, as_of: date,
     order: str = "ingest_order",
 ) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Repaired relations and one report relation for all of them."""
+    """Repaired relations and one report relation for all of them.
+
+    Each of the fact sources is read once for its report: counters per account meet the known
+    accounts, and what comes out are the sums and the orphans.
+    """
     clean_accounts, r1 = validate_accounts(accounts, as_of, order)
-    clean_usage, r2 = validate_usage(usage)
-    clean_tickets, r3 = validate_tickets(tickets)
-    clean_nps, r4 = validate_nps(nps)
-    facts = {"usage": clean_usage, "tickets": clean_tickets, "nps": clean_nps}
-    r5 = cross_reference_report(facts, clean_accounts)
-    report = reduce(DataFrame.unionByName, [r1, r2, r3, r4, r5])
-    return {"accounts": clean_accounts, **facts}, report
+    ids = clean_accounts.select("account_id") if "account_id" in accounts.columns else None
+    clean_usage, r2 = validate_usage(usage, ids)
+    clean_tickets, r3 = validate_tickets(tickets, ids)
+    clean_nps, r4 = validate_nps(nps, ids)
+    report = reduce(DataFrame.unionByName, [r1, r2, r3, r4])
+    return {"accounts": clean_accounts, "usage": clean_usage, "tickets": clean_tickets,
+            "nps": clean_nps}, report
 
 
 def pipeline_counters(nps_frame: DataFrame, sdk_frame: DataFrame) -> DataFrame:

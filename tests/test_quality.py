@@ -120,3 +120,36 @@ def test_orphans_of_several_sources_in_one_pass(frame):
         {"many": many, "none": none, "few": few}, accounts).collect()}
     assert rows == {"many": (2900, "100, 101, 102, 103, 104"), "none": (0, ""),
                     "few": (2, "-3, 500")}
+
+
+def test_the_report_reads_each_fact_source_once(spark, frame, tmp_path):
+    """One scan per fact source, orphans included."""
+    tables = {
+        "usage": frame("account_id long, month string, api_calls long, sdk_version string",
+                       *[(i % 9, f"2025-0{m}", 5 - m, "v4.1.0") for i in range(9) for m in (1, 2)],
+                       (None, "2025-01", 1, "x")),
+        "tickets": frame("account_id long, priority string, status string",
+                         *[(i % 7, "P1", "Odd") for i in range(20)]),
+        "nps": frame("account_id long, score long, verbatim_comment string",
+                     (1, 20, ""), (1, 3, "x"), (77, 5, "y"), (None, 5, "z"))}
+    for name, df in tables.items():
+        df.write.parquet(str(tmp_path / name))
+        tables[name] = spark.read.parquet(str(tmp_path / name))
+    accounts = frame(ACCOUNTS, *[(i, f"A{i}", 5, END, "Scale") for i in range(5)])
+    _, report = quality.validate_all(accounts, as_of=TODAY, **tables)
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == len(tables)
+    rows = {r.source: r for r in report.collect()}
+    assert rows["usage (cross-ref)"].warnings == [
+        "4 account IDs in usage not found in accounts.csv: [5, 6, 7, 8]..."]
+    assert rows["tickets (cross-ref)"].warnings == [
+        "2 account IDs in tickets not found in accounts.csv: [5, 6]..."]
+    assert rows["nps (cross-ref)"].warnings == [
+        "1 account IDs in nps not found in accounts.csv: [77]..."]
+    nps = [r for s, r in rows.items() if "nps" in s and "cross" not in s][0]
+    assert nps.rows_before == 4 and len(nps.warnings) == 3
+    # the same as the checks of each source by itself
+    for check, name in ((quality.validate_usage, "usage"), (quality.validate_tickets, "tickets"),
+                        (quality.validate_nps, "nps")):
+        alone = check(tables[name])[1].first()
+        assert rows[alone.source] == alone
