@@ -263,9 +263,11 @@ def _report(counters: DataFrame, source: str, rows_before, messages: list) -> Da
     return counters.select(F.inline(F.array_compact(F.array(*rows))))
 
 
-def _invalid(df: DataFrame, source: str, missing: list[str]) -> DataFrame:
+def _invalid(
+    df: DataFrame, source: str, missing: list[str], accounts: DataFrame | None = None
+) -> DataFrame:
     errors = [f"Missing required column: {c}" for c in missing]
-    return df.agg(F.count(F.lit(1)).alias("rows")).select(
+    report = df.agg(F.count(F.lit(1)).alias("rows")).select(
         F.lit(fixed.SOURCE_FILES[source]).alias("source"),
         F.lit(False).alias("is_valid"),
         F.array(*[F.lit(e) for e in errors]).alias("errors"),
@@ -273,6 +275,9 @@ def _invalid(df: DataFrame, source: str, missing: list[str]) -> DataFrame:
         F.col("rows").alias("rows_before"),
         F.col("rows").alias("rows_after"),
     )
+    if accounts is None or "account_id" not in df.columns:
+        return report
+    return report.unionByName(cross_reference_report({source: df}, accounts))
 
 
 def validate_accounts(
@@ -310,7 +315,7 @@ def validate_usage(
     """Repaired usage rows and their report, with ``accounts`` also on ids that none of them has."""
     missing = missing_columns(usage, "usage")
     if missing:
-        return usage, _invalid(usage, "usage", missing)
+        return usage, _invalid(usage, "usage", missing, accounts)
     messages = [
         (f"negative_{m}", "", f" rows have negative {m}. Clamping to 0.")
         for m in fixed.USAGE_METRICS if m in usage.columns
@@ -330,7 +335,7 @@ def validate_tickets(
     """Tickets, unchanged, and their report, with ``accounts`` also on unknown ids."""
     missing = missing_columns(tickets, "tickets")
     if missing:
-        return tickets, _invalid(tickets, "tickets", missing)
+        return tickets, _invalid(tickets, "tickets", missing, accounts)
     messages = [
         ("unknown_priority", "Unknown priority values: ", " rows"),
         ("unknown_status", "Unknown status values: ", " rows"),
@@ -349,7 +354,7 @@ def validate_nps(
     """Survey rows with scores clamped to 0..10, and their report as for tickets."""
     missing = missing_columns(nps, "nps")
     if missing:
-        return nps, _invalid(nps, "nps", missing)
+        return nps, _invalid(nps, "nps", missing, accounts)
     report = _report(nps_counters(nps, accounts), "nps", F.col("rows"), [
         ("out_of_range", "", " NPS scores outside 0-10 range. Clamping."),
         ("duplicates", "", " duplicate NPS responses. Using latest per account."),

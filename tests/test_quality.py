@@ -125,9 +125,10 @@ def test_orphans_of_several_sources_in_one_pass(frame):
 def test_the_report_reads_each_fact_source_once(spark, frame, tmp_path):
     """One scan per fact source, orphans included."""
     tables = {
-        "usage": frame("account_id long, month string, api_calls long, sdk_version string",
-                       *[(i % 9, f"2025-0{m}", 5 - m, "v4.1.0") for i in range(9) for m in (1, 2)],
-                       (None, "2025-01", 1, "x")),
+        "usage": frame("account_id long, month string, api_calls long, active_users long, "
+                       "sdk_version string",
+                       *[(i % 9, f"2025-0{m}", 5 - m, 1, "v4.1.0") for i in range(9) for m in (1, 2)],
+                       (None, "2025-01", 1, -1, "x")),
         "tickets": frame("account_id long, priority string, status string",
                          *[(i % 7, "P1", "Odd") for i in range(20)]),
         "nps": frame("account_id long, score long, verbatim_comment string",
@@ -153,3 +154,13 @@ def test_the_report_reads_each_fact_source_once(spark, frame, tmp_path):
                         (quality.validate_nps, "nps")):
         alone = check(tables[name])[1].first()
         assert rows[alone.source] == alone
+
+
+def test_sources_without_a_column_are_still_held_against_the_accounts(frame):
+    accounts = frame(ACCOUNTS, (1, "A", 5, END, "Scale"))
+    _, report = quality.validate_usage(frame("account_id long", (1,), (8,)), accounts)
+    rows = {r.source: r for r in report.collect()}
+    assert rows["usage (cross-ref)"].warnings[0].startswith("1 account IDs in usage")
+    assert len(rows) == 2 and not rows["usage_metrics.csv"].is_valid
+    _, report = quality.validate_nps(frame("score long", (1,)), accounts)
+    assert [r.is_valid for r in report.collect()] == [False]
