@@ -29,7 +29,11 @@ RINGS, ANNULUS = 64, 4096
 FIT_ROWS = 8192
 # Vectors and queries that one task compares at once.
 BLOCK, ASKED = 8192, 2048
-LARGEST = (1 << 31) - 1
+# Sums of products below this are exact as doubles, and as 64-bit numbers.
+DOUBLE, LONG = 1 << 52, 1 << 62
+
+# Below any score that is returned.
+LOWEST = -(1 << 63)
 
 INDEX = ("row long, vec_id long, vector binary, norm double, annulus int, far double, "
          "home int")
@@ -45,7 +49,7 @@ def quantised(batch: pa.RecordBatch, width: int, scale: int) -> tuple[np.ndarray
         x = np.array(vector, dtype=np.float64)
         if np.isfinite(x).all():
             out = np.zeros(width)
-            out[:len(x)] = np.clip(np.floor(scale * x), -LARGEST, LARGEST)
+            out[:len(x)] = np.floor(scale * x)
             rows.append(out)
             at.append(i)
     return np.array(rows).reshape(len(rows), width), np.array(at, dtype=np.int64)
@@ -64,10 +68,11 @@ def distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Layout:
-    """Pivots and the inner edges of the annuli of each pivot."""
+    """Pivots and the inner edges of the annuli of each pivot; `kind` holds a component."""
 
     width: int
     square: float
+    kind: str
     pivots: np.ndarray
     edges: np.ndarray
 
@@ -104,7 +109,7 @@ class Directory:
 
 
 def fit(sample: np.ndarray, rows: int, square: float, pivots: int = PIVOTS, seed: int = 0,
-        ) -> Layout:
+        kind: str = "<i4") -> Layout:
     """Pivots by a few rounds of k-means over the sample, edges at its quantiles."""
     rng = np.random.default_rng(seed)
     width = sample.shape[1]
@@ -122,7 +127,7 @@ def fit(sample: np.ndarray, rows: int, square: float, pivots: int = PIVOTS, seed
         own = far[near == k, k]
         if len(own):
             edges[k] = np.quantile(own, np.arange(1, rings) / rings)
-    return Layout(width, square, chosen, edges)
+    return Layout(width, square, kind, chosen, edges)
 
 
 def index(vectors: DataFrame, layout: Layout, every: int, scale: int = SCALE) -> DataFrame:
@@ -139,7 +144,7 @@ def index(vectors: DataFrame, layout: Layout, every: int, scale: int = SCALE) ->
             asks = np.array([i is not None and i % every == 0 for i in ids.to_pylist()], bool)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(row, row + len(at))), ids,
-                 pa.array([v.astype("<i4").tobytes() for v in x], pa.binary()),
+                 pa.array([v.astype(layout.kind).tobytes() for v in x], pa.binary()),
                  pa.array((x * x).sum(1)), pa.array(annulus), pa.array(far),
                  pa.array(np.where(asks, 0, -1).astype(np.int32))],
                 names=["row", "vec_id", "vector", "norm", "annulus", "far", "home"])
@@ -168,15 +173,15 @@ def visits(asked: DataFrame, layout: Layout, known: Directory, first: bool) -> D
     def run(batches):
         slack = 1e-6 * (1 + np.sqrt(layout.square))
         for batch in batches:
-            x = np.array([np.frombuffer(v.as_py(), "<i4") for v in batch.column("vector")], float)
-            x = x.reshape(len(batch), layout.width)
+            x = np.array([np.frombuffer(v.as_py(), layout.kind) for v in batch.column("vector")],
+                         float).reshape(len(batch), layout.width)
             far = layout.asked(x)
             bounds = known.bounds(far)
             middle = np.abs(far[:, known.pivot] - (known.low + known.high) / 2)
             home = np.lexsort((middle, bounds), axis=1)[:, 0]
             if first:
                 query, place = np.arange(len(x)), home
-                least = np.full(len(x), -(1 << 62))
+                least = np.full(len(x), LOWEST)
             else:
                 least = batch.column("least").to_numpy()
                 reach = (x * x).sum(1) + layout.square - 2 * least.astype(float)
@@ -192,31 +197,38 @@ def visits(asked: DataFrame, layout: Layout, known: Directory, first: bool) -> D
         run, "row long, vec_id long, vector binary, annulus int, least long")
 
 
-def compared(vectors: pa.Table, queries: pa.Table, k: int, exact: bool) -> pa.Table:
-    """Of each query the k best of the vectors, its own id apart, that reach its `least`."""
-    kind = np.float64 if exact else np.int64
+def compared(vectors: pa.Table, queries: pa.Table, k: int, layout: Layout) -> pa.Table:
+    """Of each query the k best of the vectors, its own id apart, that reach its `least`.
+
+    No sum of products, nor any part of it, is larger than the largest squared length. By that the
+    products are taken in doubles, in 64-bit numbers or in whole numbers of any size, and exact.
+    """
+    kind = (np.float64 if layout.square < DOUBLE else np.int64 if layout.square < LONG else object)
     ids = vectors["vec_id"].to_numpy(zero_copy_only=False)
     order = np.argsort(ids, kind="stable")
-    x = np.stack([np.frombuffer(v.as_py(), "<i4") for v in vectors["vector"]])[order].astype(kind)
-    q = np.stack([np.frombuffer(v.as_py(), "<i4") for v in queries["vector"]]).astype(kind)
-    ids, own = ids[order], queries["vec_id"].to_numpy()
+    x, q = (np.stack([np.frombuffer(v.as_py(), layout.kind) for v in table["vector"]]).astype(kind)
+            for table in (vectors, queries))
+    x, ids, own = x[order], ids[order], queries["vec_id"].to_numpy()
     rows, least = queries["row"].to_numpy(), queries["least"].to_numpy()
-    scores = (q @ x.T).astype(np.int64)
     out = [[], [], [], []]
-    for i, line in enumerate(scores):
-        at = np.flatnonzero((line >= least[i]) & (ids != own[i]))
+    scores = q @ x.T
+    for i, line in enumerate(scores.astype(np.int64) if kind is not object else scores):
+        at = np.flatnonzero(((line >= least[i]) | (least[i] == LOWEST)) & (ids != own[i]))
         if len(at) > k:
-            bound = -np.partition(-line[at], k - 1)[k - 1]
+            ordered = np.sort(line[at]) if kind is object else np.partition(line[at], -k)
+            bound = ordered[-k]
             at = at[line[at] >= bound]
             at = at[np.argsort(-line[at], kind="stable")[:k]]  # equal scores by smaller id
+        if kind is object and any(not LOWEST <= s < -LOWEST for s in line[at]):
+            raise ValueError("a score leaves 64 bits")
         for column, values in zip(out, (np.full(len(at), rows[i]), np.full(len(at), own[i]),
-                                        ids[at], line[at]), strict=True):
+                                        ids[at], line[at].astype(np.int64)), strict=True):
             column.append(values)
     return pa.table([pa.array(np.concatenate(c).astype(np.int64)) for c in out],
                     names=["row", "query_id", "vec_id", "score"])
 
 
-def scan(indexed: DataFrame, asked: DataFrame, k: int, exact: bool) -> DataFrame:
+def scan(indexed: DataFrame, asked: DataFrame, k: int, layout: Layout) -> DataFrame:
     """The hits of every query in the annuli it asks for.
 
     Vectors and queries of an annulus are dealt into blocks by their row numbers, and every block
@@ -243,7 +255,7 @@ def scan(indexed: DataFrame, asked: DataFrame, k: int, exact: bool) -> DataFrame
     def run(x: pa.Table, q: pa.Table) -> pa.Table:
         if not len(x) or not len(q):
             return empty.empty_table()
-        return compared(x, q, k, exact)
+        return compared(x, q, k, layout)
 
     return vectors.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInArrow(run, HITS)
 
@@ -259,8 +271,8 @@ def search(vectors: DataFrame, k: int = K, every: int = 20, scale: int = SCALE)
 
     vectors: vec_id and embedding; other columns are ignored. Queries are the rows whose id is
     divisible by `every`, candidates all rows but those with the query's id; ties go to the smaller
-    id, fewer than k candidates are all returned. Components become floor(scale * x), held within
-    32 bits. Vectors that are null or hold a null or a non-finite component take no part, nor do
+    id, fewer than k candidates are all returned. Components become floor(scale * x); one that
+    leaves 64 bits, or a returned score that does, stops the query with a ValueError. Vectors that are null or hold a null or a non-finite component take no part, nor do
     null ids; shorter vectors count as filled up with zeros. Repeated rows are candidates each, and
     a query row that is repeated is answered each time. Empty tables give no rows.
     """
@@ -275,25 +287,29 @@ def search(vectors: DataFrame, k: int = K, every: int = 20, scale: int = SCALE)
 
     finite = F.filter("embedding", lambda v: v.isNotNull() & ~F.isnan(v)
                       & (F.abs(v) < float("inf")))
-    whole = F.transform(finite, lambda v: F.greatest(F.least(
-        F.floor(v.cast("double") * scale).cast("double"), F.lit(float(LARGEST))),
-        F.lit(-float(LARGEST))))
-    square = rows.agg(F.max(F.aggregate(whole, F.lit(0.0), lambda a, v: a + v * v))).first()[0]
-    square = float(square or 0.0)
-    layout = fit(x, sizes.rows, square)
+    scaled = F.transform(finite, lambda v: v.cast("double") * scale)
+    # a double beyond 2^53 is whole
+    whole = F.transform(scaled, lambda v: F.when(
+        F.abs(v) < 2.0 ** 53, F.floor(v).cast("double")).otherwise(v))
+    largest = rows.agg(
+        F.max(F.aggregate(whole, F.lit(0.0), lambda a, v: a + v * v)).alias("square"),
+        F.max(F.array_max(F.transform(whole, lambda v: F.abs(v)))).alias("top")).first()
+    square, top = float(largest.square or 0.0), float(largest.top or 0.0)
+    if top >= 2.0 ** 63:
+        raise ValueError(f"a component times {scale} leaves 64 bits")
+    layout = fit(x, sizes.rows, square, kind="<i4" if top < 2.0 ** 31 else "<i8")
 
     indexed = materialise(index(rows, layout, every, scale))
     known = directory(indexed, layout.edges.shape[1] + 1)
     if not len(known.annulus):
         return indexed.select(F.col("vec_id").alias("query_id"), F.col("home").alias("rank"),
                               "vec_id", F.col("row").alias("score"))
-    exact = square < 1 << 52  # then no sum of products leaves the exact range of doubles
     asked = indexed.where("home = 0").select("row", "vec_id", "vector")
     first = materialise(best(scan(
-        indexed, visits(asked, layout, known, first=True), k, exact), k))
+        indexed, visits(asked, layout, known, first=True), k, layout), k))
     least = first.where(F.col("rank") == k).select("row", F.col("score").alias("least"))
     asked = asked.join(least, "row", "left").withColumn(
-        "least", F.coalesce("least", F.lit(-(1 << 62))))
-    more = scan(indexed, materialise(visits(asked, layout, known, first=False)), k, exact)
+        "least", F.coalesce("least", F.lit(LOWEST)))
+    more = scan(indexed, materialise(visits(asked, layout, known, first=False)), k, layout)
     return best(first.drop("rank").unionByName(more), k).select(
         "query_id", "rank", "vec_id", "score")

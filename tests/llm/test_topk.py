@@ -83,6 +83,31 @@ def test_large_numbers_stay_exact(frame):
     assert sorted(map(tuple, topk.search(rows).collect())) == brute(vectors)
 
 
+@pytest.mark.parametrize("size", [1e7, 3e9, 1e14])
+def test_huge_numbers_stay_exact(frame, size):
+    """Products beyond 2^52 and, in part, beyond 2^63."""
+    rng = np.random.default_rng(3)
+    vectors = [(i, [1.0, 0.25 * (i % 3)]) for i in range(0, 60, 20)]
+    vectors += [(i, (size * rng.uniform(-1, 1, 2)).tolist()) for i in range(1, 60) if i % 20]
+    rows = frame(SCHEMA, *[(*v, "s", "r", None) for v in vectors])
+    assert sorted(map(tuple, topk.search(rows).collect())) == brute(vectors)
+
+
+def test_small_query_and_large_candidates(frame):
+    vectors = [(0, [1.0, 0.0]), (1, [1e9, 0.0]), (2, [2e9, 0.0]), (3, [5e7, 0.0])]
+    rows = frame(SCHEMA, *[(*v, "s", "r", None) for v in vectors])
+    assert sorted(map(tuple, topk.search(rows).collect())) == [
+        (0, 1, 2, 8_192_000_000_000), (0, 2, 1, 4_096_000_000_000), (0, 3, 3, 204_800_000_000)]
+
+
+def test_scores_beyond_64_bits_stop(frame):
+    rows = frame(SCHEMA, (0, [1e15], "s", "r", 1), (1, [1e16], "s", "r", 1))
+    with pytest.raises(Exception, match="64 bits"):
+        topk.search(rows).collect()
+    with pytest.raises(Exception, match="64 bits"):
+        topk.search(frame(SCHEMA, (0, [1e300], "s", "r", 1))).collect()
+
+
 def test_no_rows(frame):
     assert topk.search(frame(SCHEMA)).count() == 0
     assert topk.search(frame(SCHEMA, (1, [], "s", "r", 1), (2, None, "s", "r", 1))).count() == 0
