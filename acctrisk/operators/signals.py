@@ -237,12 +237,15 @@ def ticket_signals(tickets: DataFrame, params: ScoringParams = DEFAULT) -> DataF
     )
     total = F.col("total_tickets")
     hours = F.coalesce("avg_hours", F.lit(0.0))
-    slow = F.when(hours > 0, F.least(F.lit(1.0), hours / F.lit(96.0))).otherwise(F.lit(0.3))
+    slow = F.when(
+        hours > 0, F.least(F.lit(1.0), hours / F.lit(fixed.SLOW_HOURS))
+    ).otherwise(F.lit(fixed.UNRESOLVED_SLOWNESS))
+    urgent, waiting, slowness, many = (F.lit(share) for share in fixed.TICKET_SHARES)
     score = (
-        F.col("p1_p2_tickets") / total * F.lit(0.30)
-        + F.col("open_escalated") / total * F.lit(0.30)
-        + slow * F.lit(0.20)
-        + F.least(F.lit(1.0), total / F.lit(15.0)) * F.lit(0.20)
+        F.col("p1_p2_tickets") / total * urgent
+        + F.col("open_escalated") / total * waiting
+        + slow * slowness
+        + F.least(F.lit(1.0), total / F.lit(fixed.MANY_TICKETS)) * many
     )
     return counts.select(
         "account_id",
@@ -258,10 +261,11 @@ def ticket_signals(tickets: DataFrame, params: ScoringParams = DEFAULT) -> DataF
 # ---- survey ----------------------------------------------------------------------------------
 
 def nps_base_risk(score: Column) -> Column:
+    (low, low_risk, low_step), (mid, mid_risk, mid_step), (top, _, step) = fixed.NPS_BANDS
     return (
-        F.when(score <= 6, F.lit(0.8) + (F.lit(6) - score) * F.lit(0.033))
-        .when(score <= 8, F.lit(0.3) + (F.lit(8) - score) * F.lit(0.15))
-        .otherwise(F.lit(0.1) * (F.lit(10) - score))
+        F.when(score <= low, F.lit(low_risk) + (F.lit(low) - score) * F.lit(low_step))
+        .when(score <= mid, F.lit(mid_risk) + (F.lit(mid) - score) * F.lit(mid_step))
+        .otherwise(F.lit(step) * (F.lit(top) - score))
     )
 
 
