@@ -40,13 +40,15 @@ USAGE_METRICS = {
     "active_users": 0.30,
     "workflows_triggered": 0.15,
 }
-# Ticket score: shares of urgent, open, slow and many tickets; hours and tickets that count as full,
-# and the slowness of an account without resolved tickets
+SPARSE_USAGE_SCORE = 0.5
+
+# --- Fixed values: ticket and survey scores ---------------------------------------------------
+# shares of urgent, open, slow and many tickets; hours and tickets that count as full, and the
+# slowness of an account without resolved tickets
 TICKET_SHARES = (0.30, 0.30, 0.20, 0.20)
 SLOW_HOURS, MANY_TICKETS, UNRESOLVED_SLOWNESS = 96.0, 15.0, 0.3
-# Survey score: top score of a band, its risk there, and the risk per point below; the last band ends at 10
+# top score of a band, its risk there, and the risk per point below; the last band ends at 10
 NPS_BANDS = ((6, 0.8, 0.033), (8, 0.3, 0.15), (10, 0.0, 0.1))
-SPARSE_USAGE_SCORE = 0.5
 
 # --- Fixed values: active users expected per plan tier; 10 for any other tier -----------------
 EXPECTED_USERS = {"Starter": 3, "Growth": 12, "Scale": 35, "Enterprise": 80}
