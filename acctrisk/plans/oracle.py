@@ -1000,5 +1000,14 @@ QUERIES = {
 }
 
 
+# The same results from the stored accounts.
+QUERIES |= {
+    "stored_filter": QUERIES["report_filter"],
+    "stored_tier_counts": QUERIES["report_tier_counts"],
+    "stored_heatmap": QUERIES["report_heatmap"],
+    "stored_export": QUERIES["export_risk_scored"],
+}
+
+
 def all_sql() -> dict[str, str]:
     return {name: with_views(text, **RELATIONS) for name, text in QUERIES.items()}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 
@@ -9,13 +10,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from acctrisk.functions.lineage import materialise
+from acctrisk.functions.lineage import materialise, shared_folder
 from acctrisk.functions.prune import with_keys
 from acctrisk.operators import (
     annotate, backtest, insights, quality, reconcile, scoring, signals,
 )
 from acctrisk.params import DEFAULT, ScoringParams
-from acctrisk.sources import exports
+from acctrisk.sources import exports, stored
 from acctrisk.sources.files import Sources
 
 # What an analysis of notes returns: one or more responses per account, the last seq counts.
@@ -87,6 +88,11 @@ def score_dataset(data: Dataset, params: ScoringParams = DEFAULT) -> DataFrame:
     return scoring.score_merged(merge_dataset(facts, accounts, params), params)
 
 
+def stored_risk(risk: DataFrame) -> DataFrame:
+    """Scored accounts written once to the shared folder, by tier and account, and read from there."""
+    return stored.store_risk(risk, f"{shared_folder(risk.sparkSession)}/risk-{uuid.uuid4().hex}")
+
+
 @dataclass(frozen=True)
 class Run:
     """What a run leaves behind; ``failed`` has the accounts whose analysis failed, and why."""
@@ -117,8 +123,8 @@ def run(
     ``entities`` are external findings per note (see annotate.note_entities). ``analyse`` gets
     batches of notes_by_account rows, several at a time, and returns ANALYSES rows for them; it
     takes the place of ``analyses``, and accounts of a batch that fails go without. Accounts with ``ingest_order`` are taken in file order, when rows are
-    deduplicated and where names are ambiguous. The scored accounts are materialised once, because
-    every later step reads them.
+    deduplicated and where names are ambiguous. The scored accounts are stored once (sources/stored.py),
+    because every later step reads them.
     """
     clean, report = quality.validate_all(
         data.accounts, data.usage, data.tickets, data.nps, params.snapshot_date)
@@ -137,7 +143,7 @@ def run(
     scored = score_dataset(Dataset(
         accounts.drop("ingest_order"), clean["usage"], clean["tickets"], clean["nps"], analyses,
         translations, sentiments), params)
-    risk = materialise(annotate.with_explanations(scored, explanations))
+    risk = stored_risk(annotate.with_explanations(scored, explanations))
     metrics = backtest.weight_metrics(risk)
     if folder is not None:
         exports.export_all(risk, insights.insights_export(risk), folder)

@@ -555,6 +555,34 @@ def report_top20(spark, sf_dir):
     return report.top_accounts(risk(spark, sf_dir))
 
 
+def stored_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pipeline.stored_risk(risk(spark, sf_dir))
+
+
+@query
+def stored_filter(spark, sf_dir):
+    """Reads the folders of two tiers and four columns."""
+    return report.filter_accounts(
+        stored_risk(spark, sf_dir), ["High", "Medium"], ["Starter", "Scale"], 10_000,
+    ).select("account_id", "risk_tier", "plan_tier", "arr")
+
+
+@query
+def stored_tier_counts(spark, sf_dir):
+    return report.tier_counts(stored_risk(spark, sf_dir))
+
+
+@query
+def stored_heatmap(spark, sf_dir):
+    return report.heatmap(stored_risk(spark, sf_dir))
+
+
+@query
+def stored_export(spark, sf_dir):
+    """All columns, in the order of the scored frame."""
+    return exports.risk_scored(pipeline.stored_risk(_explained(spark, sf_dir)))
+
+
 # ---- annotations and exports -----------------------------------------------------------------
 
 @query
