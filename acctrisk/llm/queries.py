@@ -79,9 +79,14 @@ hosts as (
          regexp_replace(host, ':[0-9]*$', '') as name
   from parsed left join labels on doc_id = item group by host),
 leveled as (
-  select host, n, k, regexp_extract(name, '[^.]*$') as suffix,
-         regexp_extract(name, '([^.]*[.])?[^.]*$') as domain
-  from hosts),
+  select host, n, k,
+    case when address then '' when listed then two else regexp_extract(name, '[^.]*$') end
+      as suffix,
+    case when address then name when listed then regexp_extract(name, '([^.]*[.]){0,2}[^.]*$')
+         else two end as domain
+  from (select *, regexp_extract(name, '([^.]*[.])?[^.]*$') as two, two in (<suffixes>) as listed,
+               regexp_matches(name, '^([0-9]+[.]){3}[0-9]+$') or name like '[%' as address
+        from hosts)),
 domains as (select domain, suffix, sum(n) as n, sum(k) as k from leveled group by all),
 suffixes as (select suffix, sum(n) as n, sum(k) as k from domains group by suffix),
 groups as (
@@ -128,7 +133,7 @@ select page_id, host, path, rule,
   case when rule in ('org/', 'com/fr/') then 'allow' when rule is not null then 'block'
        when upper < 0.8 then 'block' else 'allow' end as verdict
 from judged
-"""
+""".replace("<suffixes>", ", ".join(f"'{x}'" for x in urls.SUFFIXES))
 
 
 @query
