@@ -1,6 +1,7 @@
 """Language identification: kernel by hand, held-out accuracy and odd rows."""
 
 import numpy as np
+import pytest
 
 from acctrisk.llm import language
 from acctrisk.llm.common import held_out, table
@@ -9,25 +10,84 @@ from tests.llm.odd import ODD_TEXTS, no_documents, odd_documents
 SF_DIR = "/root/testdata/sf0.01"
 
 
-def grams(text):
+def by_hand(text):
     low = text.lower()
     return {low[i:i + n] for n in (1, 2, 3) for i in range(len(low) - n + 1)}
 
 
-def test_kernel_counts_shared_grams():
-    texts = ["the house", "a mouse", "Größe", "", "ab"]
-    x = language.presence(texts)
-    near = language.kernel(x, x)
-    for i, a in enumerate(texts):
-        for j, b in enumerate(texts):
-            size = (len(grams(a)) * len(grams(b))) ** 0.5
-            want = len(grams(a) & grams(b)) / size if size else 0
-            assert abs(near[i, j] - want) < 0.02  # places of few grams rarely clash
+def kernel_by_hand(a, b):
+    x, y = by_hand(a), by_hand(b)
+    return len(x & y) / (len(x) * len(y)) ** 0.5 if x and y else 0.0
 
 
-def test_grams_do_not_span_texts():
-    alone = [language.presence([t])[0] for t in ("abc", "def")]
-    assert (language.presence(["abc", "def"]) == np.stack(alone)).all()
+def chinese(length, distinct=3000, seed=0):
+    points = np.random.default_rng(seed).integers(0x4E00, 0x4E00 + distinct, length)
+    return "".join(map(chr, points))
+
+
+TEXTS = ["the house", "a mouse", "Größe", "", "a", "ab", "\U0010FFFF\U0010FFFF\U0010FFFF\0\0",
+         "\0", chinese(300), "the house", "İstanbul"]
+
+
+def test_grams_are_told_apart_exactly():
+    for text in TEXTS:
+        assert len(language.grams(text)) == len(by_hand(text))
+
+
+@pytest.mark.parametrize("columns", [1 << 14, 7])
+def test_kernel_counts_shared_grams(monkeypatch, columns):
+    monkeypatch.setattr(language, "COLUMNS", columns)
+    landmarks = language.Landmarks.of([language.grams(x) for x in TEXTS])
+    near = landmarks.kernel([language.grams(x) for x in TEXTS])
+    for i, a in enumerate(TEXTS):
+        for j, b in enumerate(TEXTS):
+            assert abs(near[i, j] - kernel_by_hand(a, b)) < 1e-12
+    for found, text in zip(landmarks.sets(), TEXTS, strict=True):
+        assert (found == language.grams(text)).all()
+
+
+def test_kernel_of_a_long_text_of_many_grams():
+    """60,000 characters with far more distinct n-grams than all landmarks have."""
+    marks = ["the quick brown fox", chinese(200, seed=1), "もう一つ"]
+    text = chinese(60_000)
+    near = language.Landmarks.of([language.grams(x) for x in marks]).kernel([language.grams(text)])
+    assert np.allclose(near[0], [kernel_by_hand(text, x) for x in marks], atol=1e-12)
+
+
+def test_predictions_by_hand(frame):
+    """The whole way against kernels of Python sets and a ridge regression per language."""
+    words = {"en": "the of and house mouse street water", "de": "der die und haus maus strasse wasser",
+             "zh": " ".join(chinese(3, 40, i) for i in range(12))}
+    rng = np.random.default_rng(1)
+    rows = [(i, " ".join(rng.choice(words[k].split(), 6)), k)
+            for i, k in enumerate(["en", "de", "zh"] * 12)]
+    docs = frame("doc_id long, text string, lang string", *rows)
+    model = language.fit(docs, landmarks=9)
+    chosen = [next(t for _, t, _ in rows if np.array_equal(language.grams(t), s))
+              for s in model.landmarks.sets()]
+    assert len(chosen) == 9
+    near = np.array([[kernel_by_hand(a, b) for b in chosen] for a in chosen])
+    full = np.array([[kernel_by_hand(t, b) for b in chosen] for _, t, _ in rows])
+    again = language.train(model.landmarks, near, full, [k for _, _, k in rows])
+    scores = full @ again.weights + again.offset
+    found = {r.doc_id: (r.lang_pred, r.score) for r in language.identify(docs, model).collect()}
+    for (i, _, _), row in zip(rows, scores, strict=True):
+        name, score = found[i]
+        assert name == again.languages[row.argmax()]
+        assert abs(score - min(max(row.max(), 0), 1)) < 1e-6
+
+
+def test_long_texts_are_landmarks_of_bounded_size_and_told_apart(frame):
+    rows = [(i, chinese(60_000, seed=i), "zh") for i in range(3)]
+    rows += [(10 + i, "a short english text about houses " * (i + 1), "en") for i in range(5)]
+    rows += [(20 + i, chinese(400, seed=100 + i), "zh") for i in range(5)]
+    docs = frame("doc_id long, text string, lang string", *rows)
+    model = language.fit(docs)
+    assert sorted(model.landmarks.sizes)[-3:] == [language.LANDMARK_GRAMS] * 3
+    assert all(set(x) <= set(language.grams(t)) for x, t in zip(
+        [language.landmark_grams(t) for _, t, _ in rows], [t for _, t, _ in rows], strict=True))
+    assert {r.doc_id: r.lang_pred for r in language.identify(docs, model).collect()} == {
+        i: k for i, _, k in rows}
 
 
 def test_held_out_accuracy(spark):
