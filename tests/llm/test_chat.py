@@ -2,6 +2,8 @@
 
 from collections import defaultdict
 
+from pyspark.sql import functions as F
+
 from acctrisk.llm import chat
 
 SCHEMA = "conv_id long, turn long, role string, text string, perspective string, start long"
@@ -53,10 +55,35 @@ def test_nulls_ties_and_repeated_rows(frame):
                   (None, 1, "bob", "no dialogue"), (3, 0, "system", "alone"), (4, 0, None, "x")])
 
 
-def test_long_dialogue_spans_blocks(frame):
-    turns = [(7, i, "ann" if i % 3 else "bob", f"turn {i}") for i in range(2 * chat.BLOCK + 50)]
+def test_long_dialogue_spans_tasks(frame):
+    turns = [(7, i, "ann" if i % 3 else "bob", f"turn {i}") for i in range(1100)]
     check(frame, turns + [(8, 0, "ann", "z" * 100_000)])
 
 
+def test_one_turn_number_in_many_rows(spark, frame):
+    """A third of them alike. No task orders more than its range of the rows."""
+    rows = [(7, 3, "ann" if i % 2 else "bob", "same" if i % 3 else f"text {i}")
+            for i in range(20_000)] + [(7, None, "ann", "first"), (9, 3, "bob", "other")]
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        check(frame, rows)
+        placed = chat.in_order(frame(SCHEMA, *[(*t, "clash", 9) for t in rows]))
+        parts = placed.groupBy(F.shiftright("place", chat.TASK_BITS)).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert sum(r["count"] for r in parts) == len(rows)
+    assert max(r["count"] for r in parts) < len(rows) / 2  # four tasks
+
+
+def test_texts_alike_in_their_first_characters(frame):
+    """All are rendered, one after the other, in some fixed order."""
+    turns = [(1, 1, "ann", "x" * 2000 + c) for c in "dbca"]
+    rows = chat.rotate(frame(SCHEMA, *[(*t, "clash", 9) for t in turns])).collect()
+    rows.sort(key=lambda r: r.start)
+    assert sorted(r.rendered[r.mask_start:][2000] for r in rows) == list("abcd")
+    assert [r.start for r in rows] == [i * len(rows[0].rendered) for i in range(4)]
+
+
 def test_no_rows(frame):
     assert chat.rotate(frame(SCHEMA)).count() == 0
