@@ -2,7 +2,8 @@
 
 A tree splits a small random sample by random features at random values until rows stand alone.
 Rows that few splits isolate are unusual. The mean path length over many trees gives a score, and
-labelled rows set the score from which a text is rejected.
+labelled rows set the score from which a text is rejected. Every tree draws its sample from all
+labelled rows, and all of them set that score.
 """
 
 from __future__ import annotations
@@ -11,20 +12,20 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from acctrisk.llm.common import slices, texts_of
+from acctrisk.llm.common import materialise, slices, texts_of
 
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 
-# Labelled rows for fitting and calibration: at most this many, those with the smallest id hashes.
-FIT_ROWS = 20_000
 TREES = 200
 TREE_ROWS = 256
+# Slices of the range of scores in which rows are ranked.
+SCORE_SLICES = 4096
 # How much worse it is to reject a share of the good rows than to keep that share of the bad ones.
 GOOD_WEIGHT = 5.0
 
@@ -133,16 +134,22 @@ class Forest:
 
 def fit_forest(x: np.ndarray, trees: int = TREES, rows: int = TREE_ROWS, seed: int = 0) -> Forest:
     """Random trees over samples of the rows of x. Without rows every score is the same."""
-    rng = np.random.default_rng(seed)
-    rows = min(rows, len(x))
+    rng, rows = np.random.default_rng(seed), min(rows, len(x))
+    return grown([x[rng.choice(len(x), rows, replace=False)] if rows else x[:0]
+                  for _ in range(trees)], rng)
+
+
+def grown(samples: list[np.ndarray], rng: np.random.Generator) -> Forest:
+    """A random tree over each sample; samples are of one size."""
+    trees, rows = len(samples), max(map(len, samples))
     depth = max(1, int(np.ceil(np.log2(max(rows, 2)))))
     size = 2 ** (depth + 1)
     shape = (trees, size)
     feature, split = np.zeros(shape, np.int64), np.zeros(shape)
     left = np.tile(np.arange(size), (trees, 1))
     right, path = left.copy(), np.zeros(shape)
-    for t in range(trees):
-        todo = [(0, x[rng.choice(len(x), rows, replace=False)] if rows else x[:0], 0)]
+    for t, sample in enumerate(samples):
+        todo = [(0, sample, 0)]
         free = 1
         while todo:
             node, part, at = todo.pop()
@@ -180,6 +187,39 @@ def calibrate(scores: np.ndarray, good: np.ndarray, weight: float = GOOD_WEIGHT)
     return float((value[best] + below) / 2)
 
 
+def calibrate_all(scored: DataFrame, weight: float = GOOD_WEIGHT) -> float:
+    """The same from a table of score (0 to 1) and good (boolean), of any number of rows.
+
+    Rows are ranked within slices of the range of scores; one row per slice reaches the driver.
+    """
+    levels = materialise(scored.groupBy("score").agg(
+        F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad")))
+    all_good, all_bad = levels.agg(F.sum("good"), F.sum("bad")).first()
+    if not all_good or not all_bad:
+        return float("inf")
+    ranked = Window.partitionBy("slice").orderBy(F.desc("score"))
+    gain = F.col("bad") / F.lit(all_bad) - F.lit(weight) * F.col("good") / F.lit(all_good)
+    tops = (
+        levels.withColumn("slice", F.floor(F.col("score") * SCORE_SLICES))
+        .withColumns({c: F.sum(c).over(ranked) for c in ("good", "bad")})
+        .groupBy("slice").agg(
+            F.max("good").alias("good"), F.max("bad").alias("bad"),
+            F.max(F.struct(gain.alias("gain"), "score", "good", "bad")).alias("top"))
+        .orderBy(F.desc("slice")).collect()
+    )
+    best, value, good, bad = 0.0, None, 0, 0
+    for row in tops:
+        top = row.top
+        gained = (bad + top.bad) / all_bad - weight * (good + top.good) / all_good
+        if gained > best:
+            best, value = gained, top.score
+        good, bad = good + row.good, bad + row.bad
+    if value is None:
+        return float("inf")
+    below = levels.where(F.col("score") < value).agg(F.max("score")).first()[0]
+    return float((value + (value - 1e-6 if below is None else below)) / 2)
+
+
 def measure(docs: DataFrame) -> DataFrame:
     """Rule counts and forest features of every whole text; see MEASURED for the columns.
 
@@ -198,31 +238,70 @@ def measure(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, MEASURED)
 
 
-def fit(measured: DataFrame, labels: DataFrame, label: str = "quality",
-        rows: int = FIT_ROWS, seed: int = 0) -> Forest:
-    """A forest and its threshold from at most `rows` labelled documents.
+def labelled(measured: DataFrame, labels: DataFrame, label: str = "quality") -> DataFrame:
+    """doc_id, label, features, n_words and n_repeat_words of every labelled document.
 
-    labels: doc_id and the label, 1 for good. Null ids and labels are left out; of several labels
-    or texts of an id the smallest counts. The rows are those with the smallest hashes of the id,
-    so the choice does not depend on the order or place of rows.
+    Null ids and labels are left out; of several labels or texts of an id the smallest counts.
     """
-    sample = (
+    of_id = (
         labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
         .groupBy("doc_id").agg(F.min(F.col(label).cast("int")).alias("label"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     )
-    known = (
-        measured.join(F.broadcast(sample), "doc_id").groupBy("doc_id")
-        .agg(F.min(F.struct("features", "label", "n_words", "n_repeat_words")).alias("row"))
-        .select("doc_id", "row.*").orderBy("doc_id").toArrow()
+    return (
+        measured.where(F.col("doc_id").isNotNull()).groupBy("doc_id")
+        .agg(F.min(F.struct("features", "n_words", "n_repeat_words")).alias("row"))
+        .join(of_id, "doc_id").select("doc_id", "label", "row.*")
     )
-    x = np.array(known["features"].to_pylist(), dtype=float).reshape(-1, len(FEATURES))
-    forest = fit_forest(x, seed=seed)
-    counts = np.zeros((len(x), len(COUNTS)), dtype=np.int64)
-    counts[:, 0], counts[:, 4] = known["n_words"].to_numpy(), known["n_repeat_words"].to_numpy()
-    open_ = ~base_failed(counts)
-    good = known["label"].to_numpy()[open_] == 1
-    forest.threshold = calibrate(forest.scores(x[open_]), good)
+
+
+def tree_samples(known: DataFrame, trees: int = TREES, rows: int = TREE_ROWS,
+                 seed: int = 0) -> list[np.ndarray]:
+    """The features of the rows that each tree is grown on, drawn from all given rows.
+
+    A tree takes the rows with the smallest hashes of its number and the id, so the choice does not
+    depend on the order or place of rows. Only hashes that are small for that many rows are
+    ranked, four times as many as are taken.
+    """
+    total = known.count()
+    bound = min(int(4 * rows / max(total, 1) * 2.0 ** 64), (1 << 64) - 1) - (1 << 63)
+
+    def drawn(tree):
+        return F.xxhash64(F.lit(seed), tree, "doc_id")
+
+    every = F.sequence(F.lit(0), F.lit(trees - 1))
+    order = Window.partitionBy("tree").orderBy(drawn(F.col("tree")), "doc_id")
+    taken = (
+        known.select("doc_id", "features", F.explode(
+            F.filter(every, lambda t: drawn(t) <= F.lit(bound))).alias("tree"))
+        .withColumn("at", F.row_number().over(order)).where(F.col("at") <= rows)
+        .select("tree", "at", "features").orderBy("tree", "at").toArrow()
+    )
+    x = np.array(taken["features"].to_pylist(), dtype=float).reshape(-1, len(FEATURES))
+    ends = np.searchsorted(taken["tree"].to_numpy(), np.arange(1, trees))
+    return np.split(x, ends)
+
+
+def fit(measured: DataFrame, labels: DataFrame, label: str = "quality", seed: int = 0) -> Forest:
+    """A forest and its threshold from all labelled documents.
+
+    What reaches the driver are the trees' samples, TREES times TREE_ROWS rows at most, and one row
+    per slice of scores.
+    """
+    known = materialise(labelled(measured, labels, label))
+    forest = grown(tree_samples(known, seed=seed), np.random.default_rng(seed))
+
+    def run(batches):
+        for batch in batches:
+            counts = np.zeros((len(batch), len(COUNTS)), dtype=np.int64)
+            counts[:, 0], counts[:, 4] = (
+                batch.column(c).to_numpy() for c in ("n_words", "n_repeat_words"))
+            x = np.array(batch.column("features").to_pylist(), dtype=float)
+            open_ = ~base_failed(counts)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(forest.scores(x.reshape(-1, len(FEATURES))[open_])),
+                 pa.array(batch.column("label").to_numpy()[open_] == 1)], names=["score", "good"])
+
+    forest.threshold = calibrate_all(known.mapInArrow(run, "score double, good boolean"))
     return forest
 
 
