@@ -5,7 +5,8 @@ window, learnt vectors per subword plus a bias per distance, through a causal so
 The value of a token is a distribution of what follows: for the token itself what comes right after
 it and its predecessor, for older tokens what comes a few places later, and for the sink all
 tokens. The distributions are counts over all training texts; queries, keys, biases and sink are
-trained in numpy by gradient steps. Mixing distributions gives probabilities without a softmax over
+trained by gradient steps, in the driver on a bounded sample for a start, then in the tasks on every
+window of all training texts, the mean of the tasks' results being the model. Mixing distributions gives probabilities without a softmax over
 the vocabulary.
 
 The most frequent subwords have symbols of their own; the others share one and are told apart by
@@ -18,7 +19,7 @@ A word model (counts of words over all training texts) stands beside it as a bas
 from __future__ import annotations
 
 import zlib
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import public_tokenizers
@@ -41,10 +42,13 @@ END, RARE, PAD = 0, 1, SYMBOLS
 BLOCK = 8
 FAR = 2
 DIMENSIONS = 16
-# The attention is trained on one of so many windows of all texts, but on about so many at least;
-# the steps grow with the windows from that number on.
-FIT_EVERY, FIT_WINDOWS = 2048, 1 << 18
+# The attention starts from steps on about so many windows, spread over all texts.
+FIT_WINDOWS = 1 << 18
 STEPS, BATCH, RATE = 300, 1024, 0.03
+# Then the tasks train it on all windows: windows of a step, those looked up in one go, the rate.
+TASK_BATCH, TASK_WINDOWS, TASK_RATE = 1 << 14, 1 << 12, 0.03
+# Fixed point of sums over tasks: parameters, and the tasks' shares of all windows.
+PARAMETER_ONE, SHARE_ONE = 1 << 24, 1 << 20
 SMOOTHING = 0.1
 # The most frequent words, at most so many, go to the tasks; the counts of others are joined.
 HOT_WORDS = 400_000
@@ -263,6 +267,10 @@ class Weights:
     far: bytes
     plain: np.ndarray
 
+    def parameters(self) -> list[np.ndarray]:
+        """What is trained."""
+        return [self.query, self.key, self.bias, self.sink]
+
     def model(self) -> Model:
         near, far = (padded(decoded(x, SYMBOLS)) for x in (self.near, self.far))
         far = np.ascontiguousarray(far.T)
@@ -292,20 +300,7 @@ class Model:
         before it; it scores what follows each token of its second block, so every token is
         scored once, the final end too.
         """
-        inputs, targets = [], []
-        for ids in texts:
-            symbols = self.symbol_of[ids]
-            more = -(len(ids) + 1) % BLOCK
-            first, last = np.full(BLOCK, PAD), np.full(more, PAD)
-            inputs.append(np.concatenate((first, [END], symbols, last)))
-            targets.append(np.concatenate((first, symbols, [END], last)))
-        sizes = np.array([len(x) // BLOCK for x in inputs])
-        blocks = np.concatenate(inputs).reshape(-1, BLOCK)
-        wanted = np.concatenate(targets).reshape(-1, BLOCK)
-        starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-        scored = np.ones(len(blocks), dtype=bool)
-        scored[starts] = False  # the leading block of padding
-        at = np.flatnonzero(scored)
+        blocks, wanted, at, starts = cut(self.symbol_of, texts)
         sums = np.zeros(len(blocks))
         for i in range(0, len(at), WINDOWS):
             k = at[i:i + WINDOWS]
@@ -343,13 +338,17 @@ class Model:
 
         What a symbol is as a query and as a target is looked up in one go.
         """
+        return self.logs(*self.attend_running(window, target), target)
+
+    def attend_running(self, window: np.ndarray, target: np.ndarray):
+        """What `attend` gives, for running text."""
         size = SYMBOLS + 1
         symbol = np.concatenate((window[:, BLOCK:BLOCK + 1], target), axis=1) * size
         found = self.both.ravel().take(symbol[:, :, None] + window[:, None, :], mode="clip")
         weight, value = found.real[:, :-1] * self.distance, found.imag[:, 1:]
         own = np.arange(BLOCK)
         value[:, own, BLOCK + own] = self.follows(window, target)
-        return self.logs(weight, value, self.sink[window[:, BLOCK:]], target)
+        return weight, value, self.sink[window[:, BLOCK:]]
 
     def logs(self, weight: np.ndarray, value: np.ndarray, sink: np.ndarray,
              target: np.ndarray) -> np.ndarray:
@@ -359,6 +358,28 @@ class Model:
         return np.where(seen, np.log10(np.where(seen, mixed / np.where(seen, total, 1), 1)), 0)
 
 
+def cut(symbol_of: np.ndarray, texts: list[np.ndarray]):
+    """Texts, given as subword ids, in blocks of symbols.
+
+    The blocks, the symbols that follow each of theirs, the numbers of the blocks to score (all but
+    the block of padding before each text) and the number of the first block of each text.
+    """
+    inputs, targets = [], []
+    for ids in texts:
+        symbols = symbol_of[ids]
+        more = -(len(ids) + 1) % BLOCK
+        first, last = np.full(BLOCK, PAD), np.full(more, PAD)
+        inputs.append(np.concatenate((first, [END], symbols, last)))
+        targets.append(np.concatenate((first, symbols, [END], last)))
+    sizes = np.array([len(x) // BLOCK for x in inputs])
+    blocks = np.concatenate(inputs).reshape(-1, BLOCK)
+    wanted = np.concatenate(targets).reshape(-1, BLOCK)
+    starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+    scored = np.ones(len(blocks), dtype=bool)
+    scored[starts] = False
+    return blocks, wanted, np.flatnonzero(scored), starts
+
+
 def smoothed(pairs: np.ndarray, plain: np.ndarray) -> np.ndarray:
     """Distribution of the symbols of each row, drawn to `plain` by the number of kinds.
 
@@ -387,7 +408,8 @@ CAUSAL, APART = _PLACES >= 0, np.maximum(_PLACES, 0)
 
 def assembled(weights: Weights, near: np.ndarray, far: np.ndarray, pair: np.ndarray) -> Model:
     """The tables that scoring looks things up in."""
-    products = padded(np.exp(weights.query @ weights.key.T / np.sqrt(DIMENSIONS)))
+    products = weights.query @ weights.key.T / np.sqrt(DIMENSIONS)
+    products = padded(np.exp(products.astype(np.float32)))
     distance = np.where(CAUSAL, np.exp(weights.bias[APART]), 0).astype(np.float32)
     both = np.empty(far.shape, np.complex64)
     both.real, both.imag = products, far
@@ -418,39 +440,117 @@ def build(symbol_of: np.ndarray, pair_of: np.ndarray, subwords: np.ndarray, pair
         rng.standard_normal((SYMBOLS, DIMENSIONS)) * 0.1, -0.5 * np.arange(2 * BLOCK, dtype=float),
         np.full(SYMBOLS, -2.0), coded(near), pair_of, coded(smoothed(triples, near[second])),
         coded(far), plain)
-    query, key, bias, sink = params = [weights.query, weights.key, weights.bias, weights.sink]
-    moment, square = None, None
-    fixed = weights.model()
-    for step in range(steps if len(windows) else 0):
+    adam, fixed = Adam(weights.parameters()), weights.model()
+    for _ in range(steps if len(windows) else 0):
         rows = windows[rng.integers(0, len(windows), min(BATCH, len(windows)))].astype(np.int64)
         window, target = rows[:, :2 * BLOCK], rows[:, 2 * BLOCK:]
         now = assembled(weights, fixed.near, fixed.far, fixed.pair)
-        q = window[:, BLOCK:]
-        weight, value, away = now.attend(window, target)
-        total = weight.sum(2) + away
-        mixed = (weight * value).sum(2) + away * now.plain[target]
+        added = Slopes()
+        added.add(now, window, target, now.attend(window, target))
+        adam.step(added, RATE)
+    return weights
+
+
+class Slopes:
+    """Slopes of minus the logarithms of targets' probabilities, added up.
+
+    By the scores of all pairs of query and key, by the distances and by the sinks.
+    """
+
+    def __init__(self):
+        self.pairs = np.zeros((SYMBOLS + 1) ** 2, np.float32)
+        self.distances, self.sinks = np.zeros(2 * BLOCK), np.zeros(SYMBOLS)
+        self.targets = 0
+
+    def add(self, now: Model, window: np.ndarray, target: np.ndarray, attended) -> None:
+        """Those of a batch of windows; attended: what the model attends to in them."""
+        weight, value, away = attended
+        q, plain = window[:, BLOCK:], now.plain[target]
+        total = np.einsum("wqk->wq", weight) + away
+        mixed = np.einsum("wqk,wqk->wq", weight, value) + away * plain
         seen = (target != PAD) & (q != PAD)
-        scale = np.where(seen, 1.0 / max(seen.sum(), 1), 0)
-        mixed, total = np.where(seen, mixed, 1), np.where(seen, total, 1)
+        per_total = np.divide(1, total, out=np.zeros_like(total), where=seen)
+        per_mixed = np.divide(1, mixed, out=np.zeros_like(mixed), where=seen)
         # of minus log(mixed / total) by the score of a key: weight * (1 / total - value / mixed)
-        slope = weight * (1 / total[:, :, None] - value / mixed[:, :, None]) * scale[:, :, None]
+        slope = value * -per_mixed[:, :, None]
+        slope += per_total[:, :, None]
+        slope *= weight
         cell = (q[:, :, None] * (SYMBOLS + 1) + window[:, None, :]).ravel()
-        by_pair = np.bincount(cell, weights=slope.ravel(), minlength=(SYMBOLS + 1) ** 2)
-        by_pair = by_pair.reshape(SYMBOLS + 1, -1)[:SYMBOLS, :SYMBOLS] / np.sqrt(DIMENSIONS)
-        of_sink = away * (1 / total - now.plain[target] / mixed) * scale
-        slopes = [
-            by_pair @ key, by_pair.T @ query,
-            np.bincount(APART[CAUSAL], weights=slope.sum(0)[CAUSAL], minlength=2 * BLOCK),
-            np.bincount(q.ravel(), weights=of_sink.ravel(), minlength=SYMBOLS + 1)[:SYMBOLS],
-        ]
-        if moment is None:
-            moment, square = [0 * s for s in slopes], [0 * s for s in slopes]
-        for k, s in enumerate(slopes):  # Adam
-            moment[k] = 0.9 * moment[k] + 0.1 * s
-            square[k] = 0.99 * square[k] + 0.01 * s * s
-            params[k] -= (RATE * (moment[k] / (1 - 0.9 ** (step + 1)))
-                          / (np.sqrt(square[k] / (1 - 0.99 ** (step + 1))) + 1e-9))
-    return weights
+        np.add.at(self.pairs, cell, slope.ravel())
+        of_sink = away * (per_total - plain * per_mixed)
+        by_place = slope.sum(0, dtype=float)[CAUSAL]
+        self.distances += np.bincount(APART[CAUSAL], weights=by_place, minlength=2 * BLOCK)
+        self.sinks += np.bincount(
+            q.ravel(), weights=of_sink.ravel(), minlength=SYMBOLS + 1)[:SYMBOLS]
+        self.targets += int(seen.sum())
+
+
+class Adam:
+    """Gradient steps of Adam on query, key, bias and sink, which are changed in place."""
+
+    def __init__(self, params: list[np.ndarray]):
+        self.params, self.steps = params, 0
+        self.moment, self.square = [0 * x for x in params], [0 * x for x in params]
+
+    def step(self, added: Slopes, rate: float) -> None:
+        targets = max(added.targets, 1)
+        query, key = (x.astype(np.float32) for x in self.params[:2])
+        pairs = added.pairs.reshape(SYMBOLS + 1, -1)[:SYMBOLS, :SYMBOLS]
+        scale = targets * np.sqrt(DIMENSIONS)
+        found = ((pairs @ key).astype(float) / scale, (pairs.T @ query).astype(float) / scale,
+                 added.distances / targets, added.sinks / targets)
+        self.steps += 1
+        for k, slope in enumerate(found):
+            self.moment[k] = 0.9 * self.moment[k] + 0.1 * slope
+            self.square[k] = 0.99 * self.square[k] + 0.01 * slope * slope
+            self.params[k] -= (rate * (self.moment[k] / (1 - 0.9 ** self.steps))
+                               / (np.sqrt(self.square[k] / (1 - 0.99 ** self.steps)) + 1e-9))
+
+
+def train(texts: DataFrame, weights: Weights, subwords: int, kind: np.dtype) -> Weights:
+    """The model trained further on every window of all given texts, each looked at once.
+
+    Tasks train from the same weights on, a task's last windows moving them by their share of a
+    step. The model is the mean of their results by windows, added up in whole numbers, so that it
+    does not depend on their order. subwords: about how many there are.
+    """
+    all_windows, sizes = subwords // BLOCK + 1, [x.size for x in weights.parameters()]
+
+    def run(batches):
+        fixed, windows, waiting = None, 0, 0
+        for batch in slices(batches, "ids"):
+            if fixed is None:
+                fixed = now = weights.model()
+                own = replace(weights, **{
+                    k: getattr(weights, k).copy() for k in ("query", "key", "bias", "sink")})
+                adam, added = Adam(own.parameters()), Slopes()
+            blocks, wanted, at, _ = cut(weights.symbol_of, ids_in(batch, kind))
+            for i in range(0, len(at), TASK_WINDOWS):
+                k = at[i:i + TASK_WINDOWS]
+                window, target = np.concatenate((blocks[k - 1], blocks[k]), axis=1), wanted[k]
+                added.add(now, window, target, now.attend_running(window, target))
+                waiting, windows = waiting + len(k), windows + len(k)
+                if waiting >= TASK_BATCH:
+                    adam.step(added, TASK_RATE)
+                    now = assembled(own, fixed.near, fixed.far, fixed.pair)
+                    waiting, added = 0, Slopes()
+        if waiting:
+            adam.step(added, TASK_RATE * waiting / TASK_BATCH)
+        if windows:
+            share = max(1, windows * SHARE_ONE // all_windows)
+            trained = np.concatenate([x.ravel() for x in own.parameters()])
+            sums = np.append(np.rint(trained * PARAMETER_ONE).astype(np.int64), 1) * share
+            for row in counters.pieces(TaskContext.get().partitionId(), [sums]):
+                yield counters.batch_of([row])
+
+    sums = counters.added_up(
+        texts.select("ids").mapInArrow(run, counters.COLUMNS), sum(sizes) + 1)
+    if not sums[-1]:
+        return weights
+    means = np.split(sums[:-1] / sums[-1] / PARAMETER_ONE, np.cumsum(sizes)[:-1])
+    query, key, bias, sink = (
+        x.reshape(old.shape) for x, old in zip(means, weights.parameters(), strict=True))
+    return replace(weights, query=query, key=key, bias=bias, sink=sink)
 
 
 def fit_windows(texts: DataFrame, kind: np.dtype, every: int, seed: int = 0) -> np.ndarray:
@@ -487,7 +587,8 @@ def fit(prepared: DataFrame, path: str, seed: int = 0) -> tuple[Weights, DataFra
     """The attention model and the counted words (a table) of the texts to learn from.
 
     The counts cover all of them, and so does the choice of the subwords with symbols of their own
-    and of the pairs with a distribution. The attention is trained on a share of all windows.
+    and of the pairs with a distribution. The attention starts from a bounded sample of windows and
+    is then trained on all of them.
     """
     encoding = byte_bpe.load(path)
     size, kind = encoding.n_vocab, id_type(encoding)
@@ -496,16 +597,15 @@ def fit(prepared: DataFrame, path: str, seed: int = 0) -> tuple[Weights, DataFra
     symbol_of = chosen_symbols(subwords)
     pair_of = chosen_pairs(count_pairs(texts, symbol_of, kind))
 
-    every = max(1, min(FIT_EVERY, int(subwords.sum()) // BLOCK // FIT_WINDOWS))
+    every = max(1, int(subwords.sum()) // BLOCK // FIT_WINDOWS)
     lines = fit_windows(texts, kind, every, seed)
     symbols = np.append(symbol_of, [PAD, END]).astype(np.int16)[lines]  # -2 padding, -1 the end
     windows = np.concatenate((symbols[:, :-1], symbols[:, BLOCK + 1:]), axis=1)
-    steps = max(STEPS, STEPS * len(windows) // FIT_WINDOWS)
 
     words = materialise(count_words(texts))
-    weights = build(symbol_of, pair_of, *count_symbols(texts, symbol_of, pair_of, kind), windows,
-                    seed, steps)
-    return weights, words
+    weights = build(
+        symbol_of, pair_of, *count_symbols(texts, symbol_of, pair_of, kind), windows, seed)
+    return train(texts, weights, int(subwords.sum()), kind), words
 
 
 # --- Scoring ------------------------------------------------------------------------------------

@@ -3,6 +3,7 @@
 import re
 import zlib
 from collections import Counter
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -206,3 +207,70 @@ def test_windows_grow_with_the_texts(frame):
         assert abs(sizes[-1] - n * 65 / 16) < 0.1 * n
     lines = lm.fit_windows(texts, kind, 1)
     assert len(lines) == 800 * 65 and (lines[:, lm.BLOCK:] != -2).any(1).all()
+
+
+def random_texts(frame, weights, lengths):
+    rng = np.random.default_rng(5)
+    texts = [rng.integers(0, len(weights.symbol_of), n) for n in lengths]
+    rows = frame("ids binary", *[(x.astype("<u2").tobytes(),) for x in texts])
+    return texts, rows.coalesce(1)
+
+
+def test_every_window_of_all_texts_trains_the_attention(fitted, frame):
+    weights = fitted[1][0]
+    texts, rows = random_texts(frame, weights, [0, 3, 500, 8, 7, 120, 1])
+    subwords = sum(map(len, texts))
+    got = lm.train(rows, weights, subwords, np.dtype("<u2"))
+    own = replace(weights, **{
+        k: getattr(weights, k).copy() for k in ("query", "key", "bias", "sink")})
+    model, added, windows = weights.model(), lm.Slopes(), 0
+    for ids in texts:
+        line = np.concatenate((np.full(lm.BLOCK, lm.PAD), [lm.END], weights.symbol_of[ids],
+                               [lm.END], np.full(2 * lm.BLOCK, lm.PAD)))
+        for at in range(0, len(ids) + 1, lm.BLOCK):
+            window = line[None, at:at + 2 * lm.BLOCK].copy()
+            window[0, lm.BLOCK + max(0, len(ids) + 1 - at):] = lm.PAD  # the final end asks nothing
+            target = line[None, at + lm.BLOCK + 1:at + 2 * lm.BLOCK + 1]
+            added.add(model, window, target, model.attend(window, target))
+            windows += 1
+    assert added.targets == subwords + len(texts)
+    lm.Adam(own.parameters()).step(added, lm.TASK_RATE * windows / lm.TASK_BATCH)
+    for mine, hand in zip(got.parameters(), own.parameters(), strict=True):
+        assert np.isclose(mine, hand, atol=1e-6).mean() > 0.999
+    assert (got.query != weights.query).any() and (got.bias != weights.bias).any()
+    assert lm.train(rows.limit(0), weights, 0, np.dtype("<u2")) is weights
+
+
+def test_slopes_are_those_of_the_log_probability(fitted):
+    weights = fitted[1][0]
+    rng = np.random.default_rng(6)
+    line = rng.integers(0, 60, (400, 2 * lm.BLOCK + 1))
+    window, target = line[:, :-1], line[:, lm.BLOCK + 1:]
+    model, added = weights.model(), lm.Slopes()
+    added.add(model, window, target, model.attend(window, target))
+
+    def loss(name, index, by):
+        changed = getattr(weights, name).copy()
+        changed[index] += by
+        return -replace(weights, **{name: changed}).model().windows(
+            window, target).sum(dtype=float) * np.log(10)
+
+    by_pair = added.pairs.reshape(lm.SYMBOLS + 1, -1)[:lm.SYMBOLS, :lm.SYMBOLS] / np.sqrt(lm.DIMENSIONS)
+    for name, index, slope in (
+            ("bias", 1, added.distances[1]), ("bias", 9, added.distances[9]),
+            ("sink", 7, added.sinks[7]), ("query", (5, 2), by_pair[5] @ weights.key[:, 2]),
+            ("key", (9, 4), by_pair[:, 9] @ weights.query[:, 4])):
+        want = (loss(name, index, 0.05) - loss(name, index, -0.05)) / 0.1
+        assert abs(slope - want) < 0.03 * abs(want) + 0.05, name
+
+
+def test_training_on_all_windows_makes_unseen_texts_likelier(spark, monkeypatch):
+    """The start is a bounded sample; what it leaves out is learnt from, too."""
+    prepared, path = lm.prepare(table(spark, SF_DIR, "documents"), ~held_out("doc_id", 10, 0))
+    monkeypatch.setattr(lm, "FIT_WINDOWS", 1 << 10)
+    trained, _ = lm.fit(prepared, path)
+    monkeypatch.setattr(lm, "train", lambda texts, weights, *_: weights)
+    start, _ = lm.fit(prepared, path)
+    unseen = prepared.where("not learn").select("ids").toArrow()["ids"].to_pylist()
+    unseen = [np.frombuffer(x, "<u2").astype(np.int64) for x in unseen]
+    assert trained.model().log10(unseen).sum() > start.model().log10(unseen).sum()
