@@ -13,6 +13,12 @@ def _place(key: str, bits: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(bits))
 
 
+def key_bit(key: str, bits: int = BITS) -> tuple[Column, Column]:
+    """The word of a key in a set of bits and its bit in the word's ``_bits``."""
+    place = _place(key, bits)
+    return F.shiftright(place, 6), F.getbit("_bits", place % 64)
+
+
 def key_set(keys: DataFrame, key: str, bits: int = BITS) -> DataFrame:
     """The keys as a set of bits, one per hash: word and the 64 bits of each word that has any."""
     place = _place(key, bits)
@@ -32,6 +38,5 @@ def with_keys(facts: DataFrame, keys: DataFrame, key: str, bits: int = BITS) ->
     the key, so other facts are neither aggregated nor exchanged.
     """
     chosen = key_set(keys, key, bits)
-    place = _place(key, bits)
-    word, bit = F.shiftright(place, 6), F.getbit("_bits", place % 64)
+    word, bit = key_bit(key, bits)
     return facts.join(F.broadcast(chosen), (word == F.col("_word")) & (bit == 1), "left_semi")

@@ -88,7 +88,7 @@ def dedup(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS)
     rows = docs.select(
         "doc_id", F.struct(low.alias("low"), high.alias("high")).alias("sig"),
         lines_of(F.col("text")).alias("lines"))
-    joined = left_join_lookup(rows, dropped, "sig", SALTS)
+    joined = left_join_lookup(rows, dropped, "sig", SALTS, None)
     places = F.sequence(F.lit(0), F.size("lines") - 1)
     kept = F.transform(F.array_except(places, "dropped"), lambda i: F.get("lines", i))
     return joined.select(

@@ -140,7 +140,7 @@ def reconcile(
               ("ext_id", F.lit("external")), ("fuzzy_id", F.lit("fuzzy")))
         .otherwise(F.lit("none")).alias("match_method"),
     )
-    return left_join_lookup(keyed, resolved, "pair").select(
+    return left_join_lookup(keyed, resolved, "pair", hot_rows=None).select(
         *kept, F.col("new_id").alias("account_id"), F.col("new_name").alias("account_name"),
         "match_method")
 

@@ -67,8 +67,12 @@ def usage_profile(usage: DataFrame, unique_months: bool = False) -> DataFrame:
         listed("first", F.col("month")), listed("last", backwards),
         listed("users", backwards, "users"), listed("sdk", backwards, "sdk")))
     in_list = Window.partitionBy("account_id", "list").orderBy("key")
+    # only the lists of ends need the rows of their months
+    whole = F.col("list").isin("first", "last")
     ends = (
-        months.select("*", F.inline(lists)).withColumn("at", F.row_number().over(in_list))
+        months.select("*", F.inline(lists))
+        .withColumns({c: F.when(whole, F.col(c)) for c in ("low", "high")})
+        .withColumn("at", F.row_number().over(in_list))
         .filter("at <= 3")
     )
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acctrisk import fixed
-from acctrisk.functions.lineage import shared_folder
+from acctrisk.functions.lineage import materialise, shared_folder
 from acctrisk.operators import (
     annotate, backtest, insights, notes, quality, reconcile, report, scoring, signals,
 )
@@ -275,16 +275,17 @@ def merged_signals(spark, sf_dir):
 
 @query
 def merged_stand_alone(spark, sf_dir):
-    """The same merge from six stand-alone signal frames."""
+    """The same merge from six stand-alone signal frames; three of them read the usage, written once."""
     d = dataset(spark, sf_dir)
+    usage = materialise(d.usage)
     merged = scoring.merge_signals(
         scoring.with_days(d.accounts, PARAMS),
-        signals.usage_signals(d.usage),
+        signals.usage_signals(usage),
         signals.ticket_signals(d.tickets, PARAMS),
         signals.nps_signals(d.nps, d.translations, d.sentiments),
         signals.csm_signals(annotate.account_analyses(d.analyses)),
-        signals.sdk_risk(d.usage),
-        signals.engagement_signals(d.usage, d.accounts),
+        signals.sdk_risk(usage),
+        signals.engagement_signals(usage, d.accounts),
     )
     return scoring.fill_defaults(merged)
 

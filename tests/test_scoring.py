@@ -133,3 +133,26 @@ def test_summary(frame):
     row = scoring.risk_summary(df).first()
     assert tuple(row) == (4, 1, 1, 2, 150, 100, 0.35, 0.3)
     assert scoring.risk_summary(df.limit(0)).first().total_arr_at_risk == 0
+
+
+def test_only_hot_keys_are_repeated(frame):
+    """Text that travels with a lookup or an account is not repeated where few rows meet it."""
+    facts = frame("k long, v long", *[(1, i) for i in range(50)], *[(1, 7)] * 50,
+                  *[(i, i) for i in range(2, 40)], (None, 5), (None, 6))
+    lookup = frame("k long, name string", *[(i, f"name {i}") for i in range(60)], (None, "none"))
+    from acctrisk.functions import skew
+    counts = skew.key_counts(facts, "k")
+    hot = skew._hot(counts, lookup, "k", 20)
+    assert skew._repeated(lookup, hot, "k", 16).count() == 60 + 16
+    assert skew._salted(facts, hot, "k", 16).filter("k = 1 and _salt > 0").count() > 50
+    assert skew._hot(counts, lookup.select(F.col("k").cast("int")), "k", 20) is None
+    for rows in (0, 20, 1000, None):
+        got = left_join_lookup(facts, lookup, "k", hot_rows=rows)
+        plain = facts.join(lookup, "k", "left")
+        assert sorted(map(str, got.select(plain.columns).collect())) == sorted(
+            map(str, plain.collect()))
+    for rows in (0, 20, 1000):
+        got = left_join_facts(lookup, facts, "k", hot_rows=rows)
+        plain = lookup.join(facts, "k", "left")
+        assert sorted(map(str, got.select(plain.columns).collect())) == sorted(
+            map(str, plain.collect()))
