@@ -13,6 +13,7 @@ import hashlib
 import json
 import re
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import public_tokenizers
@@ -26,6 +27,15 @@ from acctrisk.llm.common import slices, texts_of
 SAFE_BOUNDARY = re.compile(r"(?<=[!-~])(?=[ \t\n\r])")
 LONG_TEXT = 1 << 16
 
+# White space as the tokenizer has it, which Python's \s has more of.
+WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+# How the pattern ends, with a look-ahead, and the places where that ends a match: before the last
+# white space of a run that something follows.
+RUNS, PLAIN_RUNS = r"|\s+(?!\S)|\s+", r"|\s+"
+RUN_END = re.compile(f"[{WHITE}](?=[{WHITE}][^{WHITE}])")
+# Characters per such place from which on it pays to cut a text there.
+FEW_RUNS = 256
+
 TOKENS = "doc_id long, n_tokens long, ids binary"
 
 
@@ -92,6 +102,34 @@ def encode_text(encoding: tiktoken.Encoding, text: str, added: dict[str, int] |
     return parts[0] if len(parts) == 1 else np.concatenate(parts)
 
 
+class PlainFirst:
+    """Encodes texts with a pattern that looks nowhere ahead, which takes less time; the same ids.
+
+    Both patterns differ only in runs of white space before something else, the last of which the
+    look-ahead leaves to what follows. Cut there, a text has no such runs; one with many of them is
+    encoded with the look-ahead.
+    """
+
+    def __init__(self, path: str, pattern: str = public_tokenizers.PATTERN):
+        self.path, self.pattern = path, pattern
+        self.plain = (load(path, pattern.removesuffix(RUNS) + PLAIN_RUNS)
+                      if pattern.endswith(RUNS) else self.encoding)
+
+    @cached_property
+    def encoding(self) -> tiktoken.Encoding:
+        """The one with the look-ahead, loaded if a text needs it."""
+        return load(self.path, self.pattern)
+
+    def encode_text(self, text: str) -> np.ndarray:
+        cuts = [x.end() for x in RUN_END.finditer(text)]
+        if not cuts:
+            return encode_text(self.plain, text)
+        if len(cuts) * FEW_RUNS > len(text):
+            return encode_text(self.encoding, text)
+        return np.concatenate([encode_text(self.plain, text[a:b])
+                               for a, b in zip([0, *cuts], [*cuts, len(text)], strict=True)])
+
+
 def encode(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
     """Token ids of every whole text: doc_id, n_tokens, ids (little-endian unsigned 32-bit).
 

@@ -17,6 +17,17 @@ COLUMNS = "part int, piece int, counts binary"
 ROUNDS = (4096, 64, 1)
 
 
+def packed(values: np.ndarray) -> bytes:
+    """Whole numbers in as few bytes each as the largest needs, compressed; that width comes first."""
+    largest = int(values.max(initial=0))
+    width = next(x for x in (1, 2, 4, 8) if largest < 1 << 8 * x)
+    return bytes([width]) + zlib.compress(values.astype(f"<u{width}").tobytes(), 1)
+
+
+def unpacked(blob: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(memoryview(blob)[1:]), dtype=f"<u{blob[0]}")
+
+
 def pieces(task: int, tables: list[np.ndarray]) -> Iterator[tuple[int, int, bytes]]:
     """A task's counts, of several tables in a row, as compressed rows of part, piece, counts."""
     waiting, size, piece = [], 0, 0
@@ -27,10 +38,10 @@ def pieces(task: int, tables: list[np.ndarray]) -> Iterator[tuple[int, int, byte
             waiting.append(some.astype(np.uint64))
             at, size = at + len(some), size + len(some)
             if size == PIECE:
-                yield task, piece, zlib.compress(np.concatenate(waiting).tobytes(), 1)
+                yield task, piece, packed(np.concatenate(waiting))
                 waiting, size, piece = [], 0, piece + 1
     if size:
-        yield task, piece, zlib.compress(np.concatenate(waiting).tobytes(), 1)
+        yield task, piece, packed(np.concatenate(waiting))
 
 
 def batch_of(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
@@ -51,10 +62,13 @@ def added_up(counted: DataFrame, size: int) -> np.ndarray:
             return table.select(["part", "piece", "counts"])
         total = None
         for blob in table["counts"]:
-            values = np.frombuffer(zlib.decompress(blob.as_py()), dtype=np.uint64)
-            total = values.copy() if total is None else total + values
+            values = unpacked(blob.as_py())
+            if total is None:
+                total = values.astype(np.uint64)
+            else:
+                total += values
         return pa.table({"part": table["part"][:1], "piece": table["piece"][:1],
-                         "counts": pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())})
+                         "counts": pa.array([packed(total)], pa.binary())})
 
     for parts in ROUNDS:
         counted = (
@@ -63,6 +77,6 @@ def added_up(counted: DataFrame, size: int) -> np.ndarray:
         )
     out = np.zeros(size, dtype=np.int64)
     for row in counted.select("piece", "counts").toLocalIterator():
-        values = np.frombuffer(zlib.decompress(bytes(row.counts)), dtype=np.uint64)
+        values = unpacked(bytes(row.counts))
         out[row.piece * PIECE:row.piece * PIECE + len(values)] = values
     return out

@@ -57,7 +57,7 @@ HELD = 1 << 21
 # The end of a text among the hashes of words.
 END_WORD = np.uint64(0)
 # Windows that are scored in one go.
-WINDOWS = 1024
+WINDOWS = 1 << 12
 
 
 def lowered(text: str) -> str:
@@ -79,11 +79,11 @@ def prepare(docs: DataFrame, learn: Column, path: str | None = None) -> tuple[Da
     path = path or public_tokenizers.path(VOCABULARY)
 
     def run(batches):
-        encoding, row = byte_bpe.load(path), TaskContext.get().partitionId() << 33
-        kind = id_type(encoding)
+        encoder, row = byte_bpe.PlainFirst(path), TaskContext.get().partitionId() << 33
+        kind = id_type(encoder.plain)
         for batch in slices(batches):
             texts = texts_of(batch)
-            ids = [byte_bpe.encode_text(encoding, lowered(x)).astype(kind).tobytes() for x in texts]
+            ids = [encoder.encode_text(lowered(x)).astype(kind).tobytes() for x in texts]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(row, row + len(texts))),
                  batch.column("doc_id").cast(pa.int64()), batch.column("learn"),
@@ -96,8 +96,22 @@ def prepare(docs: DataFrame, learn: Column, path: str | None = None) -> tuple[Da
         run, "row long, doc_id long, learn boolean, text string, ids binary")), path
 
 
-def ids_in(batch: pa.RecordBatch, kind: np.dtype) -> list[np.ndarray]:
-    return [np.frombuffer(x, kind).astype(np.int64) for x in batch.column("ids").to_pylist()]
+def ids_in(batch: pa.RecordBatch, kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+    """The subword ids of a batch's texts in a row, and how many each text has."""
+    column = batch.column("ids").cast(pa.large_binary())
+    _, ends, ids = column.buffers()
+    ends = np.frombuffer(ends, np.int64)[column.offset:column.offset + len(column) + 1]
+    if not len(column) or ends[0] == ends[-1]:
+        return np.zeros(0, kind), np.zeros(len(column), np.int64)
+    return np.frombuffer(ids, np.uint8)[ends[0]:ends[-1]].view(kind), np.diff(ends) // kind.itemsize
+
+
+def with_ends(symbols: np.ndarray, sizes: np.ndarray, before: int, after: int) -> np.ndarray:
+    """The symbols of texts in a row, so many ends before and after those of each text."""
+    line = np.full(len(symbols) + (before + after) * len(sizes), END, dtype=np.int64)
+    shift = before + (before + after) * np.arange(len(sizes))
+    line[np.arange(len(symbols)) + np.repeat(shift, sizes)] = symbols
+    return line
 
 
 # --- Counts over the training texts -------------------------------------------------------------
@@ -138,7 +152,7 @@ def count_subwords(texts: DataFrame, size: int, kind: np.dtype) -> np.ndarray:
     def run(batches):
         subwords = np.zeros(size, np.int64)
         for batch in slices(batches, "ids"):
-            subwords += np.bincount(np.concatenate(ids_in(batch, kind)), minlength=size)
+            subwords += np.bincount(ids_in(batch, kind)[0], minlength=size)
         if subwords.any():
             for row in counters.pieces(TaskContext.get().partitionId(), [subwords]):
                 yield counters.batch_of([row])
@@ -152,8 +166,8 @@ def count_pairs(texts: DataFrame, symbol_of: np.ndarray, kind: np.dtype) -> np.n
         pairs = np.zeros(SYMBOLS * SYMBOLS, np.int64)
         for batch in slices(batches, "ids"):
             # the end of a text is the end before the next one, too
-            flat = np.concatenate([[END], *(
-                x for ids in ids_in(batch, kind) for x in (symbol_of[ids], [END]))]).astype(np.int64)
+            ids, sizes = ids_in(batch, kind)
+            flat = np.append(with_ends(symbol_of[ids], sizes, 1, 0), END)
             pairs += np.bincount(flat[:-1] * SYMBOLS + flat[1:], minlength=len(pairs))
         if pairs.any():
             for row in counters.pieces(TaskContext.get().partitionId(), [pairs]):
@@ -205,11 +219,10 @@ def count_symbols(texts: DataFrame, symbol_of: np.ndarray, pair_of: np.ndarray,
                 waiting.clear()
 
         for batch in slices(batches, "ids"):
-            streams = ids_in(batch, kind)
-            subwords += np.bincount(np.concatenate(streams), minlength=size)
-            symbols = [np.concatenate(([END], symbol_of[x], [END])) for x in streams]
-            of_text = np.repeat(np.arange(len(symbols)), [len(x) for x in symbols])
-            flat = np.concatenate(symbols).astype(np.int64)
+            ids, sizes = ids_in(batch, kind)
+            subwords += np.bincount(ids, minlength=size)
+            of_text = np.repeat(np.arange(len(sizes)), sizes + 2)
+            flat = with_ends(symbol_of[ids], sizes, 1, 1)
             for distance in range(1, FAR + 2):
                 same = of_text[distance:] == of_text[:-distance]
                 code = (flat[:-distance] * SYMBOLS + flat[distance:])[same]
@@ -237,18 +250,20 @@ def count_symbols(texts: DataFrame, symbol_of: np.ndarray, pair_of: np.ndarray,
 STEP = 0.08
 
 
-def coded(table: np.ndarray) -> bytes:
-    """Logarithms of a table of probabilities in steps, one byte each, compressed."""
+# The probability that a number of steps stands for, but for the sum of its row.
+OF_STEPS = np.exp(-STEP * np.arange(256)).astype(np.float32)
+
+
+def coded(table: np.ndarray) -> np.ndarray:
+    """Logarithms of a table of probabilities in steps, one byte each."""
     steps = np.clip(-np.log(np.maximum(table, 1e-12)) / STEP, 0, 255)
-    return zlib.compress(np.round(steps).astype(np.uint8).tobytes(), 1)
+    return np.round(steps).astype(np.uint8)
 
 
-def decoded(code: bytes, columns: int) -> np.ndarray:
-    """The table again; every row adds up to 1 exactly as far as numbers go."""
-    steps = np.frombuffer(zlib.decompress(code), dtype=np.uint8).reshape(-1, columns)
-    table = np.exp(-STEP * np.arange(256)).astype(np.float32)[steps]
-    table /= table.sum(1, keepdims=True, dtype=float)
-    return table
+def sums(code: np.ndarray) -> np.ndarray:
+    """What the rows of a coded table add up to; divided by it they add up to 1."""
+    return np.concatenate([OF_STEPS[code[i:i + 512]].sum(1, dtype=float)
+                           for i in range(0, len(code), 512)])
 
 
 @dataclass
@@ -261,10 +276,10 @@ class Weights:
     key: np.ndarray
     bias: np.ndarray
     sink: np.ndarray
-    near: bytes
     pair_of: np.ndarray
-    pair: bytes
-    far: bytes
+    next: bytes  # coded and compressed, by frequent pair, then by symbol, then for padding
+    next_sums: np.ndarray
+    far: bytes  # so, too
     plain: np.ndarray
 
     def parameters(self) -> list[np.ndarray]:
@@ -272,9 +287,18 @@ class Weights:
         return [self.query, self.key, self.bias, self.sink]
 
     def model(self) -> Model:
-        near, far = (padded(decoded(x, SYMBOLS)) for x in (self.near, self.far))
-        far = np.ascontiguousarray(far.T)
-        return assembled(self, near, far, padded(decoded(self.pair, SYMBOLS), rows=False))
+        next_row = np.where(self.pair_of >= 0, self.pair_of, PAIRS + np.arange(SYMBOLS + 1))
+        code = np.frombuffer(zlib.decompress(self.far), np.uint8).reshape(SYMBOLS, SYMBOLS)
+        far, both = OF_STEPS[code], np.zeros((SYMBOLS + 1, SYMBOLS + 1), np.complex64)
+        far /= sums(code)[:, None]
+        both.imag[:SYMBOLS, :SYMBOLS] = far.T
+        model = Model(
+            self.symbol_of, self.rare_log10, both, np.zeros(CAUSAL.shape, np.float32),
+            np.zeros(SYMBOLS + 1, np.float32), next_row.astype(np.int16).ravel(),
+            np.frombuffer(zlib.decompress(self.next), np.uint8), self.next_sums,
+            padded(self.plain))
+        model.take_over(self)
+        return model
 
 
 @dataclass
@@ -283,15 +307,24 @@ class Model:
 
     symbol_of: np.ndarray  # symbol of each subword
     rare_log10: np.ndarray  # log10 share of each subword among the rare ones, 0 for frequent ones
-    weight: np.ndarray  # exp of query times key, by symbol of the query and of the key
+    # exp of query times key, by symbol of the query and of the key; as imaginary part the share of
+    # a symbol, in rows, a few places after another one, in columns
+    both: np.ndarray
     distance: np.ndarray  # exp of the bias by place in the block and in the window; causal
     sink: np.ndarray  # exp of the sink's score by symbol of the query
-    near: np.ndarray  # next symbol by symbol
-    pair_of: np.ndarray  # number of a frequent pair of symbols, else -1
-    pair: np.ndarray  # next symbol by frequent pair
-    far: np.ndarray  # symbol a few places later, in rows, by symbol, in columns
+    next_row: np.ndarray  # row of a pair of symbols in the next table
+    next: np.ndarray  # coded shares of the symbols right after
+    next_sums: np.ndarray  # sums of its rows
     plain: np.ndarray  # any symbol
-    both: np.ndarray  # weight and, as imaginary part, far
+
+    def take_over(self, weights: Weights) -> None:
+        """Go on with what is trained of these weights."""
+        products = weights.query @ weights.key.T
+        products /= np.sqrt(DIMENSIONS)
+        products = products.astype(np.float32)
+        self.both.real[:SYMBOLS, :SYMBOLS] = np.exp(products, out=products)
+        self.distance = np.where(CAUSAL, np.exp(weights.bias[APART]), 0).astype(np.float32)
+        self.sink = padded(np.exp(weights.sink))
 
     def log10(self, texts: list[np.ndarray]) -> np.ndarray:
         """log10 probability of each text, given as subword ids.
@@ -300,84 +333,114 @@ class Model:
         before it; it scores what follows each token of its second block, so every token is
         scored once, the final end too.
         """
-        blocks, wanted, at, starts = cut(self.symbol_of, texts)
-        sums = np.zeros(len(blocks))
+        return self.log10_of(np.concatenate(texts), np.array([len(x) for x in texts]))
+
+    def log10_of(self, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The same of texts in a row with so many subword ids each."""
+        blocks, wanted, at, starts = cut(self.symbol_of[ids], sizes)
+        total = np.zeros(len(blocks))
         for i in range(0, len(at), WINDOWS):
-            k = at[i:i + WINDOWS]
-            logs = self.running(np.concatenate((blocks[k - 1], blocks[k]), axis=1), wanted[k])
-            sums[k] = logs.sum(1)
-        out = np.add.reduceat(sums, starts)
-        rare = np.array([self.rare_log10[ids].sum() for ids in texts])
-        return out + rare
-
-    def follows(self, window: np.ndarray, target: np.ndarray) -> np.ndarray:
-        """Share of the targets right after each token of the second block and the one before."""
-        query = window[:, BLOCK:]
-        out = self.near[query, target]
-        pair = self.pair_of[window[:, BLOCK - 1:-1], query]
-        known = pair >= 0
-        out[known] = self.pair[pair[known], target[known]]
+            total[at[i:i + WINDOWS]] = self.running(
+                *windows_at(blocks, wanted, at[i:i + WINDOWS])).sum(1)
+        of_text = np.repeat(np.arange(len(sizes)), sizes)
+        return np.add.reduceat(total, starts) + np.bincount(
+            of_text, self.rare_log10[ids], minlength=len(sizes))
+
+    def follows(self, before: np.ndarray, query: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """Share of the targets right after queries and the symbols before these."""
+        row = self.next_row.take(before * (SYMBOLS + 1) + query)
+        code = self.next.take(row * np.int64(SYMBOLS) + target, mode="clip")
+        out = OF_STEPS.take(code)
+        out /= self.next_sums.take(row)
+        out *= target != PAD
         return out
 
     def attend(self, window: np.ndarray, target: np.ndarray):
         """Weights of all keys for all queries, what the keys' values give the targets, sinks."""
         query, key, size = window[:, BLOCK:], window[:, None, :], SYMBOLS + 1
-        weight = self.weight.ravel().take(query[:, :, None] * size + key, mode="clip")
-        weight *= self.distance
-        value = self.far.ravel().take(target[:, :, None] * size + key, mode="clip")
+        weight = self.both.ravel().take(query[:, :, None] * size + key, mode="clip").real
+        weight = weight * self.distance
+        value = self.both.ravel().take(target[:, :, None] * size + key, mode="clip").imag.copy()
         own = np.arange(BLOCK)
-        value[:, own, BLOCK + own] = self.follows(window, target)
+        value[:, own, BLOCK + own] = self.follows(window[:, BLOCK - 1:-1], query, target)
         return weight, value, self.sink[query]
 
     def windows(self, window: np.ndarray, target: np.ndarray) -> np.ndarray:
         """log10 probability of the targets of a batch of windows; 0 for padding."""
-        return self.logs(*self.attend(window, target), target)
+        weight, value, sink = self.attend(window, target)
+        mixed = np.einsum("wqk,wqk->wq", weight, value) + sink * self.plain[target]
+        return shares_log10(mixed, np.einsum("wqk->wq", weight) + sink, target)
 
     def running(self, window: np.ndarray, target: np.ndarray) -> np.ndarray:
-        """The same where each target is the next token's query, as in running text.
-
-        What a symbol is as a query and as a target is looked up in one go.
-        """
-        return self.logs(*self.attend_running(window, target), target)
+        """The same where each target is the next token's query, as in running text."""
+        window, target = turned(window), turned(target)
+        total, mixed = self.sink.take(window[BLOCK:]), self.plain.take(target)
+        mixed *= total
+        for place, _, weight, value in self.attend_running(window, target):
+            total[place] += weight.sum(0)
+            mixed[place] += np.einsum("kw,kw->w", weight, value)
+        return shares_log10(mixed, total, target).T
 
     def attend_running(self, window: np.ndarray, target: np.ndarray):
-        """What `attend` gives, for running text."""
-        size = SYMBOLS + 1
-        symbol = np.concatenate((window[:, BLOCK:BLOCK + 1], target), axis=1) * size
-        found = self.both.ravel().take(symbol[:, :, None] + window[:, None, :], mode="clip")
-        weight, value = found.real[:, :-1] * self.distance, found.imag[:, 1:]
-        own = np.arange(BLOCK)
-        value[:, own, BLOCK + own] = self.follows(window, target)
-        return weight, value, self.sink[window[:, BLOCK:]]
-
-    def logs(self, weight: np.ndarray, value: np.ndarray, sink: np.ndarray,
-             target: np.ndarray) -> np.ndarray:
-        mixed = np.einsum("wqk,wqk->wq", weight, value) + sink * self.plain[target]
-        total = np.einsum("wqk->wq", weight) + sink
-        seen = target != PAD
-        return np.where(seen, np.log10(np.where(seen, mixed / np.where(seen, total, 1), 1)), 0)
-
+        """What `attend` gives, for running text, one place of the second block after the other.
 
-def cut(symbol_of: np.ndarray, texts: list[np.ndarray]):
-    """Texts, given as subword ids, in blocks of symbols.
+        Windows are columns here. Place, cells of query and keys in tables of symbols, weights and
+        values of the keys it sees, in arrays that the next place overwrites. What a symbol is as a
+        query and as the target of the place before is looked up in one go.
+        """
+        n, size = window.shape[1], SYMBOLS + 1
+        symbol = np.concatenate((window[BLOCK:BLOCK + 1], target)) * size
+        follows = self.follows(window[BLOCK - 1:-1], window[BLOCK:], target)
+        cells = np.empty((2, 2 * BLOCK, n), np.int64)
+        weights = np.empty((2, 2 * BLOCK, n), np.float32)
+        found, value = np.empty((2 * BLOCK, n), np.complex64), np.empty((2 * BLOCK, n), np.float32)
+        for place in range(BLOCK + 1):
+            keys = min(BLOCK + 1 + place, 2 * BLOCK)
+            cell = np.add(symbol[place], window[:keys], out=cells[place % 2, :keys])
+            both = self.both.ravel().take(cell, mode="clip", out=found[:keys])
+            if place:
+                last = BLOCK + place - 1  # the own token of the place before
+                value[:last], value[last] = both.imag[:last], follows[place - 1]
+                yield (place - 1, cells[(place - 1) % 2, :last + 1],
+                       weights[(place - 1) % 2, :last + 1], value[:last + 1])
+            if place < BLOCK:
+                np.multiply(both.real, self.distance[place, :keys, None],
+                            out=weights[place % 2, :keys])
+
+
+def shares_log10(mixed: np.ndarray, total: np.ndarray, target: np.ndarray) -> np.ndarray:
+    seen = target != PAD
+    return np.where(seen, np.log10(np.where(seen, mixed / np.where(seen, total, 1), 1)), 0)
+
+
+def turned(x: np.ndarray) -> np.ndarray:
+    """Rows as columns, to look symbols up in."""
+    return x.T.astype(np.int64, order="C")
+
+
+def cut(symbols: np.ndarray, sizes: np.ndarray):
+    """Texts, given as symbols in a row and their numbers, in blocks of symbols, two bytes each.
 
     The blocks, the symbols that follow each of theirs, the numbers of the blocks to score (all but
     the block of padding before each text) and the number of the first block of each text.
     """
-    inputs, targets = [], []
-    for ids in texts:
-        symbols = symbol_of[ids]
-        more = -(len(ids) + 1) % BLOCK
-        first, last = np.full(BLOCK, PAD), np.full(more, PAD)
-        inputs.append(np.concatenate((first, [END], symbols, last)))
-        targets.append(np.concatenate((first, symbols, [END], last)))
-    sizes = np.array([len(x) // BLOCK for x in inputs])
-    blocks = np.concatenate(inputs).reshape(-1, BLOCK)
-    wanted = np.concatenate(targets).reshape(-1, BLOCK)
-    starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-    scored = np.ones(len(blocks), dtype=bool)
+    n_blocks = 1 + (sizes + BLOCK) // BLOCK
+    starts = np.cumsum(n_blocks) - n_blocks
+    first = (starts + 1) * BLOCK  # the place of the end before a text
+    place = np.arange(len(symbols)) + np.repeat(first - (np.cumsum(sizes) - sizes), sizes)
+    blocks, wanted = (np.full(n_blocks.sum() * BLOCK, PAD, np.int16) for _ in range(2))
+    blocks[first] = END
+    blocks[place + 1] = symbols
+    wanted[place] = symbols
+    wanted[first + sizes] = END
+    scored = np.ones(n_blocks.sum(), dtype=bool)
     scored[starts] = False
-    return blocks, wanted, np.flatnonzero(scored), starts
+    return blocks.reshape(-1, BLOCK), wanted.reshape(-1, BLOCK), np.flatnonzero(scored), starts
+
+
+def windows_at(blocks: np.ndarray, wanted: np.ndarray, k: np.ndarray):
+    """The windows whose second blocks are those numbered k, and their targets."""
+    return np.concatenate((blocks[k - 1], blocks[k]), axis=1), wanted[k]
 
 
 def smoothed(pairs: np.ndarray, plain: np.ndarray) -> np.ndarray:
@@ -395,29 +458,15 @@ def smoothed(pairs: np.ndarray, plain: np.ndarray) -> np.ndarray:
     return known
 
 
-def padded(x: np.ndarray, rows: bool = True) -> np.ndarray:
-    """A symbol table with zeros for padding."""
-    out = np.zeros([n + (rows or k > 0) for k, n in enumerate(x.shape)], dtype=np.float32)
-    out[tuple(slice(n) for n in x.shape)] = x
-    return out
+def padded(x: np.ndarray) -> np.ndarray:
+    """A number per symbol with zero for padding."""
+    return np.append(x, 0).astype(np.float32)
 
 
 _PLACES = np.arange(BLOCK)[:, None] + BLOCK - np.arange(2 * BLOCK)[None, :]
 CAUSAL, APART = _PLACES >= 0, np.maximum(_PLACES, 0)
 
 
-def assembled(weights: Weights, near: np.ndarray, far: np.ndarray, pair: np.ndarray) -> Model:
-    """The tables that scoring looks things up in."""
-    products = weights.query @ weights.key.T / np.sqrt(DIMENSIONS)
-    products = padded(np.exp(products.astype(np.float32)))
-    distance = np.where(CAUSAL, np.exp(weights.bias[APART]), 0).astype(np.float32)
-    both = np.empty(far.shape, np.complex64)
-    both.real, both.imag = products, far
-    return Model(weights.symbol_of, weights.rare_log10, products, distance,
-                 padded(np.exp(weights.sink)), near, weights.pair_of, pair, far,
-                 padded(weights.plain), both)
-
-
 def build(symbol_of: np.ndarray, pair_of: np.ndarray, subwords: np.ndarray, pairs: np.ndarray,
           triples: np.ndarray, windows: np.ndarray, seed: int = 0, steps: int = STEPS) -> Weights:
     """The model of the counts, its attention trained on windows.
@@ -435,19 +484,21 @@ def build(symbol_of: np.ndarray, pair_of: np.ndarray, subwords: np.ndarray, pair
     second = np.zeros(PAIRS, np.int64)
     second[pair_of[pair_of >= 0]] = np.nonzero(pair_of >= 0)[1]
     rng = np.random.default_rng(seed)
+    code = np.concatenate((coded(smoothed(triples, near[second])), coded(near),
+                           np.full((1, SYMBOLS), 255, np.uint8)))
     weights = Weights(
         symbol_of, rare_log10, rng.standard_normal((SYMBOLS, DIMENSIONS)) * 0.1,
         rng.standard_normal((SYMBOLS, DIMENSIONS)) * 0.1, -0.5 * np.arange(2 * BLOCK, dtype=float),
-        np.full(SYMBOLS, -2.0), coded(near), pair_of, coded(smoothed(triples, near[second])),
-        coded(far), plain)
-    adam, fixed = Adam(weights.parameters()), weights.model()
+        np.full(SYMBOLS, -2.0), pair_of, zlib.compress(code.tobytes(), 1), sums(code),
+        zlib.compress(coded(far).tobytes(), 1), plain)
+    adam, now = Adam(weights.parameters()), weights.model()
     for _ in range(steps if len(windows) else 0):
         rows = windows[rng.integers(0, len(windows), min(BATCH, len(windows)))].astype(np.int64)
         window, target = rows[:, :2 * BLOCK], rows[:, 2 * BLOCK:]
-        now = assembled(weights, fixed.near, fixed.far, fixed.pair)
         added = Slopes()
         added.add(now, window, target, now.attend(window, target))
         adam.step(added, RATE)
+        now.take_over(weights)
     return weights
 
 
@@ -465,24 +516,44 @@ class Slopes:
     def add(self, now: Model, window: np.ndarray, target: np.ndarray, attended) -> None:
         """Those of a batch of windows; attended: what the model attends to in them."""
         weight, value, away = attended
-        q, plain = window[:, BLOCK:], now.plain[target]
-        total = np.einsum("wqk->wq", weight) + away
-        mixed = np.einsum("wqk,wqk->wq", weight, value) + away * plain
-        seen = (target != PAD) & (q != PAD)
-        per_total = np.divide(1, total, out=np.zeros_like(total), where=seen)
-        per_mixed = np.divide(1, mixed, out=np.zeros_like(mixed), where=seen)
+        query = window[:, BLOCK:]
+        per_total, per_mixed = self.add_sinks(
+            now, query, target, np.einsum("wqk->wq", weight), np.einsum("wqk,wqk->wq", weight, value))
         # of minus log(mixed / total) by the score of a key: weight * (1 / total - value / mixed)
         slope = value * -per_mixed[:, :, None]
         slope += per_total[:, :, None]
         slope *= weight
-        cell = (q[:, :, None] * (SYMBOLS + 1) + window[:, None, :]).ravel()
+        cell = (query[:, :, None] * (SYMBOLS + 1) + window[:, None, :]).ravel()
         np.add.at(self.pairs, cell, slope.ravel())
-        of_sink = away * (per_total - plain * per_mixed)
         by_place = slope.sum(0, dtype=float)[CAUSAL]
         self.distances += np.bincount(APART[CAUSAL], weights=by_place, minlength=2 * BLOCK)
+
+    def add_running(self, now: Model, window: np.ndarray, target: np.ndarray) -> None:
+        """The same of windows of running text."""
+        window, target = turned(window), turned(target)
+        for place, cell, weight, slope in now.attend_running(window, target):
+            per_total, per_mixed = self.add_sinks(
+                now, window[BLOCK + place], target[place], weight.sum(0),
+                np.einsum("kw,kw->w", weight, slope))
+            slope *= -per_mixed
+            slope += per_total
+            slope *= weight
+            np.add.at(self.pairs, cell.ravel(), slope.ravel())
+            self.distances[:len(slope)] += slope.sum(1, dtype=float)[::-1]
+
+    def add_sinks(self, now: Model, query: np.ndarray, target: np.ndarray, total: np.ndarray,
+                  mixed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The slopes by sinks; the reciprocals of the weights of all keys and of what they give."""
+        away, plain = now.sink.take(query), now.plain.take(target)
+        total, mixed = total + away, mixed + away * plain
+        seen = (target != PAD) & (query != PAD)
+        per_total = np.divide(1, total, out=np.zeros_like(total), where=seen)
+        per_mixed = np.divide(1, mixed, out=np.zeros_like(mixed), where=seen)
+        of_sink = away * (per_total - plain * per_mixed)
         self.sinks += np.bincount(
-            q.ravel(), weights=of_sink.ravel(), minlength=SYMBOLS + 1)[:SYMBOLS]
+            query.ravel(), weights=of_sink.ravel(), minlength=SYMBOLS + 1)[:SYMBOLS]
         self.targets += int(seen.sum())
+        return per_total, per_mixed
 
 
 class Adam:
@@ -514,40 +585,40 @@ def train(texts: DataFrame, weights: Weights, subwords: int, kind: np.dtype) ->
     step. The model is the mean of their results by windows, added up in whole numbers, so that it
     does not depend on their order. subwords: about how many there are.
     """
-    all_windows, sizes = subwords // BLOCK + 1, [x.size for x in weights.parameters()]
+    all_windows, lengths = subwords // BLOCK + 1, [x.size for x in weights.parameters()]
 
     def run(batches):
-        fixed, windows, waiting = None, 0, 0
+        now, windows, waiting = None, 0, 0
         for batch in slices(batches, "ids"):
-            if fixed is None:
-                fixed = now = weights.model()
+            if now is None:
+                now = weights.model()
                 own = replace(weights, **{
                     k: getattr(weights, k).copy() for k in ("query", "key", "bias", "sink")})
                 adam, added = Adam(own.parameters()), Slopes()
-            blocks, wanted, at, _ = cut(weights.symbol_of, ids_in(batch, kind))
+            ids, sizes = ids_in(batch, kind)
+            blocks, wanted, at, _ = cut(weights.symbol_of[ids], sizes)
             for i in range(0, len(at), TASK_WINDOWS):
                 k = at[i:i + TASK_WINDOWS]
-                window, target = np.concatenate((blocks[k - 1], blocks[k]), axis=1), wanted[k]
-                added.add(now, window, target, now.attend_running(window, target))
+                added.add_running(now, *windows_at(blocks, wanted, k))
                 waiting, windows = waiting + len(k), windows + len(k)
                 if waiting >= TASK_BATCH:
                     adam.step(added, TASK_RATE)
-                    now = assembled(own, fixed.near, fixed.far, fixed.pair)
+                    now.take_over(own)
                     waiting, added = 0, Slopes()
         if waiting:
             adam.step(added, TASK_RATE * waiting / TASK_BATCH)
         if windows:
             share = max(1, windows * SHARE_ONE // all_windows)
             trained = np.concatenate([x.ravel() for x in own.parameters()])
-            sums = np.append(np.rint(trained * PARAMETER_ONE).astype(np.int64), 1) * share
-            for row in counters.pieces(TaskContext.get().partitionId(), [sums]):
+            shares = np.append(np.rint(trained * PARAMETER_ONE).astype(np.int64), 1) * share
+            for row in counters.pieces(TaskContext.get().partitionId(), [shares]):
                 yield counters.batch_of([row])
 
-    sums = counters.added_up(
-        texts.select("ids").mapInArrow(run, counters.COLUMNS), sum(sizes) + 1)
-    if not sums[-1]:
+    total = counters.added_up(
+        texts.select("ids").mapInArrow(run, counters.COLUMNS), sum(lengths) + 1)
+    if not total[-1]:
         return weights
-    means = np.split(sums[:-1] / sums[-1] / PARAMETER_ONE, np.cumsum(sizes)[:-1])
+    means = np.split(total[:-1] / total[-1] / PARAMETER_ONE, np.cumsum(lengths)[:-1])
     query, key, bias, sink = (
         x.reshape(old.shape) for x, old in zip(means, weights.parameters(), strict=True))
     return replace(weights, query=query, key=key, bias=bias, sink=sink)
@@ -563,9 +634,9 @@ def fit_windows(texts: DataFrame, kind: np.dtype, every: int, seed: int = 0) ->
 
     def run(batches):
         for batch in slices(batches, "ids"):
-            found = []
-            for first, ids in zip(batch.column("first").to_pylist(), ids_in(batch, kind),
-                                  strict=True):
+            found, (flat, sizes) = [], ids_in(batch, kind)
+            texts_ids = np.split(flat.astype(np.int64), np.cumsum(sizes)[:-1])
+            for first, ids in zip(batch.column("first").to_pylist(), texts_ids, strict=True):
                 starts = np.arange(first * BLOCK, len(ids) + 1, every * BLOCK)
                 if len(starts):
                     line = np.concatenate(
@@ -671,7 +742,7 @@ def score(prepared: DataFrame, path: str, weights: Weights, words: DataFrame,
                  pa.array(np.bincount(of_text, minlength=size)),
                  pa.array(np.bincount(of_text[~rest], minlength=size)),
                  pa.array(np.bincount(of_text, value, minlength=size)),
-                 pa.array(model.log10(ids_in(batch, kind))),
+                 pa.array(model.log10_of(*ids_in(batch, kind))),
                  pa.ListArray.from_arrays(offsets, found[code % len(found)].view(np.int64)),
                  pa.ListArray.from_arrays(offsets, times)],
                 names=["row", "doc_id", "n_tokens", "n_hot", "hot", "score", "rest", "times"])
