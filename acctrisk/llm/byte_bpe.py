@@ -49,7 +49,13 @@ def _byte_of() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-def load(path: str, pattern: str = public_tokenizers.PATTERN) -> tiktoken.Encoding:
+# A special token that is never allowed, so it is ordinary text where it occurs. Without any, the
+# library tries the empty one at every character of a text.
+NEVER = {"\0<never>\0": 0}
+
+
+def load(path: str, pattern: str = public_tokenizers.PATTERN,
+         special_tokens: dict[str, int] | None = None) -> tiktoken.Encoding:
     """The encoding of a rank file, or of a byte-level vocabulary whose ids are its ranks."""
     if path.endswith(".json"):
         with open(path, encoding="utf-8") as f:
@@ -60,7 +66,8 @@ def load(path: str, pattern: str = public_tokenizers.PATTERN) -> tiktoken.Encodi
     else:
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("local", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("local", pat_str=pattern, mergeable_ranks=ranks,
+                             special_tokens=special_tokens or {})
 
 
 def added_tokens(path: str) -> dict[str, int]:
@@ -112,13 +119,13 @@ class PlainFirst:
 
     def __init__(self, path: str, pattern: str = public_tokenizers.PATTERN):
         self.path, self.pattern = path, pattern
-        self.plain = (load(path, pattern.removesuffix(RUNS) + PLAIN_RUNS)
+        self.plain = (load(path, pattern.removesuffix(RUNS) + PLAIN_RUNS, NEVER)
                       if pattern.endswith(RUNS) else self.encoding)
 
     @cached_property
     def encoding(self) -> tiktoken.Encoding:
         """The one with the look-ahead, loaded if a text needs it."""
-        return load(self.path, self.pattern)
+        return load(self.path, self.pattern, NEVER)
 
     def encode_text(self, text: str) -> np.ndarray:
         cuts = [x.end() for x in RUN_END.finditer(text)]

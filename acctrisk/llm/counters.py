@@ -54,8 +54,8 @@ def batch_of(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
 def added_up(counted: DataFrame, size: int) -> np.ndarray:
     """The sums over all tasks.
 
-    Added in rounds, so that no group grows with the number of tasks beyond the next round's
-    fan-in. What reaches the driver are the `size` sums.
+    Added in as many rounds as the number of tasks needs, so that no group grows with it beyond
+    the next round's fan-in. What reaches the driver are the `size` sums.
     """
     def add(table: pa.Table) -> pa.Table:
         if len(table) == 1:  # nothing to add, so the counts stay packed
@@ -70,7 +70,8 @@ def added_up(counted: DataFrame, size: int) -> np.ndarray:
         return pa.table({"part": table["part"][:1], "piece": table["piece"][:1],
                          "counts": pa.array([packed(total)], pa.binary())})
 
-    for parts in ROUNDS:
+    tasks = counted.rdd.getNumPartitions()
+    for parts in [x for x in ROUNDS if x == 1 or x < tasks]:
         counted = (
             counted.withColumn("part", F.pmod("part", F.lit(parts)).cast("int"))
             .groupBy("piece", "part").applyInArrow(add, COLUMNS)

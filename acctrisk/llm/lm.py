@@ -52,7 +52,7 @@ PARAMETER_ONE, SHARE_ONE = 1 << 24, 1 << 20
 SMOOTHING = 0.1
 # The most frequent words, at most so many, go to the tasks; the counts of others are joined.
 HOT_WORDS = 400_000
-# Counted words, and pair codes not yet counted, that a task holds.
+# Counted words that a task holds.
 HELD = 1 << 21
 # The end of a text among the hashes of words.
 END_WORD = np.uint64(0)
@@ -210,14 +210,7 @@ def count_symbols(texts: DataFrame, symbol_of: np.ndarray, pair_of: np.ndarray,
     def run(batches):
         subwords = np.zeros(size, np.int64)
         pairs = np.zeros((2, SYMBOLS * SYMBOLS), np.int64)
-        triples, waiting = np.zeros(PAIRS * SYMBOLS, np.uint32), []
-
-        def settle():
-            if waiting:
-                codes, times = np.unique(np.concatenate(waiting), return_counts=True)
-                triples[codes] += times.astype(np.uint32)
-                waiting.clear()
-
+        triples = np.zeros(PAIRS * SYMBOLS, np.uint32)
         for batch in slices(batches, "ids"):
             ids, sizes = ids_in(batch, kind)
             subwords += np.bincount(ids, minlength=size)
@@ -229,10 +222,7 @@ def count_symbols(texts: DataFrame, symbol_of: np.ndarray, pair_of: np.ndarray,
                 pairs[min(distance, 2) - 1] += np.bincount(code, minlength=SYMBOLS * SYMBOLS)
             pair = pair_of[flat[:-2], flat[1:-1]]
             same = (of_text[2:] == of_text[:-2]) & (pair >= 0)
-            waiting.append(pair[same] * SYMBOLS + flat[2:][same].astype(np.int32))
-            if sum(map(len, waiting)) > HELD:
-                settle()
-        settle()
+            np.add.at(triples, pair[same] * SYMBOLS + flat[2:][same], np.uint32(1))
         if subwords.any() or pairs.any():
             task = TaskContext.get().partitionId()
             for row in counters.pieces(task, [subwords, *pairs, triples]):
@@ -319,9 +309,8 @@ class Model:
 
     def take_over(self, weights: Weights) -> None:
         """Go on with what is trained of these weights."""
-        products = weights.query @ weights.key.T
-        products /= np.sqrt(DIMENSIONS)
-        products = products.astype(np.float32)
+        query = (weights.query / np.sqrt(DIMENSIONS)).astype(np.float32)
+        products = query @ weights.key.T.astype(np.float32)
         self.both.real[:SYMBOLS, :SYMBOLS] = np.exp(products, out=products)
         self.distance = np.where(CAUSAL, np.exp(weights.bias[APART]), 0).astype(np.float32)
         self.sink = padded(np.exp(weights.sink))

@@ -77,3 +77,24 @@ def test_decoding_gives_raw_bytes(frame, encoding):
     ids = np.array(encoding.encode_ordinary("🙂"), dtype="<u4")[:1]
     tokens = frame("doc_id long, n_tokens long, ids binary", (1, 1, ids.tobytes()))
     assert "🙂".encode().startswith(bytes(byte_bpe.decode(tokens, PATH).collect()[0].decoded))
+
+
+@pytest.fixture(scope="module")
+def plain_first():
+    return byte_bpe.PlainFirst(PATH)
+
+
+@pytest.mark.parametrize("text", [*TEXTS, "\0<never>\0 a", "one\n\ntwo\n \nthree" + " words" * 300])
+def test_plain_pattern_gives_the_same_ids(encoding, plain_first, text):
+    assert plain_first.encode_text(text).tolist() == byte_bpe.encode_text(encoding, text).tolist()
+    assert plain_first.plain.n_vocab == encoding.n_vocab
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=" \n\tab'sé\x1c1!.\x85\xa0　​", max_size=60), st.sampled_from([0, 2, 256]))
+def test_plain_pattern_gives_the_same_ids_of_odd_white_space(encoding, plain_first, text, few):
+    before, byte_bpe.FEW_RUNS = byte_bpe.FEW_RUNS, few
+    try:
+        assert plain_first.encode_text(text).tolist() == byte_bpe.encode_text(encoding, text).tolist()
+    finally:
+        byte_bpe.FEW_RUNS = before

@@ -274,3 +274,19 @@ def test_training_on_all_windows_makes_unseen_texts_likelier(spark, monkeypatch)
     unseen = prepared.where("not learn").select("ids").toArrow()["ids"].to_pylist()
     unseen = [np.frombuffer(x, "<u2").astype(np.int64) for x in unseen]
     assert trained.model().log10(unseen).sum() > start.model().log10(unseen).sum()
+
+
+def test_a_task_unpacks_little_of_the_model(fitted):
+    arrays = [x for x in vars(fitted[1][0].model()).values() if isinstance(x, np.ndarray)]
+    assert sum(x.nbytes for x in arrays) < 24 << 20
+
+
+def test_counts_travel_in_few_bytes(spark):
+    rng = np.random.default_rng(7)
+    small, large = rng.integers(0, 256, 1 << 16), np.array([0, 3, (1 << 40) + 1, -5])
+    rows = list(lm.counters.pieces(0, [small]))
+    assert len(rows) == 1 and len(rows[0][2]) < 1.01 * len(small)
+    for values in (small, large, np.zeros(3, np.int64)):
+        rows = [row for task in range(70) for row in lm.counters.pieces(task, [values])]
+        counted = spark.createDataFrame(rows, lm.counters.COLUMNS).repartition(70)
+        assert (lm.counters.added_up(counted, len(values)) == 70 * values).all()
